@@ -43,3 +43,8 @@ def from_pacific(x) -> Column:
 def iso_millis_z(x) -> Column:
     """ISO instant with milliseconds and ``Z`` (control-table timestamps)."""
     return F.date_format(_c(x), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+
+
+def ts_lit(value) -> Column:
+    """A timestamp literal parsed in the session zone (not the Python process's)."""
+    return F.to_timestamp(F.lit(value.strftime("%Y-%m-%d %H:%M:%S")), TS_FMT)

@@ -205,3 +205,487 @@ FROM manifest_totals"""
 ORACLE["manifest_csv_surcharge"] = _with_extra(MANIFEST_LINES, f"SELECT * FROM ({_CSV_DETAIL})")
 ORACLE["manifest_csv_final"] = _with_extra(
     MANIFEST_LINES, f"SELECT * EXCLUDE (total_surcharge) FROM ({_CSV_DETAIL})")
+
+# --- facts -------------------------------------------------------------------
+_TS = "CAST({} AS TIMESTAMP)"
+
+
+def _c(col: str) -> str:
+    return coalesced(col)
+
+
+ORACLE["ticket_fact"] = with_fx(f"""
+SELECT o.id AS ticketsauce_order_id, c.payment_intent AS stripe_charge_payment_intent,
+       COALESCE(c.payment_intent, o.id) AS order_id, e.organization_name AS venue_title,
+       e.name AS event_title, lower(e.name) AS lowercase_event_title,
+       CAST(CAST(e.start AS TIMESTAMP) AS DATE) AS event_date, 1 AS quantity,
+       CAST({_c('t.price')} AS {W}) AS shared_price_per_ticket,
+       CAST({_c('t.price')} AS {W}) AS face_value_subtotal,
+       CAST({_c('t.surcharge')} AS {W}) AS shared_surcharge,
+       CAST({_c('t.let_tax')} AS {W}) AS shared_let_tax_amount_currency,
+       CAST({_c('t.sales_tax')} AS {W}) AS sales_tax_currency,
+       CAST({_c('t.venue_fee')} AS {W}) AS service_charge_currency,
+       0 AS donation_charity,
+       CAST({_c('t.price')} + {_c('t.surcharge')} + {_c('t.let_tax')} + {_c('t.sales_tax')}
+            + {_c('t.venue_fee')} AS {W}) AS total,
+       t.ticket_type_name, lower(t.ticket_type_name) AS lowercase_ticket_type_name,
+       t.ticket_type_id, t.ticket_type_name AS ticket_holder_name,
+       o.first_name AS order_first_name, o.last_name AS order_last_name,
+       CAST(o.paid_date_utc AS TIMESTAMP) AS "final_at_UTC", 'false' AS void,
+       'Stripe' AS payment_gateway, '' AS learned_from, t.id AS id,
+       CAST(o.paid_date_utc AS TIMESTAMP) AS "created_at_UTC", o.event_id AS event_id,
+       t.redeemed AS ticket_redeemed, t.promo_code AS ticket_promo_code
+FROM fx_events e JOIN fx_orders o ON e.id = o.event_id
+JOIN fx_tickets t ON t.order_id = o.id
+LEFT JOIN fx_charges c ON o.id = c.ticketsauce_order_id""")
+
+_SUBTOTAL = (f"CAST(CAST(o.total_paid AS {M}) - ({_c('o.fee_surcharge')} + {_c('o.fee_let_tax')}"
+             f" + {_c('o.fee_sales_tax')} + {_c('o.fee_venue_fee')}) AS {W})")
+
+ORACLE["order_subtotals"] = with_fx(f"SELECT o.id AS order_id, {_SUBTOTAL} AS subtotal FROM fx_orders o")
+
+ORACLE["order_fact"] = with_fx(f"""
+SELECT o.id AS ticketsauce_order_id, c.payment_intent AS stripe_charge_payment_intent,
+       e.organization_name AS venue_title, e.name AS event_title,
+       lower(e.name) AS lowercase_event_title,
+       CAST(CAST(e.start AS TIMESTAMP) AS DATE) AS event_date,
+       CAST(SUM(COALESCE(n.n_tickets, 0)) AS BIGINT) AS quantity,
+       os.subtotal AS subtotal,
+       COALESCE(o.fee_surcharge, '0.00') AS surcharge, COALESCE(o.fee_let_tax, '0.00') AS "LET",
+       COALESCE(o.fee_sales_tax, '0.00') AS sales_tax,
+       COALESCE(o.fee_venue_fee, '0.00') AS service_charge,
+       0 AS donation_charity, o.total_paid AS total_paid,
+       o.first_name AS order_first_name, o.last_name AS order_last_name, o.email AS order_email,
+       o.opted_in AS opted_in, o.opted_in_sms AS opted_in_sms,
+       CAST(o.paid_date_utc AS TIMESTAMP) AS "final_at_UTC", 'false' AS void,
+       'Stripe' AS payment_gateway, '' AS learned_from,
+       CAST(o.paid_date_utc AS TIMESTAMP) AS "created_at_UTC", o.event_id AS event_id
+FROM fx_events e JOIN fx_orders o ON e.id = o.event_id
+LEFT JOIN fx_charges c ON o.id = c.ticketsauce_order_id
+LEFT JOIN (SELECT o.id AS order_id, {_SUBTOTAL} AS subtotal FROM fx_orders o) os ON o.id = os.order_id
+LEFT JOIN (SELECT order_id, COUNT(*) AS n_tickets FROM fx_tickets GROUP BY order_id) n
+  ON o.id = n.order_id
+GROUP BY o.id, c.payment_intent, e.organization_name, e.name, e.start, o.fee_surcharge,
+         o.fee_let_tax, o.fee_sales_tax, o.fee_venue_fee, o.total_paid, o.first_name, o.email,
+         o.opted_in, o.opted_in_sms, o.last_name, o.paid_date_utc, o.event_id, os.subtotal""")
+
+
+def _remit_sql(conv) -> str:
+    cols = ", ".join([
+        f"CAST({conv('t.price')} AS {W}) AS price_per_ticket",
+        f"CAST({conv('t.surcharge')} AS {W}) AS surcharge_per_ticket",
+        f"CAST({conv('t.let_tax')} AS {W}) AS let_per_ticket",
+        f"CAST({conv('t.venue_fee')} AS {W}) AS service_charge_per_ticket",
+        f"CAST({conv('t.sales_tax')} AS {W}) AS sales_tax_per_ticket",
+        "COUNT(*) AS sold",
+        f"CAST(SUM({conv('t.price')}) AS {W}) AS face_value_admissions_total",
+        f"CAST(SUM({conv('t.let_tax')}) AS {W}) AS let_total",
+        f"CAST(SUM({conv('t.venue_fee')}) AS {W}) AS service_charge_total",
+        f"CAST(SUM({conv('t.surcharge')}) AS {W}) AS surcharge_total",
+        f"CAST(SUM({conv('t.sales_tax')}) AS {W}) AS sales_tax_total",
+    ])
+    return with_fx(f"""
+SELECT strftime(CAST(e.start AS TIMESTAMP), '%y/%m/%d') || ' ' || e.name AS event_details,
+       CAST(CAST(e.start AS TIMESTAMP) AS DATE) AS event_date,
+       e.organization_name AS venue, e.name AS event, t.ticket_type_id, t.ticket_type_name,
+       {cols}
+FROM fx_events e JOIN fx_orders o ON e.id = o.event_id
+JOIN fx_tickets t ON t.order_id = o.id
+LEFT JOIN fx_charges c ON o.id = c.ticketsauce_order_id
+GROUP BY e.start, e.organization_name, e.name, t.ticket_type_id, t.ticket_type_name, t.price,
+         t.surcharge, t.let_tax, t.venue_fee, t.sales_tax""")
+
+
+ORACLE["remit_original"] = _remit_sql(lambda c: f"CAST({c} AS {M})")
+ORACLE["remit_new"] = _remit_sql(lambda c: f"CAST(COALESCE({c}, '0.00') AS {M})")
+
+ORACLE["marketing_original"] = with_fx("""
+SELECT e.organization_name AS venue_name, e.name AS event_name,
+       MAX(CAST(e.start AS TIMESTAMP)) AS event_date, o.id AS ticketsauce_order_id,
+       MAX(o.first_name) AS first_name, MAX(o.last_name) AS last_name, o.email AS email,
+       MAX(o.phone) AS phone, MAX(o.opted_in) AS opted_in, MAX(o.opted_in_sms) AS opted_in_sms,
+       t.ticket_type_name AS ticket_type_name
+FROM fx_events e JOIN fx_orders o ON e.id = o.event_id JOIN fx_tickets t ON t.order_id = o.id
+GROUP BY e.organization_name, e.name, o.id, o.email, t.ticket_type_name""")
+
+ORACLE["marketing_new"] = with_fx("""
+SELECT e.organization_name AS venue_name, e.name AS event_name,
+       CAST(e.start AS TIMESTAMP) AS event_date, o.id AS ticketsauce_order_id,
+       o.first_name, o.last_name, o.email, o.phone, o.opted_in, o.opted_in_sms,
+       t.ticket_type_name AS ticket_type_name
+FROM fx_events e JOIN fx_orders o ON e.id = o.event_id JOIN fx_tickets t ON t.order_id = o.id
+GROUP BY ALL""")
+
+ORACLE["bi_ticket_dataset"] = with_fx(f"""
+SELECT o.id AS ticketsauce_order_id, c.payment_intent AS stripe_charge_payment_intent,
+       COALESCE(c.payment_intent, o.id) AS order_id, e.organization_name AS venue_title,
+       e.name AS event_title, CAST(CAST(e.start AS TIMESTAMP) AS DATE) AS event_date,
+       1 AS quantity, t.price AS shared_price_per_ticket, t.price AS face_value_subtotal,
+       o.fee_surcharge AS shared_surcharge, o.fee_let_tax AS shared_let_tax_amount_currency,
+       o.fee_sales_tax AS sales_tax_currency, o.fee_venue_fee AS service_charge_currency,
+       0 AS donation_charity,
+       CAST({_c('t.price')} + {_c('o.fee_surcharge')} + {_c('o.fee_let_tax')}
+            + {_c('o.fee_sales_tax')} + {_c('o.fee_venue_fee')} AS {W}) AS total,
+       t.ticket_type_name, t.ticket_type_id, t.ticket_type_name AS ticket_holder_name,
+       o.first_name AS order_first_name, o.last_name AS order_last_name,
+       CAST(o.paid_date_utc AS TIMESTAMP) AS "final_at_UTC", 'false' AS void,
+       'Stripe' AS payment_gateway, '' AS learned_from, t.id AS id,
+       CAST(o.paid_date_utc AS TIMESTAMP) AS "created_at_UTC", o.event_id AS event_id,
+       t.redeemed AS ticket_redeemed, t.promo_code AS ticket_promo_code
+FROM fx_events e JOIN fx_orders o ON e.id = o.event_id
+JOIN fx_tickets t ON t.order_id = o.id
+LEFT JOIN fx_charges c ON o.id = c.ticketsauce_order_id""")
+
+# --- ingest ------------------------------------------------------------------
+import datetime as _dt  # noqa: E402
+
+from boxoffice.params import AS_OF as _AS_OF_DT  # noqa: E402
+
+
+def _ts_sql(x: _dt.datetime) -> str:
+    return f"TIMESTAMP '{x:%Y-%m-%d %H:%M:%S}'"
+
+
+_FEES_SQL = """
+  CASE WHEN k % 19 = 0 THEN NULL WHEN k % 12 = 0 THEN '1.00' END AS ticketing_fee,
+  CASE WHEN k % 19 = 0 THEN NULL ELSE fee_surcharge END AS surcharge,
+  CASE WHEN k % 19 = 0 THEN NULL
+       ELSE COALESCE(fee_let_tax, CASE WHEN k % 10 = 0 THEN '9.99' END) END AS let_tax,
+  CASE WHEN k % 19 = 0 THEN NULL ELSE fee_sales_tax END AS sales_tax,
+  CASE WHEN k % 19 = 0 THEN NULL ELSE fee_venue_fee END AS venue_fee,
+  CASE WHEN k % 19 = 0 THEN NULL WHEN k % 8 = 0 THEN '2.00' END AS admin_fee_not_a_gratuity_,
+  CASE WHEN k % 19 = 0 THEN NULL WHEN k % 9 = 0 THEN '5.00' END AS gratuity"""
+
+ORACLE["fees_normalized"] = with_fx(f"""
+SELECT id AS order_id, {_FEES_SQL}
+FROM (SELECT *, CAST(id AS BIGINT) AS k FROM fx_orders)""")
+
+ORACLE["orders_enriched"] = with_fx(f"""
+SELECT id, event_id, total_paid, first_name, last_name, email, phone, opted_in, opted_in_sms,
+       paid_date_utc, {_FEES_SQL}
+FROM (SELECT *, CAST(id AS BIGINT) AS k FROM fx_orders)""")
+
+_FACE_VALUE = f"""
+SELECT order_id, CAST(CAST(SUM({coalesced('price')}) AS {W}) AS VARCHAR) AS order_total_face_value
+FROM fx_tickets GROUP BY order_id"""
+ORACLE["order_face_value"] = with_fx(_FACE_VALUE)
+
+ORACLE["tickets_flat"] = with_fx(f"""
+SELECT t.id, t.order_id, o.event_id, t.price, t.ticket_type_name AS name, t.ticket_type_id,
+       t.ticket_type_name, t.price AS ticket_type_price, t.ticket_type_price_id, t.redeemed,
+       t.promo_code, o.total_paid AS order_total_paid, fv.order_total_face_value,
+       CAST(NULL AS VARCHAR) AS ticketing_fee, t.surcharge, t.let_tax, t.sales_tax, t.venue_fee,
+       CAST(NULL AS VARCHAR) AS admin_fee_not_a_gratuity_, CAST(NULL AS VARCHAR) AS gratuity
+FROM fx_tickets t JOIN fx_orders o ON t.order_id = o.id
+JOIN ({_FACE_VALUE}) fv ON fv.order_id = t.order_id""")
+
+ORACLE["ticket_types_dim"] = with_fx("""
+SELECT ticket_type_id, ticket_type_price_id, event_id,
+       arg_min(ticket_type_name, id) AS ticket_type_name, arg_min(price, id) AS ticket_type_price
+FROM fx_tickets GROUP BY event_id, ticket_type_id, ticket_type_price_id""")
+
+ORACLE["checkins"] = with_fx("SELECT id AS ticket_id, event_id FROM fx_tickets WHERE redeemed")
+
+ORACLE["events_without_orders"] = with_fx("""
+SELECT * FROM fx_events e WHERE NOT EXISTS (SELECT 1 FROM fx_orders o WHERE o.event_id = e.id)""")
+
+
+def events_in_range_sql(lo, hi) -> str:
+    conds = []
+    d = "CAST(CAST(start AS TIMESTAMP) AS DATE)"
+    if lo is not None:
+        conds.append(f"{d} >= DATE '{lo}'")
+    if hi is not None:
+        conds.append(f"{d} <= DATE '{hi}'")
+    where = " AND ".join(conds) if conds else "TRUE"
+    return with_fx(f"SELECT * FROM fx_events WHERE {where}")
+
+
+def charges_in_range_sql(since: _dt.datetime) -> str:
+    return with_fx(f"SELECT * FROM fx_charges WHERE created >= {_ts_sql(since)}")
+
+
+_SLUG = "lower(regexp_replace({}, '[^0-9A-Za-z]+', '-', 'g'))"
+
+ORACLE["pages_flatten"] = with_fx(
+    "SELECT id, event_id, CAST(CAST(id AS BIGINT) // 100 AS BIGINT) AS page_no FROM fx_orders")
+
+_EVENT_PARTS = f"""
+SELECT 'events' AS table_name, {_SLUG.format('id')} AS key,
+       {_SLUG.format('organization_name')} AS venue,
+       strftime(CAST(start AS TIMESTAMP), '%Y') AS year,
+       strftime(CAST(start AS TIMESTAMP), '%B') AS month,
+       strftime(CAST(start AS TIMESTAMP), '%d') AS day, CAST(start AS TIMESTAMP) AS st
+FROM fx_events"""
+
+ORACLE["partition_columns"] = with_fx(f"""
+SELECT table_name, key, venue, year, month, day FROM ({_EVENT_PARTS})
+UNION ALL
+SELECT 'stripe_charges', {_SLUG.format('id')}, 'unknown', strftime(created, '%Y'),
+       strftime(created, '%B'), strftime(created, '%-d')
+FROM fx_charges""")
+
+ORACLE["new_partitions"] = with_fx(f"""
+SELECT DISTINCT venue, year, month, day FROM ({_EVENT_PARTS}) WHERE st > {AS_OF}
+EXCEPT
+SELECT venue, year, month, day FROM ({_EVENT_PARTS}) WHERE st <= {AS_OF}""")
+
+# --- daily report ------------------------------------------------------------
+_RECENT = f"CAST(o.paid_date_utc AS TIMESTAMP) >= {AS_OF} - INTERVAL 24 HOUR"
+
+ORACLE["party_pass_weekly"] = with_fx(f"""
+SELECT strftime(date_trunc('week', CAST(e.start AS TIMESTAMP)), '%Y-%m-%d') AS week_start,
+       t.ticket_type_name,
+       CAST(MIN(CAST(t.price AS {M})) AS {W}) AS price,
+       COUNT(*) AS tickets_sold,
+       COUNT(CASE WHEN {_RECENT} THEN 1 END) AS sales_last_24_hours
+FROM fx_tickets t JOIN fx_events e ON t.event_id = e.id JOIN fx_orders o ON t.order_id = o.id
+WHERE lower(t.ticket_type_name) LIKE '%party pass%'
+  AND CAST(e.start AS TIMESTAMP) > {AS_OF}
+  AND CAST(e.start AS TIMESTAMP) <= {AS_OF} + INTERVAL 60 DAY
+  AND e.organization_id IN {VENUES_SQL}
+GROUP BY 1, 2""")
+
+_UPCOMING = f"""
+SELECT e.name AS event_name, e.organization_name AS venue_name,
+       CAST(CAST(e.start AS TIMESTAMP) AS DATE) AS event_date, t.ticket_type_name,
+       CAST(CAST(t.price AS {M}) AS {W}) AS price,
+       COUNT(*) AS quantity_sold,
+       COUNT(CASE WHEN {_RECENT} THEN 1 END) AS sales_last_24_hours
+FROM fx_events e JOIN fx_orders o ON e.id = o.event_id JOIN fx_tickets t ON o.id = t.order_id
+WHERE CAST(e.start AS TIMESTAMP) BETWEEN {AS_OF} AND {AS_OF} + INTERVAL 60 DAY
+  AND e.organization_id IN {VENUES_SQL}
+GROUP BY 1, 2, 3, 4, 5"""
+ORACLE["upcoming_sales"] = with_fx(_UPCOMING)
+
+ORACLE["sales_rollup"] = with_fx(f"""
+SELECT CASE WHEN GROUPING(event_name) = 1 THEN 'venue'
+            WHEN GROUPING(ticket_type_name) = 1 THEN 'event' ELSE 'line' END AS level,
+       week_start, week_start + 6 AS week_end, venue_name, event_name,
+       CASE WHEN GROUPING(ticket_type_name) = 1 THEN MAX(event_date) ELSE event_date END AS event_date,
+       ticket_type_name, price,
+       CAST(SUM(quantity_sold) AS BIGINT) AS quantity_sold,
+       CAST(SUM(sales_last_24_hours) AS BIGINT) AS sales_last_24_hours
+FROM (SELECT *, event_date - CAST(dayofweek(event_date) AS INTEGER) AS week_start
+      FROM ({_UPCOMING}))
+GROUP BY GROUPING SETS ((week_start, venue_name, event_name, event_date, ticket_type_name, price),
+                        (week_start, venue_name, event_name), (week_start, venue_name))""")
+
+_SHORT_VENUE = "replace(replace(replace(lower(location), ' ', '_'), 'nightclub', 'nc'), 'dayclub', 'day')"
+
+ORACLE["scalar_probe"] = with_fx(f"""
+SELECT id, {_SLUG.format('organization_name')} AS venue_slug,
+       lower(regexp_replace(name, '[^0-9A-Za-z]+', '_', 'g')) AS name_underscore,
+       CAST(date_trunc('week', s) AS DATE) AS week_start_mon,
+       CAST(s AS DATE) - CAST(dayofweek(s) AS INTEGER) AS week_start_sun,
+       CAST(CAST(s AS DATE) - CAST(dayofweek(s) AS INTEGER) + 1 AS VARCHAR) || ' to '
+         || CAST(CAST(s AS DATE) - CAST(dayofweek(s) AS INTEGER) + 7 AS VARCHAR) AS week_label,
+       s + INTERVAL 8 HOUR AS start_as_utc,
+       su - INTERVAL 8 HOUR AS start_utc_as_pacific,
+       strftime(s, '%y/%m/%d') AS yy_mm_dd, strftime(s, '%m-%d-%Y') AS display_date,
+       strftime(s, '%m%d%Y') AS filename_date, upper(strftime(s, '%a %d-%b')) AS subject_date,
+       strftime(s, '%I:%M%p') AS open_time_12h, strftime(s, '%b%d_%H:%M') AS short_local_start,
+       CASE WHEN length(strftime(s, '%b%d_%H:%M') || '_' || {_SHORT_VENUE}) >= 25
+            THEN strftime(s, '%b%d_%H:%M') || '_' || {_SHORT_VENUE}
+            ELSE rpad(strftime(s, '%b%d_%H:%M') || '_' || {_SHORT_VENUE}, 25, '_') END AS padded_label,
+       {_SHORT_VENUE} AS short_venue, replace(location, ' ', '') AS venue_no_spaces,
+       strftime(su, '%Y-%m-%dT%H:%M:%S.%gZ') AS iso_instant,
+       strftime(su, '%Y-%m-%d %H:%M') AS utc_minutes
+FROM (SELECT *, CAST(start AS TIMESTAMP) AS s, CAST(start_utc AS TIMESTAMP) AS su FROM fx_events)""")
+
+# --- delivery ----------------------------------------------------------------
+
+
+def candidates_sql(as_of: _dt.datetime) -> str:
+    lo = (as_of - _dt.timedelta(days=2)).date()
+    hi = (as_of + _dt.timedelta(days=2)).date()
+    return f"""
+SELECT location AS venue, name AS event_title, id AS event_id,
+       CAST(CAST(start AS TIMESTAMP) AS DATE) AS event_date,
+       CAST(start_utc AS TIMESTAMP) AS event_start_utc_timestamp,
+       CAST(start AS TIMESTAMP) AS local_event_start_timestamp
+FROM fx_events WHERE organization_id IN {VENUES_SQL}
+  AND CAST(CAST(start AS TIMESTAMP) AS DATE) BETWEEN DATE '{lo}' AND DATE '{hi}'"""
+
+
+_ABSTRACT = """CASE WHEN report_status IS NULL OR report_status = 'initialized' THEN 'eligible_for_preliminary'
+     WHEN report_status = 'report_canceled' THEN 'report_canceled'
+     WHEN report_status = 'final_sent' THEN 'final_already_sent'
+     WHEN report_status = 'prelim_sent' THEN 'eligible_for_final' ELSE 'unknown' END"""
+
+
+def categories_sql(as_of: _dt.datetime) -> str:
+    final_cut = _ts_sql(as_of)
+    prelim_cut = _ts_sql(as_of + _dt.timedelta(days=1))
+    due = "c.event_start_utc_timestamp + INTERVAL 6 MINUTE"
+    return f"""
+SELECT * FROM (
+SELECT c.event_id, c.venue, c.event_title, c.event_date, c.event_start_utc_timestamp,
+       c.local_event_start_timestamp, k.report_status,
+       CASE WHEN k.report_status = 'report_canceled' THEN 'report_canceled'
+            WHEN k.report_status = 'final_sent' THEN 'final_already_sent'
+            WHEN k.report_status = 'prelim_sent' THEN
+              CASE WHEN {due} <= {final_cut} THEN 'send_final' ELSE 'no_action_waiting_to_send_final' END
+            WHEN k.report_status IS NULL OR k.report_status = 'initialized' THEN
+              CASE WHEN {due} <= {prelim_cut} THEN 'send_preliminary' ELSE 'preliminary_is_not_yet_due' END
+       END AS category
+FROM ({candidates_sql(as_of)}) c LEFT JOIN fx_control k ON k.event_key = c.event_id)
+WHERE category IS NOT NULL"""
+
+
+_A = _AS_OF_DT
+ORACLE["candidate_events"] = with_fx(candidates_sql(_A))
+ORACLE["control_rows_for_events"] = with_fx(f"""
+SELECT * FROM fx_control WHERE event_key IN (SELECT event_id FROM ({candidates_sql(_A)}))""")
+ORACLE["control_rows_missing"] = with_fx(f"""
+SELECT event_id FROM ({candidates_sql(_A)}) c
+WHERE NOT EXISTS (SELECT 1 FROM fx_control k WHERE k.event_key = c.event_id)""")
+ORACLE["delivery_categories"] = with_fx(categories_sql(_A))
+ORACLE["delivery_status_labels"] = with_fx(f"""
+SELECT c.event_id, c.event_title, c.event_date, {_ABSTRACT} AS control_row_status_abstract,
+       COALESCE(report_status, 'control_row_does_not_exist') AS report_status_raw
+FROM ({candidates_sql(_A)}) c LEFT JOIN fx_control k ON k.event_key = c.event_id""")
+
+
+def preview_sql(as_of: _dt.datetime, label: str) -> str:
+    prelim_cut = as_of + _dt.timedelta(days=1)
+    pac = _dt.timedelta(hours=8)  # January-February: Pacific = UTC-8
+    label_expr = (f"strftime(local_event_start_timestamp, '%b%d_%H:%M') || '_' || "
+                  f"replace(replace(replace(lower(venue), ' ', '_'), 'nightclub', 'nc'), 'dayclub', 'day')")
+    return f"""
+SELECT '{label}' AS preview, '{as_of:%Y-%m-%d %H:%M:%S}' AS reference_time_in,
+       '{prelim_cut:%Y-%m-%d %H:%M:%S}' AS preliminary_cutoff_utc,
+       '{as_of:%Y-%m-%d %H:%M:%S}' AS final_cutoff_utc,
+       '{prelim_cut - pac:%Y-%m-%d %H:%M}' AS preliminary_cutoff_local,
+       '{as_of - pac:%Y-%m-%d %H:%M}' AS final_cutoff_local,
+       category, event_id, event_title, strftime(event_date, '%Y-%m-%d') AS event_date,
+       strftime(event_start_utc_timestamp, '%Y-%m-%d %H:%M:%S') AS event_start_utc_string,
+       strftime(local_event_start_timestamp, '%Y-%m-%d %H:%M:%S') AS local_event_start_string,
+       {_ABSTRACT} AS control_row_status_abstract,
+       COALESCE(report_status, 'control_row_does_not_exist') AS report_status_raw,
+       CASE WHEN length({label_expr}) >= 25 THEN {label_expr} ELSE rpad({label_expr}, 25, '_') END
+         || '_' || {_ABSTRACT} AS abbreviated_summary
+FROM ({categories_sql(as_of)})"""
+
+
+def _preview_instant(as_of: _dt.datetime) -> _dt.datetime:
+    from boxoffice.operators.delivery import preview_instant
+    return preview_instant(as_of)
+
+
+ORACLE["schedule_preview"] = with_fx(
+    f"{preview_sql(_A, 'current_state')}\nUNION ALL\n{preview_sql(_preview_instant(_A), 'upcoming_schedule')}")
+
+ORACLE["control_initialize"] = with_fx(f"""
+SELECT * FROM fx_control
+UNION ALL
+SELECT event_id, 'initialized', CAST(NULL AS TIMESTAMP), CAST(NULL AS TIMESTAMP)
+FROM ({candidates_sql(_A)}) c
+WHERE NOT EXISTS (SELECT 1 FROM fx_control k WHERE k.event_key = c.event_id)""")
+
+_OUTCOMES = f"""
+SELECT event_id, venue, category,
+       CASE WHEN category = 'send_preliminary' THEN CAST(event_id AS BIGINT) % 9 <> 0 END
+         AS preliminary_sent,
+       CASE WHEN category = 'send_final' THEN CAST(event_id AS BIGINT) % 13 <> 0 END AS accounting_sent,
+       CASE WHEN category = 'send_final' AND CAST(event_id AS BIGINT) % 13 <> 0
+            THEN CAST(event_id AS BIGINT) % 11 <> 0 END AS final_sent,
+       CASE WHEN category = 'send_preliminary' THEN
+              CASE WHEN CAST(event_id AS BIGINT) % 9 <> 0 THEN 'preliminary_succeeded'
+                   ELSE 'preliminary_failed' END
+            WHEN CAST(event_id AS BIGINT) % 13 <> 0 AND CAST(event_id AS BIGINT) % 11 <> 0
+              THEN 'final_succeeded' ELSE 'final_failed' END AS outcome
+FROM ({categories_sql(_A)}) WHERE category IN ('send_preliminary', 'send_final')"""
+ORACLE["delivery_outcomes"] = with_fx(_OUTCOMES)
+
+ORACLE["control_after_batch"] = with_fx(f"""
+SELECT * FROM fx_control WHERE event_key NOT IN (
+  SELECT event_id FROM ({_OUTCOMES}) WHERE outcome IN ('preliminary_succeeded', 'final_succeeded'))
+UNION ALL
+SELECT o.event_id AS event_key,
+       CASE WHEN o.outcome = 'preliminary_succeeded' THEN 'prelim_sent' ELSE 'final_sent' END,
+       CASE WHEN o.outcome = 'preliminary_succeeded' THEN {AS_OF} ELSE k.preliminary_sent_at END,
+       CASE WHEN o.outcome = 'preliminary_succeeded' THEN k.final_sent_at ELSE {AS_OF} END
+FROM ({_OUTCOMES}) o LEFT JOIN fx_control k ON k.event_key = o.event_id
+WHERE o.outcome IN ('preliminary_succeeded', 'final_succeeded')""")
+
+_CMD_OPS = ["cancel", "mark_preliminary_sent", "mark_final_sent",
+            "force_reset_to_preliminary_sent", "force_forward_to_final_sent", "delete"]
+_CMD_LIST = "[" + ", ".join(f"'{o}'" for o in _CMD_OPS) + "]"
+_FINAL_TOUCH = "('mark_final_sent', 'force_reset_to_preliminary_sent', 'force_forward_to_final_sent')"
+_FINAL_SET = "('mark_final_sent', 'force_forward_to_final_sent')"
+
+_CMD_CTES = f"""
+cmds AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS event_key, 1 AS seq, {_CMD_LIST}[c_custkey % 11 + 1] AS op
+  FROM customer WHERE c_custkey % 11 < 6
+  UNION ALL SELECT CAST(c_custkey AS VARCHAR), 2, 'mark_preliminary_sent' FROM customer
+  WHERE c_custkey % 22 = 0
+  UNION ALL SELECT CAST(c_custkey AS VARCHAR), 3, 'mark_final_sent' FROM customer
+  WHERE c_custkey % 33 = 0),
+c2 AS (
+  SELECT *, {AS_OF} + seq * INTERVAL 1 MINUTE AS at,
+         CASE op WHEN 'cancel' THEN 'report_canceled' WHEN 'mark_preliminary_sent' THEN 'prelim_sent'
+                 WHEN 'mark_final_sent' THEN 'final_sent'
+                 WHEN 'force_reset_to_preliminary_sent' THEN 'prelim_sent'
+                 WHEN 'force_forward_to_final_sent' THEN 'final_sent' END AS status_new
+  FROM cmds),
+g AS (
+  SELECT event_key, max(seq) FILTER (WHERE op = 'delete') AS last_delete,
+         max(seq) AS last_seq,
+         max(seq) FILTER (WHERE op <> 'delete') AS st_s,
+         max(seq) FILTER (WHERE op = 'mark_preliminary_sent') AS pr_s,
+         max(seq) FILTER (WHERE op IN {_FINAL_TOUCH}) AS fi_s
+  FROM c2 GROUP BY event_key),
+j AS (
+  SELECT g.*, lo.op AS last_op, st.status_new AS st_v, pr.at AS pr_v,
+         CASE WHEN fi.op IN {_FINAL_SET} THEN fi.at END AS fi_v,
+         k.report_status AS o_st, k.preliminary_sent_at AS o_pr, k.final_sent_at AS o_fi
+  FROM g
+  JOIN c2 lo ON lo.event_key = g.event_key AND lo.seq = g.last_seq
+  LEFT JOIN c2 st ON st.event_key = g.event_key AND st.seq = g.st_s
+  LEFT JOIN c2 pr ON pr.event_key = g.event_key AND pr.seq = g.pr_s
+  LEFT JOIN c2 fi ON fi.event_key = g.event_key AND fi.seq = g.fi_s
+  LEFT JOIN fx_control k ON k.event_key = g.event_key)"""
+ORACLE["control_commands"] = _with_extra(_CMD_CTES, """
+SELECT * FROM fx_control WHERE event_key NOT IN (SELECT event_key FROM g)
+UNION ALL
+SELECT event_key,
+       CASE WHEN st_s IS NOT NULL AND (last_delete IS NULL OR st_s > last_delete) THEN st_v
+            WHEN last_delete IS NULL THEN o_st END,
+       CASE WHEN pr_s IS NOT NULL AND (last_delete IS NULL OR pr_s > last_delete) THEN pr_v
+            WHEN last_delete IS NULL THEN o_pr END,
+       CASE WHEN fi_s IS NOT NULL AND (last_delete IS NULL OR fi_s > last_delete) THEN fi_v
+            WHEN last_delete IS NULL THEN o_fi END
+FROM j WHERE last_op <> 'delete'""")
+
+
+def _event_bounds():
+    from boxoffice.operators.ingest import event_range_bounds
+    return event_range_bounds("current", _A)
+
+
+ORACLE["events_in_range"] = events_in_range_sql(*_event_bounds())
+ORACLE["charges_in_range"] = charges_in_range_sql(_A - _dt.timedelta(days=1))
+
+ORACLE["delivery_routing"] = with_fx(f"""
+SELECT c.event_id, c.venue, c.category, v.report_variant,
+       CASE v.report_variant WHEN 'preliminary' THEN 'preliminary-list@example.com'
+            WHEN 'accounting' THEN 'accounting-list@example.com' ELSE r.final_address END AS to_address,
+       (CASE v.report_variant WHEN 'preliminary' THEN 'preliminary-list@example.com'
+             WHEN 'accounting' THEN 'accounting-list@example.com' ELSE r.final_address END)
+         IS NOT NULL AS routable
+FROM ({categories_sql(_A)}) c
+JOIN (VALUES ('send_preliminary', 'preliminary'), ('send_final', 'accounting'),
+             ('send_final', 'final')) v(category, report_variant) ON v.category = c.category
+LEFT JOIN (SELECT n_name || ' Hall' AS venue,
+                  'team-' || CAST(n_nationkey AS VARCHAR) || '@example.com' AS final_address
+           FROM nation WHERE n_nationkey <> 24) r ON r.venue = c.venue""")
+
+ORACLE["empty_manifests"] = _with_extra(MANIFEST_LINES, f"""
+SELECT event_id, venue, event_title, category, 'prelim_sent' AS report_status_after
+FROM ({categories_sql(_A)}) c
+WHERE category IN ('send_preliminary', 'send_final')
+  AND NOT EXISTS (SELECT 1 FROM manifest_lines m WHERE m.event_id = c.event_id)""")
+
+ORACLE["charges_extract"] = with_fx("SELECT * FROM fx_charges")

@@ -1,6 +1,9 @@
 """Query registry: name -> function of the table bundle.
 
 ``queries()`` in ``__spark_entry__`` wraps each entry as ``(spark, sf_dir)``.
+Every entry reads the driver tables (through the fixture derivation), so its
+work grows with them; parameters (reference time, venues) are the fixed run
+parameters of ``boxoffice.params``.
 """
 
 from __future__ import annotations
@@ -9,12 +12,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from boxoffice.operators import delivery as dv
+from boxoffice.operators import facts as fc
+from boxoffice.operators import ingest as ig
 from boxoffice.operators import manifest as mf
+from boxoffice.operators import reports as rp
 from boxoffice.session import apply_conf
 from boxoffice.sources.tables import Tables, load_tables
 
 REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
-    # manifest family (A-11 .. A-19, S-9, S-10)
+    # manifest family (A-11 .. A-19, S-9, S-10, D-13)
     "event_manifest": mf.event_manifest,
     "manifest_revenue_split": mf.manifest_revenue_split,
     "manifest_totals": mf.manifest_totals,
@@ -23,6 +30,49 @@ REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
     "manifest_document": mf.manifest_document,
     "manifest_csv_surcharge": mf.manifest_csv_surcharge,
     "manifest_csv_final": mf.manifest_csv_final,
+    "empty_manifests": lambda t: mf.empty_manifests(dv.delivery_categories(t), mf.event_manifest(t)),
+    # facts (A-1 .. A-7, A-16, P-6)
+    "ticket_fact": fc.ticket_fact,
+    "order_subtotals": fc.order_subtotals,
+    "order_fact": fc.order_fact,
+    "bi_ticket_dataset": fc.bi_ticket_dataset,
+    "remit_original": fc.remit_original,
+    "remit_new": fc.remit_new,
+    "marketing_original": fc.marketing_original,
+    "marketing_new": fc.marketing_new,
+    # daily report (A-8 .. A-10, A-15, S-11, section 2.8)
+    "party_pass_weekly": rp.party_pass_weekly,
+    "upcoming_sales": rp.upcoming_sales,
+    "sales_rollup": rp.sales_rollup,
+    "sales_rollup_nested": rp.sales_rollup_nested,
+    "scalar_probe": rp.scalar_probe,
+    "result_text_rows": rp.result_text_rows,
+    # ingest (N-1 .. N-10, S-2, S-5, S-7, S-8, P-14 .. P-16)
+    "fees_normalized": ig.fees_normalized,
+    "orders_enriched": ig.orders_enriched,
+    "tickets_flat": ig.tickets_flat,
+    "order_face_value": ig.order_face_value,
+    "ticket_types_dim": ig.ticket_types_dim,
+    "checkins": ig.checkins,
+    "charges_extract": lambda t: t.charges,
+    "events_in_range": ig.events_in_range,
+    "charges_in_range": ig.charges_in_range,
+    "events_without_orders": ig.events_without_orders,
+    "pages_flatten": ig.pages_flatten,
+    "partition_columns": ig.partition_columns,
+    "new_partitions": ig.new_partitions,
+    # delivery (D-1 .. D-17, J-7 .. J-11, S-13, T-1, T-4)
+    "candidate_events": dv.candidate_events,
+    "control_rows_for_events": lambda t: dv.control_rows_for_events(t.control, dv.candidate_events(t)),
+    "control_rows_missing": lambda t: dv.control_rows_missing(t.control, dv.candidate_events(t)),
+    "delivery_categories": dv.delivery_categories,
+    "delivery_status_labels": dv.delivery_status_labels,
+    "schedule_preview": dv.schedule_preview,
+    "control_initialize": lambda t: dv.control_initialize(t.control, dv.candidate_events(t)),
+    "delivery_outcomes": dv.delivery_outcomes,
+    "control_after_batch": dv.control_after_batch,
+    "control_commands": dv.control_commands,
+    "delivery_routing": dv.delivery_routing,
 }
 
 

@@ -12,13 +12,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 S = "string"
-BASE_DATE = F.lit("2024-01-01").cast("date")
+BASE_DATE = "2024-01-01"
 EXCLUDED_EVENT_MOD = (50, 7)  # orders of customers with custkey % 50 = 7 do not exist
 
 
 def _day(offset: Column) -> Column:
     """``CAST(DATE '2024-01-01' + offset AS STRING)``."""
-    return F.date_add(BASE_DATE, offset.cast("int")).cast(S)
+    return F.date_add(F.lit(BASE_DATE).cast("date"), offset.cast("int")).cast(S)
 
 
 def _money_text(x: Column) -> Column:
