@@ -1,9 +1,6 @@
-"""Column-expression helpers; every one returns a JVM-side Column."""
+"""Column-expression helpers; every one returns a JVM-side Column.
 
-from boxoffice.functions.money import money, money_or_zero, money_text, money38  # noqa: F401
-from boxoffice.functions.text import (  # noqa: F401
-    url_slug, underscore_slug, ljust, short_venue, strip_spaces,
-)
-from boxoffice.functions.time import (  # noqa: F401
-    ts, week_start_mon, week_start_sun, to_pacific, from_pacific, iso_millis_z,
-)
+money  - text at rest -> decimal(10,2) in queries -> decimal(38,2) out
+text   - slugs, padding, venue labels
+time   - timestamps, week starts, Pacific conversions, literals
+"""

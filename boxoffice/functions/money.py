@@ -6,7 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(10,2)"
-WIDE = "decimal(38,2)"
+ROW = "decimal(18,2)"   # per-row money out: long-backed, no BigDecimal per value
+WIDE = "decimal(38,2)"  # sums out
 
 
 def _c(x) -> Column:
@@ -28,8 +29,13 @@ def zero_then_money(x) -> Column:
     return F.coalesce(_c(x), F.lit("0.00")).cast(MONEY)
 
 
+def money18(x) -> Column:
+    """A per-row money value in the shared output type (fits a long)."""
+    return _c(x).cast(ROW)
+
+
 def money38(x) -> Column:
-    """Widen to the one output money type shared with the oracle."""
+    """Widen a sum to the output type shared with the oracle."""
     return _c(x).cast(WIDE)
 
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boxoffice.functions.money import money, money38, money_or_zero, zero_then_money
+from boxoffice.functions.money import money, money18, money38, money_or_zero, zero_then_money
 from boxoffice.functions.time import ts
 from boxoffice.sources.tables import Tables
 
@@ -54,14 +54,14 @@ def ticket_fact(t: Tables) -> DataFrame:
         F.lower("name").alias("lowercase_event_title"),
         F.to_date(ts("start")).alias("event_date"),
         F.lit(1).alias("quantity"),
-        money38(price).alias("shared_price_per_ticket"),
-        money38(price).alias("face_value_subtotal"),
-        money38(parts[1]).alias("shared_surcharge"),
-        money38(parts[2]).alias("shared_let_tax_amount_currency"),
-        money38(parts[3]).alias("sales_tax_currency"),
-        money38(parts[4]).alias("service_charge_currency"),
+        money18(price).alias("shared_price_per_ticket"),
+        money18(price).alias("face_value_subtotal"),
+        money18(parts[1]).alias("shared_surcharge"),
+        money18(parts[2]).alias("shared_let_tax_amount_currency"),
+        money18(parts[3]).alias("sales_tax_currency"),
+        money18(parts[4]).alias("service_charge_currency"),
         F.lit(0).alias("donation_charity"),
-        money38(parts[0] + parts[1] + parts[2] + parts[3] + parts[4]).alias("total"),
+        money18(parts[0] + parts[1] + parts[2] + parts[3] + parts[4]).alias("total"),
         F.col("ticket_type_name"),
         F.lower("ticket_type_name").alias("lowercase_ticket_type_name"),
         F.col("ticket_type_id"),
@@ -87,7 +87,7 @@ def order_subtotals(t: Tables) -> DataFrame:
     """
     fees = [money_or_zero(f"fee_{c}") for c in ("surcharge", "let_tax", "sales_tax", "venue_fee")]
     return t.orders.select(F.col("id").alias("order_id"),
-                           money38(money("total_paid") - (fees[0] + fees[1] + fees[2] + fees[3]))
+                           money18(money("total_paid") - (fees[0] + fees[1] + fees[2] + fees[3]))
                            .alias("subtotal"))
 
 
@@ -102,7 +102,7 @@ def order_fact(t: Tables) -> DataFrame:
     o = _orders(t, "total_paid", "first_name", "last_name", "email", "opted_in", "opted_in_sms",
                 "paid_date_utc", "fee_surcharge", "fee_let_tax", "fee_sales_tax", "fee_venue_fee")
     fees = [money_or_zero(f"fee_{c}") for c in ("surcharge", "let_tax", "sales_tax", "venue_fee")]
-    o = o.withColumn("subtotal", money38(money("total_paid") - (fees[0] + fees[1] + fees[2] + fees[3])))
+    o = o.withColumn("subtotal", money18(money("total_paid") - (fees[0] + fees[1] + fees[2] + fees[3])))
     n = ticket_counts(t)
     j = (e.join(o, e.e_id == o.o_event_id)
           .join(_charges(t), o.o_id == F.col("c_order_id"), "left")
@@ -174,11 +174,11 @@ def _remit(t: Tables, conv) -> DataFrame:
         F.col("organization_name").alias("venue"),
         F.col("name").alias("event"),
         "ticket_type_id", "ticket_type_name",
-        money38(conv("price")).alias("price_per_ticket"),
-        money38(conv("surcharge")).alias("surcharge_per_ticket"),
-        money38(conv("let_tax")).alias("let_per_ticket"),
-        money38(conv("venue_fee")).alias("service_charge_per_ticket"),
-        money38(conv("sales_tax")).alias("sales_tax_per_ticket"),
+        money18(conv("price")).alias("price_per_ticket"),
+        money18(conv("surcharge")).alias("surcharge_per_ticket"),
+        money18(conv("let_tax")).alias("let_per_ticket"),
+        money18(conv("venue_fee")).alias("service_charge_per_ticket"),
+        money18(conv("sales_tax")).alias("sales_tax_per_ticket"),
         "sold", "face_value_admissions_total", "let_total", "service_charge_total",
         "surcharge_total", "sales_tax_total")
 
@@ -252,7 +252,7 @@ def bi_ticket_dataset(t: Tables) -> DataFrame:
         F.col("fee_sales_tax").alias("sales_tax_currency"),
         F.col("fee_venue_fee").alias("service_charge_currency"),
         F.lit(0).alias("donation_charity"),
-        money38(total).alias("total"),
+        money18(total).alias("total"),
         "ticket_type_name", "ticket_type_id",
         F.col("ticket_type_name").alias("ticket_holder_name"),
         F.col("first_name").alias("order_first_name"),

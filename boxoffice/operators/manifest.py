@@ -12,20 +12,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boxoffice.functions.money import money_or_zero, money38, money_text
+from boxoffice.functions.money import money_or_zero, money18, money38, money_text
 from boxoffice.functions.text import strip_spaces
 from boxoffice.functions.time import ts
 from boxoffice.params import (BAR_CARD_AMOUNT, BAR_CARD_PATTERN, FINAL_CSV_COLUMNS,
                               REPORT_VARIANTS, SURCHARGE_CSV_COLUMNS)
 from boxoffice.sources.tables import Tables
 
-LINE_KEYS = ["venue", "event_id", "event", "event_date", "event_open_time",
-             "ticket_name", "price", "surcharge", "per_ticket_let"]
 
 
-def _priced_tickets(t: Tables) -> DataFrame:
-    """Tickets with their event's fields, money cast-then-defaulted, priced only."""
-    e = t.events.select(F.col("id").alias("e_id"), "location", "name", "start")
+def event_manifest(t: Tables, event_id: str | None = None) -> DataFrame:
+    """A-11: manifest lines of every event (or of one ``event_id``).
+
+    Tickets are aggregated to lines *before* the join with the events: the
+    partial aggregate combines map-side and the shuffle is on all line keys, so
+    an event holding a large share of the tickets is spread over tasks instead
+    of landing in one join partition. The event fields (venue, title, start)
+    depend only on the event id, so joining them to the lines afterwards gives
+    the reference's grouping.
+    """
     k = t.tickets.select("event_id", F.col("id").alias("ticket_id"),
                          F.col("ticket_type_name").alias("ticket_name"),
                          money_or_zero("price").alias("price"),
@@ -33,39 +38,32 @@ def _priced_tickets(t: Tables) -> DataFrame:
                          money_or_zero("let_tax").alias("let_tax"),
                          money_or_zero("sales_tax").alias("sales_tax"),
                          money_or_zero("venue_fee").alias("venue_fee"))
-    # filter before the join: Catalyst evaluates it on the ticket scan side
     k = k.filter(F.col("price") > F.lit(0).cast("decimal(10,2)"))
-    j = k.join(e, k.event_id == e.e_id)
-    open_time = ts("start")
-    return j.select(F.col("location").alias("venue"), "event_id",
-                    F.col("name").alias("event"), F.to_date(open_time).alias("event_date"),
-                    open_time.alias("event_open_time"), "ticket_name", "ticket_id",
-                    "price", "surcharge", "let_tax", "sales_tax", "venue_fee")
-
-
-def event_manifest(t: Tables, event_id: str | None = None) -> DataFrame:
-    """A-11: manifest lines of every event (or of one ``event_id``)."""
-    src = _priced_tickets(t)
     if event_id is not None:
-        src = src.filter(F.col("event_id") == event_id)
-    g = src.groupBy(*[F.col(c) for c in LINE_KEYS[:6]],
-                    F.col("price"), F.col("surcharge"), F.col("let_tax").alias("per_ticket_let"))
-    agg = g.agg(F.count("ticket_id").alias("quantity"),
-                F.sum("price").alias("sum_subtotal"),
-                F.sum("surcharge").alias("sum_surcharge"),
-                F.sum("let_tax").alias("sum_let_tax"),
-                F.sum("sales_tax").alias("sum_sales_tax"),
-                F.sum("venue_fee").alias("sum_venue_fee"))
+        k = k.filter(F.col("event_id") == event_id)
+    lines = k.groupBy("event_id", "ticket_name", "price", "surcharge",
+                      F.col("let_tax").alias("per_ticket_let")).agg(
+        F.count("ticket_id").alias("quantity"),
+        F.sum("price").alias("sum_subtotal"),
+        F.sum("surcharge").alias("sum_surcharge"),
+        F.sum("let_tax").alias("sum_let_tax"),
+        F.sum("sales_tax").alias("sum_sales_tax"),
+        F.sum("venue_fee").alias("sum_venue_fee"))
+    e = t.events.select(F.col("id").alias("e_id"), "location", "name", "start")
+    j = lines.join(e, lines.event_id == e.e_id)
+    open_time = ts("start")
     # 100 * sum(let) / sum(price), half-up to two decimals, computed on integer
     # cents so Spark and the oracle round identically: floor((20000*L + P) / (2*P)).
     # P > 0 because only priced tickets are kept.
     rate = F.expr("(cast(sum_let_tax * 100 AS BIGINT) * 20000 + cast(sum_subtotal * 100 AS BIGINT))"
                   " div (cast(sum_subtotal * 100 AS BIGINT) * 2)")
-    return agg.select(
-        *LINE_KEYS[:6],
-        money38("price").alias("price"),
-        money38("surcharge").alias("surcharge"),
-        money38("per_ticket_let").alias("per_ticket_let"),
+    return j.select(
+        F.col("location").alias("venue"), "event_id", F.col("name").alias("event"),
+        F.to_date(open_time).alias("event_date"), open_time.alias("event_open_time"),
+        "ticket_name",
+        money18("price").alias("price"),
+        money18("surcharge").alias("surcharge"),
+        money18("per_ticket_let").alias("per_ticket_let"),
         "quantity",
         money38("sum_subtotal").alias("sum_subtotal"),
         money38("sum_surcharge").alias("sum_surcharge"),

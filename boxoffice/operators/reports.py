@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boxoffice.functions.money import money, money38
+from boxoffice.functions.money import money, money18
 from boxoffice.functions.text import ljust, short_venue, strip_spaces, underscore_slug, url_slug
 from boxoffice.functions.time import (from_pacific, iso_millis_z, to_pacific, ts, ts_lit,
                                       week_start_mon,
@@ -47,7 +47,7 @@ def party_pass_weekly(t: Tables, as_of: dt.datetime = AS_OF,
         & (start > ts_lit(as_of)) & (start <= ts_lit(horizon)))
     return s.groupBy(F.date_format(F.date_trunc("week", start), "yyyy-MM-dd").alias("week_start"),
                      "ticket_type_name").agg(
-        money38(F.min(money("price"))).alias("price"),
+        money18(F.min(money("price"))).alias("price"),
         F.count("*").alias("tickets_sold"),
         F.count_if(_recent(as_of)).alias("sales_last_24_hours"))
 
@@ -63,7 +63,7 @@ def upcoming_sales(t: Tables, as_of: dt.datetime = AS_OF,
                      F.col("organization_name").alias("venue_name"),
                      F.to_date(start).alias("event_date"),
                      "ticket_type_name",
-                     money38(money("price")).alias("price")).agg(
+                     money18(money("price")).alias("price")).agg(
         F.count("*").alias("quantity_sold"),
         F.count_if(_recent(as_of)).alias("sales_last_24_hours"))
 

@@ -95,6 +95,7 @@ def with_fx(body: str, extra: dict[str, str] | None = None) -> str:
 
 AS_OF = AS_OF_SQL
 M = "DECIMAL(10,2)"
+R = "DECIMAL(18,2)"
 W = "DECIMAL(38,2)"
 
 
@@ -117,8 +118,8 @@ manifest_src AS (
   FROM fx_events e JOIN fx_tickets t ON t.event_id = e.id),
 manifest_lines AS (
   SELECT venue, event_id, event, event_date, event_open_time, ticket_name,
-         CAST(price AS {W}) AS price, CAST(surcharge AS {W}) AS surcharge,
-         CAST(let_tax AS {W}) AS per_ticket_let,
+         CAST(price AS {R}) AS price, CAST(surcharge AS {R}) AS surcharge,
+         CAST(let_tax AS {R}) AS per_ticket_let,
          COUNT(ticket_id) AS quantity,
          CAST(SUM(price) AS {W}) AS sum_subtotal,
          CAST(SUM(surcharge) AS {W}) AS sum_surcharge,
@@ -219,15 +220,15 @@ SELECT o.id AS ticketsauce_order_id, c.payment_intent AS stripe_charge_payment_i
        COALESCE(c.payment_intent, o.id) AS order_id, e.organization_name AS venue_title,
        e.name AS event_title, lower(e.name) AS lowercase_event_title,
        CAST(CAST(e.start AS TIMESTAMP) AS DATE) AS event_date, 1 AS quantity,
-       CAST({_c('t.price')} AS {W}) AS shared_price_per_ticket,
-       CAST({_c('t.price')} AS {W}) AS face_value_subtotal,
-       CAST({_c('t.surcharge')} AS {W}) AS shared_surcharge,
-       CAST({_c('t.let_tax')} AS {W}) AS shared_let_tax_amount_currency,
-       CAST({_c('t.sales_tax')} AS {W}) AS sales_tax_currency,
-       CAST({_c('t.venue_fee')} AS {W}) AS service_charge_currency,
+       CAST({_c('t.price')} AS {R}) AS shared_price_per_ticket,
+       CAST({_c('t.price')} AS {R}) AS face_value_subtotal,
+       CAST({_c('t.surcharge')} AS {R}) AS shared_surcharge,
+       CAST({_c('t.let_tax')} AS {R}) AS shared_let_tax_amount_currency,
+       CAST({_c('t.sales_tax')} AS {R}) AS sales_tax_currency,
+       CAST({_c('t.venue_fee')} AS {R}) AS service_charge_currency,
        0 AS donation_charity,
        CAST({_c('t.price')} + {_c('t.surcharge')} + {_c('t.let_tax')} + {_c('t.sales_tax')}
-            + {_c('t.venue_fee')} AS {W}) AS total,
+            + {_c('t.venue_fee')} AS {R}) AS total,
        t.ticket_type_name, lower(t.ticket_type_name) AS lowercase_ticket_type_name,
        t.ticket_type_id, t.ticket_type_name AS ticket_holder_name,
        o.first_name AS order_first_name, o.last_name AS order_last_name,
@@ -240,7 +241,7 @@ JOIN fx_tickets t ON t.order_id = o.id
 LEFT JOIN fx_charges c ON o.id = c.ticketsauce_order_id""")
 
 _SUBTOTAL = (f"CAST(CAST(o.total_paid AS {M}) - ({_c('o.fee_surcharge')} + {_c('o.fee_let_tax')}"
-             f" + {_c('o.fee_sales_tax')} + {_c('o.fee_venue_fee')}) AS {W})")
+             f" + {_c('o.fee_sales_tax')} + {_c('o.fee_venue_fee')}) AS {R})")
 
 ORACLE["order_subtotals"] = with_fx(f"SELECT o.id AS order_id, {_SUBTOTAL} AS subtotal FROM fx_orders o")
 
@@ -272,11 +273,11 @@ GROUP BY o.id, c.payment_intent, e.organization_name, e.name, e.start, o.fee_sur
 
 def _remit_sql(conv) -> str:
     cols = ", ".join([
-        f"CAST({conv('t.price')} AS {W}) AS price_per_ticket",
-        f"CAST({conv('t.surcharge')} AS {W}) AS surcharge_per_ticket",
-        f"CAST({conv('t.let_tax')} AS {W}) AS let_per_ticket",
-        f"CAST({conv('t.venue_fee')} AS {W}) AS service_charge_per_ticket",
-        f"CAST({conv('t.sales_tax')} AS {W}) AS sales_tax_per_ticket",
+        f"CAST({conv('t.price')} AS {R}) AS price_per_ticket",
+        f"CAST({conv('t.surcharge')} AS {R}) AS surcharge_per_ticket",
+        f"CAST({conv('t.let_tax')} AS {R}) AS let_per_ticket",
+        f"CAST({conv('t.venue_fee')} AS {R}) AS service_charge_per_ticket",
+        f"CAST({conv('t.sales_tax')} AS {R}) AS sales_tax_per_ticket",
         "COUNT(*) AS sold",
         f"CAST(SUM({conv('t.price')}) AS {W}) AS face_value_admissions_total",
         f"CAST(SUM({conv('t.let_tax')}) AS {W}) AS let_total",
@@ -325,7 +326,7 @@ SELECT o.id AS ticketsauce_order_id, c.payment_intent AS stripe_charge_payment_i
        o.fee_sales_tax AS sales_tax_currency, o.fee_venue_fee AS service_charge_currency,
        0 AS donation_charity,
        CAST({_c('t.price')} + {_c('o.fee_surcharge')} + {_c('o.fee_let_tax')}
-            + {_c('o.fee_sales_tax')} + {_c('o.fee_venue_fee')} AS {W}) AS total,
+            + {_c('o.fee_sales_tax')} + {_c('o.fee_venue_fee')} AS {R}) AS total,
        t.ticket_type_name, t.ticket_type_id, t.ticket_type_name AS ticket_holder_name,
        o.first_name AS order_first_name, o.last_name AS order_last_name,
        CAST(o.paid_date_utc AS TIMESTAMP) AS "final_at_UTC", 'false' AS void,
@@ -436,7 +437,7 @@ _RECENT = f"CAST(o.paid_date_utc AS TIMESTAMP) >= {AS_OF} - INTERVAL 24 HOUR"
 ORACLE["party_pass_weekly"] = with_fx(f"""
 SELECT strftime(date_trunc('week', CAST(e.start AS TIMESTAMP)), '%Y-%m-%d') AS week_start,
        t.ticket_type_name,
-       CAST(MIN(CAST(t.price AS {M})) AS {W}) AS price,
+       CAST(MIN(CAST(t.price AS {M})) AS {R}) AS price,
        COUNT(*) AS tickets_sold,
        COUNT(CASE WHEN {_RECENT} THEN 1 END) AS sales_last_24_hours
 FROM fx_tickets t JOIN fx_events e ON t.event_id = e.id JOIN fx_orders o ON t.order_id = o.id
@@ -449,7 +450,7 @@ GROUP BY 1, 2""")
 _UPCOMING = f"""
 SELECT e.name AS event_name, e.organization_name AS venue_name,
        CAST(CAST(e.start AS TIMESTAMP) AS DATE) AS event_date, t.ticket_type_name,
-       CAST(CAST(t.price AS {M}) AS {W}) AS price,
+       CAST(CAST(t.price AS {M}) AS {R}) AS price,
        COUNT(*) AS quantity_sold,
        COUNT(CASE WHEN {_RECENT} THEN 1 END) AS sales_last_24_hours
 FROM fx_events e JOIN fx_orders o ON e.id = o.event_id JOIN fx_tickets t ON o.id = t.order_id

@@ -21,6 +21,12 @@ DRIVER_TABLES = [
 ]
 
 
+# Fact-sized inputs whose derivation is per-row work worth spreading, with the
+# key they are joined on (hash spreading needs no pre-sort, unlike round-robin,
+# and the order-key join can reuse it).
+SPREAD_IF_FEW_SPLITS = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
+
+
 @dataclass
 class Tables:
     spark: SparkSession
@@ -28,9 +34,23 @@ class Tables:
     _cache: dict = field(default_factory=dict, repr=False)
 
     def raw(self, name: str) -> DataFrame:
-        """A driver table, read from ``{root}/{name}.parquet``."""
+        """A driver table, read from ``{root}/{name}.parquet``.
+
+        A scan with fewer splits than the cluster has cores (a small file with
+        one row group) is hash-spread on its join key so the row-local derivation after
+        it runs in parallel. Column pruning and filters still reach the scan.
+        Large inputs have many splits and never take this extra exchange.
+        """
         if name not in self._cache:
-            self._cache[name] = self.spark.read.parquet(f"{self.root}/{name}.parquet")
+            df = self.spark.read.parquet(f"{self.root}/{name}.parquet")
+            if name in SPREAD_IF_FEW_SPLITS:
+                try:  # classic sessions only; Spark Connect has no RDD view
+                    cores = self.spark.sparkContext.defaultParallelism
+                    if df.rdd.getNumPartitions() < cores:
+                        df = df.repartition(cores, SPREAD_IF_FEW_SPLITS[name])
+                except Exception:
+                    pass
+            self._cache[name] = df
         return self._cache[name]
 
     # ticket-sales tables (flat names; see FIXTURES.md part 2)
