@@ -101,8 +101,9 @@ def categorize(joined: DataFrame, as_of: dt.datetime = AS_OF, prelim_only: bool
     return out
 
 
-def delivery_categories(t: Tables, as_of: dt.datetime = AS_OF, prelim_only: bool = False) -> DataFrame:
-    return categorize(joined_candidates(t, as_of), as_of, prelim_only).select(
+def delivery_categories(t: Tables, as_of: dt.datetime = AS_OF, prelim_only: bool = False,
+                        control: DataFrame | None = None) -> DataFrame:
+    return categorize(joined_candidates(t, as_of, control), as_of, prelim_only).select(
         "event_id", "venue", "event_title", "event_date", "event_start_utc_timestamp",
         "local_event_start_timestamp", "report_status", "category")
 
@@ -211,9 +212,10 @@ def _attempts(categories: DataFrame) -> DataFrame:
         final_ok.alias("final_sent"))
 
 
-def delivery_outcomes(t: Tables, as_of: dt.datetime = AS_OF) -> DataFrame:
+def delivery_outcomes(t: Tables, as_of: dt.datetime = AS_OF,
+                      control: DataFrame | None = None) -> DataFrame:
     """D-11/D-12/T-4: attempts split into succeeded / failed x preliminary / final."""
-    a = _attempts(delivery_categories(t, as_of))
+    a = _attempts(delivery_categories(t, as_of, control=control))
     outcome = (F.when(F.col("category") == "send_preliminary",
                       F.when(F.col("preliminary_sent"), F.lit("preliminary_succeeded"))
                       .otherwise(F.lit("preliminary_failed")))
@@ -242,9 +244,11 @@ def apply_outcomes(control: DataFrame, outcomes: DataFrame, as_of: dt.datetime =
     return upsert(control, upd)
 
 
-def control_after_batch(t: Tables, as_of: dt.datetime = AS_OF) -> DataFrame:
-    """The control table after one scheduling tick's deliveries."""
-    return apply_outcomes(t.control, delivery_outcomes(t, as_of), as_of)
+def control_after_batch(t: Tables, as_of: dt.datetime = AS_OF,
+                        control: DataFrame | None = None) -> DataFrame:
+    """The control table after one scheduling tick's deliveries (D-1 .. D-11)."""
+    control = control if control is not None else t.control
+    return apply_outcomes(control, delivery_outcomes(t, as_of, control), as_of)
 
 
 # Commands: op -> (new status or None for delete, sets preliminary_sent_at,

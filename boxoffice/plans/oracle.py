@@ -515,7 +515,7 @@ _ABSTRACT = """CASE WHEN report_status IS NULL OR report_status = 'initialized'
      WHEN report_status = 'prelim_sent' THEN 'eligible_for_final' ELSE 'unknown' END"""
 
 
-def categories_sql(as_of: _dt.datetime) -> str:
+def categories_sql(as_of: _dt.datetime, control: str = "fx_control") -> str:
     final_cut = _ts_sql(as_of)
     prelim_cut = _ts_sql(as_of + _dt.timedelta(days=1))
     due = "c.event_start_utc_timestamp + INTERVAL 6 MINUTE"
@@ -530,7 +530,7 @@ SELECT c.event_id, c.venue, c.event_title, c.event_date, c.event_start_utc_times
             WHEN k.report_status IS NULL OR k.report_status = 'initialized' THEN
               CASE WHEN {due} <= {prelim_cut} THEN 'send_preliminary' ELSE 'preliminary_is_not_yet_due' END
        END AS category
-FROM ({candidates_sql(as_of)}) c LEFT JOIN fx_control k ON k.event_key = c.event_id)
+FROM ({candidates_sql(as_of)}) c LEFT JOIN {control} k ON k.event_key = c.event_id)
 WHERE category IS NOT NULL"""
 
 
@@ -690,3 +690,61 @@ WHERE category IN ('send_preliminary', 'send_final')
   AND NOT EXISTS (SELECT 1 FROM manifest_lines m WHERE m.event_id = c.event_id)""")
 
 ORACLE["charges_extract"] = with_fx("SELECT * FROM fx_charges")
+
+# --- landing and streams -----------------------------------------------------
+
+
+def _outcomes_sql(as_of: _dt.datetime, control: str) -> str:
+    k = "CAST(event_id AS BIGINT)"
+    return f"""
+SELECT event_id, CASE WHEN category = 'send_preliminary' THEN
+         CASE WHEN {k} % 9 <> 0 THEN 'preliminary_succeeded' ELSE 'preliminary_failed' END
+       WHEN {k} % 13 <> 0 AND {k} % 11 <> 0 THEN 'final_succeeded' ELSE 'final_failed' END AS outcome
+FROM ({categories_sql(as_of, control)}) WHERE category IN ('send_preliminary', 'send_final')"""
+
+
+def after_tick_sql(as_of: _dt.datetime, control: str) -> str:
+    """Control table after one tick at ``as_of`` starting from CTE ``control``."""
+    ok = f"(SELECT * FROM ({_outcomes_sql(as_of, control)}) WHERE outcome LIKE '%succeeded')"
+    ts_ = _ts_sql(as_of)
+    return f"""
+SELECT * FROM {control} WHERE event_key NOT IN (SELECT event_id FROM {ok})
+UNION ALL
+SELECT o.event_id,
+       CASE WHEN o.outcome = 'preliminary_succeeded' THEN 'prelim_sent' ELSE 'final_sent' END,
+       CASE WHEN o.outcome = 'preliminary_succeeded' THEN {ts_} ELSE k.preliminary_sent_at END,
+       CASE WHEN o.outcome = 'preliminary_succeeded' THEN k.final_sent_at ELSE {ts_} END
+FROM {ok} o LEFT JOIN {control} k ON k.event_key = o.event_id"""
+
+
+_TICK2 = _A + _dt.timedelta(minutes=5)
+ORACLE["stream_delivery_tick"] = _with_extra(
+    f"ctl1 AS ({after_tick_sql(_A, 'fx_control')}),\nctl2 AS ({after_tick_sql(_TICK2, 'ctl1')})",
+    "SELECT * FROM ctl2")
+
+_LO, _HI = (_A - _dt.timedelta(days=1)).date(), (_A + _dt.timedelta(days=2)).date()
+_LANDED = f"""
+SELECT id, name, organization_id, organization_name, location,
+       CASE WHEN m THEN strftime(CAST(start AS TIMESTAMP) + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S')
+            ELSE start END AS start,
+       CASE WHEN m THEN strftime(CAST(start_utc AS TIMESTAMP) + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S')
+            ELSE start_utc END AS start_utc,
+       CASE WHEN m THEN {AS_OF} ELSE {AS_OF} - INTERVAL 1 HOUR END AS ingested_at
+FROM (SELECT *, CAST(CAST(start AS TIMESTAMP) AS DATE) BETWEEN DATE '{_LO}' AND DATE '{_HI}' AS m
+      FROM fx_events)"""
+ORACLE["landing_read"] = with_fx(f"""
+SELECT *, {_SLUG.format('organization_name')} AS venue,
+       strftime(CAST(start AS TIMESTAMP), '%Y') AS year,
+       strftime(CAST(start AS TIMESTAMP), '%B') AS month,
+       strftime(CAST(start AS TIMESTAMP), '%d') AS day
+FROM ({_LANDED})""")
+ORACLE["stream_snapshot_upsert"] = ORACLE["landing_read"]
+
+ORACLE["stream_sales_24h"] = with_fx("""
+SELECT e.organization_name AS venue_name,
+       CAST(o.paid_date_utc AS TIMESTAMP) - k.h * INTERVAL 1 HOUR AS window_start,
+       CAST(o.paid_date_utc AS TIMESTAMP) - k.h * INTERVAL 1 HOUR + INTERVAL 24 HOUR AS window_end,
+       COUNT(*) AS tickets_sold
+FROM fx_tickets t JOIN fx_orders o ON t.order_id = o.id JOIN fx_events e ON t.event_id = e.id
+CROSS JOIN range(24) AS k(h)
+GROUP BY 1, 2, 3""")

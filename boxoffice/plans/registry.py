@@ -18,6 +18,7 @@ from boxoffice.operators import ingest as ig
 from boxoffice.operators import manifest as mf
 from boxoffice.operators import reports as rp
 from boxoffice.session import apply_conf
+from boxoffice.streaming import jobs as st
 from boxoffice.sources.tables import Tables, load_tables
 
 REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
@@ -73,6 +74,13 @@ REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
     "control_after_batch": dv.control_after_batch,
     "control_commands": dv.control_commands,
     "delivery_routing": dv.delivery_routing,
+    # landing (S-1, S-3, H-1, H-2)
+    "landing_snapshot": st.landing_snapshot,
+    "landing_read": st.landing_read,
+    # streams (ST-1 .. ST-3)
+    "stream_snapshot_upsert": st.stream_snapshot_upsert,
+    "stream_sales_24h": st.stream_sales_24h,
+    "stream_delivery_tick": st.stream_delivery_tick,
 }
 
 
