@@ -21,6 +21,24 @@ from boxoffice.sources.tables import Tables
 
 
 
+def _priced_tickets(t: Tables, event_id: str | None = None) -> DataFrame:
+    """Priced tickets with money cast-then-defaulted and the bar-card share."""
+    k = t.tickets.select("event_id", F.col("ticket_type_name").alias("ticket_name"),
+                         money_or_zero("price").alias("price"),
+                         money_or_zero("surcharge").alias("surcharge"),
+                         money_or_zero("let_tax").alias("let_tax"),
+                         money_or_zero("sales_tax").alias("sales_tax"),
+                         money_or_zero("venue_fee").alias("venue_fee"))
+    k = k.filter(F.col("price") > F.lit(0).cast("decimal(10,2)"))
+    if event_id is not None:
+        k = k.filter(F.col("event_id") == event_id)
+    return k
+
+
+def _event_fields(t: Tables) -> DataFrame:
+    return t.events.select(F.col("id").alias("e_id"), "location", "name", "start")
+
+
 def event_manifest(t: Tables, event_id: str | None = None) -> DataFrame:
     """A-11: manifest lines of every event (or of one ``event_id``).
 
@@ -29,27 +47,19 @@ def event_manifest(t: Tables, event_id: str | None = None) -> DataFrame:
     an event holding a large share of the tickets is spread over tasks instead
     of landing in one join partition. The event fields (venue, title, start)
     depend only on the event id, so joining them to the lines afterwards gives
-    the reference's grouping.
+    the reference's grouping. ``count(ticket_id)`` is ``count(*)``: the ticket
+    id is the table key and never null.
     """
-    k = t.tickets.select("event_id", F.col("id").alias("ticket_id"),
-                         F.col("ticket_type_name").alias("ticket_name"),
-                         money_or_zero("price").alias("price"),
-                         money_or_zero("surcharge").alias("surcharge"),
-                         money_or_zero("let_tax").alias("let_tax"),
-                         money_or_zero("sales_tax").alias("sales_tax"),
-                         money_or_zero("venue_fee").alias("venue_fee"))
-    k = k.filter(F.col("price") > F.lit(0).cast("decimal(10,2)"))
-    if event_id is not None:
-        k = k.filter(F.col("event_id") == event_id)
+    k = _priced_tickets(t, event_id)
     lines = k.groupBy("event_id", "ticket_name", "price", "surcharge",
                       F.col("let_tax").alias("per_ticket_let")).agg(
-        F.count("ticket_id").alias("quantity"),
+        F.count("*").alias("quantity"),
         F.sum("price").alias("sum_subtotal"),
         F.sum("surcharge").alias("sum_surcharge"),
         F.sum("let_tax").alias("sum_let_tax"),
         F.sum("sales_tax").alias("sum_sales_tax"),
         F.sum("venue_fee").alias("sum_venue_fee"))
-    e = t.events.select(F.col("id").alias("e_id"), "location", "name", "start")
+    e = _event_fields(t)
     j = lines.join(e, lines.event_id == e.e_id)
     open_time = ts("start")
     # 100 * sum(let) / sum(price), half-up to two decimals, computed on integer
@@ -85,40 +95,54 @@ def manifest_revenue_split(t: Tables, lines: DataFrame | None = None) -> DataFra
                              (F.col("sum_subtotal") - F.col("sum_bar_card")).cast("decimal(38,2)")))
 
 
+TOTALS = ["total_sold", "total_face_value", "total_let", "total_bar_card", "total_sales_tax",
+          "total_venue_fee", "total_surcharge"]
+
+def _total_aggs() -> list:
+    return [F.sum("quantity").alias("total_sold"),
+            money38(F.sum("subtotal_minus_bar_card")).alias("total_face_value"),
+            money38(F.sum("sum_let_tax")).alias("total_let"),
+            money38(F.sum("sum_bar_card")).alias("total_bar_card"),
+            money38(F.sum("sum_sales_tax")).alias("total_sales_tax"),
+            money38(F.sum("sum_venue_fee")).alias("total_venue_fee"),
+            money38(F.sum("sum_surcharge")).alias("total_surcharge")]
+
+
+def _first_aggs() -> list:
+    """Venue, title, date and open time of the event's first line. They are
+    constant within an event, so ``min`` is an exact, map-side combinable pick."""
+    return [F.min("venue").alias("venue"), F.min("event").alias("event_title"),
+            F.min("event_date").alias("d"), F.min("event_open_time").alias("open_time")]
+
+
+def _description_cols() -> list:
+    return ["venue", "event_title", "event_id",
+            F.date_format("d", "yyyy-MM-dd").alias("event_date"),
+            F.date_format("d", "MM-dd-yyyy").alias("display_date"),
+            F.date_format("d", "MMddyyyy").alias("filename_date_part"),
+            strip_spaces("venue").alias("filename_venue_part"),
+            F.upper(F.date_format("d", "EEE dd-MMM")).alias("subject_date_part"),
+            F.date_format("open_time", "hh:mma").alias("subject_open_time_part")]
+
+
+def _event_rollup(split: DataFrame, *extra) -> DataFrame:
+    """One aggregate per event: description parts, totals and ``extra`` aggregates."""
+    g = split.groupBy("event_id").agg(*_first_aggs(), *_total_aggs(), *extra)
+    return g.select(*_description_cols(), *TOTALS,
+                    *[c for c in g.columns if c not in TOTALS and c not in
+                      ("event_id", "venue", "event_title", "d", "open_time")])
+
+
 def manifest_totals(t: Tables, split: DataFrame | None = None) -> DataFrame:
     """A-13: per-event totals of the split manifest lines."""
     split = split if split is not None else manifest_revenue_split(t)
-    return split.groupBy("event_id").agg(
-        F.sum("quantity").alias("total_sold"),
-        money38(F.sum("subtotal_minus_bar_card")).alias("total_face_value"),
-        money38(F.sum("sum_let_tax")).alias("total_let"),
-        money38(F.sum("sum_bar_card")).alias("total_bar_card"),
-        money38(F.sum("sum_sales_tax")).alias("total_sales_tax"),
-        money38(F.sum("sum_venue_fee")).alias("total_venue_fee"),
-        money38(F.sum("sum_surcharge")).alias("total_surcharge"),
-    )
+    return split.groupBy("event_id").agg(*_total_aggs())
 
 
 def manifest_description(t: Tables, lines: DataFrame | None = None) -> DataFrame:
-    """A-17: title, dates and file-name parts of each event with a manifest.
-
-    Venue, title, date and open time are constant within an event, so ``min``
-    is an exact (and partially aggregatable) pick of "the first line".
-    """
+    """A-17: title, dates and file-name parts of each event with a manifest."""
     lines = lines if lines is not None else event_manifest(t)
-    d = lines.groupBy("event_id").agg(F.min("venue").alias("venue"),
-                                      F.min("event").alias("event_title"),
-                                      F.min("event_date").alias("d"),
-                                      F.min("event_open_time").alias("open_time"))
-    return d.select(
-        "venue", "event_title", "event_id",
-        F.date_format("d", "yyyy-MM-dd").alias("event_date"),
-        F.date_format("d", "MM-dd-yyyy").alias("display_date"),
-        F.date_format("d", "MMddyyyy").alias("filename_date_part"),
-        strip_spaces("venue").alias("filename_venue_part"),
-        F.upper(F.date_format("d", "EEE dd-MMM")).alias("subject_date_part"),
-        F.date_format("open_time", "hh:mma").alias("subject_open_time_part"),
-    )
+    return lines.groupBy("event_id").agg(*_first_aggs()).select(*_description_cols())
 
 
 def _variants():
@@ -131,11 +155,14 @@ def _variants():
 
 
 def manifest_header(t: Tables, lines: DataFrame | None = None) -> DataFrame:
-    """A-18 / D-16: description + totals + variant flags, one row per event x variant."""
+    """A-18 / D-16: description + totals + variant flags, one row per event x variant.
+
+    Description and totals come from one aggregate of the lines per event, so
+    the lines are computed once and nothing is joined.
+    """
     lines = lines if lines is not None else event_manifest(t)
-    desc = manifest_description(t, lines)
-    tot = manifest_totals(t, manifest_revenue_split(t, lines))
-    h = desc.join(tot, "event_id").withColumn("v", _variants()).select("*", "v.*").drop("v")
+    h = _event_rollup(manifest_revenue_split(t, lines))
+    h = h.withColumn("v", _variants()).select("*", "v.*").drop("v")
     title = F.when(F.col("label_as_final"), F.lit("FINAL")).otherwise(F.lit("PRELIMINARY"))
     base = F.concat(F.lit("TICKET SALES MANIFEST_"), F.col("filename_date_part"), F.lit("_"),
                     F.col("filename_venue_part"))
@@ -145,9 +172,7 @@ def manifest_header(t: Tables, lines: DataFrame | None = None) -> DataFrame:
                        F.col("subject_open_time_part"))
     return h.select(
         "event_id", "report_variant", "venue", "event_title", "event_date", "display_date",
-        "total_sold", "total_face_value", "total_let", "total_bar_card", "total_sales_tax",
-        "total_venue_fee", "total_surcharge", "label_as_final", "has_pdf",
-        "has_surcharge_csv", "has_final_csv",
+        *TOTALS, "label_as_final", "has_pdf", "has_surcharge_csv", "has_final_csv",
         title.alias("variant_title"), full.alias("filename_full"),
         F.concat(full, F.lit(".pdf")).alias("filename_pdf"),
         F.concat(full, F.lit(".csv")).alias("filename_csv"),
@@ -156,46 +181,55 @@ def manifest_header(t: Tables, lines: DataFrame | None = None) -> DataFrame:
 
 
 def manifest_document(t: Tables) -> DataFrame:
-    """A-19: one nested document per event: header fields + sorted lines + JSON text."""
-    split = manifest_revenue_split(t)
-    tot = manifest_totals(t, split)
-    desc = manifest_description(t, split)
+    """A-19: one nested document per event: header fields + sorted lines + JSON text.
+
+    One aggregate per event; the collected list holds the event's manifest
+    lines (one per ticket type x price x fee combination), not its tickets.
+    """
     line = F.struct("ticket_name", "price", "surcharge", "per_ticket_let", "quantity",
                     "sum_subtotal", "sum_surcharge", "sum_let_tax", "let_tax_rate_observed",
                     "sum_sales_tax", "sum_venue_fee", "sum_bar_card", "subtotal_minus_bar_card")
-    rows = split.groupBy("event_id").agg(F.sort_array(F.collect_list(line)).alias("ticket_rows"))
-    doc = desc.join(tot, "event_id").join(rows, "event_id")
-    return doc.withColumn("document", F.to_json(F.struct(*[c for c in doc.columns])))
+    doc = _event_rollup(manifest_revenue_split(t),
+                        F.sort_array(F.collect_list(line)).alias("ticket_rows"))
+    return doc.withColumn("document", F.to_json(F.struct(*doc.columns)))
 
 
 def _csv_rows(t: Tables, columns: list[str]) -> DataFrame:
-    split = manifest_revenue_split(t)
-    tot = manifest_totals(t, split)
-    detail = split.select(
-        "event_id", F.lit(0).alias("row_kind"),
-        F.col("venue"), F.col("event"), F.date_format("event_date", "yyyy-MM-dd").alias("event_date"),
-        F.col("ticket_name").alias("ticket"), money_text("price").alias("price"),
-        money_text("per_ticket_let").alias("per_ticket_let"),
-        F.col("quantity").cast("string").alias("sold"),
-        money_text("sum_bar_card").alias("total_bar_card"),
-        money_text("subtotal_minus_bar_card").alias("total_face_value"),
-        money_text("sum_let_tax").alias("total_let"),
-        money_text("sum_surcharge").alias("total_surcharge"),
-        money_text("sum_sales_tax").alias("total_sales_tax"),
-        money_text("sum_venue_fee").alias("total_service_charge"))
-    blank = F.lit("")
-    totals = tot.select(
-        "event_id", F.lit(1).alias("row_kind"),
-        blank.alias("venue"), blank.alias("event"), blank.alias("event_date"),
-        blank.alias("ticket"), blank.alias("price"), blank.alias("per_ticket_let"),
-        F.col("total_sold").cast("string").alias("sold"),
-        money_text("total_bar_card").alias("total_bar_card"),
-        money_text("total_face_value").alias("total_face_value"),
-        money_text("total_let").alias("total_let"),
-        money_text("total_surcharge").alias("total_surcharge"),
-        money_text("total_sales_tax").alias("total_sales_tax"),
-        money_text("total_venue_fee").alias("total_service_charge"))
-    return detail.unionByName(totals).select("event_id", "row_kind", *columns)
+    """S-9/A-14: detail lines and the per-event totals row in one aggregate.
+
+    Grouping sets over the priced tickets: (event, line keys) gives the lines,
+    (event) gives the totals; the bar-card share is summed per ticket, which
+    equals 100.00 x quantity per matching line.
+    """
+    k = _priced_tickets(t).withColumn(
+        "bar", F.when(F.col("ticket_name").rlike(BAR_CARD_PATTERN),
+                      F.lit(BAR_CARD_AMOUNT).cast("decimal(10,2)")).otherwise(F.lit(0).cast("decimal(10,2)")))
+    keys = ["event_id", "ticket_name", "price", "surcharge", "let_tax"]
+    g = k.groupingSets([keys, ["event_id"]], *keys).agg(
+        F.count("*").alias("sold"), F.sum("price").alias("subtotal"), F.sum("bar").alias("bar"),
+        F.sum("let_tax").alias("let_sum"), F.sum("surcharge").alias("surcharge_sum"),
+        F.sum("sales_tax").alias("sales_tax_sum"), F.sum("venue_fee").alias("venue_fee_sum"),
+        F.grouping("ticket_name").alias("row_kind"))
+    e = _event_fields(t)
+    j = g.join(e, g.event_id == e.e_id)
+    detail = F.col("row_kind") == 0
+    blank = lambda c: F.when(detail, c).otherwise(F.lit(""))
+    start = ts("start")
+    out = j.select(
+        "event_id", F.col("row_kind").cast("int").alias("row_kind"),
+        blank(F.col("location")).alias("venue"), blank(F.col("name")).alias("event"),
+        blank(F.date_format(start, "yyyy-MM-dd")).alias("event_date"),
+        blank(F.col("ticket_name")).alias("ticket"),
+        blank(money_text("price")).alias("price"),
+        blank(money_text("let_tax")).alias("per_ticket_let"),
+        F.col("sold").cast("string").alias("sold"),
+        money_text("bar").alias("total_bar_card"),
+        money_text(F.col("subtotal") - F.col("bar")).alias("total_face_value"),
+        money_text("let_sum").alias("total_let"),
+        money_text("surcharge_sum").alias("total_surcharge"),
+        money_text("sales_tax_sum").alias("total_sales_tax"),
+        money_text("venue_fee_sum").alias("total_service_charge"))
+    return out.select("event_id", "row_kind", *columns)
 
 
 def manifest_csv_surcharge(t: Tables) -> DataFrame:
