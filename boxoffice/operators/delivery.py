@@ -188,11 +188,17 @@ def control_initialize(control: DataFrame, ids: DataFrame) -> DataFrame:
 def upsert(control: DataFrame, updates: DataFrame) -> DataFrame:
     """Keyed replace: rows of ``updates`` replace (or add) rows with the same key.
 
-    The untouched rows are an anti-join against the (small) update keys, so the
-    control table itself is not re-shuffled when AQE broadcasts the keys.
+    One pass over the control table: a left join with the (small) updates,
+    which AQE broadcasts when measured small, so the table itself is not
+    shuffled; keys without a control row are added by an anti-join.
     """
-    keep = control.join(updates.select("event_key"), "event_key", "left_anti")
-    return keep.select(*CONTROL_COLUMNS).unionByName(updates.select(*CONTROL_COLUMNS))
+    u = updates.select(*[F.col(c).alias("u_" + c) for c in CONTROL_COLUMNS])
+    hit = F.col("u_event_key").isNotNull()
+    existing = control.join(u, control.event_key == u.u_event_key, "left").select(
+        "event_key", *[F.when(hit, F.col("u_" + c)).otherwise(F.col(c)).alias(c)
+                       for c in CONTROL_COLUMNS[1:]])
+    added = updates.join(control.select("event_key"), "event_key", "left_anti")
+    return existing.unionByName(added.select(*CONTROL_COLUMNS))
 
 
 def _attempts(categories: DataFrame) -> DataFrame:
@@ -227,21 +233,28 @@ def delivery_outcomes(t: Tables, as_of: dt.datetime = AS_OF,
 def apply_outcomes(control: DataFrame, outcomes: DataFrame, as_of: dt.datetime = AS_OF) -> DataFrame:
     """D-6/D-7/D-8: successes change state, failures change nothing.
 
-    Preliminary success: missing rows are initialised, then ``prelim_sent`` with
-    its time; final success: ``final_sent`` with its time. Other attributes of
-    the row are kept (an update, not a put).
+    Preliminary success: a missing row is created (initialised), then set to
+    ``prelim_sent`` with its time; final success: ``final_sent`` with its time.
+    The row's other attributes are kept (an update, not a put). One left join
+    of the control table with the successes, plus an anti-join for new keys.
     """
-    ok = outcomes.filter(F.col("outcome").isin("preliminary_succeeded", "final_succeeded"))
-    old = control.join(ok.select(F.col("event_id").alias("event_key")), "event_key", "left_semi")
-    j = ok.select(F.col("event_id").alias("event_key"), "outcome").join(old, "event_key", "left")
-    prelim = F.col("outcome") == "preliminary_succeeded"
+    ok = outcomes.filter(F.col("outcome").isin("preliminary_succeeded", "final_succeeded")) \
+                 .select(F.col("event_id").alias("u_key"), "outcome")
     stamp = ts_lit(as_of)
-    upd = j.select(
+    prelim = F.col("outcome") == "preliminary_succeeded"
+    hit = F.col("u_key").isNotNull()
+    existing = control.join(ok, control.event_key == ok.u_key, "left").select(
         "event_key",
+        F.when(hit, F.when(prelim, F.lit(PRELIM_SENT)).otherwise(F.lit(FINAL_SENT)))
+         .otherwise(F.col("report_status")).alias("report_status"),
+        F.when(hit & prelim, stamp).otherwise(F.col("preliminary_sent_at")).alias("preliminary_sent_at"),
+        F.when(hit & ~prelim, stamp).otherwise(F.col("final_sent_at")).alias("final_sent_at"))
+    added = ok.join(control.select(F.col("event_key").alias("u_key")), "u_key", "left_anti").select(
+        F.col("u_key").alias("event_key"),
         F.when(prelim, F.lit(PRELIM_SENT)).otherwise(F.lit(FINAL_SENT)).alias("report_status"),
-        F.when(prelim, stamp).otherwise(F.col("preliminary_sent_at")).alias("preliminary_sent_at"),
-        F.when(prelim, F.col("final_sent_at")).otherwise(stamp).alias("final_sent_at"))
-    return upsert(control, upd)
+        F.when(prelim, stamp).alias("preliminary_sent_at"),
+        F.when(~prelim, stamp).alias("final_sent_at"))
+    return existing.unionByName(added)
 
 
 def control_after_batch(t: Tables, as_of: dt.datetime = AS_OF,

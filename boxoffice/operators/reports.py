@@ -100,26 +100,23 @@ def sales_rollup(t: Tables, as_of: dt.datetime = AS_OF,
 def sales_rollup_nested(t: Tables, as_of: dt.datetime = AS_OF,
                         venues: list[str] = VENUE_IDS) -> DataFrame:
     """A-15 nested form: one row per (week, venue) holding its events, each with
-    its ticket lines. Each collected list is bounded by the lines of one
-    venue-week (already aggregated), not by ticket counts."""
-    r = sales_rollup(t, as_of, venues)
-    lines = (r.filter(F.col("level") == "line")
-             .groupBy("week_start", "venue_name", "event_name")
-             .agg(F.sort_array(F.collect_list(F.struct(
-                 "event_date", "ticket_type_name", "price", "quantity_sold",
-                 "sales_last_24_hours"))).alias("tickets")))
-    ev = r.filter(F.col("level") == "event").select(
-        "week_start", "venue_name", "event_name", "event_date",
-        F.col("quantity_sold").alias("event_quantity_sold"),
-        F.col("sales_last_24_hours").alias("event_sales_last_24_hours"))
-    events = (ev.join(lines, ["week_start", "venue_name", "event_name"])
-              .groupBy("week_start", "venue_name")
-              .agg(F.sort_array(F.collect_list(F.struct(
-                  "event_name", "event_date", "event_quantity_sold",
-                  "event_sales_last_24_hours", "tickets"))).alias("events")))
-    ven = r.filter(F.col("level") == "venue").select("week_start", "week_end", "venue_name",
-                                                     "quantity_sold", "sales_last_24_hours")
-    return ven.join(events, ["week_start", "venue_name"])
+    its ticket lines. A chain of two aggregates over the upcoming-sales rows
+    (lines -> events -> venue-weeks); each collected list is bounded by the
+    aggregated lines of one event or the events of one venue-week."""
+    u = upcoming_sales(t, as_of, venues).withColumn("week_start", week_start_sun("event_date"))
+    line = F.struct("event_date", "ticket_type_name", "price", "quantity_sold", "sales_last_24_hours")
+    ev = u.groupBy("week_start", "venue_name", "event_name").agg(
+        F.max("event_date").alias("event_date"),
+        F.sum("quantity_sold").alias("event_quantity_sold"),
+        F.sum("sales_last_24_hours").alias("event_sales_last_24_hours"),
+        F.sort_array(F.collect_list(line)).alias("tickets"))
+    event = F.struct("event_name", "event_date", "event_quantity_sold",
+                     "event_sales_last_24_hours", "tickets")
+    return ev.groupBy("week_start", "venue_name").agg(
+        F.sum("event_quantity_sold").cast("bigint").alias("quantity_sold"),
+        F.sum("event_sales_last_24_hours").cast("bigint").alias("sales_last_24_hours"),
+        F.sort_array(F.collect_list(event)).alias("events")) \
+        .withColumn("week_end", F.date_add("week_start", 6))
 
 
 def week_label(d) -> F.Column:
