@@ -1,19 +1,30 @@
 """Driver tables and the ticket-sales tables derived from them.
 
-``load_tables(spark, dir)`` returns a ``Tables`` bundle. Every attribute is a
-lazy DataFrame built from the parquet scans, so Catalyst prunes columns and
-pushes filters from each query down to the files.
+``load_tables(spark, dir)`` returns a ``Tables`` bundle of lazy DataFrames, so
+Catalyst prunes columns and pushes filters from each query down to the files.
+
+The ticket-sales tables (events, orders, tickets, raw charges, control) are
+derived from the driver tables once and *landed* as Parquet under the shared
+checkpoint folder (``spark.checkpoint.dir``), as the ingest job of the
+original system lands typed tables that every report then reads. Later
+queries read the landed copy; ``landed=False`` derives them inline instead.
 """
 
 from __future__ import annotations
 
+import hashlib
+import os
 from dataclasses import dataclass, field
 from functools import cached_property
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from boxoffice.session import checkpoint_dir
 from boxoffice.sources import fixtures
 
+LANDED = ["events", "orders", "tickets", "raw_charges", "control"]
+
 DRIVER_TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -31,6 +42,7 @@ SPREAD_IF_FEW_SPLITS = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
 class Tables:
     spark: SparkSession
     root: str
+    landed: bool = False
     _cache: dict = field(default_factory=dict, repr=False)
 
     def raw(self, name: str) -> DataFrame:
@@ -54,21 +66,40 @@ class Tables:
         return self._cache[name]
 
     # ticket-sales tables (flat names; see FIXTURES.md part 2)
+    def derive(self, name: str) -> DataFrame:
+        """Derive one ticket-sales table from the driver tables."""
+        if name == "events":
+            return fixtures.events(self.raw("customer"), self.raw("nation"))
+        if name == "orders":
+            return fixtures.orders(self.raw("orders"))
+        if name == "tickets":
+            return fixtures.tickets(self.raw("lineitem"), self.raw("orders"))
+        if name == "raw_charges":
+            return fixtures.raw_charges(self.raw("orders"))
+        if name == "control":
+            return fixtures.control(self.raw("customer"))
+        raise KeyError(name)
+
+    def _table(self, name: str) -> DataFrame:
+        if self.landed:
+            return self.spark.read.parquet(f"{landed_root(self.spark, self.root)}/{name}")
+        return self.derive(name)
+
     @cached_property
     def events(self) -> DataFrame:
-        return fixtures.events(self.raw("customer"), self.raw("nation"))
+        return self._table("events")
 
     @cached_property
     def orders(self) -> DataFrame:
-        return fixtures.orders(self.raw("orders"))
+        return self._table("orders")
 
     @cached_property
     def tickets(self) -> DataFrame:
-        return fixtures.tickets(self.raw("lineitem"), self.raw("orders"))
+        return self._table("tickets")
 
     @cached_property
     def raw_charges(self) -> DataFrame:
-        return fixtures.raw_charges(self.raw("orders"))
+        return self._table("raw_charges")
 
     @cached_property
     def charges(self) -> DataFrame:
@@ -78,8 +109,46 @@ class Tables:
 
     @cached_property
     def control(self) -> DataFrame:
-        return fixtures.control(self.raw("customer"))
-
-
-def load_tables(spark: SparkSession, root: str) -> Tables:
-    return Tables(spark, root.rstrip("/"))
+        return self._table("control")
+
+
+def landed_root(spark: SparkSession, root: str) -> str:
+    """Folder of the landed ticket-sales tables of one input folder."""
+    sig = hashlib.sha1(os.path.abspath(root).encode()).hexdigest()[:16]
+    return os.path.join(checkpoint_dir(spark), "landed", sig)
+
+
+def _complete(spark: SparkSession, path: str) -> bool:
+    """True once the write of ``path`` committed (its ``_SUCCESS`` marker exists)."""
+    marker = f"{path}/_SUCCESS"
+    if "://" not in path or path.startswith("file:"):
+        return os.path.exists(marker.removeprefix("file:"))
+    try:  # shared storage: let Spark's file system resolve the marker
+        spark.read.text(marker)
+        return True
+    except AnalysisException:
+        return False
+
+
+def land_tables(spark: SparkSession, root: str, refresh: bool = False) -> str:
+    """Derive and write the ticket-sales tables of ``root`` (once).
+
+    A table counts as landed only once its write committed (``_SUCCESS``); a
+    half-written folder (a lost driver mid-write) is simply landed again.
+    """
+    base = landed_root(spark, root)
+    src = Tables(spark, root.rstrip("/"))
+    for name in LANDED:
+        path = f"{base}/{name}"
+        if refresh or not _complete(spark, path):
+            src.derive(name).write.mode("overwrite").parquet(path)
+    return base
+
+
+def load_tables(spark: SparkSession, root: str, landed: bool = True) -> Tables:
+    """The table bundle of ``root``; with ``landed`` the derived tables are
+    landed on first use and read from Parquet afterwards."""
+    root = root.rstrip("/")
+    if landed:
+        land_tables(spark, root)
+    return Tables(spark, root, landed=landed)
