@@ -84,6 +84,29 @@ REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
 }
 
 
+# O-1 .. O-5: the reference's result orders. Results are order-free sets for
+# every consumer (comparison, writes); ``present`` applies the order when a
+# sorted listing is wanted (a global sort: range-partitioned, not one task).
+ORDER_BY: dict[str, list[str]] = {
+    "remit_original": ["event_details"],
+    "remit_new": ["event_details"],
+    "marketing_original": ["event_date", "email"],
+    "marketing_new": ["event_date", "email"],
+    "party_pass_weekly": ["week_start"],
+    "upcoming_sales": ["event_date", "event_name", "ticket_type_name"],
+    "event_manifest": ["venue", "event_date", "event_id", "event", "ticket_name"],
+    "candidate_events": ["event_date"],
+    "sales_rollup": ["week_start", "venue_name", "event_name", "level", "event_date",
+                     "ticket_type_name"],
+}
+
+
+def present(name: str, df: DataFrame) -> DataFrame:
+    """Apply the reference's ORDER BY of ``name`` (if it has one)."""
+    keys = ORDER_BY.get(name)
+    return df.orderBy(*keys) if keys else df
+
+
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     apply_conf(spark)
     return REGISTRY[name](load_tables(spark, sf_dir))

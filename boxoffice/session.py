@@ -27,6 +27,19 @@ BASE_CONF = {
 }
 
 
+# Suggested settings for a large cluster (about 100 TB of input): many initial
+# shuffle partitions that AQE coalesces to ~128 MB, larger scan splits, and a
+# broadcast threshold that still only admits sides measured small at runtime.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256MB",
+    "spark.sql.files.maxPartitionBytes": "256MB",
+    "spark.sql.autoBroadcastJoinThreshold": "64MB",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+}
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "boxoffice") -> SparkSession:
     """Return a session with the engine's settings.
