@@ -42,3 +42,14 @@ def money38(x) -> Column:
 def money_text(x) -> Column:
     """``'%.2f'`` of a decimal: two decimals, as text."""
     return _c(x).cast(WIDE).cast("string")
+
+
+def sum_money(x) -> Column:
+    """Exact sum of a two-decimal money column, as ``decimal(38,2)``.
+
+    Accumulated as integer cents in a long (a plain ``sum`` of ``decimal(10,2)``
+    widens to ``decimal(20,2)``, whose buffer is a ``BigDecimal`` per update).
+    Null in, null out; an overflow raises under ANSI mode instead of wrapping.
+    """
+    cents = (_c(x) * 100).cast("bigint")
+    return F.sum(cents).cast("decimal(38,0)") * F.lit(0.01).cast("decimal(2,2)")

@@ -13,7 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boxoffice.functions.money import money, money18, money38, money_or_zero, zero_then_money
+from boxoffice.functions.money import (money, money18, money38, money_or_zero, sum_money,
+                                       zero_then_money)
 from boxoffice.functions.time import ts
 from boxoffice.sources.tables import Tables
 
@@ -162,11 +163,11 @@ def _remit(t: Tables, conv) -> DataFrame:
     """
     g = _remit_joined(t).groupBy(*REMIT_KEYS).agg(
         F.count("*").alias("sold"),
-        money38(F.sum(conv("price"))).alias("face_value_admissions_total"),
-        money38(F.sum(conv("let_tax"))).alias("let_total"),
-        money38(F.sum(conv("venue_fee"))).alias("service_charge_total"),
-        money38(F.sum(conv("surcharge"))).alias("surcharge_total"),
-        money38(F.sum(conv("sales_tax"))).alias("sales_tax_total"))
+        sum_money(conv("price")).alias("face_value_admissions_total"),
+        sum_money(conv("let_tax")).alias("let_total"),
+        sum_money(conv("venue_fee")).alias("service_charge_total"),
+        sum_money(conv("surcharge")).alias("surcharge_total"),
+        sum_money(conv("sales_tax")).alias("sales_tax_total"))
     start = ts("start")
     return g.select(
         F.concat(F.date_format(start, "yy/MM/dd"), F.lit(" "), F.col("name")).alias("event_details"),

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from boxoffice.functions.money import money_or_zero, money_text
+from boxoffice.functions.money import money_or_zero, money_text, sum_money
 from boxoffice.functions.text import underscore_slug, url_slug
 from boxoffice.functions.time import ts, ts_lit
 from boxoffice.params import (AS_OF, CHARGE_LOOKBACK_DAYS, CHARGE_LOOKBACK_DEFAULT,
@@ -55,7 +55,7 @@ def orders_enriched(t: Tables) -> DataFrame:
 def order_face_value(t: Tables) -> DataFrame:
     """N-5: sum of an order's ticket prices as ``%.2f`` text (partial aggregation)."""
     return (t.tickets.groupBy("order_id")
-            .agg(F.sum(money_or_zero("price")).alias("fv"))
+            .agg(sum_money(money_or_zero("price")).alias("fv"))
             .select("order_id", money_text("fv").alias("order_total_face_value")))
 
 

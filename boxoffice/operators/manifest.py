@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boxoffice.functions.money import money_or_zero, money18, money38, money_text
+from boxoffice.functions.money import money_or_zero, money18, money38, money_text, sum_money
 from boxoffice.functions.text import strip_spaces
 from boxoffice.functions.time import ts
 from boxoffice.params import (BAR_CARD_AMOUNT, BAR_CARD_PATTERN, FINAL_CSV_COLUMNS,
@@ -54,11 +54,11 @@ def event_manifest(t: Tables, event_id: str | None = None) -> DataFrame:
     lines = k.groupBy("event_id", "ticket_name", "price", "surcharge",
                       F.col("let_tax").alias("per_ticket_let")).agg(
         F.count("*").alias("quantity"),
-        F.sum("price").alias("sum_subtotal"),
-        F.sum("surcharge").alias("sum_surcharge"),
-        F.sum("let_tax").alias("sum_let_tax"),
-        F.sum("sales_tax").alias("sum_sales_tax"),
-        F.sum("venue_fee").alias("sum_venue_fee"))
+        sum_money("price").alias("sum_subtotal"),
+        sum_money("surcharge").alias("sum_surcharge"),
+        sum_money("let_tax").alias("sum_let_tax"),
+        sum_money("sales_tax").alias("sum_sales_tax"),
+        sum_money("venue_fee").alias("sum_venue_fee"))
     e = _event_fields(t)
     j = lines.join(e, lines.event_id == e.e_id)
     open_time = ts("start")
@@ -206,9 +206,9 @@ def _csv_rows(t: Tables, columns: list[str]) -> DataFrame:
                       F.lit(BAR_CARD_AMOUNT).cast("decimal(10,2)")).otherwise(F.lit(0).cast("decimal(10,2)")))
     keys = ["event_id", "ticket_name", "price", "surcharge", "let_tax"]
     g = k.groupingSets([keys, ["event_id"]], *keys).agg(
-        F.count("*").alias("sold"), F.sum("price").alias("subtotal"), F.sum("bar").alias("bar"),
-        F.sum("let_tax").alias("let_sum"), F.sum("surcharge").alias("surcharge_sum"),
-        F.sum("sales_tax").alias("sales_tax_sum"), F.sum("venue_fee").alias("venue_fee_sum"),
+        F.count("*").alias("sold"), sum_money("price").alias("subtotal"), sum_money("bar").alias("bar"),
+        sum_money("let_tax").alias("let_sum"), sum_money("surcharge").alias("surcharge_sum"),
+        sum_money("sales_tax").alias("sales_tax_sum"), sum_money("venue_fee").alias("venue_fee_sum"),
         F.grouping("ticket_name").alias("row_kind"))
     e = _event_fields(t)
     j = g.join(e, g.event_id == e.e_id)

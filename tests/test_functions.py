@@ -94,3 +94,12 @@ def test_preview_instant_no_rollover():
     # 2024-01-04 22:35 Pacific = 2024-01-05 06:35 UTC: same Pacific day, so 22:31 is in the past
     assert preview_instant(dt.datetime(2024, 1, 5, 6, 35)) == dt.datetime(2024, 1, 5, 6, 31)
     assert preview_instant(dt.datetime(2024, 1, 15, 12, 0)) == dt.datetime(2024, 1, 16, 6, 31)
+
+
+def test_sum_money_exact_and_null(spark):
+    from boxoffice.functions.money import sum_money
+    df = spark.createDataFrame([("a", "0.10"), ("a", "0.20"), ("a", "999999.99"), ("b", None)],
+                               "k string, x string")
+    got = {r["k"]: r["s"] for r in df.groupBy("k").agg(sum_money(money("x")).alias("s")).collect()}
+    assert got["a"] == Decimal("1000000.29")
+    assert got["b"] is None
