@@ -41,7 +41,7 @@ def candidate_events(t: Tables, as_of: dt.datetime = AS_OF,
                      venues: list[str] = VENUE_IDS) -> DataFrame:
     """D-1/D-2: listed venues' events whose start date is within +-2 days."""
     c = cutoffs(as_of)
-    d = F.to_date(ts("start"))
+    d = F.col("event_date")  # = CAST(CAST(start AS TIMESTAMP) AS DATE), typed and pushable
     return (t.events.filter(F.col("organization_id").isin(venues))
             .filter(d.between(F.lit(c["start_date"]), F.lit(c["end_date"])))
             .select(F.col("location").alias("venue"), F.col("name").alias("event_title"),

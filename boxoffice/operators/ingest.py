@@ -19,6 +19,7 @@ from boxoffice.functions.time import ts, ts_lit
 from boxoffice.params import (AS_OF, CHARGE_LOOKBACK_DAYS, CHARGE_LOOKBACK_DEFAULT,
                               EVENT_RANGE_PRESETS, EVENT_RANGE_TEST, FEE_TYPES)
 from boxoffice.sources import raw
+from boxoffice.sources.fixtures import EVENT_COLUMNS
 from boxoffice.sources.tables import Tables
 
 FEE_MAP = T.MapType(T.StringType(), T.StringType())
@@ -96,7 +97,8 @@ def checkins(t: Tables) -> DataFrame:
 
 def events_without_orders(t: Tables) -> DataFrame:
     """N-8: events that land only their event row."""
-    return t.events.join(t.orders.select(F.col("event_id").alias("id")), "id", "left_anti")
+    return (t.events.join(t.orders.select(F.col("event_id").alias("id")), "id", "left_anti")
+            .select(*EVENT_COLUMNS))
 
 
 def event_range_bounds(preset: str | None, as_of: dt.datetime = AS_OF):
@@ -115,7 +117,7 @@ def events_in_range(t: Tables, preset: str | None = "current", as_of: dt.datetim
                     organization_id: str | None = None) -> DataFrame:
     """P-14/P-16: events whose start date falls in the preset's day range."""
     lo, hi = event_range_bounds(preset, as_of)
-    d = F.to_date(ts("start"))
+    d = F.col("event_date")  # typed start date: the bounds reach the parquet scan
     e = t.events
     if lo is not None:
         e = e.filter(d >= F.lit(lo))
@@ -123,7 +125,7 @@ def events_in_range(t: Tables, preset: str | None = "current", as_of: dt.datetim
         e = e.filter(d <= F.lit(hi))
     if organization_id is not None:
         e = e.filter(F.col("organization_id") == organization_id)
-    return e
+    return e.select(*EVENT_COLUMNS)
 
 
 def charges_extract(raw_charges: DataFrame) -> DataFrame:

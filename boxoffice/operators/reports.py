@@ -21,9 +21,12 @@ from boxoffice.params import AS_OF, RECENT_SALES_HOURS, REPORT_HORIZON_DAYS, VEN
 from boxoffice.sources.tables import Tables
 
 
-def _sales(t: Tables, venues: list[str]) -> DataFrame:
-    """Tickets with their event and order fields, for listed venues only."""
-    e = t.events.filter(F.col("organization_id").isin(venues)).select(
+def _sales(t: Tables, venues: list[str], first_day: dt.date, last_day: dt.date) -> DataFrame:
+    """Tickets with their event and order fields, for listed venues and events whose
+    start date is within [first_day, last_day] (a pushable superset of the exact
+    start-time window each report applies)."""
+    e = t.events.filter(F.col("organization_id").isin(venues)
+                        & F.col("event_date").between(F.lit(first_day), F.lit(last_day))).select(
         F.col("id").alias("e_id"), "name", "organization_name", "start")
     o = t.orders.select(F.col("id").alias("o_id"), F.col("event_id").alias("o_event_id"),
                         "paid_date_utc")
@@ -42,7 +45,7 @@ def party_pass_weekly(t: Tables, as_of: dt.datetime = AS_OF,
     (first element of an unordered array) is made deterministic as ``min``."""
     start = ts("start")
     horizon = as_of + dt.timedelta(days=REPORT_HORIZON_DAYS)
-    s = _sales(t, venues).filter(
+    s = _sales(t, venues, as_of.date(), horizon.date()).filter(
         F.lower("ticket_type_name").contains("party pass")
         & (start > ts_lit(as_of)) & (start <= ts_lit(horizon)))
     return s.groupBy(F.date_format(F.date_trunc("week", start), "yyyy-MM-dd").alias("week_start"),
@@ -58,7 +61,8 @@ def upcoming_sales(t: Tables, as_of: dt.datetime = AS_OF,
     starting in [as_of, as_of + 60 days], with the last-24-hours count."""
     start = ts("start")
     horizon = as_of + dt.timedelta(days=REPORT_HORIZON_DAYS)
-    s = _sales(t, venues).filter(start.between(ts_lit(as_of), ts_lit(horizon)))
+    s = _sales(t, venues, as_of.date(), horizon.date()).filter(
+        start.between(ts_lit(as_of), ts_lit(horizon)))
     return s.groupBy(F.col("name").alias("event_name"),
                      F.col("organization_name").alias("venue_name"),
                      F.to_date(start).alias("event_date"),

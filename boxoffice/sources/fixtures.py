@@ -25,6 +25,11 @@ def _money_text(x: Column) -> Column:
     return x.cast("decimal(10,2)").cast(S)
 
 
+# The event record's own fields (``event_date`` is a derived, typed column).
+EVENT_COLUMNS = ["id", "name", "organization_id", "organization_name", "location", "start",
+                 "start_utc"]
+
+
 def events(customer: DataFrame, nation: DataFrame) -> DataFrame:
     c, n = customer.alias("c"), nation.alias("n")
     k = F.col("c.c_custkey")
@@ -35,7 +40,10 @@ def events(customer: DataFrame, nation: DataFrame) -> DataFrame:
                     F.col("n.n_name").alias("organization_name"),
                     F.concat(F.col("n.n_name"), F.lit(" Hall")).alias("location"),
                     F.concat(_day(k % 55), F.lit(" 22:30:00")).alias("start"),
-                    F.concat(_day(k % 55 + 1), F.lit(" 06:30:00")).alias("start_utc")))
+                    F.concat(_day(k % 55 + 1), F.lit(" 06:30:00")).alias("start_utc"),
+                    # typed local start date ([decision] in SURVEY 4): date-range filters
+                    # on it reach the parquet scan, unlike a cast of the start text
+                    F.date_add(F.lit(BASE_DATE).cast("date"), (k % 55).cast("int")).alias("event_date")))
 
 
 def _fee(k: Column, mod: int, value: str) -> Column:

@@ -57,7 +57,7 @@ def snapshot_batches(t: Tables, as_of: dt.datetime = AS_OF) -> list[DataFrame]:
     with their start moved one day later (a reschedule)."""
     e = t.events
     first = e.withColumn("ingested_at", ts_lit(as_of - dt.timedelta(hours=1)))
-    d = F.to_date(ts("start"))
+    d = F.col("event_date")
     day = as_of.date()
     cur = e.filter(d.between(F.lit(day - dt.timedelta(days=1)), F.lit(day + dt.timedelta(days=2))))
     shift = F.expr(f"INTERVAL {RESCHEDULE_DAYS} DAYS")
