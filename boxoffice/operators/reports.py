@@ -25,12 +25,14 @@ def _sales(t: Tables, venues: list[str], first_day: dt.date, last_day: dt.date)
     """Tickets with their event and order fields, for listed venues and events whose
     start date is within [first_day, last_day] (a pushable superset of the exact
     start-time window each report applies)."""
-    e = t.events.filter(F.col("organization_id").isin(venues)
-                        & F.col("event_date").between(F.lit(first_day), F.lit(last_day))).select(
+    days = F.col("event_date").between(F.lit(first_day), F.lit(last_day))
+    e = t.events.filter(F.col("organization_id").isin(venues) & days).select(
         F.col("id").alias("e_id"), "name", "organization_name", "start")
-    o = t.orders.select(F.col("id").alias("o_id"), F.col("event_id").alias("o_event_id"),
-                        "paid_date_utc")
-    k = t.tickets.select(F.col("order_id").alias("k_order_id"), "ticket_type_name", "price")
+    # orders and tickets carry their event's date: the same bound prunes their scans
+    o = t.orders.filter(days).select(F.col("id").alias("o_id"), F.col("event_id").alias("o_event_id"),
+                                     "paid_date_utc")
+    k = t.tickets.filter(days).select(F.col("order_id").alias("k_order_id"), "ticket_type_name",
+                                      "price")
     return e.join(o, e.e_id == o.o_event_id).join(k, k.k_order_id == o.o_id)
 
 

@@ -21,6 +21,12 @@ def _day(offset: Column) -> Column:
     return F.date_add(F.lit(BASE_DATE).cast("date"), offset.cast("int")).cast(S)
 
 
+def _event_date(custkey: Column) -> Column:
+    """The (typed) local start date of the event ``custkey``; carried on events and,
+    denormalised at landing, on their orders and tickets."""
+    return F.date_add(F.lit(BASE_DATE).cast("date"), (custkey % 55).cast("int"))
+
+
 def _money_text(x: Column) -> Column:
     return x.cast("decimal(10,2)").cast(S)
 
@@ -43,7 +49,7 @@ def events(customer: DataFrame, nation: DataFrame) -> DataFrame:
                     F.concat(_day(k % 55 + 1), F.lit(" 06:30:00")).alias("start_utc"),
                     # typed local start date ([decision] in SURVEY 4): date-range filters
                     # on it reach the parquet scan, unlike a cast of the start text
-                    F.date_add(F.lit(BASE_DATE).cast("date"), (k % 55).cast("int")).alias("event_date")))
+                    _event_date(k).alias("event_date")))
 
 
 def _fee(k: Column, mod: int, value: str) -> Column:
@@ -68,7 +74,8 @@ def orders(orders_raw: DataFrame) -> DataFrame:
                     _fee(k, 3, "4.00").alias("fee_surcharge"),
                     _fee(k, 4, "1.25").alias("fee_let_tax"),
                     _fee(k, 5, "0.75").alias("fee_sales_tax"),
-                    _fee(k, 7, "3.00").alias("fee_venue_fee")))
+                    _fee(k, 7, "3.00").alias("fee_venue_fee"),
+                    _event_date(ck).alias("event_date")))
 
 
 # Ticket type names by l_partkey % 8 (fixed fixture values, in order 0..7).
@@ -117,6 +124,7 @@ def tickets(lineitem: DataFrame, orders_raw: DataFrame) -> DataFrame:
         F.when(F.col("l_discount") > 0, F.lit("3.00")).alias("venue_fee"),
         (F.col("l_returnflag") == "R").alias("redeemed"),
         F.when(F.col("l_linestatus") == "F", F.lit("PROMO")).alias("promo_code"),
+        _event_date(F.col("o_custkey")).alias("event_date"),
     )
 
 
