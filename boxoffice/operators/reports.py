@@ -162,7 +162,12 @@ def scalar_probe(t: Tables) -> DataFrame:
 
 
 def result_text_rows(t: Tables, as_of: dt.datetime = AS_OF) -> DataFrame:
-    """S-11: a result as name -> text maps (every value as text)."""
+    """S-11: a result in the original's text shapes, one row per result row: a
+    name -> text map (hash form) and the text cells in column order (array form;
+    the header is the column list). Every value is text, as the query service
+    returned it."""
     u = upcoming_sales(t, as_of)
-    return u.select(F.create_map(*[x for c in u.columns
-                                   for x in (F.lit(c), F.col(c).cast("string"))]).alias("row"))
+    texts = [F.col(c).cast("string") for c in u.columns]
+    return u.select(F.create_map(*[x for c, v in zip(u.columns, texts) for x in (F.lit(c), v)])
+                    .alias("row"),
+                    F.array(*texts).alias("cells"))

@@ -208,9 +208,6 @@ ORACLE["manifest_csv_final"] = _with_extra(
     MANIFEST_LINES, f"SELECT * EXCLUDE (total_surcharge) FROM ({_CSV_DETAIL})")
 
 # --- facts -------------------------------------------------------------------
-_TS = "CAST({} AS TIMESTAMP)"
-
-
 def _c(col: str) -> str:
     return coalesced(col)
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -26,6 +27,7 @@ from boxoffice.sources import fixtures
 LANDED = ["events", "orders", "tickets", "raw_charges", "control"]
 # Bumped whenever the derivation changes, so a stale landed copy is never read.
 LANDING_VERSION = "3"
+_LAND_LOCK = threading.Lock()  # callers sharing one driver land one folder at a time
 
 DRIVER_TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -139,6 +141,11 @@ def land_tables(spark: SparkSession, root: str, refresh: bool = False) -> str:
     A table counts as landed only once its write committed (``_SUCCESS``); a
     half-written folder (a lost driver mid-write) is simply landed again.
     """
+    with _LAND_LOCK:
+        return _land(spark, root, refresh)
+
+
+def _land(spark: SparkSession, root: str, refresh: bool) -> str:
     base = landed_root(spark, root)
     src = Tables(spark, root.rstrip("/"))
     for name in LANDED:
