@@ -166,5 +166,11 @@ def load_tables(spark: SparkSession, root: str, landed: bool = True) -> Tables:
     landed on first use and read from Parquet afterwards."""
     root = root.rstrip("/")
     if landed:
-        land_tables(spark, root)
+        try:
+            land_tables(spark, root)
+        except Exception as e:  # no writable shared folder: derive inline instead
+            import warnings
+            warnings.warn(f"landing the derived tables failed ({type(e).__name__}); "
+                          "deriving them inline")
+            landed = False
     return Tables(spark, root, landed=landed)
