@@ -141,33 +141,50 @@ def order_fact(t: Tables) -> DataFrame:
     )
 
 
-def _remit_joined(t: Tables) -> DataFrame:
-    e = _events(t)
-    o = _orders(t)
-    k = t.tickets.select(F.col("order_id").alias("k_order_id"), "ticket_type_id", "ticket_type_name",
-                         "price", "surcharge", "let_tax", "venue_fee", "sales_tax")
-    return (e.join(o, e.e_id == o.o_event_id)
-             .join(k, k.k_order_id == o.o_id)
-             .join(_charges(t), o.o_id == F.col("c_order_id"), "left"))
+TICKET_KEYS = ["ticket_type_id", "ticket_type_name", "price", "surcharge", "let_tax",
+               "venue_fee", "sales_tax"]
+REMIT_KEYS = ["start", "organization_name", "name"] + TICKET_KEYS
 
 
-REMIT_KEYS = ["start", "organization_name", "name", "ticket_type_id", "ticket_type_name",
-              "price", "surcharge", "let_tax", "venue_fee", "sales_tax"]
+def charge_weights(t: Tables) -> DataFrame:
+    """Charges per order: the fan-out of the left join of orders with charges."""
+    return t.charges.groupBy(F.col("ticketsauce_order_id").alias("w_order_id")) \
+                    .agg(F.count("*").alias("n_charges"))
 
 
 def _remit(t: Tables, conv) -> DataFrame:
     """A-3/A-4: grouped by the raw text columns; ``conv`` turns text into money.
 
+    Same rows as the reference's join-then-group, computed in two aggregates:
+
+    * tickets join their order (order id) and are weighted by the order's charge
+      count (at least 1: the left join keeps orders without a charge), which is
+      exactly the fan-out of the join with the charges;
+    * they are aggregated per event and ticket attributes (map-side combined,
+      so one hot event does not need one task), then joined to the events and
+      re-aggregated on the reference's keys (two events may share start, venue
+      and name).
+
     With ``zero_then_money`` a null and a ``'0.00'`` fee stay separate groups
     that print identically (A-5), as in the reference.
     """
-    g = _remit_joined(t).groupBy(*REMIT_KEYS).agg(
-        F.count("*").alias("sold"),
-        sum_money(conv("price")).alias("face_value_admissions_total"),
-        sum_money(conv("let_tax")).alias("let_total"),
-        sum_money(conv("venue_fee")).alias("service_charge_total"),
-        sum_money(conv("surcharge")).alias("surcharge_total"),
-        sum_money(conv("sales_tax")).alias("sales_tax_total"))
+    k = t.tickets.select(F.col("order_id").alias("k_order_id"), *TICKET_KEYS)
+    o = _orders(t)
+    w = F.greatest(F.coalesce(F.col("n_charges"), F.lit(0)), F.lit(1))
+    j = (k.join(o, k.k_order_id == o.o_id)
+          .join(charge_weights(t), o.o_id == F.col("w_order_id"), "left"))
+    per_event = j.groupBy("o_event_id", *TICKET_KEYS).agg(
+        F.sum(w).alias("sold"),
+        *[sum_money(conv(c) * w).alias(f"s_{c}")
+          for c in ("price", "let_tax", "venue_fee", "surcharge", "sales_tax")])
+    e = _events(t)
+    g = per_event.join(e, per_event.o_event_id == e.e_id).groupBy(*REMIT_KEYS).agg(
+        F.sum("sold").alias("sold"),
+        money38(F.sum("s_price")).alias("face_value_admissions_total"),
+        money38(F.sum("s_let_tax")).alias("let_total"),
+        money38(F.sum("s_venue_fee")).alias("service_charge_total"),
+        money38(F.sum("s_surcharge")).alias("surcharge_total"),
+        money38(F.sum("s_sales_tax")).alias("sales_tax_total"))
     start = ts("start")
     return g.select(
         F.concat(F.date_format(start, "yy/MM/dd"), F.lit(" "), F.col("name")).alias("event_details"),
@@ -180,7 +197,8 @@ def _remit(t: Tables, conv) -> DataFrame:
         money18(conv("let_tax")).alias("let_per_ticket"),
         money18(conv("venue_fee")).alias("service_charge_per_ticket"),
         money18(conv("sales_tax")).alias("sales_tax_per_ticket"),
-        "sold", "face_value_admissions_total", "let_total", "service_charge_total",
+        F.col("sold").cast("bigint").alias("sold"),
+        "face_value_admissions_total", "let_total", "service_charge_total",
         "surcharge_total", "sales_tax_total")
 
 
