@@ -18,6 +18,7 @@ from boxoffice.functions.time import (from_pacific, iso_millis_z, to_pacific, ts
                                       week_start_mon,
                                       week_start_sun)
 from boxoffice.params import AS_OF, RECENT_SALES_HOURS, REPORT_HORIZON_DAYS, VENUE_IDS
+from boxoffice.operators.joins import salted_join
 from boxoffice.sources.tables import Tables
 
 
@@ -33,7 +34,7 @@ def _sales(t: Tables, venues: list[str], first_day: dt.date, last_day: dt.date)
                                      "paid_date_utc")
     k = t.tickets.filter(days).select(F.col("order_id").alias("k_order_id"), "ticket_type_name",
                                       "price")
-    return e.join(o, e.e_id == o.o_event_id).join(k, k.k_order_id == o.o_id)
+    return salted_join(o, e, "o_event_id", "e_id", ["o_id"]).join(k, k.k_order_id == o.o_id)
 
 
 def _recent(as_of: dt.datetime):

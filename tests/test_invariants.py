@@ -119,3 +119,16 @@ def test_initialize_adds_only_missing(tables_mid):
     assert new.select("event_key").distinct().count() == new.count()
     missing = dv.control_rows_missing(tables_mid.control, cand).count()
     assert new.count() == tables_mid.control.count() + missing
+
+
+def test_salted_join_equals_plain_join_with_a_hot_key(spark):
+    from boxoffice.operators.joins import salted_join
+    # key "hot" holds half of the big side's rows; "none" has no dimension row
+    big = spark.createDataFrame([(f"o{i}", "hot" if i % 2 == 0 else f"k{i % 7}") for i in range(400)]
+                                + [("ox", "none")], "o_id string, ev string")
+    dim = spark.createDataFrame([("hot", "Hot Hall")] + [(f"k{i}", f"Hall {i}") for i in range(7)],
+                                "e_id string, venue string")
+    for how in ("inner", "left"):
+        plain = big.join(dim, big.ev == dim.e_id, how).select("o_id", "ev", "venue")
+        salted = salted_join(big, dim, "ev", "e_id", ["o_id"], how).select("o_id", "ev", "venue")
+        assert sorted(plain.collect()) == sorted(salted.collect())
