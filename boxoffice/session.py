@@ -84,7 +84,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = tempfile.mkdtemp(prefix="boxoffice-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    try:  # classic sessions: also the folder for DataFrame.checkpoint()
+        spark.sparkContext.setCheckpointDir(d)
+    except Exception:  # Spark Connect has no SparkContext; the folder is still used for writes
+        pass
     return d
 
 
