@@ -75,15 +75,22 @@ def apply_conf(spark: SparkSession) -> None:
             pass
 
 
+_LOCAL_CKPT: dict[int, str] = {}  # sessions without spark.checkpoint.dir (tests only)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names it; only when it is unset (local tests) do we create one.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_CKPT.get(id(spark))
     if not d:
         d = tempfile.mkdtemp(prefix="boxoffice-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        _LOCAL_CKPT[id(spark)] = d
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # a core setting may be read-only at runtime; keep it here
+            pass
     try:  # classic sessions: also the folder for DataFrame.checkpoint()
         spark.sparkContext.setCheckpointDir(d)
     except Exception:  # Spark Connect has no SparkContext; the folder is still used for writes
