@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from boxoffice.functions.money import (money, money18, money38, money_or_zero, sum_money,
                                        zero_then_money)
 from boxoffice.functions.time import ts
+from boxoffice.params import PAYMENT_GATEWAY, VOID_TEXT
 from boxoffice.operators.joins import salted_join
 from boxoffice.sources.tables import Tables
 
@@ -71,8 +72,8 @@ def ticket_fact(t: Tables) -> DataFrame:
         F.col("first_name").alias("order_first_name"),
         F.col("last_name").alias("order_last_name"),
         paid.alias("final_at_UTC"),
-        F.lit("false").alias("void"),
-        F.lit("Stripe").alias("payment_gateway"),
+        F.lit(VOID_TEXT).alias("void"),
+        F.lit(PAYMENT_GATEWAY).alias("payment_gateway"),
         F.lit("").alias("learned_from"),
         F.col("k_id").alias("id"),
         paid.alias("created_at_UTC"),
@@ -134,8 +135,8 @@ def order_fact(t: Tables) -> DataFrame:
         F.col("email").alias("order_email"),
         "opted_in", "opted_in_sms",
         paid.alias("final_at_UTC"),
-        F.lit("false").alias("void"),
-        F.lit("Stripe").alias("payment_gateway"),
+        F.lit(VOID_TEXT).alias("void"),
+        F.lit(PAYMENT_GATEWAY).alias("payment_gateway"),
         F.lit("").alias("learned_from"),
         paid.alias("created_at_UTC"),
         F.col("o_event_id").alias("event_id"),
@@ -278,8 +279,8 @@ def bi_ticket_dataset(t: Tables) -> DataFrame:
         F.col("first_name").alias("order_first_name"),
         F.col("last_name").alias("order_last_name"),
         paid.alias("final_at_UTC"),
-        F.lit("false").alias("void"),
-        F.lit("Stripe").alias("payment_gateway"),
+        F.lit(VOID_TEXT).alias("void"),
+        F.lit(PAYMENT_GATEWAY).alias("payment_gateway"),
         F.lit("").alias("learned_from"),
         F.col("k_id").alias("id"),
         paid.alias("created_at_UTC"),

@@ -17,7 +17,8 @@ from boxoffice.functions.money import money_or_zero, money_text, sum_money
 from boxoffice.functions.text import underscore_slug, url_slug
 from boxoffice.functions.time import ts, ts_lit
 from boxoffice.params import (AS_OF, CHARGE_LOOKBACK_DAYS, CHARGE_LOOKBACK_DEFAULT,
-                              EVENT_RANGE_PRESETS, EVENT_RANGE_TEST, FEE_TYPES)
+                              CHARGES_TABLE, EVENT_RANGE_PRESETS, EVENT_RANGE_TEST, EVENTS_TABLE,
+                              EXCLUDED_DESCRIPTOR, FEE_TYPES, UNKNOWN_VENUE)
 from boxoffice.sources import raw
 from boxoffice.sources.fixtures import EVENT_COLUMNS
 from boxoffice.sources.tables import Tables
@@ -129,9 +130,10 @@ def events_in_range(t: Tables, preset: str | None = "current", as_of: dt.datetim
 
 
 def charges_extract(raw_charges: DataFrame) -> DataFrame:
-    """S-7: succeeded charges not matching /ticket driver/i; a null descriptor is kept."""
+    """S-7: succeeded charges whose descriptor does not match the excluded one
+    (case-insensitive); a null descriptor is kept."""
     keep = (F.col("status") == "succeeded") & \
-        ~F.coalesce(F.col("statement_descriptor"), F.lit("")).rlike("(?i)ticket driver")
+        ~F.coalesce(F.col("statement_descriptor"), F.lit("")).rlike(f"(?i){EXCLUDED_DESCRIPTOR}")
     return raw_charges.filter(keep).select(
         "id", F.timestamp_seconds("created").alias("created"),
         F.col("meta_event_start").alias("event_date"), "payment_intent",
@@ -155,7 +157,7 @@ def pages_flatten(t: Tables) -> DataFrame:
 def event_partition_columns(events: DataFrame) -> DataFrame:
     """S-2 for events: venue slug, year, English month name, zero-padded day."""
     start = ts("start")
-    return events.select(F.lit("events").alias("table_name"), url_slug("id").alias("key"),
+    return events.select(F.lit(EVENTS_TABLE).alias("table_name"), url_slug("id").alias("key"),
                          url_slug("organization_name").alias("venue"),
                          F.date_format(start, "yyyy").alias("year"),
                          F.date_format(start, "MMMM").alias("month"),
@@ -164,8 +166,8 @@ def event_partition_columns(events: DataFrame) -> DataFrame:
 
 def charge_partition_columns(charges: DataFrame) -> DataFrame:
     """S-2 for charges: ``venue=unknown`` and an unpadded day."""
-    return charges.select(F.lit("stripe_charges").alias("table_name"), url_slug("id").alias("key"),
-                          F.lit("unknown").alias("venue"),
+    return charges.select(F.lit(CHARGES_TABLE).alias("table_name"), url_slug("id").alias("key"),
+                          F.lit(UNKNOWN_VENUE).alias("venue"),
                           F.date_format("created", "yyyy").alias("year"),
                           F.date_format("created", "MMMM").alias("month"),
                           F.date_format("created", "d").alias("day"))

@@ -96,6 +96,16 @@ PRELIM_LEAD_DAYS = 1
 # Preview instant of the daily schedule in Pacific wall-clock time.
 PREVIEW_HOUR, PREVIEW_MINUTE = 22, 31
 
+# Literal output values of the facts.
+PAYMENT_GATEWAY = "Stripe"
+VOID_TEXT = "false"
+# Card charges whose statement descriptor matches this (case-insensitive) are excluded.
+EXCLUDED_DESCRIPTOR = "ticket driver"
+# Landing table names used in partition paths.
+EVENTS_TABLE = "events"
+CHARGES_TABLE = "stripe_charges"
+UNKNOWN_VENUE = "unknown"
+
 # --- run parameters used with the driver tables ----------------------------
 AS_OF = dt.datetime(2024, 1, 15, 12, 0, 0)
 AS_OF_SQL = "TIMESTAMP '2024-01-15 12:00:00'"
