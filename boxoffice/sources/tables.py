@@ -119,6 +119,12 @@ class Tables:
 def landed_root(spark: SparkSession, root: str) -> str:
     """Folder of the landed ticket-sales tables of one input folder."""
     key = f"{os.path.abspath(root)}|{LANDING_VERSION}"
+    if "://" not in root:  # local inputs: a rewritten source file gets a new landed copy
+        for name in ("customer", "nation", "orders", "lineitem"):
+            f = os.path.join(root, f"{name}.parquet")
+            if os.path.exists(f):
+                st = os.stat(f)
+                key += f"|{name}:{st.st_size}:{int(st.st_mtime)}"
     sig = hashlib.sha1(key.encode()).hexdigest()[:16]
     return os.path.join(checkpoint_dir(spark), "landed", sig)
 
