@@ -9,6 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from boxoffice.llm.common import pick, table
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from boxoffice.llm.token_counts import count_tokens
+
+    return count_tokens(pick(table(spark, sf_dir, "documents"), "doc_id", "text"))
+
+
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from boxoffice.llm.bpe import encode_documents, encoding_report
+
+    return encoding_report(encode_documents(pick(table(spark, sf_dir, "documents"), "doc_id", "text")))
+
+
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     from boxoffice.llm.secret_scan import secret_report
 
@@ -16,6 +28,8 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_token_counts": op4_token_counts,
+    "op5_byte_bpe": op5_byte_bpe,
     "op10_secret_scans": op10_secret_scans,
 }
 
