@@ -21,6 +21,12 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding_report(encode_documents(pick(table(spark, sf_dir, "documents"), "doc_id", "text")))
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from boxoffice.llm.simhash import near_duplicates
+
+    return near_duplicates(pick(table(spark, sf_dir, "documents"), "doc_id", "text"))
+
+
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     from boxoffice.llm.secret_scan import secret_report
 
@@ -30,6 +36,7 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_counts": op4_token_counts,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_simhash": op6_simhash,
     "op10_secret_scans": op10_secret_scans,
 }
 
