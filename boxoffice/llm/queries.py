@@ -9,6 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from boxoffice.llm.common import pick, table
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from boxoffice.llm.mixing import mixture
+
+    mixed = mixture(pick(table(spark, sf_dir, "documents"), "doc_id", "text", "source"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from boxoffice.llm.token_counts import count_tokens
 
@@ -34,6 +41,7 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
     "op4_token_counts": op4_token_counts,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_simhash": op6_simhash,
