@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from boxoffice.llm.common import pick, table
 
@@ -16,6 +17,13 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from boxoffice.llm.neighbours import EVERY, nearest
+
+    vectors = pick(table(spark, sf_dir, "embeddings"), "vec_id", "embedding").withColumnRenamed("embedding", "vector")
+    return nearest(vectors, vectors.filter(F.col("vec_id") % EVERY == 0))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from boxoffice.llm.token_counts import count_tokens
 
@@ -42,10 +50,12 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op3_neighbours": op3_neighbours,
     "op4_token_counts": op4_token_counts,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_simhash": op6_simhash,
     "op10_secret_scans": op10_secret_scans,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+}
