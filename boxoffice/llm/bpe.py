@@ -1,13 +1,14 @@
 """Byte-level BPE encoding and decoding by a lazily determinised transducer.
 
 A sequence of tokens is the BPE encoding of its bytes exactly if every two
-neighbours are (no merge fires across their border). So the encodings of the
-prefixes of a text form a nondeterministic transducer over the vocabulary's
-trie: each prefix has one encoding, and a longer one extends the encoding of
-some prefix by a token. Its subset construction has as states the open paths
-into the trie, each with the tokens before it that are not yet common to all;
-what is common is emitted. No path is longer than the longest token, which
-bounds the lookahead. States and edges are made when first needed.
+neighbours are (no merge fires across their border). Each prefix of a text has
+one encoding, and a longer one extends that of some prefix by one token. So a
+state of the subset construction holds the open paths into the vocabulary's
+trie, each with the token before it; reading a byte moves the paths on and
+closes the one token that ends the encoding of what has been read. States and
+edges are made when first needed. Tokens are emitted as far as all open paths
+agree on them; no path is longer than the longest token, which bounds the
+lookahead.
 
 Decoding joins the tokens' bytes and runs an incremental UTF-8 decoder, whose
 state is the unfinished sequence at the end of what it has seen.
@@ -15,6 +16,7 @@ state is the unfinished sequence at the end of what it has seen.
 
 from __future__ import annotations
 
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -28,142 +30,155 @@ from boxoffice.llm.token_counts import read_ranks
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 # Bounds on what a worker remembers; beyond them it starts afresh.
-REMEMBERED_PIECES, REMEMBERED_CHARS, REMEMBERED_EDGES = 200_000, 40, 400_000
+REMEMBERED_PIECES, REMEMBERED_CHARS, REMEMBERED_EDGES = 300_000, 40, 1_000_000
+EMIT_STEP = 4096  # bytes after which a long piece's settled tokens are emitted
 DECODE_STEP = 4096  # tokens that the streaming decoder takes at a time
-FOREVER = 1 << 60
+FOREVER, LAST = 1 << 60, (1 << 17) - 1
 
 
-class Borders:
-    """Whether two tokens can be neighbours in an encoding."""
+class Borders(dict):
+    """Whether two tokens can be neighbours in an encoding, by (left + 1) << 17 | right."""
 
     def __init__(self, ranks: dict[bytes, int]) -> None:
+        super().__init__()
         self.ranks = ranks
-        self.parts: dict[bytes, tuple[bytes, bytes]] = {}
-        self.known: dict[tuple[bytes, bytes], bool] = {}
+        self.bytes_of = {rank: token for token, rank in ranks.items()}
+        self.edges: dict[tuple[int, int], list[tuple[bytes, int, int]]] = {}
 
     def halves(self, token: bytes) -> tuple[bytes, bytes]:
         """The two tokens whose merge makes ``token``."""
-        if token not in self.parts:
-            pieces = [token[i:i + 1] for i in range(len(token))]
-            while len(pieces) > 2:
-                best = min(range(len(pieces) - 1),
-                           key=lambda i: self.ranks.get(pieces[i] + pieces[i + 1], FOREVER))
-                pieces[best:best + 2] = [pieces[best] + pieces[best + 1]]
-            self.parts[token] = tuple(pieces)
-        return self.parts[token]
-
-    def edge(self, token: bytes, side: int) -> list[tuple[bytes, int, int]]:
-        """What stands at the token's right (1) or left (0) end over time: (symbol, from, until)."""
-        found, until = [], FOREVER
-        while len(token) > 1:
-            found.append((token, self.ranks[token], until))
-            until = self.ranks[token]
-            token = self.halves(token)[side]
-        return [*found, (token, -1, until)]
-
-    def allow(self, left: bytes, right: bytes) -> bool:
+        pieces = [token[i:i + 1] for i in range(len(token))]
+        while len(pieces) > 2:
+            best = min(range(len(pieces) - 1),
+                       key=lambda i: self.ranks.get(pieces[i] + pieces[i + 1], FOREVER))
+            pieces[best:best + 2] = [pieces[best] + pieces[best + 1]]
+        return pieces[0], pieces[1]
+
+    def edge(self, rank: int, side: int) -> list[tuple[bytes, int, int]]:
+        """What stands at a token's right (1) or left (0) end over time: (symbol, from, until)."""
+        if (rank, side) not in self.edges:
+            token, until, found = self.bytes_of[rank], FOREVER, []
+            while len(token) > 1:
+                found.append((token, self.ranks[token], until))
+                until = self.ranks[token]
+                token = self.halves(token)[side]
+            self.edges[rank, side] = [*found, (token, -1, until)]
+        return self.edges[rank, side]
+
+    def __missing__(self, key: int) -> bool:
         """No merge across the border comes before the merges inside the two tokens.
 
-        Equal merges go from left to right: one inside ``left`` precedes, one
-        inside ``right`` follows a merge across the border of the same rank.
+        Equal merges go from left to right: one inside the left token precedes,
+        one inside the right token follows a merge across of the same rank.
         """
-        if (left, right) not in self.known:
-            self.known[left, right] = not any(
-                (rank := self.ranks.get(a + b)) is not None
-                and max(rank, a_from, b_from) < a_until and max(rank, a_from) <= b_until and b_from < b_until
-                and max(a_from, b_from) < min(a_until, b_until)
-                for a, a_from, a_until in self.edge(left, 1) for b, b_from, b_until in self.edge(right, 0))
-        return self.known[left, right]
+        ranks = self.ranks
+        allowed = True
+        for a, a_from, a_until in self.edge((key >> 17) - 1, 1):
+            for b, b_from, b_until in self.edge(key & LAST, 0):
+                if max(a_from, b_from) < min(a_until, b_until) and (rank := ranks.get(a + b)) is not None \
+                        and max(rank, b_from) < a_until and max(rank, a_from) <= b_until:
+                    allowed = False
+        self[key] = allowed
+        return allowed
 
 
 class Transducer:
     """Bytes of a piece of text in, BPE tokens out.
 
-    A state is a tuple of (trie node, tokens since the last emitted one, that
-    one first if there is any) and whether one has been emitted.
+    A state is a tuple of paths, the longest first: trie node << 17 | token
+    before it + 1 (0: none). An edge is next state << 17 | token closed.
     """
 
     def __init__(self, ranks: dict[bytes, int]) -> None:
+        if len(ranks) >= LAST or any(bytes([b]) not in ranks for b in range(256)):
+            raise ValueError("the vocabulary must hold every single byte, and below 2^17 tokens")
         self.ranks = ranks
-        self.bytes_of = {rank: token for token, rank in ranks.items()}
+        self.length = {rank: len(token) for token, rank in ranks.items()}
         self.trie: dict[int, int] = {}
-        self.token_at: dict[int, bytes] = {}
-        nodes = 1
-        for token in ranks:
+        self.token_at, self.depth = [-1], [0]
+        for token, rank in ranks.items():
             node = 0
             for byte in token:
                 key = node << 8 | byte
                 if key not in self.trie:
-                    self.trie[key] = nodes
-                    nodes += 1
+                    self.trie[key] = len(self.token_at)
+                    self.token_at.append(-1)
+                    self.depth.append(self.depth[node] + 1)
                 node = self.trie[key]
-            self.token_at[node] = token
+            self.token_at[node] = rank
         self.borders = Borders(ranks)
         self.forget()
 
     def forget(self) -> None:
-        start = (((0, ()),), False)
-        self.states, self.numbers = [start], {start: 0}
-        self.edges: dict[int, tuple[int, tuple[int, ...]]] = {}
-        self.ends: dict[int, tuple[int, ...]] = {}
-        self.borders.known.clear()
-
-    def step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        """The edge of ``state`` for ``byte``: next state and emitted ranks."""
-        paths, emitted = self.states[state]
-        found, closed = [], None
-        for node, before in paths:
-            child = self.trie.get(node << 8 | byte)
+        self.states: list[tuple[int, ...]] = [(0,)]
+        self.numbers = {(0,): 0}
+        self.edges: dict[int, int] = {}
+        self.borders.clear()
+
+    def step(self, state: int, byte: int) -> int:
+        """Make the edge of ``state`` for ``byte``."""
+        trie, token_at, borders = self.trie, self.token_at, self.borders
+        paths, closed = [], -1
+        for path in self.states[state]:
+            child = trie.get(path >> 17 << 8 | byte)
             if child is None:
                 continue
-            found.append((child, before))
-            token = self.token_at.get(child)
-            if token is not None and closed is None and (not before or self.borders.allow(before[-1], token)):
-                closed = (*before, token)
-        if closed is not None:
-            found.append((0, closed))
-        if not found:
-            raise ValueError("the vocabulary must hold every single byte")
-        shared = 0
-        shortest = min(len(before) for _, before in found)
-        first = found[0][1]
-        while shared < shortest and all(before[shared] == first[shared] for _, before in found):
-            shared += 1
-        out = tuple(self.ranks[t] for t in first[int(emitted):shared])
-        keep = max(shared - 1, 0)
-        key = (tuple((node, before[keep:]) for node, before in found), shared > 0)
-        number = self.numbers.setdefault(key, len(self.states))
-        if number == len(self.states):
+            before = path & LAST
+            paths.append(child << 17 | before)
+            token = token_at[child]
+            if token >= 0 and closed < 0 and (not before or borders[before << 17 | token]):
+                closed = token
+        key = (*paths, closed + 1)
+        number = self.numbers.get(key)
+        if number is None:
+            number = self.numbers[key] = len(self.states)
             self.states.append(key)
-        self.edges[state << 8 | byte] = number, out
-        return number, out
+        edge = self.edges[state << 8 | byte] = number << 17 | closed
+        return edge
+
+    def back(self, closed: list[int], end: int) -> list[int]:
+        """The tokens of the encoding of the first ``end`` bytes, last first."""
+        out, length = [], self.length
+        while end > 0:
+            token = closed[end - 1]
+            out.append(token)
+            end -= length[token]
+        return out
 
-    def end(self, state: int) -> tuple[int, ...]:
-        """What remains to be emitted if the piece ends in ``state``."""
-        if state not in self.ends:
-            paths, emitted = self.states[state]
-            whole = next(before for node, before in paths if node == 0)
-            self.ends[state] = tuple(self.ranks[t] for t in whole[int(emitted):])
-        return self.ends[state]
+    def settled(self, state: int, closed: list[int]) -> int:
+        """Where the encodings that the open paths extend agree up to."""
+        chains = []
+        for path in self.states[state]:
+            end = len(closed) - self.depth[path >> 17]
+            chain = {end}
+            for token in self.back(closed, end):
+                end -= self.length[token]
+                chain.add(end)
+            chains.append(chain)
+        return max(set.intersection(*chains))
 
     def encode(self, data: bytes) -> list[int]:
         if len(self.edges) > REMEMBERED_EDGES:
             self.forget()
-        out: list[int] = []
-        edges, state = self.edges, 0
-        for byte in data:
-            edge = edges.get(state << 8 | byte)
-            if edge is None:
-                edge = self.step(state, byte)
-            state = edge[0]
-            if edge[1]:
-                out += edge[1]
-        out += self.end(state)
+        edges, state, out = self.edges, 0, []
+        closed: list[int] = []  # at each byte not yet emitted, the last token of the encoding up to there
+        for at in range(0, len(data), EMIT_STEP):
+            for byte in data[at:at + EMIT_STEP]:
+                edge = edges.get(state << 8 | byte)
+                if edge is None:
+                    edge = self.step(state, byte)
+                closed.append(edge & LAST)
+                state = edge >> 17
+            if at + EMIT_STEP < len(data):
+                done = self.settled(state, closed)
+                out += reversed(self.back(closed, done))
+                del closed[:done]
+        out += reversed(self.back(closed, len(closed)))
         return out
 
 
 class Encoder(dict):
-    """Texts to token ids; remembers the ids of short pieces."""
+    """Texts to token ids (as bytes of int32); remembers those of short pieces."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         import regex
@@ -171,20 +186,21 @@ class Encoder(dict):
         super().__init__()
         self.transducer = Transducer(ranks)
         self.pieces = regex.compile(pattern).findall
+        self.older: dict[str, bytes] = {}
 
-    def __missing__(self, piece: str) -> list[int]:
-        ids = self.transducer.encode(piece.encode())
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = array("i", self.transducer.encode(piece.encode())).tobytes()
         if len(piece) <= REMEMBERED_CHARS:
             if len(self) >= REMEMBERED_PIECES:
+                self.older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
 
-    def encode(self, text: str | None) -> list[int]:
-        out: list[int] = []
-        for ids in map(self.__getitem__, self.pieces(text or "")):
-            out += ids
-        return out
+    def encode(self, text: str | None) -> np.ndarray:
+        return np.frombuffer(b"".join(map(self.__getitem__, self.pieces(text or ""))), dtype=np.int32)
 
 
 class Utf8Stream:
@@ -246,7 +262,7 @@ def token_ids(text: Column, vocabulary: str = VOCABULARY, pattern: str | None =
     @F.pandas_udf(T.ArrayType(T.IntegerType(), False))
     def encoded(texts: pd.Series) -> pd.Series:
         encode = encoder(path, pattern).encode
-        return pd.Series([np.array(encode(t), dtype=np.int32) for t in texts], dtype=object)
+        return pd.Series([encode(t) for t in texts], dtype=object)
 
     return encoded(text)
 
@@ -257,7 +273,7 @@ def decoded_text(ids: Column, vocabulary: str = VOCABULARY) -> Column:
 
     @F.pandas_udf(T.StringType())
     def decoded(arrays: pd.Series) -> pd.Series:
-        token_bytes = encoder(path, pattern).transducer.bytes_of
+        token_bytes = encoder(path, pattern).transducer.borders.bytes_of
         return pd.Series([decode(a.tolist(), token_bytes) if a is not None else "" for a in arrays], dtype=object)
 
     return decoded(ids)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boxoffice.llm.common import pick, table
+from boxoffice.llm.line_dedup import DEDUP_SQL
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +43,12 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(pick(table(spark, sf_dir, "documents"), "doc_id", "text"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from boxoffice.llm.line_dedup import dedup_report
+
+    return dedup_report(pick(table(spark, sf_dir, "documents"), "doc_id", "text"))
+
+
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     from boxoffice.llm.secret_scan import secret_report
 
@@ -54,8 +61,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_counts": op4_token_counts,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_simhash": op6_simhash,
+    "op8_line_dedup": op8_line_dedup,
     "op10_secret_scans": op10_secret_scans,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op8_line_dedup": DEDUP_SQL,
 }
