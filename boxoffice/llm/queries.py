@@ -49,6 +49,13 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_report(pick(table(spark, sf_dir, "documents"), "doc_id", "text"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from boxoffice.llm.toxicity import toxicity
+
+    return toxicity(pick(table(spark, sf_dir, "documents"), "doc_id", "text"),
+                    pick(table(spark, sf_dir, "labels"), "doc_id", "toxic"))
+
+
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     from boxoffice.llm.secret_scan import secret_report
 
@@ -62,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_byte_bpe": op5_byte_bpe,
     "op6_simhash": op6_simhash,
     "op8_line_dedup": op8_line_dedup,
+    "op9_toxicity": op9_toxicity,
     "op10_secret_scans": op10_secret_scans,
 }
 
