@@ -43,6 +43,13 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(pick(table(spark, sf_dir, "documents"), "doc_id", "text"))
 
 
+def op7_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from boxoffice.llm.line_quality import quality
+
+    return quality(pick(table(spark, sf_dir, "documents"), "doc_id", "text"),
+                   pick(table(spark, sf_dir, "labels"), "doc_id", "quality"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from boxoffice.llm.line_dedup import dedup_report
 
@@ -68,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_counts": op4_token_counts,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_simhash": op6_simhash,
+    "op7_line_quality": op7_line_quality,
     "op8_line_dedup": op8_line_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_secret_scans": op10_secret_scans,
