@@ -18,6 +18,12 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from boxoffice.llm.suffix_dedup import dedup_report
+
+    return dedup_report(pick(table(spark, sf_dir, "documents"), "doc_id", "text"))
+
+
 def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     from boxoffice.llm.neighbours import EVERY, nearest
 
@@ -71,6 +77,7 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_neighbours": op3_neighbours,
     "op4_token_counts": op4_token_counts,
     "op5_byte_bpe": op5_byte_bpe,
