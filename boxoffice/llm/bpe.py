@@ -20,7 +20,7 @@ from array import array
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -177,30 +177,63 @@ class Transducer:
         return out
 
 
-class Encoder(dict):
-    """Texts to token ids (as bytes of int32); remembers those of short pieces."""
-
-    def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
-        import regex
+class Remembering(dict):
+    """A function's results for short strings, those of the last two spans of so many."""
 
+    def __init__(self, function) -> None:
         super().__init__()
-        self.transducer = Transducer(ranks)
-        self.pieces = regex.compile(pattern).findall
-        self.older: dict[str, bytes] = {}
+        self.function, self.older = function, {}
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.older.get(piece)
-        if ids is None:
-            ids = array("i", self.transducer.encode(piece.encode())).tobytes()
-        if len(piece) <= REMEMBERED_CHARS:
+    def __missing__(self, key: str):
+        value = self.older[key] if key in self.older else self.function(key)
+        if len(key) <= REMEMBERED_CHARS:
             if len(self) >= REMEMBERED_PIECES:
                 self.older = dict(self)
                 self.clear()
-            self[piece] = ids
-        return ids
+            self[key] = value
+        return value
+
+
+class Encoder:
+    """Texts to token ids (int32).
+
+    No piece holds a space behind anything else but white space, so a text may
+    be cut before a space that has no other white space beside it; the ids of
+    what lies between cuts are remembered as a whole.
+    """
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
+        import regex
+
+        self.transducer = Transducer(ranks)
+        self.pieces = regex.compile(pattern).findall
+        self.of_piece = Remembering(self.piece)
+        self.of_word = Remembering(self.word)
+
+    def piece(self, piece: str) -> bytes:
+        return array("i", self.transducer.encode(piece.encode())).tobytes()
+
+    def word(self, word: str) -> bytes | None:
+        """The ids of a space and a word; None if white space beside the space forbids the cuts."""
+        if word.isalpha():  # letters only are one piece
+            return self.piece(" " + word)
+        if not word or word[0].isspace() or word[-1].isspace():
+            return None
+        return self.span(" " + word)
+
+    def span(self, span: str) -> bytes:
+        words, pieces = self.of_word, self.of_piece
+        return b"".join([words[p[1:]] if p[0] == " " and p[1:].isalpha() else pieces[p] for p in self.pieces(span)])
+
+    def encode_bytes(self, text: str | None) -> bytes:
+        first, *words = (text or "").split(" ")
+        parts = list(map(self.of_word.__getitem__, words))
+        if None in parts or first[-1:].isspace():
+            return self.span(text)
+        return self.span(first) + b"".join(parts)
 
     def encode(self, text: str | None) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.__getitem__, self.pieces(text or ""))), dtype=np.int32)
+        return np.frombuffer(self.encode_bytes(text), dtype=np.int32)
 
 
 class Utf8Stream:
@@ -236,12 +269,26 @@ class Utf8Stream:
         return data.decode("utf-8", "replace")
 
 
-def decode(ids, token_bytes) -> str:
-    """The text of a sequence of ids, a portion at a time."""
-    stream, out = Utf8Stream(), []
-    for at in range(0, len(ids), DECODE_STEP):
-        out.append(stream.feed(b"".join(map(token_bytes.__getitem__, ids[at:at + DECODE_STEP]))))
-    return "".join(out) + stream.close()
+class Decoder:
+    """Token ids to text, a portion at a time."""
+
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        tokens = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            tokens[rank] = token
+        self.size = np.array([len(t) for t in tokens], dtype=np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.flat = np.frombuffer(b"".join(tokens), dtype=np.uint8)
+
+    def bytes_of(self, ids: np.ndarray) -> bytes:
+        size = self.size[ids]
+        at = np.repeat(self.start[ids] - (np.cumsum(size) - size), size)
+        return self.flat[at + np.arange(len(at))].tobytes()
+
+    def decode(self, ids: np.ndarray) -> str:
+        stream = Utf8Stream()
+        out = [stream.feed(self.bytes_of(ids[at:at + DECODE_STEP])) for at in range(0, len(ids), DECODE_STEP)]
+        return "".join(out) + stream.close()
 
 
 @lru_cache(maxsize=2)
@@ -249,6 +296,11 @@ def encoder(path: str, pattern: str) -> Encoder:
     return Encoder(read_ranks(path), pattern)
 
 
+@lru_cache(maxsize=2)
+def decoder(path: str) -> Decoder:
+    return Decoder(read_ranks(path))
+
+
 def default_pattern() -> str:
     import public_tokenizers
 
@@ -259,22 +311,27 @@ def token_ids(text: Column, vocabulary: str = VOCABULARY, pattern: str | None =
     """The ids of a text as array<int>, without special tokens; null and empty texts give an empty array."""
     path, pattern = vocabulary_path(vocabulary), pattern or default_pattern()
 
-    @F.pandas_udf(T.ArrayType(T.IntegerType(), False))
-    def encoded(texts: pd.Series) -> pd.Series:
-        encode = encoder(path, pattern).encode
-        return pd.Series([encode(t) for t in texts], dtype=object)
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def encoded(texts: pa.Array) -> pa.Array:
+        encode = encoder(path, pattern).encode_bytes
+        parts = [encode(t) for t in texts.to_pylist()]
+        ends = np.cumsum([0] + [len(p) // 4 for p in parts]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(parts), dtype=np.int32)))
 
     return encoded(text)
 
 
 def decoded_text(ids: Column, vocabulary: str = VOCABULARY) -> Column:
     """The text of an array of ids; a null or empty array gives an empty text."""
-    path, pattern = vocabulary_path(vocabulary), default_pattern()
+    path = vocabulary_path(vocabulary)
 
-    @F.pandas_udf(T.StringType())
-    def decoded(arrays: pd.Series) -> pd.Series:
-        token_bytes = encoder(path, pattern).transducer.borders.bytes_of
-        return pd.Series([decode(a.tolist(), token_bytes) if a is not None else "" for a in arrays], dtype=object)
+    @F.arrow_udf(T.StringType())
+    def decoded(arrays: pa.Array) -> pa.Array:
+        decode = decoder(path).decode
+        if arrays.null_count:
+            arrays = pa.array([a or [] for a in arrays.to_pylist()], pa.list_(pa.int32()))
+        flat, ends = arrays.values.to_numpy(zero_copy_only=False), arrays.offsets.to_numpy()
+        return pa.array([decode(flat[a:b]) for a, b in zip(ends, ends[1:])], pa.string())
 
     return decoded(ids)
 
@@ -290,12 +347,12 @@ def encode_documents(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame
     return out.toDF(*[f"{n}_in" if n.lower() == "ids" else n for n in names], "ids")
 
 
-def encoding_report(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """doc_id, n_tokens and the digests of the ids and of the text decoded from them."""
+def encoding_report(encoded: DataFrame, *more: str, vocabulary: str = VOCABULARY) -> DataFrame:
+    """doc_id, n_tokens, the digests of the ids and of the text decoded from them, and the columns ``more``."""
     text = decoded_text(F.col("ids"), vocabulary)
     joined = F.array_join(F.col("ids").cast("array<string>"), " ")
     return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(joined.cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(text.cast("binary"), 256).alias("decoded_sha256"))
+        F.sha2(text.cast("binary"), 256).alias("decoded_sha256"), *more)

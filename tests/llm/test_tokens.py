@@ -14,6 +14,7 @@ from boxoffice.llm.common import pick, vocabulary_path
 RANKS = tc.read_ranks(vocabulary_path("byte_bpe_50k.tiktoken"))
 PEER = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
 ENCODER = bpe.encoder(vocabulary_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+DECODER = bpe.Decoder(RANKS)
 MATCHER = tc.matcher(vocabulary_path("byte_bpe_50k.tiktoken"))
 TEXTS = [None, "", " ", "\n\n  \t x", "Hello world's 1234 tests!!!", "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa",
          "naïve café 日本語 🙂🙂", "=" * 300 + " " * 300 + "\n" * 70, "x\x1cy\x85z w ", "<|endoftext|>",
@@ -38,7 +39,13 @@ def test_encoder_equals_the_library(text):
 def test_encoder_on_any_text(text):
     ids = ENCODER.encode(text).tolist()
     assert ids == PEER.encode_ordinary(text)
-    assert bpe.decode(ids, ENCODER.transducer.borders.bytes_of) == text
+    assert DECODER.decode(np.array(ids, dtype=np.int32)) == text
+
+
+@settings(max_examples=1000, deadline=None)
+@given(st.text(alphabet="aé1. .  \n\t\u00a0\x1c'", max_size=30))
+def test_encoder_on_white_space(text):
+    assert ENCODER.encode(text).tolist() == PEER.encode_ordinary(text)
 
 
 @settings(max_examples=300, deadline=None)
@@ -47,6 +54,11 @@ def test_encoder_on_repetitive_text(text):
     assert ENCODER.encode(text).tolist() == PEER.encode_ordinary(text)
 
 
+def test_alphabetic_words_are_one_piece():
+    letters = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and chr(c).isalpha())
+    assert ENCODER.pieces(" " + letters) == [" " + letters]
+
+
 def test_forgetting_changes_nothing(monkeypatch):
     monkeypatch.setattr(bpe, "REMEMBERED_EDGES", 50)
     monkeypatch.setattr(bpe, "REMEMBERED_PIECES", 3)
