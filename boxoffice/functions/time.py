@@ -15,8 +15,8 @@ def _c(x) -> Column:
 
 
 def ts(x) -> Column:
-    """``CAST(text AS TIMESTAMP)`` for ``YYYY-MM-DD HH:MM:SS`` text."""
-    return F.to_timestamp(_c(x), TS_FMT)
+    """``CAST(text AS TIMESTAMP)``: ``YYYY-MM-DD HH:MM:SS`` text, with a space or a ``T`` between."""
+    return _c(x).cast("timestamp")
 
 
 def week_start_mon(x) -> Column:

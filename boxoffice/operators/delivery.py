@@ -4,8 +4,7 @@ The reference loops over events, looks control rows up 25 at a time and
 updates them one by one. Here one job categorises all candidates (a left
 join of the small candidate set against the control rows it needs, which are
 first semi-joined to the candidates), and each state change is a functional
-upsert: ``(old control, batch) -> new control``, with untouched rows kept
-without shuffling the whole table.
+upsert: ``(old control, batch) -> new control``.
 """
 
 from __future__ import annotations
@@ -17,7 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boxoffice.functions.text import ljust, short_venue
-from boxoffice.functions.time import iso_millis_z, ts, ts_lit
+from boxoffice.functions.time import ts, ts_lit
+from boxoffice.operators import manifest as mf
 from boxoffice.params import (AS_OF, CANDIDATE_WINDOW_DAYS, CONTROL_INITIALIZED,
                               CONTROL_ROW_DOES_NOT_EXIST, DUE_DELAY_MINUTES, FINAL_SENT, PACIFIC,
                               PREVIEW_HOUR, PREVIEW_MINUTE, PRELIM_LEAD_DAYS, PRELIM_SENT,
@@ -72,10 +72,18 @@ def _status_flags(status: Column) -> dict[str, Column]:
     }
 
 
+def one_per_event(candidates: DataFrame) -> DataFrame:
+    """J-7: one candidate per event id. Of repeated rows the last counts; rows have no
+    order of their own, so it is the one with the latest start, then the largest fields."""
+    cols = ["event_start_utc_timestamp", "local_event_start_timestamp", "event_date", "event_title", "venue"]
+    g = candidates.groupBy("event_id").agg(F.max(F.struct(*cols)).alias("r"))
+    return g.select("event_id", *[F.col("r." + c).alias(c) for c in cols])
+
+
 def joined_candidates(t: Tables, as_of: dt.datetime = AS_OF,
                       control: DataFrame | None = None) -> DataFrame:
     """J-7: candidates left-joined to their control rows (rows of other events ignored)."""
-    cand = candidate_events(t, as_of)
+    cand = one_per_event(candidate_events(t, as_of))
     control = control if control is not None else t.control
     ctl = control_rows_for_events(control, cand).select(
         F.col("event_key").alias("event_id"), "report_status")
@@ -185,43 +193,27 @@ def control_initialize(control: DataFrame, ids: DataFrame) -> DataFrame:
     return control.select(*CONTROL_COLUMNS).unionByName(_initial_rows(missing))
 
 
-def upsert(control: DataFrame, updates: DataFrame) -> DataFrame:
-    """Keyed replace: rows of ``updates`` replace (or add) rows with the same key.
-
-    One pass over the control table: a left join with the (small) updates,
-    which AQE broadcasts when measured small, so the table itself is not
-    shuffled; keys without a control row are added by an anti-join.
-    """
-    u = updates.select(*[F.col(c).alias("u_" + c) for c in CONTROL_COLUMNS])
-    hit = F.col("u_event_key").isNotNull()
-    existing = control.join(u, control.event_key == u.u_event_key, "left").select(
-        "event_key", *[F.when(hit, F.col("u_" + c)).otherwise(F.col(c)).alias(c)
-                       for c in CONTROL_COLUMNS[1:]])
-    added = updates.join(control.select("event_key"), "event_key", "left_anti")
-    return existing.unionByName(added.select(*CONTROL_COLUMNS))
-
-
-def _attempts(categories: DataFrame) -> DataFrame:
-    """Attempt outcomes of one tick, derived deterministically from the event id
-    (the mail service's answers): preliminary fails for id % 9 = 0, accounting
-    for id % 13 = 0, final for id % 11 = 0. Final is attempted only after the
-    accounting mail succeeded (D-12)."""
-    k = F.col("event_id").cast("bigint")
-    cat = F.col("category")
-    is_final = cat == "send_final"
-    prelim_ok = F.when(cat == "send_preliminary", k % 9 != 0)
-    acct_ok = F.when(is_final, k % 13 != 0)
-    final_ok = F.when(is_final & acct_ok, k % 11 != 0)
-    return categories.filter(cat.isin("send_preliminary", "send_final")).select(
+def _attempted(t: Tables, categories: DataFrame) -> DataFrame:
+    """This tick's attempts with the mail service's answers (``t.attempts``; no answer
+    counts as a failure). Final is attempted only after the accounting mail succeeded
+    (D-12). ``manifest_empty``: the event has no priced ticket (D-13)."""
+    due = categories.filter(F.col("category").isin("send_preliminary", "send_final"))
+    answer = lambda c: F.coalesce(c, F.lit(False))
+    is_final = F.col("category") == "send_final"
+    acct_ok = F.when(is_final, answer("accounting_ok"))
+    priced = mf.priced_events(t, due.select("event_id")).withColumn("priced", F.lit(True))
+    return due.join(t.attempts, "event_id", "left").join(priced, "event_id", "left").select(
         "event_id", "venue", "category",
-        prelim_ok.alias("preliminary_sent"), acct_ok.alias("accounting_sent"),
-        final_ok.alias("final_sent"))
+        F.when(~is_final, answer("preliminary_ok")).alias("preliminary_sent"),
+        acct_ok.alias("accounting_sent"),
+        F.when(is_final & acct_ok, answer("final_ok")).alias("final_sent"),
+        F.col("priced").isNull().alias("manifest_empty"))
 
 
 def delivery_outcomes(t: Tables, as_of: dt.datetime = AS_OF,
                       control: DataFrame | None = None) -> DataFrame:
     """D-11/D-12/T-4: attempts split into succeeded / failed x preliminary / final."""
-    a = _attempts(delivery_categories(t, as_of, control=control))
+    a = _attempted(t, delivery_categories(t, as_of, control=control))
     outcome = (F.when(F.col("category") == "send_preliminary",
                       F.when(F.col("preliminary_sent"), F.lit("preliminary_succeeded"))
                       .otherwise(F.lit("preliminary_failed")))
@@ -231,17 +223,20 @@ def delivery_outcomes(t: Tables, as_of: dt.datetime = AS_OF,
 
 
 def apply_outcomes(control: DataFrame, outcomes: DataFrame, as_of: dt.datetime = AS_OF) -> DataFrame:
-    """D-6/D-7/D-8: successes change state, failures change nothing.
+    """D-6/D-7/D-8/D-13: successes change state, failures change nothing.
 
     Preliminary success: a missing row is created (initialised), then set to
     ``prelim_sent`` with its time; final success: ``final_sent`` with its time.
-    The row's other attributes are kept (an update, not a put). One left join
-    of the control table with the successes, plus an anti-join for new keys.
+    An event whose manifest is empty becomes ``prelim_sent`` with its time
+    whatever the attempt's outcome, and never final. The row's other attributes
+    are kept (an update, not a put). One left join of the control table with the
+    changes, plus an anti-join for new keys.
     """
-    ok = outcomes.filter(F.col("outcome").isin("preliminary_succeeded", "final_succeeded")) \
-                 .select(F.col("event_id").alias("u_key"), "outcome")
+    ok = outcomes.filter(F.col("manifest_empty") | F.col("outcome").isin("preliminary_succeeded", "final_succeeded")) \
+                 .select(F.col("event_id").alias("u_key"),
+                         (F.col("manifest_empty") | (F.col("outcome") == "preliminary_succeeded")).alias("u_prelim"))
     stamp = ts_lit(as_of)
-    prelim = F.col("outcome") == "preliminary_succeeded"
+    prelim = F.col("u_prelim")
     hit = F.col("u_key").isNotNull()
     existing = control.join(ok, control.event_key == ok.u_key, "left").select(
         "event_key",
@@ -259,11 +254,19 @@ def apply_outcomes(control: DataFrame, outcomes: DataFrame, as_of: dt.datetime =
 
 def control_after_batch(t: Tables, as_of: dt.datetime = AS_OF,
                         control: DataFrame | None = None) -> DataFrame:
-    """The control table after one scheduling tick's deliveries (D-1 .. D-11)."""
+    """The control table after one scheduling tick's deliveries (D-1 .. D-13)."""
     control = control if control is not None else t.control
     return apply_outcomes(control, delivery_outcomes(t, as_of, control), as_of)
 
 
+def empty_manifests(t: Tables, as_of: dt.datetime = AS_OF) -> DataFrame:
+    """D-13: due events without a priced ticket, with the state and time they get."""
+    due = delivery_categories(t, as_of).filter(F.col("category").isin("send_preliminary", "send_final"))
+    return due.join(mf.priced_events(t, due.select("event_id")), "event_id", "left_anti").select(
+        "event_id", "venue", "event_title", "category", F.lit(PRELIM_SENT).alias("report_status_after"),
+        ts_lit(as_of).alias("preliminary_sent_at_after"))
+
+
 # Commands: op -> (new status or None for delete, sets preliminary_sent_at,
 # final_sent_at action: 'set' | 'null' | None for untouched)
 COMMANDS = {
@@ -276,27 +279,9 @@ COMMANDS = {
 }
 
 
-def control_commands_input(t: Tables, as_of: dt.datetime = AS_OF) -> DataFrame:
-    """Operator commands derived from the customers: (event_key, seq, op, at).
-
-    custkey % 11 picks the first command; keys with custkey % 22 = 0 also get a
-    second, later command, and keys with custkey % 33 = 0 a third, so ordering
-    and delete-then-update are exercised.
-    """
-    ck = F.col("c_custkey")
-    ops = list(COMMANDS)
-    first = F.element_at(F.array(*[F.lit(o) for o in ops]), (ck % 11 % len(ops) + 1).cast("int"))
-    base = t.raw("customer").select(ck).filter(ck % 11 < len(ops))
-    rows = base.select(ck.cast("string").alias("event_key"), F.lit(1).alias("seq"), first.alias("op"))
-    two = t.raw("customer").select(ck).filter(ck % 22 == 0).select(
-        ck.cast("string").alias("event_key"), F.lit(2).alias("seq"),
-        F.lit("mark_preliminary_sent").alias("op"))
-    three = t.raw("customer").select(ck).filter(ck % 33 == 0).select(
-        ck.cast("string").alias("event_key"), F.lit(3).alias("seq"),
-        F.lit("mark_final_sent").alias("op"))
-    out = rows.unionByName(two).unionByName(three)
-    return out.withColumn("at", ts_lit(as_of) + F.make_interval(
-        mins=F.col("seq")))
+def commands_at(commands: DataFrame, as_of: dt.datetime = AS_OF) -> DataFrame:
+    """Commands (event_key, seq, op) with their times: ``seq`` minutes after ``as_of``."""
+    return commands.withColumn("at", ts_lit(as_of) + F.make_interval(mins=F.col("seq")))
 
 
 def apply_commands(control: DataFrame, commands: DataFrame) -> DataFrame:
@@ -344,14 +329,7 @@ def apply_commands(control: DataFrame, commands: DataFrame) -> DataFrame:
 
 
 def control_commands(t: Tables, as_of: dt.datetime = AS_OF) -> DataFrame:
-    return apply_commands(t.control, control_commands_input(t, as_of))
-
-
-def control_as_text(control: DataFrame) -> DataFrame:
-    """Control rows with the timestamps as stored text (ISO, ms, ``Z``)."""
-    return control.select("event_key", "report_status",
-                          iso_millis_z("preliminary_sent_at").alias("preliminary_sent_at"),
-                          iso_millis_z("final_sent_at").alias("final_sent_at"))
+    return apply_commands(t.control, commands_at(t.commands, as_of))
 
 
 # --- routing -----------------------------------------------------------------

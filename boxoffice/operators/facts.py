@@ -217,7 +217,8 @@ def remit_new(t: Tables) -> DataFrame:
 def _marketing_joined(t: Tables) -> DataFrame:
     e = _events(t)
     o = _orders(t, "first_name", "last_name", "email", "phone", "opted_in", "opted_in_sms")
-    k = t.tickets.select(F.col("order_id").alias("k_order_id"), "ticket_type_name")
+    # all but the ticket type depends on the order: tickets become distinct types per order first
+    k = t.tickets.select(F.col("order_id").alias("k_order_id"), "ticket_type_name").distinct()
     return salted_join(o, e, "o_event_id", "e_id", ["o_id"]).join(k, k.k_order_id == o.o_id)
 
 

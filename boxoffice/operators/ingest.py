@@ -64,7 +64,7 @@ def order_face_value(t: Tables) -> DataFrame:
 def tickets_flat(t: Tables) -> DataFrame:
     """N-4: one row per ticket with its order's total, face value and event, the
     ticket ``name`` overwritten by the ticket type name, fees normalised."""
-    k = raw.ticket_sales(t)
+    k = raw.ticket_sales(t).drop("event_id")
     o = t.orders.select(F.col("id").alias("order_id"), F.col("event_id"),
                         F.col("total_paid").alias("order_total_paid"))
     fv = order_face_value(t)
@@ -83,8 +83,7 @@ def ticket_types_dim(t: Tables) -> DataFrame:
     """N-6: distinct ticket types per event on (type id, price id); the first
     ticket (smallest id) supplies name and price. ``min_by`` combines map-side,
     so a hot event does not need one task."""
-    k = raw.ticket_sales(t).join(t.tickets.select("id", "event_id"), "id")
-    g = k.groupBy("event_id", "ticket_type_id", "ticket_type_price_id").agg(
+    g = raw.ticket_sales(t).groupBy("event_id", "ticket_type_id", "ticket_type_price_id").agg(
         F.min_by(F.struct(F.col("tickettype.name").alias("ticket_type_name"),
                           F.col("ticket_type_price")), F.col("id")).alias("first"))
     return g.select("ticket_type_id", "ticket_type_price_id", "event_id",
@@ -92,13 +91,14 @@ def ticket_types_dim(t: Tables) -> DataFrame:
 
 
 def checkins(t: Tables) -> DataFrame:
-    """N-7: check-in id list -> one ``ticket_id`` column (redeemed tickets)."""
+    """N-7: check-in ids (redeemed tickets) with their event, under which they are landed."""
     return t.tickets.filter(F.col("redeemed")).select(F.col("id").alias("ticket_id"), "event_id")
 
 
 def events_without_orders(t: Tables) -> DataFrame:
     """N-8: events that land only their event row."""
-    return (t.events.join(t.orders.select(F.col("event_id").alias("id")), "id", "left_anti")
+    with_orders = t.orders.select(F.col("event_id").alias("id")).distinct()  # combines map-side
+    return (t.events.join(with_orders, "id", "left_anti")
             .select(*EVENT_COLUMNS))
 
 

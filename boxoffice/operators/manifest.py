@@ -255,9 +255,7 @@ def write_manifest_csv(rows: DataFrame, path: str) -> None:
          .write.mode("overwrite").partitionBy("event_id").option("header", True).csv(path))
 
 
-def empty_manifests(candidates: DataFrame, lines: DataFrame) -> DataFrame:
-    """D-13: events due a report with no priced ticket; their status becomes prelim_sent."""
-    due = candidates.filter(F.col("category").isin("send_preliminary", "send_final"))
-    return (due.join(lines.select("event_id").distinct(), "event_id", "left_anti")
-               .select("event_id", "venue", "event_title", "category",
-                       F.lit("prelim_sent").alias("report_status_after")))
+def priced_events(t: Tables, ids: DataFrame) -> DataFrame:
+    """The events of ``ids`` (event_id) that have a manifest line, i.e. a priced ticket."""
+    k = _priced_tickets(t).select("event_id").join(ids, "event_id", "left_semi")
+    return k.distinct()

@@ -25,16 +25,17 @@ from boxoffice.sources.tables import Tables
 def _sales(t: Tables, venues: list[str], first_day: dt.date, last_day: dt.date) -> DataFrame:
     """Tickets with their event and order fields, for listed venues and events whose
     start date is within [first_day, last_day] (a pushable superset of the exact
-    start-time window each report applies)."""
+    start-time window each report applies). Only the event's own date decides: the
+    date copied onto orders and tickets may be that before a reschedule. Each ticket
+    joins its order on the order id and its event on its own event id."""
     days = F.col("event_date").between(F.lit(first_day), F.lit(last_day))
     e = t.events.filter(F.col("organization_id").isin(venues) & days).select(
         F.col("id").alias("e_id"), "name", "organization_name", "start")
-    # orders and tickets carry their event's date: the same bound prunes their scans
-    o = t.orders.filter(days).select(F.col("id").alias("o_id"), F.col("event_id").alias("o_event_id"),
-                                     "paid_date_utc")
-    k = t.tickets.filter(days).select(F.col("order_id").alias("k_order_id"), "ticket_type_name",
-                                      "price")
-    return salted_join(o, e, "o_event_id", "e_id", ["o_id"]).join(k, k.k_order_id == o.o_id)
+    o = t.orders.select(F.col("id").alias("o_id"), "paid_date_utc")
+    k = t.tickets.select(F.col("order_id").alias("k_order_id"), F.col("event_id").alias("k_event_id"),
+                         "ticket_type_name", "price")
+    # the event filter first: what is left of the tickets is small against the orders
+    return salted_join(k, e, "k_event_id", "e_id", ["k_order_id"]).join(o, F.col("k_order_id") == o.o_id)
 
 
 def _recent(as_of: dt.datetime):
@@ -107,22 +108,23 @@ def sales_rollup(t: Tables, as_of: dt.datetime = AS_OF,
 def sales_rollup_nested(t: Tables, as_of: dt.datetime = AS_OF,
                         venues: list[str] = VENUE_IDS) -> DataFrame:
     """A-15 nested form: one row per (week, venue) holding its events, each with
-    its ticket lines. A chain of two aggregates over the upcoming-sales rows
+    its ticket lines. Events are listed by their first date, then their name (O-6:
+    first occurrence in the upcoming sales, which come in that order). A chain of two aggregates over the upcoming-sales rows
     (lines -> events -> venue-weeks); each collected list is bounded by the
     aggregated lines of one event or the events of one venue-week."""
     u = upcoming_sales(t, as_of, venues).withColumn("week_start", week_start_sun("event_date"))
     line = F.struct("event_date", "ticket_type_name", "price", "quantity_sold", "sales_last_24_hours")
     ev = u.groupBy("week_start", "venue_name", "event_name").agg(
-        F.max("event_date").alias("event_date"),
-        F.sum("quantity_sold").alias("event_quantity_sold"),
-        F.sum("sales_last_24_hours").alias("event_sales_last_24_hours"),
+        F.min("event_date").alias("first_date"), F.max("event_date").alias("event_date"),
+        F.sum("quantity_sold").cast("bigint").alias("event_quantity_sold"),
+        F.sum("sales_last_24_hours").cast("bigint").alias("event_sales_last_24_hours"),
         F.sort_array(F.collect_list(line)).alias("tickets"))
-    event = F.struct("event_name", "event_date", "event_quantity_sold",
+    event = F.struct("first_date", "event_name", "event_date", "event_quantity_sold",
                      "event_sales_last_24_hours", "tickets")
     return ev.groupBy("week_start", "venue_name").agg(
         F.sum("event_quantity_sold").cast("bigint").alias("quantity_sold"),
         F.sum("event_sales_last_24_hours").cast("bigint").alias("sales_last_24_hours"),
-        F.sort_array(F.collect_list(event)).alias("events")) \
+        F.transform(F.sort_array(F.collect_list(event)), lambda e: e.dropFields("first_date")).alias("events")) \
         .withColumn("week_end", F.date_add("week_start", 6))
 
 

@@ -47,10 +47,10 @@ SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-
          WHEN 2 THEN 'General Admission' WHEN 3 THEN 'vip bar card (lower case)'
          WHEN 4 THEN 'PARTY PASS Weekend' WHEN 5 THEN 'Early Bird'
          WHEN 6 THEN 'Complimentary' ELSE 'Late Entry' END AS ticket_type_name,
-       CASE WHEN l_partkey % 8 = 6 THEN '0.00'
+       CASE WHEN l_partkey % 8 = 6 OR o_custkey % 10 = 3 THEN '0.00'
             ELSE CAST(CAST(20 + 5 * (l_partkey % 8) AS DECIMAL(10,2)) AS VARCHAR) END AS price,
        CASE l_linenumber WHEN 1 THEN NULL WHEN 2 THEN '0.00' ELSE '2.50' END AS surcharge,
-       CASE WHEN l_partkey % 8 = 6 THEN NULL
+       CASE WHEN l_partkey % 8 = 6 OR o_custkey % 10 = 3 THEN NULL
             ELSE CAST(CAST((20 + 5 * (l_partkey % 8)) * 0.09 AS DECIMAL(10,2)) AS VARCHAR) END AS let_tax,
        CASE WHEN l_tax > 0 THEN '1.10' END AS sales_tax,
        CASE WHEN l_discount > 0 THEN '3.00' END AS venue_fee,
@@ -566,13 +566,10 @@ SELECT '{label}' AS preview, '{as_of:%Y-%m-%d %H:%M:%S}' AS reference_time_in,
 FROM ({categories_sql(as_of)})"""
 
 
-def _preview_instant(as_of: _dt.datetime) -> _dt.datetime:
-    from boxoffice.operators.delivery import preview_instant
-    return preview_instant(as_of)
-
+_PREVIEW = _dt.datetime(2024, 1, 16, 6, 31)  # 22:31 Pacific on the day of AS_OF
 
 ORACLE["schedule_preview"] = with_fx(
-    f"{preview_sql(_A, 'current_state')}\nUNION ALL\n{preview_sql(_preview_instant(_A), 'upcoming_schedule')}")
+    f"{preview_sql(_A, 'current_state')}\nUNION ALL\n{preview_sql(_PREVIEW, 'upcoming_schedule')}")
 
 ORACLE["control_initialize"] = with_fx(f"""
 SELECT * FROM fx_control
@@ -581,31 +578,39 @@ SELECT event_id, 'initialized', CAST(NULL AS TIMESTAMP), CAST(NULL AS TIMESTAMP)
 FROM ({candidates_sql(_A)}) c
 WHERE NOT EXISTS (SELECT 1 FROM fx_control k WHERE k.event_key = c.event_id)""")
 
-_OUTCOMES = f"""
+_PRICED = "(SELECT event_id FROM fx_tickets WHERE COALESCE(CAST(price AS DECIMAL(10,2)), 0.00) > 0.00)"
+
+
+def outcomes_sql(as_of: _dt.datetime, control: str = "fx_control") -> str:
+    k = "CAST(event_id AS BIGINT)"
+    return f"""
 SELECT event_id, venue, category,
-       CASE WHEN category = 'send_preliminary' THEN CAST(event_id AS BIGINT) % 9 <> 0 END
-         AS preliminary_sent,
-       CASE WHEN category = 'send_final' THEN CAST(event_id AS BIGINT) % 13 <> 0 END AS accounting_sent,
-       CASE WHEN category = 'send_final' AND CAST(event_id AS BIGINT) % 13 <> 0
-            THEN CAST(event_id AS BIGINT) % 11 <> 0 END AS final_sent,
+       CASE WHEN category = 'send_preliminary' THEN {k} % 9 <> 0 END AS preliminary_sent,
+       CASE WHEN category = 'send_final' THEN {k} % 13 <> 0 END AS accounting_sent,
+       CASE WHEN category = 'send_final' AND {k} % 13 <> 0 THEN {k} % 11 <> 0 END AS final_sent,
+       event_id NOT IN {_PRICED} AS manifest_empty,
        CASE WHEN category = 'send_preliminary' THEN
-              CASE WHEN CAST(event_id AS BIGINT) % 9 <> 0 THEN 'preliminary_succeeded'
-                   ELSE 'preliminary_failed' END
-            WHEN CAST(event_id AS BIGINT) % 13 <> 0 AND CAST(event_id AS BIGINT) % 11 <> 0
-              THEN 'final_succeeded' ELSE 'final_failed' END AS outcome
-FROM ({categories_sql(_A)}) WHERE category IN ('send_preliminary', 'send_final')"""
-ORACLE["delivery_outcomes"] = with_fx(_OUTCOMES)
-
-ORACLE["control_after_batch"] = with_fx(f"""
-SELECT * FROM fx_control WHERE event_key NOT IN (
-  SELECT event_id FROM ({_OUTCOMES}) WHERE outcome IN ('preliminary_succeeded', 'final_succeeded'))
+              CASE WHEN {k} % 9 <> 0 THEN 'preliminary_succeeded' ELSE 'preliminary_failed' END
+            WHEN {k} % 13 <> 0 AND {k} % 11 <> 0 THEN 'final_succeeded' ELSE 'final_failed' END AS outcome
+FROM ({categories_sql(as_of, control)}) WHERE category IN ('send_preliminary', 'send_final')"""
+
+
+def after_tick_sql(as_of: _dt.datetime, control: str) -> str:
+    """Control table after one tick at ``as_of`` starting from table ``control``."""
+    changed = f"(SELECT * FROM ({outcomes_sql(as_of, control)}) WHERE manifest_empty OR outcome LIKE '%succeeded')"
+    prelim = "(o.manifest_empty OR o.outcome = 'preliminary_succeeded')"
+    return f"""
+SELECT * FROM {control} WHERE event_key NOT IN (SELECT event_id FROM {changed})
 UNION ALL
 SELECT o.event_id AS event_key,
-       CASE WHEN o.outcome = 'preliminary_succeeded' THEN 'prelim_sent' ELSE 'final_sent' END,
-       CASE WHEN o.outcome = 'preliminary_succeeded' THEN {AS_OF} ELSE k.preliminary_sent_at END,
-       CASE WHEN o.outcome = 'preliminary_succeeded' THEN k.final_sent_at ELSE {AS_OF} END
-FROM ({_OUTCOMES}) o LEFT JOIN fx_control k ON k.event_key = o.event_id
-WHERE o.outcome IN ('preliminary_succeeded', 'final_succeeded')""")
+       CASE WHEN {prelim} THEN 'prelim_sent' ELSE 'final_sent' END AS report_status,
+       CASE WHEN {prelim} THEN {_ts_sql(as_of)} ELSE k.preliminary_sent_at END AS preliminary_sent_at,
+       CASE WHEN {prelim} THEN k.final_sent_at ELSE {_ts_sql(as_of)} END AS final_sent_at
+FROM {changed} o LEFT JOIN {control} k ON k.event_key = o.event_id"""
+
+
+ORACLE["delivery_outcomes"] = with_fx(outcomes_sql(_A))
+ORACLE["control_after_batch"] = with_fx(after_tick_sql(_A, "fx_control"))
 
 _CMD_OPS = ["cancel", "mark_preliminary_sent", "mark_final_sent",
             "force_reset_to_preliminary_sent", "force_forward_to_final_sent", "delete"]
@@ -658,12 +663,7 @@ SELECT event_key,
 FROM j WHERE last_op <> 'delete'""")
 
 
-def _event_bounds():
-    from boxoffice.operators.ingest import event_range_bounds
-    return event_range_bounds("current", _A)
-
-
-ORACLE["events_in_range"] = events_in_range_sql(*_event_bounds())
+ORACLE["events_in_range"] = events_in_range_sql(_dt.date(2024, 1, 14), _dt.date(2024, 1, 17))
 ORACLE["charges_in_range"] = charges_in_range_sql(_A - _dt.timedelta(days=1))
 
 ORACLE["delivery_routing"] = with_fx(f"""
@@ -681,7 +681,8 @@ LEFT JOIN (SELECT n_name || ' Hall' AS venue,
            FROM nation WHERE n_nationkey <> 24) r ON r.venue = c.venue""")
 
 ORACLE["empty_manifests"] = _with_extra(MANIFEST_LINES, f"""
-SELECT event_id, venue, event_title, category, 'prelim_sent' AS report_status_after
+SELECT event_id, venue, event_title, category, 'prelim_sent' AS report_status_after,
+       {AS_OF} AS preliminary_sent_at_after
 FROM ({categories_sql(_A)}) c
 WHERE category IN ('send_preliminary', 'send_final')
   AND NOT EXISTS (SELECT 1 FROM manifest_lines m WHERE m.event_id = c.event_id)""")
@@ -691,29 +692,6 @@ ORACLE["charges_extract"] = with_fx("SELECT * FROM fx_charges")
 # --- landing and streams -----------------------------------------------------
 
 
-def _outcomes_sql(as_of: _dt.datetime, control: str) -> str:
-    k = "CAST(event_id AS BIGINT)"
-    return f"""
-SELECT event_id, CASE WHEN category = 'send_preliminary' THEN
-         CASE WHEN {k} % 9 <> 0 THEN 'preliminary_succeeded' ELSE 'preliminary_failed' END
-       WHEN {k} % 13 <> 0 AND {k} % 11 <> 0 THEN 'final_succeeded' ELSE 'final_failed' END AS outcome
-FROM ({categories_sql(as_of, control)}) WHERE category IN ('send_preliminary', 'send_final')"""
-
-
-def after_tick_sql(as_of: _dt.datetime, control: str) -> str:
-    """Control table after one tick at ``as_of`` starting from CTE ``control``."""
-    ok = f"(SELECT * FROM ({_outcomes_sql(as_of, control)}) WHERE outcome LIKE '%succeeded')"
-    ts_ = _ts_sql(as_of)
-    return f"""
-SELECT * FROM {control} WHERE event_key NOT IN (SELECT event_id FROM {ok})
-UNION ALL
-SELECT o.event_id,
-       CASE WHEN o.outcome = 'preliminary_succeeded' THEN 'prelim_sent' ELSE 'final_sent' END,
-       CASE WHEN o.outcome = 'preliminary_succeeded' THEN {ts_} ELSE k.preliminary_sent_at END,
-       CASE WHEN o.outcome = 'preliminary_succeeded' THEN k.final_sent_at ELSE {ts_} END
-FROM {ok} o LEFT JOIN {control} k ON k.event_key = o.event_id"""
-
-
 _TICK2 = _A + _dt.timedelta(minutes=5)
 ORACLE["stream_delivery_tick"] = _with_extra(
     f"ctl1 AS ({after_tick_sql(_A, 'fx_control')}),\nctl2 AS ({after_tick_sql(_TICK2, 'ctl1')})",
@@ -736,6 +714,7 @@ SELECT *, {_SLUG.format('organization_name')} AS venue,
        strftime(CAST(start AS TIMESTAMP), '%d') AS day
 FROM ({_LANDED})""")
 ORACLE["stream_snapshot_upsert"] = ORACLE["landing_read"]
+ORACLE["landing_snapshot"] = ORACLE["landing_read"]  # replaced snapshots do not stay on disk
 
 ORACLE["stream_sales_24h"] = with_fx("""
 SELECT e.organization_name AS venue_name,
@@ -745,3 +724,36 @@ SELECT e.organization_name AS venue_name,
 FROM fx_tickets t JOIN fx_orders o ON t.order_id = o.id JOIN fx_events e ON t.event_id = e.id
 CROSS JOIN range(24) AS k(h)
 GROUP BY 1, 2, 3""")
+
+# --- nested results in their text form (plans/registry.py) --------------------
+
+_LINE_COLS = ["ticket_name", "price", "surcharge", "per_ticket_let", "quantity", "sum_subtotal",
+              "sum_surcharge", "sum_let_tax", "let_tax_rate_observed", "sum_sales_tax",
+              "sum_venue_fee", "sum_bar_card", "subtotal_minus_bar_card"]
+_AS_TEXT = "concat_ws('|', " + ", ".join(f"CAST({c} AS VARCHAR)" for c in _LINE_COLS) + ")"
+ORACLE["manifest_document"] = _with_extra(MANIFEST_LINES, f"""
+SELECT d.*, t.* EXCLUDE (event_id), r.ticket_rows
+FROM manifest_desc d JOIN manifest_totals t ON t.event_id = d.event_id
+JOIN (SELECT event_id, string_agg({_AS_TEXT}, ';' ORDER BY ticket_name, price, surcharge, per_ticket_let) AS ticket_rows
+      FROM manifest_split GROUP BY event_id) r ON r.event_id = d.event_id""")
+
+_V = "CAST({0} AS VARCHAR)".format
+ORACLE["sales_rollup_nested"] = _with_extra(f"""
+u AS (SELECT *, event_date - CAST(dayofweek(event_date) AS INTEGER) AS week_start FROM ({_UPCOMING})),
+ev AS (
+  SELECT week_start, venue_name, event_name, MIN(event_date) AS first_date, MAX(event_date) AS last_date,
+         SUM(quantity_sold) AS q, SUM(sales_last_24_hours) AS s,
+         string_agg(concat_ws('|', {_V('event_date')}, ticket_type_name, {_V('price')}, {_V('quantity_sold')},
+                              {_V('sales_last_24_hours')}), ';' ORDER BY event_date, ticket_type_name, price) AS tickets
+  FROM u GROUP BY ALL)""", f"""
+SELECT week_start, week_start + 6 AS week_end, venue_name, CAST(SUM(q) AS BIGINT) AS quantity_sold,
+       CAST(SUM(s) AS BIGINT) AS sales_last_24_hours,
+       string_agg(concat_ws('|', event_name, {_V('last_date')}, {_V('q')}, {_V('s')}, tickets), '#'
+                  ORDER BY first_date, event_name) AS events
+FROM ev GROUP BY week_start, venue_name""")
+
+_UP_COLS = ["event_name", "venue_name", "event_date", "ticket_type_name", "price", "quantity_sold",
+            "sales_last_24_hours"]
+ORACLE["result_text_rows"] = with_fx(f"""
+SELECT concat_ws(';', {", ".join(f"'{c}=' || {_V(c)}" for c in _UP_COLS)}) AS "row",
+       concat_ws('|', {", ".join(_V(c) for c in _UP_COLS)}) AS cells FROM ({_UPCOMING})""")

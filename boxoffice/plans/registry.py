@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from boxoffice.operators import delivery as dv
 from boxoffice.operators import facts as fc
@@ -21,6 +22,35 @@ from boxoffice.session import apply_conf
 from boxoffice.streaming import jobs as st
 from boxoffice.sources.tables import Tables, load_tables
 
+
+
+def _joined(fields: list[str], item) -> Column:
+    return F.concat_ws("|", *[item[f].cast("string") for f in fields])
+
+
+def manifest_document_text(t: Tables) -> DataFrame:
+    """A-19 with the nested lines as text: fields joined by ``|``, lines by ``;``."""
+    doc = mf.manifest_document(t).drop("document")
+    fields = doc.schema["ticket_rows"].dataType.elementType.names
+    return doc.withColumn("ticket_rows", F.array_join(F.transform("ticket_rows", lambda r: _joined(fields, r)), ";"))
+
+
+def sales_rollup_nested_text(t: Tables) -> DataFrame:
+    """A-15 nested, events as text: an event's fields and lines joined by ``|`` and ``;``, events by ``#``."""
+    line = ["event_date", "ticket_type_name", "price", "quantity_sold", "sales_last_24_hours"]
+    event = ["event_name", "event_date", "event_quantity_sold", "event_sales_last_24_hours"]
+    lines = lambda e: F.array_join(F.transform(e["tickets"], lambda r: _joined(line, r)), ";")
+    return rp.sales_rollup_nested(t).withColumn("events", F.array_join(
+        F.transform("events", lambda e: F.concat_ws("|", _joined(event, e), lines(e))), "#"))
+
+
+def result_text_rows_text(t: Tables) -> DataFrame:
+    """S-11 in text: the hash form as ``name=value`` joined by ``;``, the array form joined by ``|``."""
+    return rp.result_text_rows(t).select(
+        F.array_join(F.transform(F.map_entries("row"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";").alias("row"),
+        F.array_join("cells", "|").alias("cells"))
+
+
 REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
     # manifest family (A-11 .. A-19, S-9, S-10, D-13)
     "event_manifest": mf.event_manifest,
@@ -28,10 +58,10 @@ REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
     "manifest_totals": mf.manifest_totals,
     "manifest_description": mf.manifest_description,
     "manifest_header": mf.manifest_header,
-    "manifest_document": mf.manifest_document,
+    "manifest_document": manifest_document_text,
     "manifest_csv_surcharge": mf.manifest_csv_surcharge,
     "manifest_csv_final": mf.manifest_csv_final,
-    "empty_manifests": lambda t: mf.empty_manifests(dv.delivery_categories(t), mf.event_manifest(t)),
+    "empty_manifests": dv.empty_manifests,
     # facts (A-1 .. A-7, A-16, P-6)
     "ticket_fact": fc.ticket_fact,
     "order_subtotals": fc.order_subtotals,
@@ -45,9 +75,9 @@ REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
     "party_pass_weekly": rp.party_pass_weekly,
     "upcoming_sales": rp.upcoming_sales,
     "sales_rollup": rp.sales_rollup,
-    "sales_rollup_nested": rp.sales_rollup_nested,
+    "sales_rollup_nested": sales_rollup_nested_text,
     "scalar_probe": rp.scalar_probe,
-    "result_text_rows": rp.result_text_rows,
+    "result_text_rows": result_text_rows_text,
     # ingest (N-1 .. N-10, S-2, S-5, S-7, S-8, P-14 .. P-16)
     "fees_normalized": ig.fees_normalized,
     "orders_enriched": ig.orders_enriched,
@@ -96,7 +126,7 @@ ORDER_BY: dict[str, list[str]] = {
     "upcoming_sales": ["event_date", "event_name", "ticket_type_name"],
     "event_manifest": ["venue", "event_date", "event_id", "event", "ticket_name"],
     "candidate_events": ["event_date"],
-    "sales_rollup": ["week_start", "venue_name", "event_name", "level", "event_date",
+    "sales_rollup": ["week_start", "venue_name", "event_date", "event_name", "level",
                      "ticket_type_name"],
 }
 

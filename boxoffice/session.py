@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -44,10 +45,14 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "boxoffice") -> SparkSession:
     """Return a session with the engine's settings.
 
-    On a cluster the master and sizing come from spark-submit; locally (tests,
-    bench) pass ``master`` and a small ``shuffle_partitions``.
+    Without ``master`` (spark-submit on a cluster) the cluster settings above
+    apply too; locally (tests, bench) pass ``master`` and a small
+    ``shuffle_partitions``.
     """
     builder = SparkSession.builder.appName(app_name)
+    if not master:
+        for k, v in CLUSTER_CONF.items():
+            builder = builder.config(k, v)
     if master:
         builder = (builder.master(master)
                    .config("spark.driver.host", "127.0.0.1")
@@ -56,11 +61,11 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
                    .config("spark.ui.showConsoleProgress", "false")
                    .config("spark.driver.memory", "8g"))
     for k, v in BASE_CONF.items():
-        builder = builder.config(k, v)
+        if master or k not in CLUSTER_CONF:
+            builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
-    apply_conf(spark)
     if shuffle_partitions:
         spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return spark
@@ -69,36 +74,32 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def apply_conf(spark: SparkSession) -> None:
     """Apply the runtime SQL settings to an existing session (e.g. the driver's)."""
     for k, v in BASE_CONF.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static conf on a running session: leave as is
-            pass
+        spark.conf.set(k, v)
 
 
-_LOCAL_CKPT: dict[int, str] = {}  # sessions without spark.checkpoint.dir (tests only)
+def is_local(spark: SparkSession) -> bool:
+    """One process holds driver and executors (tests, bench), so a local folder is shared."""
+    return re.match(r"local(\[|$)", spark.conf.get("spark.master", "")) is not None
+
+
+_LOCAL_CKPT: dict[str, str] = {}  # application id -> folder of a local session without the setting
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``.
 
-    A cluster names it; only when it is unset (local tests) do we create one.
+    A cluster must name it; only a local session without the setting (tests)
+    gets a folder of its own.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_CKPT.get(id(spark))
+    d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="boxoffice-ckpt-")
-        _LOCAL_CKPT[id(spark)] = d
-        try:
-            spark.conf.set("spark.checkpoint.dir", d)
-        except Exception:  # a core setting may be read-only at runtime; keep it here
-            pass
-    try:  # classic sessions: also the folder for DataFrame.checkpoint()
-        spark.sparkContext.setCheckpointDir(d)
-    except Exception:  # Spark Connect has no SparkContext; the folder is still used for writes
-        pass
+        if not is_local(spark):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        app = spark.conf.get("spark.app.id")
+        d = _LOCAL_CKPT.setdefault(app, _LOCAL_CKPT.get(app) or tempfile.mkdtemp(prefix="boxoffice-ckpt-"))
     return d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base, name)
+    return os.path.join(checkpoint_dir(spark), name)

@@ -90,6 +90,7 @@ TICKET_TYPE_NAMES = [
     "Late Entry",
 ]
 COMPLIMENTARY_TYPE = 6
+COMPLIMENTARY_EVENT_MOD = (10, 3)  # events of customers with custkey % 10 = 3 give all tickets away
 
 
 def tickets(lineitem: DataFrame, orders_raw: DataFrame) -> DataFrame:
@@ -103,7 +104,8 @@ def tickets(lineitem: DataFrame, orders_raw: DataFrame) -> DataFrame:
     name = F.lit(TICKET_TYPE_NAMES[-1])
     for i in range(len(TICKET_TYPE_NAMES) - 2, -1, -1):
         name = F.when(tt == i, F.lit(TICKET_TYPE_NAMES[i])).otherwise(name)
-    comp = tt == COMPLIMENTARY_TYPE
+    cm, cr = COMPLIMENTARY_EVENT_MOD
+    comp = (tt == COMPLIMENTARY_TYPE) | (F.col("o_custkey") % cm == cr)
     ln = F.col("l_linenumber")
     return j.select(
         F.concat_ws("-", F.col("l_orderkey").cast(S), ln.cast(S), F.col("l_partkey").cast(S),
@@ -166,3 +168,29 @@ def control(customer: DataFrame) -> DataFrame:
             .select(ck.cast(S).alias("event_key"), st.alias("report_status"),
                     F.lit(None).cast("timestamp").alias("preliminary_sent_at"),
                     F.lit(None).cast("timestamp").alias("final_sent_at")))
+
+
+def attempts(customer: DataFrame) -> DataFrame:
+    """Answers of the mail service for an event's mails: preliminary fails for
+    custkey % 9 = 0, accounting for custkey % 13 = 0, final for custkey % 11 = 0."""
+    ck = F.col("c_custkey")
+    return customer.select(ck.cast(S).alias("event_id"), (ck % 9 != 0).alias("preliminary_ok"),
+                           (ck % 13 != 0).alias("accounting_ok"), (ck % 11 != 0).alias("final_ok"))
+
+
+# Commands by custkey % 11 (0..5).
+FIRST_COMMANDS = ["cancel", "mark_preliminary_sent", "mark_final_sent",
+                  "force_reset_to_preliminary_sent", "force_forward_to_final_sent", "delete"]
+
+
+def commands(customer: DataFrame) -> DataFrame:
+    """Commands (event_key, seq, op): custkey % 11 picks the first; custkey % 22 = 0
+    adds a second and custkey % 33 = 0 a third, so order and delete-then-update occur."""
+    ck = F.col("c_custkey")
+    first = F.element_at(F.array(*[F.lit(o) for o in FIRST_COMMANDS]), (ck % 11 + 1).cast("int"))
+    ops = F.filter(F.array(
+        F.struct(F.lit(1).alias("seq"), F.when(ck % 11 < len(FIRST_COMMANDS), first).alias("op")),
+        F.struct(F.lit(2).alias("seq"), F.when(ck % 22 == 0, F.lit("mark_preliminary_sent")).alias("op")),
+        F.struct(F.lit(3).alias("seq"), F.when(ck % 33 == 0, F.lit("mark_final_sent")).alias("op"))),
+        lambda c: c.op.isNotNull())
+    return customer.select(ck.cast(S).alias("event_key"), F.explode(ops).alias("c")).select("event_key", "c.seq", "c.op")

@@ -9,9 +9,10 @@ snapshots. A snapshot replaces the entity's previous one:
   written to a staging folder and then swapped in with dynamic partition
   overwrite, so no job overwrites a path it is reading and sibling entities
   of a rewritten partition are kept;
+* a partition that held only what has moved elsewhere is removed after the
+  swap, and so is the staging folder;
 * every row carries ``ingested_at``; reads keep the latest snapshot per key,
-  which also resolves a rescheduled entity whose old partition became empty
-  (and so was not rewritten).
+  which resolves a job lost between the swap and the removal.
 
 Read path (S-3): explicit schema, partition columns kept as text
 (``day=05`` stays ``"05"``), latest snapshot per key via ``max_by`` (combines
@@ -24,13 +25,13 @@ import datetime as dt
 import os
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from boxoffice.functions.text import url_slug
 from boxoffice.functions.time import ts, ts_lit
+from boxoffice.sources.files import exists, remove
 
 PARTS = ["venue", "year", "month", "day"]
 
@@ -68,14 +69,6 @@ def latest_snapshot(landed: DataFrame, key: str = "id") -> DataFrame:
     return g.select(key, *[F.col("s." + c).alias(c) for c in cols])
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.schema(EVENT_SCHEMA).json(path)
-        return True
-    except AnalysisException:
-        return False
-
-
 def land_snapshots(spark: SparkSession, incoming: DataFrame, path: str,
                    ingested_at: dt.datetime | None = None, key: str = "id") -> None:
     """Keyed replace of ``incoming`` entity snapshots into the landing table at ``path``.
@@ -88,20 +81,26 @@ def land_snapshots(spark: SparkSession, incoming: DataFrame, path: str,
         incoming = incoming.withColumn("ingested_at", ts_lit(ingested_at))
     inc = _attach_parts(incoming)
     inc = inc.select(*[f.name for f in EVENT_SCHEMA.fields], *PARTS)
-    if _exists(spark, path):
+    emptied: list[tuple] = []
+    if exists(spark, path):
         cur = read_landed(spark, path)
         keys = inc.select(key).distinct()
-        moved_from = cur.join(keys, key, "left_semi").select(*PARTS)
-        affected = inc.select(*PARTS).unionByName(moved_from).distinct()
-        keep = cur.join(affected, PARTS, "left_semi").join(keys, key, "left_anti")
-        new = keep.unionByName(inc)
+        moved_from = cur.join(keys, key, "left_semi").select(*PARTS).distinct()
+        affected = inc.select(*PARTS).union(moved_from).distinct()
+        new = cur.join(affected, PARTS, "left_semi").join(keys, key, "left_anti").unionByName(inc)
     else:
-        new = inc
+        moved_from, new = None, inc
     staging = os.path.join(path, "_staging", uuid.uuid4().hex)
     new.write.mode("overwrite").partitionBy(*PARTS).json(staging)
     staged = read_landed(spark, staging)
+    if moved_from is not None:
+        # partitions (folder names, not rows) that held only what has moved away
+        emptied = moved_from.join(staged.select(*PARTS).distinct(), PARTS, "left_anti").collect()
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(*PARTS).json(path))
+    for row in emptied:
+        remove(spark, os.path.join(path, *[f"{p}={row[p]}" for p in PARTS]))
+    remove(spark, staging)
 
 
 def register_tables(spark: SparkSession, root: str, names: list[str], prefix: str,

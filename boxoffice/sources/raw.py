@@ -73,7 +73,7 @@ def ticket_sales(t: Tables) -> DataFrame:
                        _piece("Sales Tax", F.col("sales_tax")),
                        _piece("Venue Fee", F.col("venue_fee")))
     return t.tickets.select(
-        "id", "order_id", "price", "ticket_type_id", "ticket_type_price_id",
+        "id", "order_id", "event_id", "price", "ticket_type_id", "ticket_type_price_id",
         F.col("price").alias("ticket_type_price"),
         F.struct(F.col("ticket_type_name").alias("name")).alias("tickettype"),
         "redeemed", "promo_code",
@@ -87,7 +87,7 @@ def order_pages(t: Tables) -> DataFrame:
               .agg(F.collect_list(F.struct("id", "event_id", "line_item_fees")).alias("orders"))
               .withColumn("error", F.lit(None).cast("string")))
     empty = (t.events.select(F.col("id").alias("event_id"))
-             .join(t.orders.select("event_id"), "event_id", "left_anti")
+             .join(t.orders.select("event_id").distinct(), "event_id", "left_anti")
              .select("event_id", F.lit(None).cast("bigint").alias("page_no"),
                      F.array().cast(pages.schema["orders"].dataType).alias("orders"),
                      F.lit("no_data").alias("error")))

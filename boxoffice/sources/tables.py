@@ -8,26 +8,34 @@ derived from the driver tables once and *landed* as Parquet under the shared
 checkpoint folder (``spark.checkpoint.dir``), as the ingest job of the
 original system lands typed tables that every report then reads. Later
 queries read the landed copy; ``landed=False`` derives them inline instead.
+
+A landed copy belongs to a version: a digest of the input's file listing
+(names, sizes, times; through Spark's file systems, so for any store) and of
+the deriving code. Each landing writes a folder of its own and a marker last,
+so nothing that is being read is overwritten.
 """
 
 from __future__ import annotations
 
 import hashlib
+import inspect
 import os
-import threading
+import uuid
 from dataclasses import dataclass, field
 from functools import cached_property
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from boxoffice.session import checkpoint_dir
 from boxoffice.sources import fixtures
+from boxoffice.sources.files import exists, files_below, folders_in, touch
 
-LANDED = ["events", "orders", "tickets", "raw_charges", "control"]
-# Bumped whenever the derivation changes, so a stale landed copy is never read.
-LANDING_VERSION = "3"
-_LAND_LOCK = threading.Lock()  # callers sharing one driver land one folder at a time
+MARKER = "_LANDED"
+# Landed tables and the driver tables that they come from.
+LANDED = {"events": ["customer", "nation"], "orders": ["orders"], "tickets": ["lineitem", "orders"],
+          "raw_charges": ["orders"], "control": ["customer"]}
+# What the rows of the large tables are dealt by when landed: the key that joins them.
+DEALT_BY = {"events": "id", "orders": "id", "tickets": "order_id", "raw_charges": "meta_order_id"}
 
 DRIVER_TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -36,37 +44,17 @@ DRIVER_TABLES = [
 ]
 
 
-# Fact-sized inputs whose derivation is per-row work worth spreading, with the
-# key they are joined on (hash spreading needs no pre-sort, unlike round-robin,
-# and the order-key join can reuse it).
-SPREAD_IF_FEW_SPLITS = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
-
-
 @dataclass
 class Tables:
     spark: SparkSession
     root: str
-    landed: bool = False
+    landed_at: str | None = None  # folder of the landed copy; None derives inline
     _cache: dict = field(default_factory=dict, repr=False)
 
     def raw(self, name: str) -> DataFrame:
-        """A driver table, read from ``{root}/{name}.parquet``.
-
-        A scan with fewer splits than the cluster has cores (a small file with
-        one row group) is hash-spread on its join key so the row-local derivation after
-        it runs in parallel. Column pruning and filters still reach the scan.
-        Large inputs have many splits and never take this extra exchange.
-        """
+        """A driver table, read from ``{root}/{name}.parquet`` (a file or a folder of part files)."""
         if name not in self._cache:
-            df = self.spark.read.parquet(f"{self.root}/{name}.parquet")
-            if name in SPREAD_IF_FEW_SPLITS:
-                try:  # classic sessions only; Spark Connect has no RDD view
-                    cores = self.spark.sparkContext.defaultParallelism
-                    if df.rdd.getNumPartitions() < cores:
-                        df = df.repartition(cores, SPREAD_IF_FEW_SPLITS[name])
-                except Exception:
-                    pass
-            self._cache[name] = df
+            self._cache[name] = self.spark.read.parquet(f"{self.root}/{name}.parquet")
         return self._cache[name]
 
     # ticket-sales tables (flat names; see FIXTURES.md part 2)
@@ -85,8 +73,8 @@ class Tables:
         raise KeyError(name)
 
     def _table(self, name: str) -> DataFrame:
-        if self.landed:
-            return self.spark.read.parquet(f"{landed_root(self.spark, self.root)}/{name}")
+        if self.landed_at:
+            return self.spark.read.parquet(f"{self.landed_at}/{name}")
         return self.derive(name)
 
     @cached_property
@@ -115,68 +103,59 @@ class Tables:
     def control(self) -> DataFrame:
         return self._table("control")
 
+    @cached_property
+    def attempts(self) -> DataFrame:
+        """The mail service's answers (input of the delivery operators)."""
+        return fixtures.attempts(self.raw("customer"))
+
+    @cached_property
+    def commands(self) -> DataFrame:
+        """Operators' commands on the control table (input)."""
+        return fixtures.commands(self.raw("customer"))
+
 
 def landed_root(spark: SparkSession, root: str) -> str:
-    """Folder of the landed ticket-sales tables of one input folder."""
-    key = f"{os.path.abspath(root)}|{LANDING_VERSION}"
-    if "://" not in root:  # local inputs: a rewritten source file gets a new landed copy
-        for name in ("customer", "nation", "orders", "lineitem"):
-            f = os.path.join(root, f"{name}.parquet")
-            if os.path.exists(f):
-                st = os.stat(f)
-                key += f"|{name}:{st.st_size}:{int(st.st_mtime)}"
-    sig = hashlib.sha1(key.encode()).hexdigest()[:16]
-    return os.path.join(checkpoint_dir(spark), "landed", sig)
-
-
-def _complete(spark: SparkSession, path: str) -> bool:
-    """True once the write of ``path`` committed (its ``_SUCCESS`` marker exists)."""
-    marker = f"{path}/_SUCCESS"
-    if "://" not in path or path.startswith("file:"):
-        return os.path.exists(marker.removeprefix("file:"))
-    try:  # shared storage: let Spark's file system resolve the marker
-        spark.read.text(marker)
-        return True
-    except AnalysisException:
-        return False
+    """Folder of all landings of one version of an input folder."""
+    place = root if "://" in root or root.startswith("file:") else os.path.abspath(root)
+    names = sorted({n for needed in LANDED.values() for n in needed})
+    listing = [(n, files_below(spark, f"{root}/{n}.parquet")) for n in names]
+    key = f"{place}|{listing}|{inspect.getsource(fixtures)}"
+    return os.path.join(checkpoint_dir(spark), "landed", hashlib.sha1(key.encode()).hexdigest()[:16])
 
 
-def land_tables(spark: SparkSession, root: str, refresh: bool = False) -> str:
-    """Derive and write the ticket-sales tables of ``root`` (once).
+def _latest(spark: SparkSession, base: str) -> str | None:
+    """The last whole landing below ``base`` (one with its marker)."""
+    whole = [(at, name) for name, at in folders_in(spark, base) if exists(spark, f"{base}/{name}/{MARKER}")]
+    return f"{base}/{max(whole)[1]}" if whole else None
 
-    A table counts as landed only once its write committed (``_SUCCESS``); a
-    half-written folder (a lost driver mid-write) is simply landed again.
-    """
-    with _LAND_LOCK:
-        return _land(spark, root, refresh)
 
+def land_tables(spark: SparkSession, root: str, refresh: bool = False) -> str:
+    """Derive and write the ticket-sales tables of ``root``, unless its version is there; returns their folder.
 
-def _land(spark: SparkSession, root: str, refresh: bool) -> str:
+    The marker is written last, so a half-written landing is never read; of two
+    jobs that land at once both write whole copies, and the later one counts.
+    """
+    root = root.rstrip("/")
     base = landed_root(spark, root)
-    src = Tables(spark, root.rstrip("/"))
+    at = None if refresh else _latest(spark, base)
+    if at:
+        return at
+    src, folder = Tables(spark, root), uuid.uuid4().hex
     for name in LANDED:
-        path = f"{base}/{name}"
-        if refresh or not _complete(spark, path):
-            df = src.derive(name)
-            if name in ("events", "orders", "tickets"):
-                # row groups narrow in event date, so date-bounded reports skip the
-                # rest of the history; a sort inside each task, no shuffle (a hot
-                # date cannot gather in one task)
-                df = df.sortWithinPartitions("event_date")
-            df.write.mode("overwrite").parquet(path)
-    return base
+        df = src.derive(name)
+        if name in DEALT_BY:
+            df = df.repartition(DEALT_BY[name])
+        if name in ("events", "orders", "tickets"):
+            # row groups narrow in event date, so date-bounded scans skip the rest;
+            # a sort inside each task, so a hot date does not gather in one
+            df = df.sortWithinPartitions("event_date")
+        df.write.parquet(f"{base}/{folder}/{name}")
+    touch(spark, f"{base}/{folder}/{MARKER}")
+    return f"{base}/{folder}"
 
 
 def load_tables(spark: SparkSession, root: str, landed: bool = True) -> Tables:
     """The table bundle of ``root``; with ``landed`` the derived tables are
     landed on first use and read from Parquet afterwards."""
     root = root.rstrip("/")
-    if landed:
-        try:
-            land_tables(spark, root)
-        except Exception as e:  # no writable shared folder: derive inline instead
-            import warnings
-            warnings.warn(f"landing the derived tables failed ({type(e).__name__}); "
-                          "deriving them inline")
-            landed = False
-    return Tables(spark, root, landed=landed)
+    return Tables(spark, root, landed_at=land_tables(spark, root) if landed else None)

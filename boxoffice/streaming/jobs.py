@@ -6,14 +6,17 @@ runs the delivery decision every five. Here the same work is a stream:
 * ST-1 ``snapshot_upsert``: new snapshot files in an inbox -> keyed replace
   into the landing table (``foreachBatch``; idempotent, so a retried batch
   gives the same table);
-* ST-2 ``sales_24h``: tickets sold per venue in sliding 24-hour windows
-  (1-hour slide) on the paid time, with a watermark bounding the state;
+* ST-2 ``sales_24h``: tickets sold per venue and hour of payment, kept as a
+  running count, from which sliding 24-hour windows (1-hour slide) are read.
+  No watermark: a ticket may arrive at any time after its payment and is never
+  dropped; the state is a row per venue and hour, not per ticket;
 * ST-3 ``delivery_tick``: a stream of ticks (reference times); each tick runs
   the delivery categorisation, applies the outcomes and writes the next
   control version, so the state survives a restart.
 
-Every query uses a checkpoint under the session's shared checkpoint folder
-and ``trigger(availableNow=True)``; each run takes a fresh sub-folder.
+Every job takes a folder ``at`` for its checkpoint and tables. A job started
+again with the same folder goes on where it stopped. Without one, a new folder
+in the session's shared checkpoint folder is used.
 """
 
 from __future__ import annotations
@@ -29,8 +32,9 @@ from pyspark.sql import types as T
 from boxoffice.functions.time import ts, ts_lit
 from boxoffice.operators import delivery as dv
 from boxoffice.params import AS_OF
+from boxoffice.operators.joins import salted_join
 from boxoffice.session import checkpoint_dir
-from boxoffice.sources import fixtures
+from boxoffice.sources.files import exists
 from boxoffice.sources.landing import (EVENT_SCHEMA, land_snapshots, latest_snapshot,
                                        read_landed)
 from boxoffice.sources.tables import Tables
@@ -96,9 +100,9 @@ def snapshot_upsert_stream(spark: SparkSession, inbox: str, table: str, checkpoi
             .trigger(availableNow=True).start())
 
 
-def stream_snapshot_upsert(t: Tables, as_of: dt.datetime = AS_OF) -> DataFrame:
+def stream_snapshot_upsert(t: Tables, as_of: dt.datetime = AS_OF, at: str | None = None) -> DataFrame:
     """ST-1: each poll's snapshots arrive as files; the stream lands them."""
-    base = _run_dir(t.spark, "st1")
+    base = at or _run_dir(t.spark, "st1")
     inbox, table, ckpt = (os.path.join(base, x) for x in ("inbox", "table", "checkpoint"))
     for b in snapshot_batches(t, as_of):
         b.write.mode("append").json(inbox)
@@ -109,54 +113,62 @@ def stream_snapshot_upsert(t: Tables, as_of: dt.datetime = AS_OF) -> DataFrame:
 # --- ST-2 ------------------------------------------------------------------
 
 def _ticket_sales(lineitem: DataFrame, t: Tables) -> DataFrame:
-    """Tickets (derived from lineitem rows, static or streaming) with venue and paid time."""
-    k = fixtures.tickets(lineitem, t.raw("orders")).select("order_id", "event_id")
-    o = t.orders.select(F.col("id").alias("order_id"), ts("paid_date_utc").alias("paid_ts"))
-    e = t.events.select(F.col("id").alias("event_id"), F.col("organization_name").alias("venue_name"))
-    return k.join(o, "order_id").join(e, "event_id")
+    """Tickets (lineitem rows, static or streaming) with venue and paid time.
 
-
-def _windowed(sales: DataFrame) -> DataFrame:
-    return sales.groupBy(F.window("paid_ts", "24 hours", "1 hour").alias("w"), "venue_name") \
-                .agg(F.count("*").alias("tickets_sold"))
+    Orders meet the events first (salted: an event may hold a third of all
+    orders), so the tickets join on the order id only.
+    """
+    o = t.orders.select(F.col("id").alias("order_id"), F.col("event_id").alias("o_event_id"),
+                        ts("paid_date_utc").alias("paid_ts"))
+    e = t.events.select(F.col("id").alias("e_id"), F.col("organization_name").alias("venue_name"))
+    sold = salted_join(o, e, "o_event_id", "e_id", ["order_id"]).select("order_id", "paid_ts", "venue_name")
+    return lineitem.select(F.col("l_orderkey").cast("string").alias("order_id")).join(sold, "order_id")
 
 
-def _flat(w: DataFrame) -> DataFrame:
+def sales_24h(t: Tables) -> DataFrame:
+    """Batch twin of ST-2: one aggregation with sliding windows over the static tables."""
+    w = _ticket_sales(t.raw("lineitem"), t).groupBy(
+        F.window("paid_ts", "24 hours", "1 hour").alias("w"), "venue_name").agg(F.count("*").alias("tickets_sold"))
     return w.select("venue_name", F.col("w.start").alias("window_start"),
                     F.col("w.end").alias("window_end"), "tickets_sold")
 
 
-def sales_24h(t: Tables) -> DataFrame:
-    """Batch twin of ST-2 (same aggregation over the static tables)."""
-    return _flat(_windowed(_ticket_sales(t.raw("lineitem"), t)))
+def sliding_from_hours(hours: DataFrame) -> DataFrame:
+    """Counts per (venue_name, hour) -> counts per sliding 24-hour window."""
+    start = F.explode(F.sequence(F.col("hour") - F.expr("INTERVAL 23 HOURS"), F.col("hour"), F.expr("INTERVAL 1 HOUR")))
+    w = hours.select("venue_name", start.alias("window_start"), "tickets_sold")
+    return w.groupBy("venue_name", "window_start").agg(F.sum("tickets_sold").alias("tickets_sold")).select(
+        "venue_name", "window_start", (F.col("window_start") + F.expr("INTERVAL 24 HOURS")).alias("window_end"), "tickets_sold")
 
 
-def stream_sales_24h(t: Tables) -> DataFrame:
-    """ST-2: lineitem files as a stream -> tickets -> sliding 24 h counts per venue.
+def sales_24h_stream(t: Tables, at: str, files_per_trigger: int | None = None):
+    """Start ST-2 over the lineitem files (one file or a folder of part files).
 
-    Update mode emits each changed window's running count; the sink keeps the
-    latest count per (window, venue), which equals the batch result once the
-    input is drained. The watermark (1 hour behind the latest paid time) lets
-    Spark drop the state of windows that can no longer change.
+    Update mode gives each changed hour's running count; every micro-batch has
+    a folder of its own in the sink, overwritten if the batch is run again.
     """
-    spark = t.spark
-    base = _run_dir(spark, "st2")
-    out, ckpt = os.path.join(base, "out"), os.path.join(base, "checkpoint")
-    schema = spark.read.parquet(f"{t.root}/lineitem.parquet").schema
-    src = (spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet")
-           .parquet(t.root))
-    agg = _windowed(_ticket_sales(src, t).withWatermark("paid_ts", "1 hour"))
-
-    def append_batch(batch: DataFrame, epoch: int) -> None:
-        _flat(batch).withColumn("epoch", F.lit(epoch)).write.mode("append").parquet(out)
-
-    q = (agg.writeStream.outputMode("update").foreachBatch(append_batch)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    _drain(q)
-    log = spark.read.parquet(out)
-    g = log.groupBy("venue_name", "window_start", "window_end").agg(
-        F.max_by("tickets_sold", "epoch").alias("tickets_sold"))
-    return g
+    path = f"{t.root}/lineitem.parque[t]"  # as a pattern, a file serves as well as a folder
+    src = t.spark.readStream.schema(t.raw("lineitem").schema)
+    if files_per_trigger:
+        src = src.option("maxFilesPerTrigger", files_per_trigger)
+    hours = _ticket_sales(src.parquet(path), t).groupBy(
+        F.date_trunc("hour", "paid_ts").alias("hour"), "venue_name").agg(F.count("*").alias("tickets_sold"))
+
+    def write_batch(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(os.path.join(at, "hours", f"epoch={epoch}"))
+
+    return (hours.writeStream.outputMode("update").foreachBatch(write_batch)
+            .option("checkpointLocation", os.path.join(at, "checkpoint")).trigger(availableNow=True).start())
+
+
+def stream_sales_24h(t: Tables, at: str | None = None, files_per_trigger: int | None = None) -> DataFrame:
+    """ST-2: sliding 24 h counts per venue, after all files that have come so far."""
+    at = at or _run_dir(t.spark, "st2")
+    _drain(sales_24h_stream(t, at, files_per_trigger))
+    log = t.spark.read.parquet(os.path.join(at, "hours"))
+    hours = log.groupBy("venue_name", "hour").agg(
+        F.max_by("tickets_sold", F.col("epoch").cast("long")).alias("tickets_sold"))
+    return sliding_from_hours(hours)
 
 
 # --- ST-3 ------------------------------------------------------------------
@@ -167,7 +179,8 @@ def tick_times(as_of: dt.datetime = AS_OF, n: int = 2) -> list[dt.datetime]:
     return [as_of + dt.timedelta(minutes=TICK_MINUTES * i) for i in range(n)]
 
 
-def stream_delivery_tick(t: Tables, as_of: dt.datetime = AS_OF) -> DataFrame:
+def stream_delivery_tick(t: Tables, as_of: dt.datetime = AS_OF, at: str | None = None,
+                         ticks: list[dt.datetime] | None = None) -> DataFrame:
     """ST-3: ticks arrive as files; each tick advances the control table.
 
     Every batch writes its control version to its own folder and records it in
@@ -176,11 +189,11 @@ def stream_delivery_tick(t: Tables, as_of: dt.datetime = AS_OF) -> DataFrame:
     restarted stream resumes from the last recorded state.
     """
     spark = t.spark
-    base = _run_dir(spark, "st3")
+    base = at or _run_dir(spark, "st3")
     inbox, log, ckpt = (os.path.join(base, x) for x in ("ticks", "versions", "checkpoint"))
 
     def record(epoch: int, path: str) -> None:
-        spark.createDataFrame([(epoch, path)], "epoch long, path string") \
+        spark.range(1).select(F.lit(epoch).cast("long").alias("epoch"), F.lit(path).alias("path")) \
              .write.mode("append").parquet(log)
 
     def version_before(epoch: int) -> DataFrame:
@@ -188,21 +201,20 @@ def stream_delivery_tick(t: Tables, as_of: dt.datetime = AS_OF) -> DataFrame:
                .orderBy(F.col("epoch").desc()).first())
         return spark.read.parquet(row["path"])
 
-    first = os.path.join(base, "control-initial")
-    t.control.write.parquet(first)
-    record(-1, first)
+    if not exists(spark, log):  # else a job that goes on
+        first = os.path.join(base, "control-initial")
+        t.control.write.mode("overwrite").parquet(first)
+        record(-1, first)
 
     def run_ticks(batch: DataFrame, epoch: int) -> None:
-        # a micro-batch holds a handful of tick times (trigger rows, not data)
-        ctl = version_before(epoch)
-        for (tick,) in batch.select(ts("as_of")).orderBy(1).collect():
-            ctl = dv.control_after_batch(t, tick, control=ctl)
+        # the trigger takes one file of one tick (the scheduler's firing), so this is one row
+        (tick,) = batch.select(ts("as_of")).first()
         out = os.path.join(base, f"control-{epoch}")
-        ctl.write.mode("overwrite").parquet(out)
+        dv.control_after_batch(t, tick, control=version_before(epoch)).write.mode("overwrite").parquet(out)
         record(epoch, out)
 
-    for x in tick_times(as_of):  # one tick file per scheduler firing
-        spark.createDataFrame([(x.strftime("%Y-%m-%d %H:%M:%S"),)], TICK_SCHEMA) \
+    for x in ticks if ticks is not None else tick_times(as_of):  # one tick file per firing
+        spark.range(1).select(F.lit(x.strftime("%Y-%m-%d %H:%M:%S")).alias("as_of")) \
              .coalesce(1).write.mode("append").json(inbox)
     q = (spark.readStream.schema(TICK_SCHEMA).option("maxFilesPerTrigger", 1).json(inbox)
          .writeStream.foreachBatch(run_ticks).option("checkpointLocation", ckpt)

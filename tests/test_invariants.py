@@ -89,7 +89,7 @@ def _fold(old, cmds, commands):
 
 def test_commands_match_sequential_fold(tables):
     ctl = tables.control
-    cmds = dv.control_commands_input(tables)
+    cmds = dv.commands_at(tables.commands)
     got = {r["event_key"]: {k: r[k] for k in ("report_status", "preliminary_sent_at", "final_sent_at")}
            for r in dv.apply_commands(ctl, cmds).collect()}
     old = {r["event_key"]: {k: r[k] for k in ("report_status", "preliminary_sent_at", "final_sent_at")}

@@ -25,7 +25,7 @@ def _events(spark, rows):
 
 def test_keyed_replace_keeps_siblings_and_moves(spark):
     path = os.path.join(_path(spark, "land"), "events")
-    a = ("1", "A", "org-1", "Test Location", "Hall", "2023-10-15 20:00:00", "2023-10-16 03:00:00")
+    a = ("1", "A", "org-1", "Test Location", "Hall", "2023-10-15T20:00:00", "2023-10-16T03:00:00")
     b = ("2", "B", "org-1", "Test Location", "Hall", "2023-10-15 21:00:00", "2023-10-16 04:00:00")
     land_snapshots(spark, _events(spark, [a, b]), path, dt.datetime(2024, 1, 1))
     # the partition path of the reference's path test
@@ -39,6 +39,8 @@ def test_keyed_replace_keeps_siblings_and_moves(spark):
     snap = {r["id"]: r for r in latest_snapshot(raw).collect()}
     assert snap["1"]["day"] == "16" and snap["1"]["start"].startswith("2023-10-16")
     assert snap["2"]["day"] == "15"  # text, zero-padded, not the integer 15
+    # nothing is left behind
+    assert not os.listdir(os.path.join(path, "_staging"))
     # landing the same batch again changes nothing
     before = sorted(map(tuple, latest_snapshot(read_landed(spark, path)).collect()))
     land_snapshots(spark, _events(spark, [a2]), path, dt.datetime(2024, 1, 2))
@@ -54,6 +56,40 @@ def test_moved_event_alone_in_its_partition(spark):
     land_snapshots(spark, _events(spark, [a2]), path, dt.datetime(2024, 1, 2))
     snap = latest_snapshot(read_landed(spark, path)).collect()
     assert len(snap) == 1 and snap[0]["day"] == "05"
+    # the partition that became empty is gone
+    assert read_landed(spark, path).count() == 1
+
+
+def test_a_changed_input_is_landed_again(spark, tmp_path):
+    """Source orders doubled under a file:// root are seen; the first landing stays whole."""
+    import shutil
+
+    from boxoffice.sources.tables import load_tables
+    from tests.conftest import SF_SMALL
+
+    for name in ("orders", "lineitem", "customer", "nation"):
+        shutil.copy(f"{SF_SMALL}/{name}.parquet", tmp_path / f"{name}.parquet")
+    root = f"file://{tmp_path}"
+    first = load_tables(spark, root)
+    n = first.orders.count()
+    assert load_tables(spark, root).landed_at == first.landed_at
+    both = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    both.union(both).write.parquet(str(tmp_path / "twice"))
+    (tmp_path / "orders.parquet").unlink()
+    (tmp_path / "twice").rename(tmp_path / "orders.parquet")
+    second = load_tables(spark, root)
+    assert second.orders.count() == 2 * n and first.orders.count() == n
+    assert load_tables(spark, root).landed_at == second.landed_at
+
+
+def test_a_failed_landing_is_an_error(spark, tmp_path):
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    from boxoffice.sources.tables import load_tables
+
+    with pytest.raises(AnalysisException):
+        load_tables(spark, str(tmp_path))
 
 
 def test_register_and_drop_views(spark):

@@ -44,10 +44,32 @@ def test_filters_and_columns_reach_the_scan(spark, tables):
     assert "GreaterThanOrEqual(event_date" in pushed and "LessThanOrEqual(event_date" in pushed
 
 
-def test_upsert_keeps_control_unshuffled_when_changes_are_small(tables):
+def test_update_of_control_is_two_joins(tables):
+    """One join of the control table with its changes and one anti-join for new keys; no
+    aggregate or window over the table."""
     from boxoffice.operators import delivery as dv
-    df = dv.control_after_batch(tables)
-    df.write.format("noop").mode("overwrite").save()  # let AQE re-plan with real sizes
-    final = df._jdf.queryExecution().executedPlan().toString()
-    # after AQE, the joins of the control table with the (small) outcomes are broadcasts
-    assert "SortMergeJoin" not in final or "BroadcastHashJoin" in final
+
+    ok = tables.spark.createDataFrame([("1", "preliminary_succeeded", False)], "event_id string, outcome string, manifest_empty boolean")
+    plan = _plan(dv.apply_outcomes(tables.control, ok))
+    assert len(re.findall(r"Join[ (]", plan)) == 2 and "Aggregate" not in plan
+
+
+def test_ticket_types_read_the_tickets_once(tables):
+    plan = _plan(REGISTRY["ticket_types_dim"](tables))
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+
+
+def test_events_without_orders_reduces_orders_first(tables):
+    plan = _plan(REGISTRY["events_without_orders"](tables))
+    assert "HashAggregate(keys=[id" in plan
+
+
+def test_marketing_reduces_tickets_before_the_joins(tables):
+    plan = _plan(REGISTRY["marketing_new"](tables))
+    assert "HashAggregate(keys=[k_order_id" in plan
+
+
+def test_report_dates_come_from_the_event_alone(tables):
+    """No date bound on orders or tickets: their copied date may be from before a reschedule."""
+    plan = _plan(REGISTRY["upcoming_sales"](tables))
+    assert plan.count("GreaterThanOrEqual(event_date") == 1

@@ -1,8 +1,12 @@
 """Streaming = batch on the same inputs (SURVEY 5 (d))."""
 
+from pyspark.sql import functions as F
+
 from boxoffice.operators import delivery as dv
 from boxoffice.params import AS_OF
+from boxoffice.sources.tables import Tables
 from boxoffice.streaming import jobs
+from tests.conftest import SF_SMALL
 
 
 def _same(a, b):
@@ -13,6 +17,45 @@ def test_sales_24h_stream_equals_batch(tables):
     _same(jobs.stream_sales_24h(tables), jobs.sales_24h(tables))
 
 
+def _copy_of(spark, tables, tmp_path, parts):
+    """The driver tables, with lineitem as a folder to which files can be added; its files in random order."""
+    import os
+
+    root = tmp_path / "tables"
+    os.makedirs(root / "lineitem.parquet")
+    for name in ("orders", "customer", "nation"):
+        os.symlink(f"{SF_SMALL}/{name}.parquet", root / f"{name}.parquet")
+    spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").orderBy(F.xxhash64("l_orderkey", "l_linenumber")) \
+         .repartition(parts).write.parquet(str(tmp_path / "split"))
+    return str(root), sorted(str(f) for f in (tmp_path / "split").glob("*.parquet"))
+
+
+def test_sales_24h_over_many_files_and_a_restart(spark, tables, tmp_path):
+    """Files out of order, one to a micro-batch; the job stops, more files come, it goes on."""
+    import shutil
+
+    root, files = _copy_of(spark, tables, tmp_path, 6)
+    assert len(files) == 6
+    t = Tables(spark, root)
+    at = str(tmp_path / "job")
+    for f in files[:3]:
+        shutil.copy(f, f"{root}/lineitem.parquet/")
+    part = jobs.stream_sales_24h(t, at, files_per_trigger=1)
+    sold = part.agg(F.sum("tickets_sold")).first()[0]
+    for f in files[3:]:
+        shutil.copy(f, f"{root}/lineitem.parquet/")
+    whole = jobs.stream_sales_24h(Tables(spark, root), at, files_per_trigger=1)
+    assert sold < whole.agg(F.sum("tickets_sold")).first()[0]
+    _same(whole, jobs.sales_24h(tables))
+
+
+def test_delivery_ticks_go_on_after_a_stop(tables, tmp_path):
+    at = str(tmp_path / "ticks")
+    one, two = jobs.tick_times(AS_OF)
+    jobs.stream_delivery_tick(tables, at=at, ticks=[one])
+    _same(jobs.stream_delivery_tick(tables, at=at, ticks=[two]), jobs.stream_delivery_tick(tables))
+
+
 def test_snapshot_upsert_stream_equals_batch_landing(tables):
     _same(jobs.stream_snapshot_upsert(tables), jobs.landing_read(tables))
 
