@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import pathlib
 import re
 import tempfile
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,10 +17,27 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 # Rows per Arrow batch: bounds what one Python worker holds when texts are long.
 ARROW_ROWS = 256
 
+_SENT: set[str] = set()  # applications whose workers have been sent the package
+
+
+def prepare(spark: SparkSession) -> None:
+    """Settings of the session, and this package for its Python workers if their path lacks it."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    package = pathlib.Path(__file__).parents[1]
+    sc = spark.sparkContext
+    if sc.applicationId in _SENT or str(package.parent) in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        return
+    _SENT.add(sc.applicationId)
+    archive = pathlib.Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"  # the driver serves it
+    with zipfile.ZipFile(archive, "w") as out:
+        for f in sorted(package.rglob("*.py")):
+            out.write(f, f.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The parquet table ``name`` below ``sf_dir`` (any file system Spark reads)."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from boxoffice.llm import bpe, mixing, secret_scan, simhash, toxicity as toxic
-from boxoffice.llm.common import cut, pick, table
+from boxoffice.llm.common import cut, pick, prepare, table
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,21 +19,25 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: that with the smallest doc_id."""
+    prepare(spark)
     return simhash.keep_one(docs)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with a mark in place of each secret."""
+    prepare(spark)
     return secret_scan.redact_secrets(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the sources' targets take them."""
+    prepare(spark)
     return mixing.mixed_documents(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, ids, their number, and digests of the ids and of the text decoded from them."""
+    prepare(spark)
     encoded = bpe.encode_documents(pick(docs, "doc_id", "source", "text"))
     return bpe.encoding_report(encoded, "source", "ids")
 
