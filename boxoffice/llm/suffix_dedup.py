@@ -32,6 +32,7 @@ from boxoffice.llm.common import cut
 LENGTH, ANCHOR = 400, 64
 SHARD_BYTES = 1_000_000  # of stretches that a shard holds, before equal ones become one
 STRETCH = 2_048  # windows in a stretch, at most
+WALK = 64  # places that one step of the common-prefix walk takes in each of many stretches
 BLOCK = 1 << 20  # bytes of a text that are hashed at once
 
 MIX, STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x9E3779B97F4A7C15)
@@ -99,22 +100,24 @@ def suffix_array(data: np.ndarray, rest: np.ndarray) -> tuple[np.ndarray, np.nda
     for j in range(7):
         key |= np.where(rest > j, padded[j:j + n], np.uint64(0)) << np.uint64(8 * (7 - j))
     key |= np.minimum(rest, 7).astype(np.uint64)
-    sa = np.argsort(key, kind="stable")
+    sa = np.argsort(key)
+    ended = np.flatnonzero(rest[sa] < 7)  # the key holds their separator: sorted but for its place
+    sa[ended] = sa[ended][np.lexsort((sa[ended], key[sa[ended]]))]
     key = key[sa]
     first = np.append(True, key[1:] != key[:-1]) | (rest[sa] < 7)
-    index = np.arange(n)
-    rank = np.empty(n, np.int64)
-    rank[sa] = np.maximum.accumulate(np.where(first, index, 0))
-    tied = np.flatnonzero(~(first & np.append(first[1:], True)))
+    sa = sa.astype(np.int32)
+    rank = np.empty(n, np.int32)
+    rank[sa] = np.maximum.accumulate(np.where(first, np.arange(n, dtype=np.int32), 0))
+    tied = np.flatnonzero(~(first & np.append(first[1:], True))).astype(np.int32)
     h = 7
     while len(tied):
         place = sa[tied]
-        pair = (rank[place] << 32) | rank[place + h]
-        order = np.argsort(pair, kind="stable")
+        pair = (rank[place].astype(np.int64) << 32) | rank[place + h]
+        order = np.argsort(pair)
         place, pair = place[order], pair[order]
         sa[tied] = place
         first = np.append(True, pair[1:] != pair[:-1])
-        rank[place] = tied[np.maximum.accumulate(np.where(first, np.arange(len(tied)), 0))]
+        rank[place] = tied[np.maximum.accumulate(np.where(first, np.arange(len(tied), dtype=np.int32), 0))]
         tied = tied[~(first & np.append(first[1:], True))]
         h *= 2
     return sa, rank
@@ -124,22 +127,25 @@ def common_prefixes(data: np.ndarray, rest: np.ndarray, starts: np.ndarray, sa:
                     most: int) -> np.ndarray:
     """For each place, the common prefix (up to ``most``) with the suffix before it in the array.
 
-    Kasai's walk along each string, all strings at once: one place further, the
-    common prefix is shorter by one byte at most.
+    Kasai's walk: one place further in a string, the common prefix is shorter by
+    one byte at most. All stretches of WALK places are walked at once.
     """
     n = len(data)
     words = np.zeros(n + most + 16, np.uint64)
     padded = np.concatenate([data, np.zeros(most + 24, np.uint8)]).astype(np.uint64)
     for j in range(8):
         words |= padded[j:j + len(words)] << np.uint64(8 * (7 - j))
-    before = np.full(n, -1, np.int64)
+    before = np.full(n, -1, np.int32)
     before[sa[1:]] = sa[:-1]
     out = np.zeros(n, np.int32)
-    starts = starts[np.argsort(-rest[starts], kind="stable")]
-    lengths = rest[starts]
+    pieces = -(-rest[starts] // WALK)
+    k = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    starts = np.repeat(starts, pieces) + k * WALK
+    starts = starts[np.argsort(-np.minimum(rest[starts], WALK))]
+    lengths = np.minimum(rest[starts], WALK)
     same = np.zeros(len(starts), np.int64)
-    for j in range(int(lengths[0]) if len(lengths) else 0):
-        m = int(np.searchsorted(-lengths, -j, "left"))  # strings longer than j
+    for j in range(WALK):
+        m = int(np.searchsorted(-lengths, -j, "left"))  # stretches longer than j
         i = starts[:m] + j
         q = before[i]
         same = np.where(q >= 0, np.maximum(same[:m] - 1, 0), 0)
