@@ -42,7 +42,7 @@ def ticket_fact(t: Tables) -> DataFrame:
     k = t.tickets.select(F.col("id").alias("k_id"), F.col("order_id").alias("k_order_id"),
                          "price", "surcharge", "let_tax", "sales_tax", "venue_fee",
                          "ticket_type_name", "ticket_type_id", "redeemed", "promo_code")
-    j = (salted_join(o, e, "o_event_id", "e_id", ["o_id"])
+    j = (salted_join(o, e, "o_event_id", "e_id", ["o_id"], t.hot_events("orders"))
           .join(k, k.k_order_id == o.o_id)
           .join(_charges(t), o.o_id == F.col("c_order_id"), "left"))
     price = money_or_zero("price")
@@ -107,7 +107,7 @@ def order_fact(t: Tables) -> DataFrame:
     fees = [money_or_zero(f"fee_{c}") for c in ("surcharge", "let_tax", "sales_tax", "venue_fee")]
     o = o.withColumn("subtotal", money18(money("total_paid") - (fees[0] + fees[1] + fees[2] + fees[3])))
     n = ticket_counts(t)
-    j = (salted_join(o, e, "o_event_id", "e_id", ["o_id"])
+    j = (salted_join(o, e, "o_event_id", "e_id", ["o_id"], t.hot_events("orders"))
           .join(_charges(t), o.o_id == F.col("c_order_id"), "left")
           .join(n, o.o_id == n.n_order_id, "left"))
     keys = ["o_id", "payment_intent", "organization_name", "name", "start", "fee_surcharge",
@@ -219,7 +219,7 @@ def _marketing_joined(t: Tables) -> DataFrame:
     o = _orders(t, "first_name", "last_name", "email", "phone", "opted_in", "opted_in_sms")
     # all but the ticket type depends on the order: tickets become distinct types per order first
     k = t.tickets.select(F.col("order_id").alias("k_order_id"), "ticket_type_name").distinct()
-    return salted_join(o, e, "o_event_id", "e_id", ["o_id"]).join(k, k.k_order_id == o.o_id)
+    return salted_join(o, e, "o_event_id", "e_id", ["o_id"], t.hot_events("orders")).join(k, k.k_order_id == o.o_id)
 
 
 def marketing_original(t: Tables) -> DataFrame:
@@ -253,7 +253,7 @@ def bi_ticket_dataset(t: Tables) -> DataFrame:
                 "fee_sales_tax", "fee_venue_fee")
     k = t.tickets.select(F.col("id").alias("k_id"), F.col("order_id").alias("k_order_id"),
                          "price", "ticket_type_name", "ticket_type_id", "redeemed", "promo_code")
-    j = (salted_join(o, e, "o_event_id", "e_id", ["o_id"])
+    j = (salted_join(o, e, "o_event_id", "e_id", ["o_id"], t.hot_events("orders"))
           .join(k, k.k_order_id == o.o_id)
           .join(_charges(t), o.o_id == F.col("c_order_id"), "left"))
     total = (money_or_zero("price") + money_or_zero("fee_surcharge") + money_or_zero("fee_let_tax")

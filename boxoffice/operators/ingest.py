@@ -19,6 +19,7 @@ from boxoffice.functions.time import ts, ts_lit
 from boxoffice.params import (AS_OF, CHARGE_LOOKBACK_DAYS, CHARGE_LOOKBACK_DEFAULT,
                               CHARGES_TABLE, EVENT_RANGE_PRESETS, EVENT_RANGE_TEST, EVENTS_TABLE,
                               EXCLUDED_DESCRIPTOR, FEE_TYPES, UNKNOWN_VENUE)
+from boxoffice.operators.joins import salted_join
 from boxoffice.sources import raw
 from boxoffice.sources.fixtures import EVENT_COLUMNS
 from boxoffice.sources.tables import Tables
@@ -181,7 +182,36 @@ def new_partitions(t: Tables, as_of: dt.datetime = AS_OF) -> DataFrame:
     """S-5: partitions of incoming events (starting after ``as_of``) that the
     already-landed events (starting at or before it) do not have."""
     start = ts("start")
+    return missing_partitions(event_partition_columns(t.events.filter(start > ts_lit(as_of))),
+                              event_partition_columns(t.events.filter(start <= ts_lit(as_of))))
+
+
+def missing_partitions(incoming: DataFrame, landed: DataFrame) -> DataFrame:
+    """S-5: the partitions of ``incoming`` rows that ``landed`` rows do not have."""
     parts = ["venue", "year", "month", "day"]
-    landed = event_partition_columns(t.events.filter(start <= ts_lit(as_of))).select(*parts)
-    incoming = event_partition_columns(t.events.filter(start > ts_lit(as_of))).select(*parts)
-    return incoming.distinct().join(landed.distinct(), parts, "left_anti")
+    return incoming.select(*parts).distinct().join(landed.select(*parts).distinct(), parts, "left_anti")
+
+
+def landing_rows(t: Tables, table: str) -> DataFrame:
+    """S-1: the rows of one of the six landed tables with their partition columns.
+
+    Rows of an event lie under the event's venue and start date; charges under
+    ``venue=unknown`` and the day they were made. ``_event_id`` tells the event
+    (null for charges).
+    """
+    if table == "charges":
+        made = F.col("created")
+        return t.charges.select("*", F.lit(UNKNOWN_VENUE).alias("venue"), F.date_format(made, "yyyy").alias("year"),
+                                F.date_format(made, "MMMM").alias("month"), F.date_format(made, "d").alias("day"),
+                                F.lit(None).cast("string").alias("_event_id"))
+    start = ts("start")
+    parts = t.events.select(F.col("id").alias("_event_id"), url_slug("organization_name").alias("venue"),
+                            F.date_format(start, "yyyy").alias("year"), F.date_format(start, "MMMM").alias("month"),
+                            F.date_format(start, "dd").alias("day"))
+    if table == "events":
+        return t.events.select(*EVENT_COLUMNS).join(parts, F.col("id") == F.col("_event_id"))
+    rows, spread, hot = {"orders": (orders_enriched, "id", "orders"), "tickets": (tickets_flat, "id", "tickets"),
+                         "ticket_types": (ticket_types_dim, "ticket_type_id", "tickets"),
+                         "checkin_ids": (checkins, "ticket_id", "tickets")}[table]
+    out = salted_join(rows(t), parts, "event_id", "_event_id", [spread], t.hot_events(hot))
+    return out.drop("event_id") if table == "checkin_ids" else out

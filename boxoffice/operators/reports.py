@@ -35,7 +35,7 @@ def _sales(t: Tables, venues: list[str], first_day: dt.date, last_day: dt.date)
     k = t.tickets.select(F.col("order_id").alias("k_order_id"), F.col("event_id").alias("k_event_id"),
                          "ticket_type_name", "price")
     # the event filter first: what is left of the tickets is small against the orders
-    return salted_join(k, e, "k_event_id", "e_id", ["k_order_id"]).join(o, F.col("k_order_id") == o.o_id)
+    return salted_join(k, e, "k_event_id", "e_id", ["k_order_id"], t.hot_events("tickets")).join(o, F.col("k_order_id") == o.o_id)
 
 
 def _recent(as_of: dt.datetime):

@@ -757,3 +757,29 @@ _UP_COLS = ["event_name", "venue_name", "event_date", "ticket_type_name", "price
 ORACLE["result_text_rows"] = with_fx(f"""
 SELECT concat_ws(';', {", ".join(f"'{c}=' || {_V(c)}" for c in _UP_COLS)}) AS "row",
        concat_ws('|', {", ".join(_V(c) for c in _UP_COLS)}) AS cells FROM ({_UPCOMING})""")
+
+# --- the six landed tables -----------------------------------------------------
+
+_PLACES = f"""
+SELECT id AS place_id, {_SLUG.format('organization_name')} AS venue,
+       strftime(CAST(start AS TIMESTAMP), '%Y') AS year, strftime(CAST(start AS TIMESTAMP), '%B') AS month,
+       strftime(CAST(start AS TIMESTAMP), '%d') AS day,
+       CASE WHEN CAST(CAST(start AS TIMESTAMP) AS DATE) BETWEEN DATE '{_LO}' AND DATE '{_HI}'
+            THEN {AS_OF} ELSE {AS_OF} - INTERVAL 1 HOUR END AS ingested_at
+FROM fx_events"""
+
+
+def landed_sql(rows: str, key: str = "event_id", drop: str = "place_id") -> str:
+    return with_fx(f"SELECT * EXCLUDE ({drop}) FROM ({rows}) r JOIN ({_PLACES}) p ON p.place_id = r.{key}")
+
+
+ORACLE["landing_events"] = landed_sql("SELECT * FROM fx_events", "id")
+ORACLE["landing_orders"] = landed_sql(ORACLE["orders_enriched"])
+ORACLE["landing_tickets"] = landed_sql(ORACLE["tickets_flat"])
+ORACLE["landing_ticket_types"] = landed_sql(ORACLE["ticket_types_dim"])
+ORACLE["landing_checkin_ids"] = landed_sql(ORACLE["checkins"], drop="place_id, event_id")
+ORACLE["landing_charges"] = with_fx(f"""
+SELECT *, 'unknown' AS venue, strftime(created, '%Y') AS year, strftime(created, '%B') AS month,
+       strftime(created, '%-d') AS day,
+       CASE WHEN created >= {AS_OF} - INTERVAL 1 DAY THEN {AS_OF} ELSE {AS_OF} - INTERVAL 1 HOUR END AS ingested_at
+FROM fx_charges""")

@@ -20,6 +20,7 @@ from boxoffice.operators import manifest as mf
 from boxoffice.operators import reports as rp
 from boxoffice.session import apply_conf
 from boxoffice.streaming import jobs as st
+from boxoffice.sources.landing import LANDED_KEYS
 from boxoffice.sources.tables import Tables, load_tables
 
 
@@ -107,6 +108,7 @@ REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
     # landing (S-1, S-3, H-1, H-2)
     "landing_snapshot": st.landing_snapshot,
     "landing_read": st.landing_read,
+    **{f"landing_{n}": (lambda t, _n=n: st.landing_table(t, _n)) for n in LANDED_KEYS},
     # streams (ST-1 .. ST-3)
     "stream_snapshot_upsert": st.stream_snapshot_upsert,
     "stream_sales_24h": st.stream_sales_24h,

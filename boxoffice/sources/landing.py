@@ -62,63 +62,106 @@ def read_landed(spark: SparkSession, path: str, schema: T.StructType = EVENT_SCH
     return spark.read.schema(full).json(path)
 
 
-def latest_snapshot(landed: DataFrame, key: str = "id") -> DataFrame:
+def latest_snapshot(landed: DataFrame, *key: str) -> DataFrame:
     """Latest snapshot per key (S-3 + H-2)."""
-    cols = [c for c in landed.columns if c != key]
-    g = landed.groupBy(key).agg(F.max_by(F.struct(*cols), "ingested_at").alias("s"))
-    return g.select(key, *[F.col("s." + c).alias(c) for c in cols])
+    key = key or ("id",)
+    cols = [c for c in landed.columns if c not in key]
+    g = landed.groupBy(*key).agg(F.max_by(F.struct(*cols), "ingested_at").alias("s"))
+    return g.select(*key, *[F.col("s." + c).alias(c) for c in cols])
 
 
-def land_snapshots(spark: SparkSession, incoming: DataFrame, path: str,
-                   ingested_at: dt.datetime | None = None, key: str = "id") -> None:
-    """Keyed replace of ``incoming`` entity snapshots into the landing table at ``path``.
+def land_rows(spark: SparkSession, incoming: DataFrame, path: str, *key: str) -> None:
+    """Keyed replace of ``incoming`` in the landing table at ``path`` (S-1, any table).
 
-    ``incoming`` holds one snapshot per key; without ``ingested_at`` it must
-    carry an ``ingested_at`` column. Re-running the same batch gives the same
-    table (safe to retry after a lost executor or a restarted stream batch).
+    ``incoming`` has one row per key, its partition columns and ``ingested_at``.
+    Re-running the same batch gives the same table (safe to retry after a lost
+    executor or a restarted stream batch). Rows are dealt by partition before
+    they are written, a large partition over several files.
     """
-    if ingested_at is not None:
-        incoming = incoming.withColumn("ingested_at", ts_lit(ingested_at))
-    inc = _attach_parts(incoming)
-    inc = inc.select(*[f.name for f in EVENT_SCHEMA.fields], *PARTS)
+    fields = [f for f in incoming.schema.fields if f.name not in PARTS]
+    schema = T.StructType(fields)
+    inc = incoming.select(*[f.name for f in fields], *PARTS)
+    keys_of = list(key)
     emptied: list[tuple] = []
     if exists(spark, path):
-        cur = read_landed(spark, path)
-        keys = inc.select(key).distinct()
-        moved_from = cur.join(keys, key, "left_semi").select(*PARTS).distinct()
+        cur = read_landed(spark, path, schema)
+        keys = inc.select(*keys_of).distinct()
+        moved_from = cur.join(keys, keys_of, "left_semi").select(*PARTS).distinct()
         affected = inc.select(*PARTS).union(moved_from).distinct()
-        new = cur.join(affected, PARTS, "left_semi").join(keys, key, "left_anti").unionByName(inc)
+        new = cur.join(affected, PARTS, "left_semi").join(keys, keys_of, "left_anti").unionByName(inc)
     else:
         moved_from, new = None, inc
     staging = os.path.join(path, "_staging", uuid.uuid4().hex)
-    new.write.mode("overwrite").partitionBy(*PARTS).json(staging)
-    staged = read_landed(spark, staging)
+    new.hint("rebalance", *PARTS).write.mode("overwrite").partitionBy(*PARTS).json(staging)
+    staged = read_landed(spark, staging, schema)
     if moved_from is not None:
         # partitions (folder names, not rows) that held only what has moved away
         emptied = moved_from.join(staged.select(*PARTS).distinct(), PARTS, "left_anti").collect()
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (staged.hint("rebalance", *PARTS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(*PARTS).json(path))
     for row in emptied:
         remove(spark, os.path.join(path, *[f"{p}={row[p]}" for p in PARTS]))
     remove(spark, staging)
 
 
+def land_snapshots(spark: SparkSession, incoming: DataFrame, path: str,
+                   ingested_at: dt.datetime | None = None, key: str = "id") -> None:
+    """``land_rows`` for event snapshots; without ``ingested_at`` they carry that column."""
+    if ingested_at is not None:
+        incoming = incoming.withColumn("ingested_at", ts_lit(ingested_at))
+    columns = [f.name for f in EVENT_SCHEMA.fields]
+    land_rows(spark, _attach_parts(incoming).select(*columns, *PARTS), path, key)
+
+
 def register_tables(spark: SparkSession, root: str, names: list[str], prefix: str,
                     schemas: dict[str, T.StructType] | None = None) -> list[str]:
-    """S-4: register each landed table folder ``root/name`` as view ``prefix + name``."""
+    """S-4/S-5: register each landed table folder ``root/name`` as an external catalog table
+    ``prefix + name`` with its own schema, and its partitions.
+
+    A table that is registered already only gets its new partitions.
+    """
     out = []
     for n in names:
-        sch = (schemas or {}).get(n, EVENT_SCHEMA)
-        read_landed(spark, os.path.join(root, n), sch).createOrReplaceTempView(prefix + n)
+        schema = (schemas or LANDED_SCHEMAS)[n]
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        parts = ", ".join(f"{p} string" for p in PARTS)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS `{prefix}{n}` ({columns}, {parts}) USING json "
+                  f"PARTITIONED BY ({', '.join(PARTS)}) LOCATION '{os.path.join(root, n)}'")
+        spark.catalog.recoverPartitions(f"`{prefix}{n}`")
         out.append(prefix + n)
     return out
 
 
 def drop_tables(spark: SparkSession, prefix: str) -> list[str]:
-    """S-6: drop the temporary views whose name starts with ``prefix``."""
-    dropped = []
-    for t in spark.catalog.listTables():
-        if t.isTemporary and t.name.startswith(prefix):
-            spark.catalog.dropTempView(t.name)
-            dropped.append(t.name)
+    """S-6: drop the tables whose name starts with ``prefix`` (external: their files stay)."""
+    dropped = sorted(t.name for t in spark.catalog.listTables() if t.name.startswith(prefix))
+    for name in dropped:
+        spark.sql(f"DROP TABLE `{name}`")
     return dropped
+
+
+def _schema(columns: str) -> T.StructType:
+    """``name type, ...`` with string as the default type, and ``ingested_at``."""
+    out = T.StructType()
+    for c in [*columns.split(), "ingested_at:timestamp"]:
+        name, _, kind = c.partition(":")
+        out = out.add(name, {"": T.StringType(), "boolean": T.BooleanType(), "timestamp": T.TimestampType()}[kind])
+    return out
+
+
+# The columns of the landed tables.
+FEES = "ticketing_fee surcharge let_tax sales_tax venue_fee admin_fee_not_a_gratuity_ gratuity"
+LANDED_SCHEMAS = {
+    "events": EVENT_SCHEMA,
+    "orders": _schema("id event_id total_paid first_name last_name email phone opted_in:boolean "
+                      f"opted_in_sms:boolean paid_date_utc {FEES}"),
+    "tickets": _schema("id order_id event_id price name ticket_type_id ticket_type_name ticket_type_price "
+                       "ticket_type_price_id redeemed:boolean promo_code order_total_paid "
+                       f"order_total_face_value {FEES}"),
+    "ticket_types": _schema("ticket_type_id ticket_type_price_id event_id ticket_type_name ticket_type_price"),
+    "checkin_ids": _schema("ticket_id"),
+    "charges": _schema("id created:timestamp event_date payment_intent ticketsauce_order_id"),
+}
+LANDED_KEYS = {"events": ["id"], "orders": ["id"], "tickets": ["id"],
+               "ticket_types": ["event_id", "ticket_type_id", "ticket_type_price_id"],
+               "checkin_ids": ["ticket_id"], "charges": ["id"]}

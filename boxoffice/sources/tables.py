@@ -20,12 +20,15 @@ from __future__ import annotations
 import hashlib
 import inspect
 import os
+import sys
 import uuid
 from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from boxoffice.operators.joins import hot_keys
 from boxoffice.session import checkpoint_dir
 from boxoffice.sources import fixtures
 from boxoffice.sources.files import exists, files_below, folders_in, touch
@@ -33,7 +36,7 @@ from boxoffice.sources.files import exists, files_below, folders_in, touch
 MARKER = "_LANDED"
 # Landed tables and the driver tables that they come from.
 LANDED = {"events": ["customer", "nation"], "orders": ["orders"], "tickets": ["lineitem", "orders"],
-          "raw_charges": ["orders"], "control": ["customer"]}
+          "raw_charges": ["orders"], "control": ["customer"], "event_sizes": ["lineitem", "orders"]}
 # What the rows of the large tables are dealt by when landed: the key that joins them.
 DEALT_BY = {"events": "id", "orders": "id", "tickets": "order_id", "raw_charges": "meta_order_id"}
 
@@ -70,8 +73,23 @@ class Tables:
             return fixtures.raw_charges(self.raw("orders"))
         if name == "control":
             return fixtures.control(self.raw("customer"))
+        if name == "event_sizes":
+            return self._sizes()
         raise KeyError(name)
 
+    def _sizes(self) -> DataFrame:
+        """Orders and tickets of each event that has any, and of all; combines map-side."""
+        count = lambda df, n: df.groupBy("event_id").agg(F.count("*").alias(n))
+        sizes = count(self.orders, "orders").join(count(self.tickets, "tickets"), "event_id", "full").fillna(0, ["orders", "tickets"])
+        total = sizes.agg(F.sum("orders"), F.sum("tickets")).first()
+        return sizes.select("*", F.lit(total[0] or 0).cast("long").alias("all_orders"),
+                            F.lit(total[1] or 0).cast("long").alias("all_tickets"))
+
+    def hot_events(self, table: str) -> DataFrame:
+        """Events that hold more of ``table`` (orders or tickets) than a shuffle partition's fair share."""
+        partitions = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return hot_keys(self.event_sizes, "event_id", table, f"all_{table}", partitions)
+
     def _table(self, name: str) -> DataFrame:
         if self.landed_at:
             return self.spark.read.parquet(f"{self.landed_at}/{name}")
@@ -103,6 +121,10 @@ class Tables:
     def control(self) -> DataFrame:
         return self._table("control")
 
+    @cached_property
+    def event_sizes(self) -> DataFrame:
+        return self._table("event_sizes")
+
     @cached_property
     def attempts(self) -> DataFrame:
         """The mail service's answers (input of the delivery operators)."""
@@ -119,7 +141,8 @@ def landed_root(spark: SparkSession, root: str) -> str:
     place = root if "://" in root or root.startswith("file:") else os.path.abspath(root)
     names = sorted({n for needed in LANDED.values() for n in needed})
     listing = [(n, files_below(spark, f"{root}/{n}.parquet")) for n in names]
-    key = f"{place}|{listing}|{inspect.getsource(fixtures)}"
+    code = inspect.getsource(fixtures) + inspect.getsource(sys.modules[__name__])
+    key = f"{place}|{listing}|{code}"
     return os.path.join(checkpoint_dir(spark), "landed", hashlib.sha1(key.encode()).hexdigest()[:16])
 
 
@@ -142,7 +165,8 @@ def land_tables(spark: SparkSession, root: str, refresh: bool = False) -> str:
         return at
     src, folder = Tables(spark, root), uuid.uuid4().hex
     for name in LANDED:
-        df = src.derive(name)
+        # sizes are counted from what has just been landed
+        df = (Tables(spark, root, landed_at=f"{base}/{folder}") if name == "event_sizes" else src).derive(name)
         if name in DEALT_BY:
             df = df.repartition(DEALT_BY[name])
         if name in ("events", "orders", "tickets"):

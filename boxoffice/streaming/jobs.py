@@ -31,12 +31,13 @@ from pyspark.sql import types as T
 
 from boxoffice.functions.time import ts, ts_lit
 from boxoffice.operators import delivery as dv
+from boxoffice.operators import ingest as ig
 from boxoffice.params import AS_OF
 from boxoffice.operators.joins import salted_join
 from boxoffice.session import checkpoint_dir
 from boxoffice.sources.files import exists
-from boxoffice.sources.landing import (EVENT_SCHEMA, land_snapshots, latest_snapshot,
-                                       read_landed)
+from boxoffice.sources.landing import (EVENT_SCHEMA, LANDED_KEYS, LANDED_SCHEMAS, land_rows,
+                                       land_snapshots, latest_snapshot, read_landed)
 from boxoffice.sources.tables import Tables
 
 RESCHEDULE_DAYS = 1
@@ -86,6 +87,22 @@ def landing_read(t: Tables, as_of: dt.datetime = AS_OF) -> DataFrame:
     return latest_snapshot(landing_snapshot(t, as_of))
 
 
+def landing_table(t: Tables, table: str, as_of: dt.datetime = AS_OF, at: str | None = None) -> DataFrame:
+    """S-1/S-3: land a whole table an hour before ``as_of``; at ``as_of`` land again what belongs
+    to the ``current`` range (events by start, charges by the time they were made); read the latest."""
+    path = os.path.join(at or _run_dir(t.spark, "landing"), table)
+    rows = ig.landing_rows(t, table)
+    if table == "charges":
+        again = ig.charges_in_range(t, "current", as_of).select("id")
+        current = rows.join(again, "id", "left_semi")
+    else:
+        again = ig.events_in_range(t, "current", as_of).select(F.col("id").alias("_event_id"))
+        current = rows.join(again, "_event_id", "left_semi")
+    for batch, when in ((rows, as_of - dt.timedelta(hours=1)), (current, as_of)):
+        land_rows(t.spark, batch.drop("_event_id").withColumn("ingested_at", ts_lit(when)), path, *LANDED_KEYS[table])
+    return latest_snapshot(read_landed(t.spark, path, LANDED_SCHEMAS[table]), *LANDED_KEYS[table])
+
+
 # --- ST-1 ------------------------------------------------------------------
 
 def snapshot_upsert_stream(spark: SparkSession, inbox: str, table: str, checkpoint: str):
@@ -121,7 +138,7 @@ def _ticket_sales(lineitem: DataFrame, t: Tables) -> DataFrame:
     o = t.orders.select(F.col("id").alias("order_id"), F.col("event_id").alias("o_event_id"),
                         ts("paid_date_utc").alias("paid_ts"))
     e = t.events.select(F.col("id").alias("e_id"), F.col("organization_name").alias("venue_name"))
-    sold = salted_join(o, e, "o_event_id", "e_id", ["order_id"]).select("order_id", "paid_ts", "venue_name")
+    sold = salted_join(o, e, "o_event_id", "e_id", ["order_id"], t.hot_events("orders")).select("order_id", "paid_ts", "venue_name")
     return lineitem.select(F.col("l_orderkey").cast("string").alias("order_id")).join(sold, "order_id")
 
 

@@ -100,7 +100,29 @@ def test_register_and_drop_views(spark):
     names = register_tables(spark, root, ["events"], "tw_")
     assert names == ["tw_events"]
     assert spark.sql("SELECT count(*) AS n FROM tw_events").first()["n"] == 1
+    # S-5: a partition that came later is found when registering again
+    land_snapshots(spark, _events(spark, [("2", "B", "o", "V", "H", "2024-01-09 10:00:00", "2024-01-09 18:00:00")]),
+                   os.path.join(root, "events"), dt.datetime(2024, 1, 2))
+    register_tables(spark, root, ["events"], "tw_")
+    assert [r.day for r in spark.sql("SELECT day FROM tw_events ORDER BY day").collect()] == ["01", "09"]
     assert drop_tables(spark, "tw_") == ["tw_events"]
+    assert read_landed(spark, os.path.join(root, "events")).count() == 2
+
+
+def test_every_landed_table_is_registered_with_its_own_columns(spark, tables):
+    from boxoffice.sources.landing import LANDED_KEYS, LANDED_SCHEMAS
+    from boxoffice.streaming import jobs
+
+    root = _path(spark, "six")
+    for name in LANDED_KEYS:
+        jobs.landing_table(tables, name, at=root)
+    register_tables(spark, root, list(LANDED_KEYS), "six_")
+    for name, schema in LANDED_SCHEMAS.items():
+        got = spark.table(f"six_{name}")
+        assert got.columns == [*schema.names, "venue", "year", "month", "day"]
+        assert got.count() == read_landed(spark, os.path.join(root, name), schema).count() > 0
+        assert got.filter(F.col(schema.names[0]).isNull()).count() == 0
+    assert len(drop_tables(spark, "six_")) == 6
 
 
 def test_manifest_csv_sink(spark, tables):

@@ -8,7 +8,9 @@ skew settings; it does not show that a split happened on this small input.
 """
 
 import pytest
+from pyspark.sql import functions as F
 
+from boxoffice.operators.joins import hot_keys, salted_join
 from tests.conftest import SF_SMALL
 from tests.oracle_compare import compare, duck
 
@@ -44,3 +46,21 @@ def test_exact_under_skew_splits(skewed, name, monkeypatch):
     monkeypatch.setattr(reg, "apply_conf", lambda spark: None)
     ok, msg = compare(skewed, name, SF_SMALL, duck(SF_SMALL))
     assert ok, msg
+
+
+def test_a_hot_event_is_spread_and_nothing_else(spark):
+    """One event with a third of all orders: its rows meet in many sub-keys, each near a fair share."""
+    n, parts = 9000, 30
+    orders = spark.range(n).select(F.col("id").cast("string").alias("o_id"), F.when(
+        F.col("id") < n // 3, "hot").otherwise((F.col("id") % 500).cast("string")).alias("o_event"))
+    events = orders.select(F.col("o_event").alias("e_id")).distinct().withColumn("name", F.concat(F.lit("n"), "e_id"))
+    sizes = orders.groupBy(F.col("o_event").alias("event_id")).agg(F.count("*").alias("orders")).withColumn("all_orders", F.lit(n))
+    hot = hot_keys(sizes, "event_id", "orders", "all_orders", parts)
+    assert [tuple(r) for r in hot.collect()] == [("hot", 10)]
+    out = salted_join(orders, events, "o_event", "e_id", ["o_id"], hot)
+    plain = orders.join(events, orders.o_event == events.e_id)
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, plain.collect()))
+    per = orders.filter("o_event = 'hot'").groupBy(F.pmod(F.xxhash64("o_id"), F.lit(10))).count().collect()
+    assert len(per) == 10 and max(r["count"] for r in per) < 1.5 * n / parts
+    left = salted_join(orders, events.filter("e_id <> 'hot'"), "o_event", "e_id", ["o_id"], hot, "left")
+    assert left.count() == n and left.filter("name is null").count() == n // 3
