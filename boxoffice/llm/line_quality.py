@@ -20,8 +20,8 @@ from boxoffice.llm.common import cut
 
 # Production parameters. The field is fitted on so many labelled rows of each
 # class at most (those with the smallest hashes of their ids), of at most so many lines.
-SAMPLE_OF_CLASS, SAMPLE_LINES, SAMPLE_SEED = 1_500, 200, 23
-PENALTY, STEPS, RATE = 1e-3, 200, 0.1
+SAMPLE_OF_CLASS, SAMPLE_LINES, SAMPLE_SEED = 1_000, 60, 23
+PENALTY, STEPS, RATE = 1e-3, 150, 0.1
 CONTENT_SHARE = 0.5
 WINDOW, MIN_WORDS, REPEATED_PERCENT = 5, 10, 20
 LONG_TEXT = 100_000  # words from which windows are compared as numbers
@@ -136,7 +136,7 @@ def log_likelihood(field: Field, x: np.ndarray, mask: np.ndarray, y: np.ndarray)
     """
     n, length, _ = x.shape
     score = np.stack([np.zeros((n, length)), x @ field.emit], axis=2)
-    add = lambda a, axis: np.logaddexp.reduce(a, axis=axis)
+    add = lambda a, axis: np.logaddexp(*np.moveaxis(a, axis, 0))
     forward, backward = np.empty((n, length, 2)), np.zeros((n, length, 2))
     forward[:, 0] = score[:, 0]
     for t in range(1, length):
