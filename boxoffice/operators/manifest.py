@@ -194,14 +194,14 @@ def manifest_document(t: Tables) -> DataFrame:
     return doc.withColumn("document", F.to_json(F.struct(*doc.columns)))
 
 
-def _csv_rows(t: Tables, columns: list[str]) -> DataFrame:
+def _csv_rows(t: Tables, columns: list[str], event_id: str | None) -> DataFrame:
     """S-9/A-14: detail lines and the per-event totals row in one aggregate.
 
     Grouping sets over the priced tickets: (event, line keys) gives the lines,
     (event) gives the totals; the bar-card share is summed per ticket, which
     equals 100.00 x quantity per matching line.
     """
-    k = _priced_tickets(t).withColumn(
+    k = _priced_tickets(t, event_id).withColumn(
         "bar", F.when(F.col("ticket_name").rlike(BAR_CARD_PATTERN),
                       F.lit(BAR_CARD_AMOUNT).cast("decimal(10,2)")).otherwise(F.lit(0).cast("decimal(10,2)")))
     keys = ["event_id", "ticket_name", "price", "surcharge", "let_tax"]
@@ -232,14 +232,14 @@ def _csv_rows(t: Tables, columns: list[str]) -> DataFrame:
     return out.select("event_id", "row_kind", *columns)
 
 
-def manifest_csv_surcharge(t: Tables) -> DataFrame:
+def manifest_csv_surcharge(t: Tables, event_id: str | None = None) -> DataFrame:
     """S-9 / A-14: the 13-column surcharge CSV rows, detail lines then one totals row."""
-    return _csv_rows(t, SURCHARGE_CSV_COLUMNS)
+    return _csv_rows(t, SURCHARGE_CSV_COLUMNS, event_id)
 
 
-def manifest_csv_final(t: Tables) -> DataFrame:
+def manifest_csv_final(t: Tables, event_id: str | None = None) -> DataFrame:
     """S-10: the 12-column final CSV rows (no surcharge column)."""
-    return _csv_rows(t, FINAL_CSV_COLUMNS)
+    return _csv_rows(t, FINAL_CSV_COLUMNS, event_id)
 
 
 def write_manifest_csv(rows: DataFrame, path: str) -> None:

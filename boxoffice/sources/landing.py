@@ -82,21 +82,20 @@ def land_rows(spark: SparkSession, incoming: DataFrame, path: str, *key: str) ->
     schema = T.StructType(fields)
     inc = incoming.select(*[f.name for f in fields], *PARTS)
     keys_of = list(key)
-    emptied: list[tuple] = []
-    if exists(spark, path):
-        cur = read_landed(spark, path, schema)
-        keys = inc.select(*keys_of).distinct()
-        moved_from = cur.join(keys, keys_of, "left_semi").select(*PARTS).distinct()
-        affected = inc.select(*PARTS).union(moved_from).distinct()
-        new = cur.join(affected, PARTS, "left_semi").join(keys, keys_of, "left_anti").unionByName(inc)
-    else:
-        moved_from, new = None, inc
+    if not exists(spark, path):
+        # nothing to replace; a lost job leaves some partitions, which its next run replaces
+        inc.hint("rebalance", *PARTS).write.partitionBy(*PARTS).json(path)
+        return
+    cur = read_landed(spark, path, schema)
+    keys = inc.select(*keys_of).distinct()
+    moved_from = cur.join(keys, keys_of, "left_semi").select(*PARTS).distinct()
+    affected = inc.select(*PARTS).union(moved_from).distinct()
+    new = cur.join(affected, PARTS, "left_semi").join(keys, keys_of, "left_anti").unionByName(inc)
     staging = os.path.join(path, "_staging", uuid.uuid4().hex)
     new.hint("rebalance", *PARTS).write.mode("overwrite").partitionBy(*PARTS).json(staging)
     staged = read_landed(spark, staging, schema)
-    if moved_from is not None:
-        # partitions (folder names, not rows) that held only what has moved away
-        emptied = moved_from.join(staged.select(*PARTS).distinct(), PARTS, "left_anti").collect()
+    # partitions (folder names, not rows) that held only what has moved away
+    emptied = moved_from.join(staged.select(*PARTS).distinct(), PARTS, "left_anti").collect()
     (staged.hint("rebalance", *PARTS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(*PARTS).json(path))
     for row in emptied:
