@@ -128,7 +128,8 @@ def test_salted_join_equals_plain_join_with_a_hot_key(spark):
                                 + [("ox", "none")], "o_id string, ev string")
     dim = spark.createDataFrame([("hot", "Hot Hall")] + [(f"k{i}", f"Hall {i}") for i in range(7)],
                                 "e_id string, venue string")
+    hot = spark.createDataFrame([("hot", 5), ("none", 3)], "hot_key string, hot_buckets int")
     for how in ("inner", "left"):
         plain = big.join(dim, big.ev == dim.e_id, how).select("o_id", "ev", "venue")
-        salted = salted_join(big, dim, "ev", "e_id", ["o_id"], how).select("o_id", "ev", "venue")
+        salted = salted_join(big, dim, "ev", "e_id", ["o_id"], hot, how).select("o_id", "ev", "venue")
         assert sorted(plain.collect()) == sorted(salted.collect())
