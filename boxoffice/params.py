@@ -26,26 +26,6 @@ PRELIM_SENT = "prelim_sent"
 REPORT_CANCELED = "report_canceled"
 FINAL_SENT = "final_sent"
 CONTROL_ROW_DOES_NOT_EXIST = "control_row_does_not_exist"
-VALID_REPORT_STATUSES = [CONTROL_INITIALIZED, PRELIM_SENT, REPORT_CANCELED, FINAL_SENT]
-
-# Delivery categories, in the order they are tested (first match wins).
-CATEGORIES = [
-    "report_canceled",
-    "final_already_sent",
-    "send_final",
-    "no_action_waiting_to_send_final",
-    "send_preliminary",
-    "preliminary_is_not_yet_due",
-]
-
-# Abstract status labels (a different order from the categories).
-ABSTRACT_STATUSES = [
-    "eligible_for_preliminary",
-    "report_canceled",
-    "final_already_sent",
-    "eligible_for_final",
-    "unknown",
-]
 
 # Report variants: name, label as final, has pdf, has surcharge csv, has final csv.
 REPORT_VARIANTS = [

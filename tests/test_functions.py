@@ -31,8 +31,8 @@ def test_ljust_never_truncates(spark):
 
 
 def test_short_venue(spark):
-    assert one(spark, short_venue("x"), "Marquee Nightclub") == "marquee_nc"
-    assert one(spark, short_venue("x"), "TAO Beach Dayclub") == "tao_beach_day"
+    assert one(spark, short_venue("x"), "Harbor Nightclub") == "harbor_nc"
+    assert one(spark, short_venue("x"), "Sand Beach Dayclub") == "sand_beach_day"
 
 
 def test_money_casts(spark):
