@@ -11,6 +11,8 @@ import zipfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from boxoffice.operators.joins import hot_keys, salted_join
+
 # A word is a run of anything but ASCII white space; bytes.split() splits exactly there.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
@@ -90,6 +92,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def join_classes(rows: DataFrame, classes: DataFrame, key: str, count: str, spread_by: list[str], how: str = "inner") -> DataFrame:
+    """``rows`` joined with the one row that ``classes`` has for their ``key``.
+
+    ``count`` in ``classes``: how many rows have the key. The rows of keys with
+    more than a shuffle partition's fair share are spread over several tasks;
+    there are fewer such keys than partitions. ``classes`` should be a written
+    table, as it is read three times.
+    """
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = classes.agg(F.sum(count)).first()[0] or 0
+    hot = hot_keys(classes.withColumn("_xtotal", F.lit(total).cast("long")), key, count, "_xtotal", partitions)
+    return salted_join(rows, classes.withColumnRenamed(key, "_xkey"), key, "_xkey", spread_by, hot, how).drop("_xkey")
+
+
 def vocabulary_path(name: str) -> str:
     """The file of a public tokenizer; $TOKENIZER_DIR overrides its place."""
     folder = os.environ.get("TOKENIZER_DIR")

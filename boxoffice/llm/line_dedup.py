@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from boxoffice.llm.common import cut, join_classes
+
 # Production parameters: what ends a unit ("\n\n" makes paragraphs), and the fewest words of one.
 SEPARATOR, MIN_WORDS = "\n", 1
 
@@ -77,8 +79,8 @@ def dedup_units(docs: DataFrame, separator: str = SEPARATOR, min_words: int = MI
     base = base.withColumn("t", F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
     units = base.select("doc_id", "t", F.posexplode(digests("text")).alias("unit", "digest")).filter(F.col("digest").isNotNull())
     rank = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "t", "unit")
-    repeated = units.groupBy("digest").agg(F.min(rank).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    gone = units.join(repeated, "digest").filter(~rank.eqNullSafe(F.col("first"))).groupBy("doc_id", "t").agg(
+    repeated = cut(units.groupBy("digest").agg(F.min(rank).alias("first"), F.count("*").alias("n")).filter("n > 1"))
+    gone = join_classes(units, repeated, "digest", "n", ["doc_id", "t", "unit"]).filter(~rank.eqNullSafe(F.col("first"))).groupBy("doc_id", "t").agg(
         F.collect_set("unit").alias("gone")).select(F.col("doc_id").alias("d"), F.col("t").alias("s"), "gone")
     rows = base.groupBy("doc_id", "t").agg(F.any_value("text").alias("text"), F.count("*").alias("n"))
     rows = rows.join(gone, rows.doc_id.eqNullSafe(gone.d) & (rows.t == gone.s), "left").select(

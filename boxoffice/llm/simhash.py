@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from boxoffice.llm.common import column_of, cut, number_columns, restore_columns
+from boxoffice.llm.common import column_of, cut, join_classes, number_columns, restore_columns
 from boxoffice.llm.components import components
 
 # Production parameters.
@@ -188,10 +188,11 @@ def near_links(distinct: DataFrame, most: int = MAX_BITS, limit: int = CELL_LIMI
 
 
 def roots_of(prints: DataFrame, most: int = MAX_BITS) -> DataFrame:
-    """One row per different ``fp`` with the root fingerprint of its component."""
-    distinct = cut(prints.select("fp").distinct())
-    roots = components(near_links(distinct, most))
-    return distinct.join(roots, distinct.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"))
+    """One row per different ``fp``: n (its rows), first (smallest doc_id) and root, the smallest fingerprint of its component."""
+    distinct = cut(prints.groupBy("fp").agg(F.count("*").alias("n"), F.min("doc_id").alias("first")))
+    roots = components(near_links(distinct.select("fp"), most))
+    return cut(distinct.join(roots, distinct.fp == roots.node, "left").select(
+        "fp", "n", "first", F.coalesce("root", "fp").alias("root")))
 
 
 def near_duplicates(docs: DataFrame, most: int = MAX_BITS) -> DataFrame:
@@ -201,10 +202,10 @@ def near_duplicates(docs: DataFrame, most: int = MAX_BITS) -> DataFrame:
     component_id. Repeated rows repeat; an empty table stays empty.
     """
     prints = cut(docs.select("doc_id", fingerprints(F.col("text")).alias("fp")))
-    first = prints.groupBy("fp").agg(F.min("doc_id").alias("first")).join(roots_of(prints, most), "fp")
-    least = first.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = first.join(least, "root").select("fp", "component_id")
-    return prints.join(classes, "fp").select(
+    roots = roots_of(prints, most)
+    least = roots.groupBy("root").agg(F.min("first").alias("component_id"))
+    classes = cut(roots.join(least, "root").select("fp", "n", "component_id"))
+    return join_classes(prints, classes, "fp", "n", ["doc_id"]).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -219,7 +220,8 @@ def keep_one(docs: DataFrame, most: int = MAX_BITS) -> DataFrame:
     doc_id = column_of(names, "doc_id")
     df = df.withColumn("_xrow", F.xxhash64(*[F.to_json(F.struct(f"_c{i}")) for i in range(len(names))]))
     prints = cut(df.select(doc_id.alias("doc_id"), "_xrow", fingerprints(text).alias("fp")))
-    ranked = prints.groupBy("fp", "doc_id", "_xrow").agg(F.count("*").alias("copies")).join(roots_of(prints, most), "fp")
+    rows = prints.groupBy("fp", "doc_id", "_xrow").agg(F.count("*").alias("copies"))
+    ranked = join_classes(rows, roots_of(prints, most).select("fp", "n", "root"), "fp", "n", ["doc_id", "_xrow"])
     first = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_xrow", "copies")
     stay = cut(ranked.groupBy("root").agg(F.min(first).alias("s")).select("s.doc_id", "s._xrow", "s.copies"))
     same = doc_id.eqNullSafe(F.col("doc_id")) & (df["_xrow"] == stay["_xrow"])

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from boxoffice.llm.common import cut
+from boxoffice.llm.common import cut, join_classes
 
 # Production parameters. ANCHOR must be a power of two below LENGTH.
 LENGTH, ANCHOR = 400, 64
@@ -352,35 +352,38 @@ def repeated_windows(texts: DataFrame, packed: DataFrame) -> DataFrame:
     return out
 
 
-def dedup_repeats(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and kept (the bytes that are left) of every row.
-
-    A byte goes if it lies in a string of LENGTH bytes that also starts anywhere
-    else; all is judged on the input. Null texts count as empty. Of equal texts
-    of LENGTH bytes or more nothing is left, in repeated rows too. An empty
-    table stays empty. ``kept`` is null where the whole text is left.
-    """
+def _removals(docs: DataFrame, kept) -> DataFrame:
+    """Every row with what is removed from it; ``kept`` makes of the bytes left what is carried on."""
     base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     name = F.substring(F.unhex(F.sha2(F.col("text").cast("binary"), 256)), 1, 16)
     texts = base.select(name.alias("t"), "text")
     packed = texts.filter(F.octet_length("text") >= LENGTH).select("t", _packed("text").alias("z")).groupBy("t").agg(
         F.any_value("z").alias("z"))
     windows = repeated_windows(texts, packed).groupBy("t").agg(F.collect_list(F.struct("a", "b")).alias("w"))
-    done = packed.join(windows, "t").select("t", _rest("z", "w").alias("r")).select("t", "r.*")
+    done = packed.join(windows, "t").select("t", _rest("z", "w").alias("r")).select(
+        "t", "r.n_removed", "r.n_spans", kept(F.col("r.kept")).alias("kept"))
     rows = base.select("doc_id", name.alias("t"), F.octet_length("text").cast("long").alias("n_bytes"),
-                       F.sha2(F.col("text").cast("binary"), 256).alias("whole"))
-    several = rows.groupBy("t").agg((F.count("*") > 1).alias("several"))
-    what = several.join(done, "t", "left")
-    gone = F.col("several") & (F.col("n_bytes") >= LENGTH)
-    return rows.join(what, "t").select(
+                       kept(F.col("text").cast("binary")).alias("whole"))
+    what = cut(rows.groupBy("t").agg(F.count("*").alias("copies")).join(done, "t", "left"))
+    gone = (F.col("copies") > 1) & (F.col("n_bytes") >= LENGTH)
+    return join_classes(rows, what, "t", "copies", ["doc_id"]).select(
         "doc_id", "n_bytes",
         F.when(gone, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
         F.when(gone, 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
-        F.when(gone, F.lit(b"")).otherwise(F.col("kept")).alias("kept"), "whole")
+        F.when(gone, kept(F.lit(b""))).otherwise(F.coalesce("kept", "whole")).alias("kept"))
+
+
+def dedup_repeats(docs: DataFrame) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans and kept (the bytes that are left) of every row.
+
+    A byte goes if it lies in a string of LENGTH bytes that also starts anywhere
+    else; all is judged on the input. Null texts count as empty. Of equal texts
+    of LENGTH bytes or more nothing is left, in repeated rows too. An empty
+    table stays empty.
+    """
+    return _removals(docs, lambda data: data)
 
 
 def dedup_report(docs: DataFrame) -> DataFrame:
-    """``dedup_repeats`` with a digest in place of the bytes."""
-    return dedup_repeats(docs).select(
-        "doc_id", "n_bytes", "n_removed", "n_spans",
-        F.when(F.col("kept").isNull(), F.col("whole")).otherwise(F.sha2("kept", 256)).alias("kept_sha256"))
+    """``dedup_repeats`` with a digest in place of the bytes, which then need not be moved."""
+    return _removals(docs, lambda data: F.sha2(data, 256)).withColumnRenamed("kept", "kept_sha256")

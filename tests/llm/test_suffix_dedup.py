@@ -81,6 +81,8 @@ def planted():
 def test_planted_repeats(make, clash):
     rows = planted()
     check(pick(clash(make(rows)), "doc_id", "text"), rows)
+    kept = Counter((r.doc_id, hashlib.sha256(bytes(r.kept)).hexdigest()) for r in sd.dedup_repeats(make(rows)).collect())
+    assert kept == Counter((i, b[3]) for (i, _), b in zip(rows, brute([t for _, t in rows])))
     assert sd.dedup_report(make([])).count() == 0
     assert sd.dedup_report(make([(1, None)])).collect()[0][1:4] == (0, 0, 0)
 
