@@ -211,7 +211,11 @@ def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _stretches(shards: int):
-    """(t, packed text, its suspicious stretches) -> their bytes, dealt to shards; equal ones of a split anchor together."""
+    """(t, packed text, its suspicious stretches) -> their bytes, dealt to shards.
+
+    Those of a split anchor are dealt by their place, so that no shard gets more
+    than its part, however many are equal.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
@@ -222,8 +226,9 @@ def _stretches(shards: int):
                 for c in found:
                     s = data[c["at"]:c["at"] + c["n"] + LENGTH - 1]
                     split = c["parts"] > 1
-                    part = int.from_bytes(hashlib.blake2b(s, digest_size=4).digest()) % c["parts"] if split else 0
-                    rows.append((c["h"] if split else c["h"] % shards, part if split else -1, c["h"], c["parts"], t, c["at"], s))
+                    place = hashlib.blake2b(t + c["at"].to_bytes(8), digest_size=8).digest()
+                    part = int.from_bytes(place) % c["parts"] if split else -1
+                    rows.append((c["h"] if split else c["h"] % shards, part, c["h"], c["parts"], t, c["at"], s))
                 columns = list(zip(*rows))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.binary()))],
