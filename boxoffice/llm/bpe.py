@@ -30,7 +30,7 @@ from boxoffice.llm.token_counts import read_ranks
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 # Bounds on what a worker remembers; beyond them it starts afresh.
-REMEMBERED_PIECES, REMEMBERED_CHARS, REMEMBERED_EDGES = 300_000, 40, 1_000_000
+REMEMBERED_WORDS, REMEMBERED_PIECES, REMEMBERED_CHARS, REMEMBERED_EDGES = 200_000, 50_000, 40, 600_000
 EMIT_STEP = 4096  # bytes after which a long piece's settled tokens are emitted
 DECODE_STEP = 4096  # tokens that the streaming decoder takes at a time
 FOREVER, LAST = 1 << 60, (1 << 17) - 1
@@ -180,14 +180,14 @@ class Transducer:
 class Remembering(dict):
     """A function's results for short strings, those of the last two spans of so many."""
 
-    def __init__(self, function) -> None:
+    def __init__(self, function, most: int) -> None:
         super().__init__()
-        self.function, self.older = function, {}
+        self.function, self.most, self.older = function, most, {}
 
     def __missing__(self, key: str):
         value = self.older[key] if key in self.older else self.function(key)
         if len(key) <= REMEMBERED_CHARS:
-            if len(self) >= REMEMBERED_PIECES:
+            if len(self) >= self.most:
                 self.older = dict(self)
                 self.clear()
             self[key] = value
@@ -207,8 +207,8 @@ class Encoder:
 
         self.transducer = Transducer(ranks)
         self.pieces = regex.compile(pattern).findall
-        self.of_piece = Remembering(self.piece)
-        self.of_word = Remembering(self.word)
+        self.of_piece = Remembering(self.piece, REMEMBERED_PIECES)
+        self.of_word = Remembering(self.word, REMEMBERED_WORDS)
 
     def piece(self, piece: str) -> bytes:
         return array("i", self.transducer.encode(piece.encode())).tobytes()

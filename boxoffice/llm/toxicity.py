@@ -30,7 +30,7 @@ SAMPLE_OF_CLASS, SAMPLE_SEED = 4_000, 11
 THRESHOLD = 0.7
 MIN_DOCS, MIN_RATIO, MOST_FEATURES = 5, 6.0, 8_192
 PENALTY, STEPS = 0.05, 300
-REMEMBERED_WORDS, REMEMBERED_CHARS = 200_000, 40
+REMEMBERED_WORDS, REMEMBERED_CHARS = 100_000, 40
 
 # Signs and the letters that they may stand for.
 LEET = {

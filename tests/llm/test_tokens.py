@@ -62,6 +62,7 @@ def test_alphabetic_words_are_one_piece():
 def test_forgetting_changes_nothing(monkeypatch):
     monkeypatch.setattr(bpe, "REMEMBERED_EDGES", 50)
     monkeypatch.setattr(bpe, "REMEMBERED_PIECES", 3)
+    monkeypatch.setattr(bpe, "REMEMBERED_WORDS", 2)
     monkeypatch.setattr(bpe, "EMIT_STEP", 5)
     own = bpe.Encoder(RANKS, public_tokenizers.PATTERN)
     for text in TEXTS:
