@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boxoffice.llm.common import pick, table
+from boxoffice.llm.divergence import AUDIT_SQL
+from boxoffice.llm.lexical_search import SEARCH_SQL
 from boxoffice.llm.line_dedup import DEDUP_SQL
+from boxoffice.llm.voronoi_topk import TOPK_SQL
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,6 +78,26 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(pick(table(spark, sf_dir, "documents"), "doc_id", "text"))
 
 
+def op11_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from boxoffice.llm.voronoi_topk import EVERY, top_products
+
+    vectors = pick(table(spark, sf_dir, "embeddings"), "vec_id", "embedding").withColumnRenamed("embedding", "vector")
+    return top_products(vectors, vectors.filter(F.col("vec_id") % EVERY == 0))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from boxoffice.llm.lexical_search import search
+
+    return search(pick(table(spark, sf_dir, "documents"), "doc_id", "text"),
+                  pick(table(spark, sf_dir, "benchmark"), "item_id", "text"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from boxoffice.llm.divergence import audit
+
+    return audit(pick(table(spark, sf_dir, "documents"), "text", "lang", "source"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -86,8 +109,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_secret_scans": op10_secret_scans,
+    "op11_topk_search": op11_topk_search,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op8_line_dedup": DEDUP_SQL,
+    "op11_topk_search": TOPK_SQL,
+    "op12_lexical_search": SEARCH_SQL,
+    "op13_source_divergence": AUDIT_SQL,
 }
