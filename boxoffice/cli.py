@@ -47,8 +47,9 @@ def load(t: Tables, landing: str, preset: str, as_of: dt.datetime, organization_
     charges = ig.charges_in_range(t, preset, as_of).select("id")
     for name, key in LANDED_KEYS.items():
         rows = ig.landing_rows(t, name)
-        rows = rows.join(charges, "id", "left_semi") if name == "charges" else rows.join(ids, "_event_id", "left_semi")
-        land_rows(t.spark, rows.drop("_event_id").withColumn("ingested_at", ts_lit(as_of)), os.path.join(landing, name), *key)
+        rows = rows.drop("_event_id").join(charges, "id", "left_semi") if name == "charges" else rows.join(ids, "_event_id", "left_semi")
+        land_rows(t.spark, rows.withColumn("ingested_at", ts_lit(as_of)), os.path.join(landing, name), *key,
+                  unit=None if name == "charges" else "_event_id")
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:

@@ -22,6 +22,7 @@ from boxoffice.params import (AS_OF, CHARGE_LOOKBACK_DAYS, CHARGE_LOOKBACK_DEFAU
 from boxoffice.operators.joins import salted_join
 from boxoffice.sources import raw
 from boxoffice.sources.fixtures import EVENT_COLUMNS
+from boxoffice.sources.landing import event_parts
 from boxoffice.sources.tables import Tables
 
 FEE_MAP = T.MapType(T.StringType(), T.StringType())
@@ -157,12 +158,7 @@ def pages_flatten(t: Tables) -> DataFrame:
 
 def event_partition_columns(events: DataFrame) -> DataFrame:
     """S-2 for events: venue slug, year, English month name, zero-padded day."""
-    start = ts("start")
-    return events.select(F.lit(EVENTS_TABLE).alias("table_name"), url_slug("id").alias("key"),
-                         url_slug("organization_name").alias("venue"),
-                         F.date_format(start, "yyyy").alias("year"),
-                         F.date_format(start, "MMMM").alias("month"),
-                         F.date_format(start, "dd").alias("day"))
+    return events.select(F.lit(EVENTS_TABLE).alias("table_name"), url_slug("id").alias("key"), *event_parts())
 
 
 def charge_partition_columns(charges: DataFrame) -> DataFrame:
@@ -204,10 +200,7 @@ def landing_rows(t: Tables, table: str) -> DataFrame:
         return t.charges.select("*", F.lit(UNKNOWN_VENUE).alias("venue"), F.date_format(made, "yyyy").alias("year"),
                                 F.date_format(made, "MMMM").alias("month"), F.date_format(made, "d").alias("day"),
                                 F.lit(None).cast("string").alias("_event_id"))
-    start = ts("start")
-    parts = t.events.select(F.col("id").alias("_event_id"), url_slug("organization_name").alias("venue"),
-                            F.date_format(start, "yyyy").alias("year"), F.date_format(start, "MMMM").alias("month"),
-                            F.date_format(start, "dd").alias("day"))
+    parts = t.events.select(F.col("id").alias("_event_id"), *event_parts())
     if table == "events":
         return t.events.select(*EVENT_COLUMNS).join(parts, F.col("id") == F.col("_event_id"))
     rows, spread, hot = {"orders": (orders_enriched, "id", "orders"), "tickets": (tickets_flat, "id", "tickets"),

@@ -783,3 +783,25 @@ SELECT *, 'unknown' AS venue, strftime(created, '%Y') AS year, strftime(created,
        strftime(created, '%-d') AS day,
        CASE WHEN created >= {AS_OF} - INTERVAL 1 DAY THEN {AS_OF} ELSE {AS_OF} - INTERVAL 1 HOUR END AS ingested_at
 FROM fx_charges""")
+
+# --- an event's new snapshot replaces the old one ---------------------------------
+# Of the polled events' rows, by a number in their key modulo 7: 3 is gone, 4 has changed.
+
+
+def replaced_sql(rows: str, number: str, key: str = "event_id", drop: str = "place_id", change: str = "r.*") -> str:
+    n = f"CAST(regexp_extract({number}, '[0-9]+') AS BIGINT) % 7"
+    polled = f"p.ingested_at = {AS_OF}"
+    return with_fx(f"SELECT * EXCLUDE ({drop}) FROM (SELECT {change}, p.* FROM ({rows}) r JOIN ({_PLACES}) p ON p.place_id = r.{key} "
+                   f"WHERE NOT ({polled} AND {n} = 3))")
+
+
+_EMAIL = (f"r.* REPLACE (CASE WHEN p.ingested_at = {AS_OF} AND CAST(r.id AS BIGINT) % 7 = 4 THEN 'new-' || r.email ELSE r.email END AS email)")
+ORACLE["landing_replaced_orders"] = replaced_sql(ORACLE["orders_enriched"], "r.id", change=_EMAIL)
+ORACLE["landing_replaced_tickets"] = replaced_sql(ORACLE["tickets_flat"], "r.order_id")
+ORACLE["landing_replaced_ticket_types"] = replaced_sql(ORACLE["ticket_types_dim"], "r.ticket_type_price_id")
+ORACLE["landing_replaced_checkin_ids"] = replaced_sql(ORACLE["checkins"], "r.ticket_id", drop="place_id, event_id")
+ORACLE["landing_changes"] = with_fx(f"""
+SELECT o.id, CASE CAST(o.id AS BIGINT) % 7 WHEN 3 THEN 'vanish' WHEN 4 THEN 'update' ELSE 'insert' END AS change,
+       CASE WHEN CAST(o.id AS BIGINT) % 7 <> 3 THEN {AS_OF} END AS ingested_at
+FROM fx_orders o JOIN ({_PLACES}) p ON p.place_id = o.event_id
+WHERE p.ingested_at = {AS_OF} AND CAST(o.id AS BIGINT) % 7 BETWEEN 3 AND 5""")

@@ -109,6 +109,8 @@ REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
     "landing_snapshot": st.landing_snapshot,
     "landing_read": st.landing_read,
     **{f"landing_{n}": (lambda t, _n=n: st.landing_table(t, _n)) for n in LANDED_KEYS},
+    **{f"landing_replaced_{n}": (lambda t, _n=n: st.landing_replaced(t, _n)) for n in st.PER_EVENT},
+    "landing_changes": st.landing_changes,
     # streams (ST-1 .. ST-3)
     "stream_snapshot_upsert": st.stream_snapshot_upsert,
     "stream_sales_24h": st.stream_sales_24h,

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import SparkSession
 
+# Requests to a store that are under way at once.
+AT_ONCE = 16
+
 
 def _fs(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -45,3 +50,15 @@ def remove(spark: SparkSession, path: str) -> None:
     """Remove a folder that this library has made."""
     p, fs = _fs(spark, path)
     fs.delete(p, True)
+
+
+def remove_all(spark: SparkSession, paths: list[str]) -> None:
+    """``remove`` of many folders, several at once."""
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        list(pool.map(lambda p: remove(spark, p), paths))
+
+
+def existing(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Those of ``paths`` that are there; several requests at once."""
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        return [p for p, there in zip(paths, pool.map(lambda p: exists(spark, p), paths)) if there]

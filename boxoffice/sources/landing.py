@@ -1,18 +1,28 @@
-"""Landing zone: hive-partitioned NDJSON snapshots, keyed replace, typed reads.
-
-Write path (S-1, SURVEY 7.4 H-1/H-2). Each poll re-lands whole-entity
-snapshots. A snapshot replaces the entity's previous one:
-
-* only the *affected* partitions are rewritten: those of the incoming rows and
-  those still holding an older snapshot of an incoming key;
-* their new content (old rows minus incoming keys, plus incoming rows) is first
-  written to a staging folder and then swapped in with dynamic partition
-  overwrite, so no job overwrites a path it is reading and sibling entities
-  of a rewritten partition are kept;
-* a partition that held only what has moved elsewhere is removed after the
-  swap, and so is the staging folder;
-* every row carries ``ingested_at``; reads keep the latest snapshot per key,
-  which resolves a job lost between the swap and the removal.
+"""Landing zone: hive-partitioned NDJSON snapshots, replacement by event, typed reads.
+
+Write path (S-1, SURVEY 7.4 H-1/H-2). A poll brings whole snapshots of events:
+an event's row, its orders, tickets, ticket types and check-ins. What a poll
+brings for an event replaces all that the table holds for it, so a row that is
+gone from the event's new snapshot is gone from the table; a snapshot older
+than the one that is held changes nothing.
+
+* Every row carries the event it was landed for (``_unit``; not a column of the
+  typed tables) and ``ingested_at``.
+* Next to the table lies a small index (``_index``, a change log): where and
+  when each event was landed last. A poll looks its events up there and reads
+  only the partitions that hold them, by their folders.
+* The new rows are computed once, to a staging folder. The affected partitions
+  (the events' new ones and all that the index names) get the other events'
+  rows and the new ones by dynamic partition overwrite, and partitions that
+  held only what has moved are removed.
+* The index is written before the table. A job that stops in between leaves an
+  index that names both the old and the new place, and its next run, or the
+  event's next snapshot, rewrites both.
+* On request the change set of the poll (insert, update, vanish) goes to a log
+  (``_changes``).
+
+Rows without an event (charges) are replaced by key. Their partition follows
+from the time they were made, which never changes, so they need no index.
 
 Read path (S-3): explicit schema, partition columns kept as text
 (``day=05`` stays ``"05"``), latest snapshot per key via ``max_by`` (combines
@@ -25,13 +35,15 @@ import datetime as dt
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from boxoffice.functions.text import url_slug
 from boxoffice.functions.time import ts, ts_lit
-from boxoffice.sources.files import exists, remove
+from boxoffice.params import UNKNOWN_VENUE
+from boxoffice.sources import changelog
+from boxoffice.sources.files import existing, remove, remove_all
 
 PARTS = ["venue", "year", "month", "day"]
 
@@ -47,13 +59,24 @@ EVENT_SCHEMA = T.StructType([
 ])
 
 
-def _attach_parts(events: DataFrame) -> DataFrame:
-    """Events plus their landing partition columns (S-2)."""
-    start = ts("start")
-    return events.select("*", url_slug("organization_name").alias("venue"),
-                         F.date_format(start, "yyyy").alias("year"),
-                         F.date_format(start, "MMMM").alias("month"),
-                         F.date_format(start, "dd").alias("day"))
+UNIT = "_unit"  # the event that a row was landed for
+INDEX_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in [UNIT, *PARTS]] + [T.StructField("ingested_at", T.TimestampType())])
+
+
+def placed(part: Column) -> Column:
+    """A partition value; what is null or empty lies under ``unknown``."""
+    return F.when(part.isNull() | (part == ""), F.lit(UNKNOWN_VENUE)).otherwise(part)
+
+
+def event_parts(organization_name: str = "organization_name", start: str = "start") -> list[Column]:
+    """S-2: landing partition of an event: venue slug, year, English month name, zero-padded day."""
+    at = ts(start)
+    parts = [url_slug(organization_name), F.date_format(at, "yyyy"), F.date_format(at, "MMMM"), F.date_format(at, "dd")]
+    return [placed(c).alias(n) for c, n in zip(parts, PARTS)]
+
+
+def _folder(path: str, part) -> str:
+    return os.path.join(path, *[f"{p}={part[p]}" for p in PARTS])
 
 
 def read_landed(spark: SparkSession, path: str, schema: T.StructType = EVENT_SCHEMA) -> DataFrame:
@@ -70,46 +93,119 @@ def latest_snapshot(landed: DataFrame, *key: str) -> DataFrame:
     return g.select(*key, *[F.col("s." + c).alias(c) for c in cols])
 
 
-def land_rows(spark: SparkSession, incoming: DataFrame, path: str, *key: str) -> None:
-    """Keyed replace of ``incoming`` in the landing table at ``path`` (S-1, any table).
+def _read_folders(spark: SparkSession, path: str, folders: list[str], schema: T.StructType) -> DataFrame:
+    """The rows below some partition folders of the table at ``path``; nothing else is listed."""
+    full = T.StructType(schema.fields + [T.StructField(p, T.StringType()) for p in PARTS])
+    return spark.read.schema(full).option("basePath", path).json(folders) if folders else spark.createDataFrame([], full)
+
+
+def change_set(old: DataFrame, new: DataFrame, *key: str) -> DataFrame:
+    """The rows that differ between two snapshots: key, ``change`` and ``ingested_at`` (null for what vanished).
+
+    ``insert`` (the key is new), ``update`` (another column than ``ingested_at``
+    differs) or ``vanish``. Both have one row per key and the same columns; a
+    null in a key is a value like others.
+    """
+    rest = [c for c in new.columns if c not in key and c != "ingested_at"]
+    side = lambda df, s: df.select(*[F.col(k).alias(f"_{s}{k}") for k in key], F.struct(*rest).alias(s), F.col("ingested_at").alias(f"{s}_at"))
+    o, n = side(old, "o"), side(new, "n")
+    same = [o[f"_o{k}"].eqNullSafe(n[f"_n{k}"]) for k in key]
+    change = F.when(F.col("o_at").isNull(), "insert").when(F.col("n_at").isNull(), "vanish").when(~F.col("o").eqNullSafe(F.col("n")), "update")
+    both = o.join(n, same, "full").withColumn("change", change).filter(F.col("change").isNotNull())
+    return both.select(*[F.when(F.col("n_at").isNull(), F.col(f"_o{k}")).otherwise(F.col(f"_n{k}")).alias(k) for k in key],
+                       "change", F.col("n_at").alias("ingested_at"))
+
+
+def index_entries(spark: SparkSession, path: str) -> DataFrame:
+    """Where and when each event was landed: all entries that the index of the table at ``path`` holds."""
+    return changelog.entries(spark, os.path.join(path, "_index"), INDEX_SCHEMA)
+
 
-    ``incoming`` has one row per key, its partition columns and ``ingested_at``.
-    Re-running the same batch gives the same table (safe to retry after a lost
-    executor or a restarted stream batch). Rows are dealt by partition before
-    they are written, a large partition over several files.
+def affected_folders(path: str, accepted: DataFrame, entries: DataFrame) -> list[str]:
+    """Partition folders of the accepted events' new rows and of every place that the index names for them.
+
+    What reaches the driver is a name per partition that the poll touches.
     """
-    fields = [f for f in incoming.schema.fields if f.name not in PARTS]
-    schema = T.StructType(fields)
-    inc = incoming.select(*[f.name for f in fields], *PARTS)
-    keys_of = list(key)
-    if not exists(spark, path):
-        # nothing to replace; a lost job leaves some partitions, which its next run replaces
-        inc.hint("rebalance", *PARTS).write.partitionBy(*PARTS).json(path)
-        return
-    cur = read_landed(spark, path, schema)
-    keys = inc.select(*keys_of).distinct()
-    moved_from = cur.join(keys, keys_of, "left_semi").select(*PARTS).distinct()
-    affected = inc.select(*PARTS).union(moved_from).distinct()
-    new = cur.join(affected, PARTS, "left_semi").join(keys, keys_of, "left_anti").unionByName(inc)
+    places = accepted.select(*PARTS).union(entries.join(accepted.select(UNIT), UNIT, "left_semi").select(*PARTS)).distinct()
+    return sorted(_folder(path, r) for r in places.collect())
+
+
+def land_rows(spark: SparkSession, incoming: DataFrame, path: str, *key: str, unit: str | None = None,
+              polled: DataFrame | None = None, log_changes: bool = False) -> None:
+    """Land a poll's rows in the table at ``path`` (S-1, any table).
+
+    ``incoming`` has one row per key and snapshot, its partition columns and
+    ``ingested_at``. With ``unit`` (the column that tells the event; it is not a
+    column of the table) the snapshots of whole events are replaced; ``polled``
+    names events (``_unit``, partition columns, ``ingested_at``) that were asked
+    for, so that one without rows is emptied. Without ``unit`` rows are replaced
+    by key. A null or empty partition value lies under ``unknown``. Landing the
+    same batch again gives the same table.
+    """
+    fields = [f for f in incoming.schema.fields if f.name not in PARTS and f.name != unit]
+    parts = [placed(F.col(p)).alias(p) for p in PARTS]
+    own = [F.col(unit).cast("string").alias(UNIT)] if unit else []
+    schema = T.StructType([*fields, T.StructField(UNIT, T.StringType())] if unit else fields)
     staging = os.path.join(path, "_staging", uuid.uuid4().hex)
-    new.hint("rebalance", *PARTS).write.mode("overwrite").partitionBy(*PARTS).json(staging)
-    staged = read_landed(spark, staging, schema)
-    # partitions (folder names, not rows) that held only what has moved away
-    emptied = moved_from.join(staged.select(*PARTS).distinct(), PARTS, "left_anti").collect()
-    (staged.hint("rebalance", *PARTS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(*PARTS).json(path))
-    for row in emptied:
-        remove(spark, os.path.join(path, *[f"{p}={row[p]}" for p in PARTS]))
+
+    def stage(df: DataFrame, name: str) -> DataFrame:
+        at = os.path.join(staging, name)
+        df.write.parquet(at)
+        return spark.read.schema(df.schema).parquet(at)
+
+    new = stage(incoming.select(*[f.name for f in fields], *own, *parts), "incoming")
+    if unit:
+        units = new.select(UNIT, *PARTS, "ingested_at")
+        if polled is not None:
+            units = units.unionByName(polled.select(F.col(UNIT).cast("string"), *parts, "ingested_at"))
+        units = units.groupBy(UNIT).agg(F.max_by(F.struct(*PARTS), "ingested_at").alias("p"), F.max("ingested_at").alias("ingested_at")).select(
+            UNIT, "p.*", "ingested_at")
+        entries = index_entries(spark, path)
+        held = entries.groupBy(UNIT).agg(F.max("ingested_at").alias("_held"))
+        # a snapshot older than the one that is held changes nothing
+        accepted = stage(units.join(held, UNIT, "left").filter(F.col("_held").isNull() | (F.col("ingested_at") >= F.col("_held"))).drop("_held"), "accepted")
+        new = new.join(accepted.select(UNIT, "ingested_at"), [UNIT, "ingested_at"], "left_semi").select(*new.columns)
+        there = existing(spark, affected_folders(path, accepted, entries))
+        old = _read_folders(spark, path, there, schema)
+        kept = old.join(accepted.select(UNIT), UNIT, "left_anti").select(*new.columns)
+    else:
+        there = existing(spark, sorted(_folder(path, r) for r in new.select(*PARTS).distinct().collect()))
+        old = _read_folders(spark, path, there, schema)
+        kept = latest_snapshot(old.unionByName(new), *key).select(*new.columns)
+    if there or not unit:
+        kept = stage(kept, "kept")
+    if log_changes:
+        before = old.join(accepted.select(UNIT), UNIT, "left_semi") if unit else old
+        content = [f.name for f in fields]
+        changelog.append(change_set(latest_snapshot(before.select(*content), *key), new.select(*content), *key),
+                         os.path.join(path, "_changes"))
+    if unit:
+        changelog.append(accepted, os.path.join(path, "_index"))
+    rows = kept.unionByName(new) if there and unit else new if unit else kept
+    (rows.hint("rebalance", *PARTS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTS).json(path))
+    if there:
+        filled = {_folder(path, r) for r in rows.select(*PARTS).distinct().collect()}
+        remove_all(spark, [p for p in there if p not in filled])
+    if unit:
+        last = lambda log: changelog.latest(log, UNIT).select(*INDEX_SCHEMA.names, changelog.VERSION)
+        changelog.fold(spark, os.path.join(path, "_index"), INDEX_SCHEMA, last)
     remove(spark, staging)
 
 
 def land_snapshots(spark: SparkSession, incoming: DataFrame, path: str,
-                   ingested_at: dt.datetime | None = None, key: str = "id") -> None:
+                   ingested_at: dt.datetime | None = None, key: str = "id", **options) -> None:
     """``land_rows`` for event snapshots; without ``ingested_at`` they carry that column."""
     if ingested_at is not None:
         incoming = incoming.withColumn("ingested_at", ts_lit(ingested_at))
     columns = [f.name for f in EVENT_SCHEMA.fields]
-    land_rows(spark, _attach_parts(incoming).select(*columns, *PARTS), path, key)
+    rows = incoming.select(*columns, *event_parts(), F.col(key).alias("_event_id"))
+    land_rows(spark, rows, path, key, unit="_event_id", **options)
+
+
+def landed_changes(spark: SparkSession, path: str, schema: T.StructType, *key: str) -> DataFrame:
+    """The change sets of all polls of the table at ``path`` that logged them."""
+    fields = [schema[k] for k in key] + [T.StructField("change", T.StringType()), T.StructField("ingested_at", T.TimestampType())]
+    return changelog.entries(spark, os.path.join(path, "_changes"), T.StructType(fields))
 
 
 def register_tables(spark: SparkSession, root: str, names: list[str], prefix: str,

@@ -36,8 +36,9 @@ from boxoffice.params import AS_OF
 from boxoffice.operators.joins import salted_join
 from boxoffice.session import checkpoint_dir
 from boxoffice.sources.files import exists
-from boxoffice.sources.landing import (EVENT_SCHEMA, LANDED_KEYS, LANDED_SCHEMAS, land_rows,
-                                       land_snapshots, latest_snapshot, read_landed)
+from boxoffice.sources.changelog import VERSION
+from boxoffice.sources.landing import (EVENT_SCHEMA, LANDED_KEYS, LANDED_SCHEMAS, UNIT, event_parts, land_rows,
+                                       land_snapshots, landed_changes, latest_snapshot, read_landed)
 from boxoffice.sources.tables import Tables
 
 RESCHEDULE_DAYS = 1
@@ -87,22 +88,70 @@ def landing_read(t: Tables, as_of: dt.datetime = AS_OF) -> DataFrame:
     return latest_snapshot(landing_snapshot(t, as_of))
 
 
+def _event_unit(table: str) -> str | None:
+    """The column that tells a row's event; charges belong to none."""
+    return None if table == "charges" else "_event_id"
+
+
 def landing_table(t: Tables, table: str, as_of: dt.datetime = AS_OF, at: str | None = None) -> DataFrame:
     """S-1/S-3: land a whole table an hour before ``as_of``; at ``as_of`` land again what belongs
     to the ``current`` range (events by start, charges by the time they were made); read the latest."""
     path = os.path.join(at or _run_dir(t.spark, "landing"), table)
-    rows = ig.landing_rows(t, table)
+    rows, unit = ig.landing_rows(t, table), _event_unit(table)
     if table == "charges":
         again = ig.charges_in_range(t, "current", as_of).select("id")
+        rows = rows.drop("_event_id")
         current = rows.join(again, "id", "left_semi")
     else:
         again = ig.events_in_range(t, "current", as_of).select(F.col("id").alias("_event_id"))
         current = rows.join(again, "_event_id", "left_semi")
     for batch, when in ((rows, as_of - dt.timedelta(hours=1)), (current, as_of)):
-        land_rows(t.spark, batch.drop("_event_id").withColumn("ingested_at", ts_lit(when)), path, *LANDED_KEYS[table])
+        land_rows(t.spark, batch.withColumn("ingested_at", ts_lit(when)), path, *LANDED_KEYS[table], unit=unit)
     return latest_snapshot(read_landed(t.spark, path, LANDED_SCHEMAS[table]), *LANDED_KEYS[table])
 
 
+# What tells the rows of a table that change between the polls below: a number in one of its columns.
+_NUMBER_IN = {"orders": "id", "tickets": "order_id", "ticket_types": "ticket_type_price_id", "checkin_ids": "ticket_id"}
+PER_EVENT = list(_NUMBER_IN)
+GONE, CHANGED, LATE, OF = 3, 4, 5, 7
+
+
+def replaced_polls(t: Tables, table: str, as_of: dt.datetime = AS_OF) -> list[DataFrame]:
+    """Two polls of a per-event table. Of every seven rows of the events in the ``current`` range, by a
+    number in their key, one comes with the second poll only, one is gone in it, and one has changed
+    (orders: the buyer's mail address)."""
+    rows = ig.landing_rows(t, table)
+    number = F.regexp_extract(_NUMBER_IN[table], "([0-9]+)", 1).cast("long") % OF
+    again = ig.events_in_range(t, "current", as_of).select(F.col("id").alias("_again"))
+    rows = rows.join(again, F.col("_event_id") == F.col("_again"), "left")
+    polled = F.col("_again").isNotNull()
+    first = rows.filter(~polled | (number != LATE)).drop("_again").withColumn("ingested_at", ts_lit(as_of - dt.timedelta(hours=1)))
+    second = rows.filter(polled & (number != GONE)).drop("_again").withColumn("ingested_at", ts_lit(as_of))
+    if table == "orders":
+        second = second.withColumn("email", F.when(number == CHANGED, F.concat(F.lit("new-"), "email")).otherwise(F.col("email")))
+    return [first, second]
+
+
+def land_replaced(t: Tables, table: str, as_of: dt.datetime = AS_OF, at: str | None = None) -> str:
+    """Land both polls of ``replaced_polls``, with their change sets; returns the table's folder."""
+    path = os.path.join(at or _run_dir(t.spark, "replaced"), table)
+    polled = ig.events_in_range(t, "current", as_of).select(
+        F.col("id").alias(UNIT), *event_parts(), ts_lit(as_of).alias("ingested_at"))
+    for n, batch in enumerate(replaced_polls(t, table, as_of)):
+        land_rows(t.spark, batch, path, *LANDED_KEYS[table], unit="_event_id", polled=polled if n else None, log_changes=n > 0)
+    return path
+
+
+def landing_replaced(t: Tables, table: str, as_of: dt.datetime = AS_OF) -> DataFrame:
+    """S-1 at event grain: every row on disk after an event's new snapshot has replaced the old one."""
+    return read_landed(t.spark, land_replaced(t, table, as_of), LANDED_SCHEMAS[table])
+
+
+def landing_changes(t: Tables, as_of: dt.datetime = AS_OF) -> DataFrame:
+    """The change set of the second poll of the orders: insert, update, vanish."""
+    return landed_changes(t.spark, land_replaced(t, "orders", as_of), LANDED_SCHEMAS["orders"], "id").drop(VERSION)
+
+
 # --- ST-1 ------------------------------------------------------------------
 
 def snapshot_upsert_stream(spark: SparkSession, inbox: str, table: str, checkpoint: str):

@@ -5,11 +5,14 @@ import os
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from boxoffice.operators import manifest as mf
 from boxoffice.session import checkpoint_dir
-from boxoffice.sources.landing import (drop_tables, land_snapshots, latest_snapshot, read_landed,
-                                       register_tables)
+from boxoffice.sources import changelog, landing
+from boxoffice.sources.files import folders_in
+from boxoffice.sources.landing import (drop_tables, land_rows, land_snapshots, landed_changes, latest_snapshot,
+                                       read_landed, register_tables)
 
 EV = "id string, name string, organization_id string, organization_name string, location string, " \
      "start string, start_utc string"
@@ -60,6 +63,96 @@ def test_moved_event_alone_in_its_partition(spark):
     assert read_landed(spark, path).count() == 1
 
 
+def test_siblings_of_an_unnamed_venue_survive(spark):
+    """Three events of a null organization name on one day; one of them is landed again, then moves."""
+    path = os.path.join(_path(spark, "nullvenue"), "events")
+    rows = [(str(i), f"E{i}", "org", None, "Hall", "2024-01-03 22:30:00", "2024-01-04 06:30:00") for i in (1, 2, 3)]
+    land_snapshots(spark, _events(spark, rows), path, dt.datetime(2024, 1, 1))
+    land_snapshots(spark, _events(spark, [rows[1]]), path, dt.datetime(2024, 1, 2))
+    assert sorted(r.id for r in read_landed(spark, path).collect()) == ["1", "2", "3"]
+    moved = rows[1][:5] + ("2024-01-09 22:30:00", "2024-01-10 06:30:00")
+    land_snapshots(spark, _events(spark, [moved]), path, dt.datetime(2024, 1, 3))
+    assert sorted((r.id, r.venue, r.day) for r in read_landed(spark, path).collect()) == [
+        ("1", "unknown", "03"), ("2", "unknown", "09"), ("3", "unknown", "03")]
+
+
+def test_an_older_snapshot_changes_nothing(spark):
+    path = os.path.join(_path(spark, "older"), "events")
+    day = lambda d: [("1", "A", "o", "V", "H", f"2024-01-{d} 10:00:00", f"2024-01-{d} 18:00:00")]
+    land_snapshots(spark, _events(spark, day("05")), path, dt.datetime(2024, 1, 2))
+    land_snapshots(spark, _events(spark, day("03")), path, dt.datetime(2024, 1, 1))
+    assert [(r.day, r.ingested_at) for r in read_landed(spark, path).collect()] == [("05", dt.datetime(2024, 1, 2))]
+    # two snapshots in one batch, the newer one first
+    both = _events(spark, day("08")).withColumn("ingested_at", F.lit(dt.datetime(2024, 1, 4))).union(
+        _events(spark, day("07")).withColumn("ingested_at", F.lit(dt.datetime(2024, 1, 3))))
+    land_snapshots(spark, both, path)
+    assert [(r.day, r.ingested_at) for r in read_landed(spark, path).collect()] == [("08", dt.datetime(2024, 1, 4))]
+
+
+ROWS = "id string, event string, note string, venue string, year string, month string, day string"
+
+
+def _orders(spark, ids, at, event="e1", day="05", note="x"):
+    rows = [(i, event, note, "v", "2024", "January", day) for i in ids]
+    return spark.createDataFrame(rows, ROWS).withColumn("ingested_at", F.lit(at))
+
+
+def _ids(spark, path):
+    schema = T.StructType().add("id", "string").add("note", "string").add("ingested_at", "timestamp")
+    return sorted((r.id, r.note, r.day) for r in read_landed(spark, path, schema).collect())
+
+
+def test_rows_gone_from_an_events_snapshot_are_gone(spark):
+    path = os.path.join(_path(spark, "gone"), "orders")
+    land = lambda df, **o: land_rows(spark, df, path, "id", unit="event", **o)
+    land(_orders(spark, "abc", dt.datetime(2024, 1, 1)).union(_orders(spark, "z", dt.datetime(2024, 1, 1), "e2")))
+    land(_orders(spark, "ac", dt.datetime(2024, 1, 2)).union(_orders(spark, "d", dt.datetime(2024, 1, 2), note="new")), log_changes=True)
+    assert _ids(spark, path) == [("a", "x", "05"), ("c", "x", "05"), ("d", "new", "05"), ("z", "x", "05")]
+    log = landed_changes(spark, path, T.StructType().add("id", "string"), "id")
+    assert sorted((r.id, r.change) for r in log.collect()) == [("b", "vanish"), ("d", "insert")]
+    # the event moves and loses an order; its sibling stays
+    land(_orders(spark, "a", dt.datetime(2024, 1, 3), day="09"))
+    assert _ids(spark, path) == [("a", "x", "09"), ("z", "x", "05")]
+    # asked for and without rows: empty now
+    polled = spark.createDataFrame([("e1", "v", "2024", "January", "09")], "_unit string, venue string, year string, month string, day string")
+    land(_orders(spark, [], dt.datetime(2024, 1, 4)), polled=polled.withColumn("ingested_at", F.lit(dt.datetime(2024, 1, 4))))
+    assert _ids(spark, path) == [("z", "x", "05")]
+
+
+def test_a_job_lost_before_the_swap_is_mended_by_the_next_snapshot(spark, monkeypatch):
+    """The index names the new place, the table still has the old one."""
+    path = os.path.join(_path(spark, "lost"), "orders")
+    land_rows(spark, _orders(spark, "ab", dt.datetime(2024, 1, 1)), path, "id", unit="event")
+    accepted = _orders(spark, "a", dt.datetime(2024, 1, 2), day="07").select(
+        F.col("event").alias("_unit"), "venue", "year", "month", "day", "ingested_at")
+    changelog.append(accepted, os.path.join(path, "_index"))
+    land_rows(spark, _orders(spark, "a", dt.datetime(2024, 1, 3), day="09"), path, "id", unit="event")
+    assert _ids(spark, path) == [("a", "x", "09")]
+
+
+def test_a_poll_reads_only_the_partitions_of_its_events(spark):
+    """No listing or scan of the table: the old rows come from the folders that the index names."""
+    path = os.path.join(_path(spark, "index"), "orders")
+    for i in range(6):
+        land_rows(spark, _orders(spark, [f"{i}a", f"{i}b"], dt.datetime(2024, 1, 1), f"e{i}", f"0{i + 1}"), path, "id", unit="event")
+    accepted = _orders(spark, ["2a"], dt.datetime(2024, 1, 2), "e2", "09").select(
+        F.col("event").alias("_unit"), "venue", "year", "month", "day", "ingested_at")
+    folders = landing.existing(spark, landing.affected_folders(path, accepted, landing.index_entries(spark, path)))
+    assert [f.rsplit("/", 1)[1] for f in folders] == ["day=03"]
+    old = landing._read_folders(spark, path, folders, T.StructType().add("id", "string"))
+    assert len(old.inputFiles()) == 1 and sorted(r.id for r in old.collect()) == ["2a", "2b"]
+
+
+def test_the_index_does_not_grow_with_the_polls(spark, monkeypatch):
+    monkeypatch.setattr(changelog, "MOST_FOLDERS", 3)
+    monkeypatch.setattr(changelog.fold, "__defaults__", (3,))
+    path = os.path.join(_path(spark, "folded"), "orders")
+    for d in range(1, 8):
+        land_rows(spark, _orders(spark, "ab", dt.datetime(2024, 1, d), day=f"0{d}"), path, "id", unit="event")
+    assert len(folders_in(spark, os.path.join(path, "_index"))) <= 4
+    assert _ids(spark, path) == [("a", "x", "07"), ("b", "x", "07")]
+
+
 def test_a_changed_input_is_landed_again(spark, tmp_path):
     """Source orders doubled under a file:// root are seen; the first landing stays whole."""
     import shutil
