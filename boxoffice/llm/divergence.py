@@ -34,9 +34,10 @@ MIN_DOCS, K = 3, 200
 # Fixed value: the unit of shares.
 UNIT = 1_000_000_000
 # Entries that a counting task holds; sources in a block; rows of terms in a task; cells of a matrix.
-HELD, SOURCES, ROWS, CELLS = 300_000, 128, 100_000, 1 << 16
-# Rows of a group gathered before they are cut to a skyband, and rows of all groups; rows compared at once; skybands merged at once.
-GATHERED, GATHERED_ALL, COMPARED, MERGED = 1 << 14, 1 << 20, 512, 16
+HELD, SOURCES, ROWS, CELLS = 800_000, 128, 100_000, 1 << 16
+# Rows grouped together in a task; rows of a group gathered before they are cut to a skyband, and rows of all groups; rows compared at once;
+# skybands merged at once.
+TOGETHER, GATHERED, GATHERED_ALL, COMPARED, MERGED = 1 << 14, 1 << 14, 1 << 20, 512, 64
 
 COUNTED = "lang string, source string, term string, n long, docs long"
 BAND = "lang string, source string, term string, n long, all long"
@@ -56,13 +57,13 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def rows() -> Iterator[pa.RecordBatch]:
         for (lang, source), (n, docs) in groups.items():
-            terms = sorted(n)  # neighbours alike compress well
+            terms, times = list(n), list(n.values())
             for at in range(0, len(terms), 1 << 16):
-                some = terms[at:at + (1 << 16)]
+                to = slice(at, at + (1 << 16))
+                some = terms[to]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(some), pa.string()), pa.array([source] * len(some), pa.string()),
-                     pa.array(some, pa.binary()).cast(pa.string()),
-                     pa.array([n[t] for t in some], pa.int64()), pa.array([docs[t] for t in some], pa.int64())],
+                    [pa.repeat(lang, len(some)), pa.repeat(source, len(some)), pa.array(some, pa.binary()).cast(pa.string()),
+                     pa.array(times[to], pa.int64()), pa.array(map(docs.__getitem__, some), pa.int64(), size=len(some))],
                     names=["lang", "source", "term", "n", "docs"])
         groups.clear()
 
@@ -139,6 +140,18 @@ def _band_of(rows: pa.Table, k: int) -> pa.Table:
     return rows.take(pa.array(skyband(rows.column("n").to_numpy(), rows.column("all").to_numpy(), place, k)))
 
 
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Batches put together to some thousand rows."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= TOGETHER:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held = []
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
 def _bands(k: int) -> Callable:
     """The skybands of all groups within a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,13 +163,12 @@ def _bands(k: int) -> Callable:
             for (lang, source), parts in held.items():
                 band = _band_of(pa.concat_tables(parts), k)
                 for name, text in (("source", source), ("lang", lang)):
-                    band = band.add_column(0, name, pa.array([text] * len(band), pa.string()))
+                    band = band.add_column(0, name, pa.repeat(text, len(band)))
                 yield from band.to_batches()
             held.clear()
             new.clear()
 
-        for batch in batches:
-            rows = pa.Table.from_batches([batch])
+        for rows in _together(batches):
             flat = pc.list_parent_indices(rows.column("counts")).combine_chunks()
             rows = pa.table({"lang": rows.column("lang").take(flat), "source": pc.list_flatten(rows.column("sources")),
                              "term": rows.column("term").take(flat), "n": pc.list_flatten(rows.column("counts")),
@@ -183,8 +195,9 @@ def _bands(k: int) -> Callable:
 
 
 def _ranked(k: int) -> Callable:
-    """The first ``k`` terms of a group, from its skyband."""
+    """The first ``k`` terms of a group, from the skyband of its last skybands."""
     def run(rows: pa.Table) -> pa.Table:
+        rows = _band_of(rows, k)
         first = {c: rows.column(c)[0].as_py() for c in ("lang", "source", "n_group", "n_lang", "v")}
         n, everywhere = rows.column("n").to_numpy(), rows.column("all").to_numpy()
         p = shares(n, np.full(len(n), first["n_group"] + first["v"]))
@@ -310,7 +323,7 @@ def audit(docs: DataFrame, k: int = K, min_docs: int = MIN_DOCS, per_block: int
 
     band = kept.mapInArrow(_bands(k), BAND)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    while buckets > 1:  # skybands of many tasks, merged in steps of bounded size
+    while buckets > MERGED:  # skybands of many tasks, merged in steps of bounded size
         buckets = -(-buckets // MERGED)
         band = band.withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(buckets))).groupBy("lang", "source", "bucket").applyInArrow(
             _merged(k), BAND)
