@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 MONEY = "decimal(10,2)"
 ROW = "decimal(18,2)"   # per-row money out: long-backed, no BigDecimal per value
@@ -44,12 +45,13 @@ def money_text(x) -> Column:
     return _c(x).cast(WIDE).cast("string")
 
 
-def sum_money(x) -> Column:
-    """Exact sum of a two-decimal money column, as ``decimal(38,2)``.
+def sum_money(x, over: WindowSpec | None = None) -> Column:
+    """Exact sum of a two-decimal money column (over a window, if one is given), as ``decimal(38,2)``.
 
     Accumulated as integer cents in a long (a plain ``sum`` of ``decimal(10,2)``
     widens to ``decimal(20,2)``, whose buffer is a ``BigDecimal`` per update).
     Null in, null out; an overflow raises under ANSI mode instead of wrapping.
     """
     cents = (_c(x) * 100).cast("bigint")
-    return F.sum(cents).cast("decimal(38,0)") * F.lit(0.01).cast("decimal(2,2)")
+    total = F.sum(cents)
+    return (total.over(over) if over is not None else total).cast("decimal(38,0)") * F.lit(0.01).cast("decimal(2,2)")

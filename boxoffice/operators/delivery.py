@@ -14,6 +14,7 @@ from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from boxoffice.functions.text import ljust, short_venue
 from boxoffice.functions.time import ts, ts_lit
@@ -222,6 +223,56 @@ def delivery_outcomes(t: Tables, as_of: dt.datetime = AS_OF,
     return a.withColumn("outcome", outcome)
 
 
+# The control table as a log: a change sets some attributes of a key, or deletes it. ``seq`` orders
+# the changes of one version.
+ATTRIBUTES = CONTROL_COLUMNS[1:]
+CONTROL_LOG = T.StructType([
+    T.StructField("event_key", T.StringType()), T.StructField("report_status", T.StringType()),
+    T.StructField("preliminary_sent_at", T.TimestampType()), T.StructField("final_sent_at", T.TimestampType()),
+    T.StructField("sets", T.ArrayType(T.StringType())), T.StructField("deleted", T.BooleanType()), T.StructField("seq", T.IntegerType())])
+
+
+def control_as_log(control: DataFrame, seq: int = 0) -> DataFrame:
+    """Changes that make the rows of ``control``."""
+    return control.select(*CONTROL_COLUMNS, F.array(*[F.lit(a) for a in ATTRIBUTES]).alias("sets"), F.lit(False).alias("deleted"),
+                          F.lit(seq).alias("seq"))
+
+
+def outcome_changes(outcomes: DataFrame, as_of: dt.datetime = AS_OF, seq: int = 0) -> DataFrame:
+    """D-6/D-7/D-8/D-13 as changes: a row for each event whose state an outcome changes, with what it sets."""
+    ok = outcomes.filter(F.col("manifest_empty") | F.col("outcome").isin("preliminary_succeeded", "final_succeeded"))
+    prelim = F.col("manifest_empty") | (F.col("outcome") == "preliminary_succeeded")
+    stamp, names = ts_lit(as_of), lambda *n: F.array(*[F.lit(x) for x in n])
+    return ok.select(F.col("event_id").alias("event_key"),
+                     F.when(prelim, F.lit(PRELIM_SENT)).otherwise(F.lit(FINAL_SENT)).alias("report_status"),
+                     F.when(prelim, stamp).alias("preliminary_sent_at"), F.when(~prelim, stamp).alias("final_sent_at"),
+                     F.when(prelim, names("report_status", "preliminary_sent_at")).otherwise(names("report_status", "final_sent_at")).alias("sets"),
+                     F.lit(False).alias("deleted"), F.lit(seq).alias("seq"))
+
+
+def folded_log(log: DataFrame) -> DataFrame:
+    """One change per living key that stands for all of the log, with the key's last ``version``.
+
+    Each attribute takes the last change after the key's last delete that sets
+    it. All picks are ``max_by`` aggregates, which combine map-side.
+    """
+    at = F.struct("version", "seq")
+    pick = lambda a: F.max_by(F.struct(at.alias("at"), F.col(a).alias("v")),
+                              F.when(~F.col("deleted") & F.array_contains("sets", a), at)).alias(a)
+    g = log.groupBy("event_key").agg(F.max(F.when(F.col("deleted"), at)).alias("gone"), F.max(at).alias("last"), *[pick(a) for a in ATTRIBUTES])
+    holds = {a: F.col(f"{a}.at").isNotNull() & (F.col("gone").isNull() | (F.col(f"{a}.at") > F.col("gone"))) for a in ATTRIBUTES}
+    alive = F.col("gone").isNull() | (F.col("last") > F.col("gone"))
+    return g.filter(alive).select(
+        "event_key", *[F.when(holds[a], F.col(f"{a}.v")).alias(a) for a in ATTRIBUTES],
+        F.filter(F.array(*[F.when(holds[a], F.lit(a)) for a in ATTRIBUTES]), lambda x: x.isNotNull()).alias("sets"),
+        F.lit(False).alias("deleted"), F.col("last.seq").alias("seq"), F.col("last.version").alias("version"))
+
+
+def control_from_log(log: DataFrame) -> DataFrame:
+    """The control table that a log of changes gives."""
+    return folded_log(log).select(*CONTROL_COLUMNS)
+
+
 def apply_outcomes(control: DataFrame, outcomes: DataFrame, as_of: dt.datetime = AS_OF) -> DataFrame:
     """D-6/D-7/D-8/D-13: successes change state, failures change nothing.
 
@@ -229,8 +280,8 @@ def apply_outcomes(control: DataFrame, outcomes: DataFrame, as_of: dt.datetime =
     ``prelim_sent`` with its time; final success: ``final_sent`` with its time.
     An event whose manifest is empty becomes ``prelim_sent`` with its time
     whatever the attempt's outcome, and never final. The row's other attributes
-    are kept (an update, not a put). One left join of the control table with the
-    changes, plus an anti-join for new keys.
+    are kept (an update, not a put). One full outer join of the control table
+    with the changes.
     """
     ok = outcomes.filter(F.col("manifest_empty") | F.col("outcome").isin("preliminary_succeeded", "final_succeeded")) \
                  .select(F.col("event_id").alias("u_key"),
@@ -238,18 +289,12 @@ def apply_outcomes(control: DataFrame, outcomes: DataFrame, as_of: dt.datetime =
     stamp = ts_lit(as_of)
     prelim = F.col("u_prelim")
     hit = F.col("u_key").isNotNull()
-    existing = control.join(ok, control.event_key == ok.u_key, "left").select(
-        "event_key",
+    return control.join(ok, control.event_key == ok.u_key, "full").select(
+        F.coalesce("event_key", "u_key").alias("event_key"),
         F.when(hit, F.when(prelim, F.lit(PRELIM_SENT)).otherwise(F.lit(FINAL_SENT)))
          .otherwise(F.col("report_status")).alias("report_status"),
         F.when(hit & prelim, stamp).otherwise(F.col("preliminary_sent_at")).alias("preliminary_sent_at"),
         F.when(hit & ~prelim, stamp).otherwise(F.col("final_sent_at")).alias("final_sent_at"))
-    added = ok.join(control.select(F.col("event_key").alias("u_key")), "u_key", "left_anti").select(
-        F.col("u_key").alias("event_key"),
-        F.when(prelim, F.lit(PRELIM_SENT)).otherwise(F.lit(FINAL_SENT)).alias("report_status"),
-        F.when(prelim, stamp).alias("preliminary_sent_at"),
-        F.when(~prelim, stamp).alias("final_sent_at"))
-    return existing.unionByName(added)
 
 
 def control_after_batch(t: Tables, as_of: dt.datetime = AS_OF,

@@ -256,6 +256,27 @@ def bi_ticket_dataset(t: Tables) -> DataFrame:
     j = (salted_join(o, e, "o_event_id", "e_id", ["o_id"], t.hot_events("orders"))
           .join(k, k.k_order_id == o.o_id)
           .join(_charges(t), o.o_id == F.col("c_order_id"), "left"))
+    return _bi_columns(j)
+
+
+def bi_ticket_unnested(t: Tables) -> DataFrame:
+    """N-10: the same from the nested orders, by a true unnest of their ticket arrays; the order's
+    fees are those of its raw fee object."""
+    from boxoffice.operators.ingest import nested_orders
+
+    o = nested_orders(t).select(
+        F.col("id").alias("o_id"), F.col("event_id").alias("o_event_id"), "first_name", "last_name", "paid_date_utc",
+        *[F.col(f).alias(f"fee_{f}") for f in ("surcharge", "let_tax", "sales_tax", "venue_fee")], "ticket")
+    j = salted_join(o, _events(t), "o_event_id", "e_id", ["o_id"], t.hot_events("orders")).join(
+        _charges(t), F.col("o_id") == F.col("c_order_id"), "left")
+    rest = [c for c in j.columns if c != "ticket"]
+    sold = j.select(*rest, F.explode("ticket").alias("k")).select(
+        *rest, F.col("k.id").alias("k_id"), *[f"k.{c}" for c in ("price", "ticket_type_name", "ticket_type_id", "redeemed", "promo_code")])
+    return _bi_columns(sold)
+
+
+def _bi_columns(j: DataFrame) -> DataFrame:
+    """The columns of the BI dataset from a ticket with its order, event and charge."""
     total = (money_or_zero("price") + money_or_zero("fee_surcharge") + money_or_zero("fee_let_tax")
              + money_or_zero("fee_sales_tax") + money_or_zero("fee_venue_fee"))
     paid = ts("paid_date_utc")

@@ -1,8 +1,9 @@
 """Ingest reshaping: raw API shapes -> typed flat tables.
 
 Every step is a projection, an equi-join on the order id, or a map-side
-combined aggregate. Per-order ticket arrays are never built: an order's
-tickets are joined by order id instead of being collected into one row.
+combined aggregate. Ticket arrays are never built: those that come with the
+listed orders are reshaped within their row, and landed tickets are joined by
+order id.
 """
 
 from __future__ import annotations
@@ -12,11 +13,12 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from boxoffice.functions.money import money_or_zero, money_text, sum_money
 from boxoffice.functions.text import underscore_slug, url_slug
 from boxoffice.functions.time import ts, ts_lit
-from boxoffice.params import (AS_OF, CHARGE_LOOKBACK_DAYS, CHARGE_LOOKBACK_DEFAULT,
+from boxoffice.params import (AS_OF, CHARGE_LOOKBACK_DAYS, CHECKINS_PER_PAGE, ORDERS_PER_PAGE, CHARGE_LOOKBACK_DEFAULT,
                               CHARGES_TABLE, EVENT_RANGE_PRESETS, EVENT_RANGE_TEST, EVENTS_TABLE,
                               EXCLUDED_DESCRIPTOR, FEE_TYPES, UNKNOWN_VENUE)
 from boxoffice.operators.joins import salted_join
@@ -45,17 +47,102 @@ def fees_normalized(t: Tables) -> DataFrame:
                                     *normalize_fees(F.col("line_item_fees")))
 
 
+def listed_pages(pages: DataFrame, size: int, hot: DataFrame) -> DataFrame:
+    """S-8: the pages of each event up to its first short one, which ends the list, with that ``end``.
+
+    The end is an aggregate over the page numbers, and a range condition keeps
+    the pages; no event's pages are gathered. An event without a short page has
+    not come to its end: all its pages count, and ``end`` is null. Answers with
+    an error are none. ``hot``: events that hold a large share of the pages.
+    """
+    pages = pages.filter(F.col("error").isNull())
+    ends = pages.filter(F.size("rows") < size).groupBy(F.col("event_id").alias("_event")).agg(F.min("page_no").alias("end"))
+    return salted_join(pages, ends, "event_id", "_event", ["page_no"], hot, "left").drop("_event").filter(
+        F.col("end").isNull() | (F.col("page_no") <= F.col("end")))
+
+
+def page_audit(pages: DataFrame, size: int, hot: DataFrame) -> DataFrame:
+    """S-8 per event: where its list ends, the rows listed, pages missing before the end and pages after it.
+
+    Without a short page the list is taken to go on after the last page that came.
+    """
+    good = pages.filter(F.col("error").isNull())
+    last = good.groupBy(F.col("event_id").alias("_event")).agg(
+        F.min(F.when(F.size("rows") < size, F.col("page_no"))).alias("end"), F.max("page_no").alias("last"))
+    within = F.col("end").isNull() | (F.col("page_no") <= F.col("end"))
+    g = salted_join(good, last, "event_id", "_event", ["page_no"], hot).groupBy("event_id", "end", "last").agg(
+        F.sum(F.when(within, F.size("rows")).otherwise(0)).alias("n_rows"),
+        F.count(F.when(within, 1)).alias("n_pages"), F.count(F.when(~within, 1)).alias("after_end"))
+    return g.select("event_id", F.col("end").alias("end_page"), F.col("n_rows").cast("long").alias("n_rows"), "n_pages",
+                    (F.coalesce("end", "last") - F.col("n_pages")).alias("missing"), "after_end")
+
+
+def listed_orders(t: Tables) -> DataFrame:
+    """S-8: the orders of the landed pages, with their raw fees and tickets and the page they are on."""
+    p = listed_pages(t.order_pages, ORDERS_PER_PAGE, t.hot_events("orders"))
+    return p.select("page_no", F.explode("rows").alias("o")).select("page_no", "o.*")
+
+
+def pages_flatten(t: Tables) -> DataFrame:
+    """S-8 over the landed order pages."""
+    return listed_orders(t).select("id", "event_id", "page_no")
+
+
+def checkin_pages_flatten(t: Tables) -> DataFrame:
+    """S-8 over the landed check-in pages."""
+    p = listed_pages(t.checkin_pages, CHECKINS_PER_PAGE, t.hot_events("tickets"))
+    return p.select(F.explode("rows").alias("ticket_id"), "event_id", "page_no")
+
+
+def order_page_audit(t: Tables) -> DataFrame:
+    return page_audit(t.order_pages, ORDERS_PER_PAGE, t.hot_events("orders"))
+
+
+def checkin_page_audit(t: Tables) -> DataFrame:
+    return page_audit(t.checkin_pages, CHECKINS_PER_PAGE, t.hot_events("tickets"))
+
+
 def orders_enriched(t: Tables) -> DataFrame:
-    """N-2/N-3/N-9: order list joined to its detail row on the order id (never by
-    position), with the normalised fees merged in (the right side wins)."""
-    lst = raw.order_list(t)
-    det = raw.order_details(t).drop("event_id")
-    j = lst.join(det, "id")
+    """N-2/N-3/N-9: the listed orders (of the landed pages) joined to their landed details on the
+    order id (never by position), with the normalised fees merged in (the right side wins)."""
+    det = t.order_details.drop("event_id")
+    j = listed_orders(t).select("id", "event_id", "line_item_fees").join(det, "id")
     return j.select("id", "event_id", "total_paid", "first_name", "last_name", "email", "phone",
                     "opted_in", "opted_in_sms", "paid_date_utc",
                     *normalize_fees(F.col("line_item_fees")))
 
 
+def nested_orders(t: Tables) -> DataFrame:
+    """N-3: the listed orders with their details, and the array of their tickets reshaped in place.
+
+    Every ticket gets its order's fields and face value and the seven fee
+    columns, and loses its raw fees; all within the row. The arrays come with
+    the pages; none is collected.
+    """
+    cents = lambda x: (money_or_zero(x) * 100).cast("long")
+    total = F.aggregate("ticket", F.lit(0).cast("long"), lambda acc, k: acc + cents(k["price"]))
+    face = money_text(total.cast("decimal(38,0)") * F.lit(0.01).cast("decimal(2,2)"))
+    j = listed_orders(t).join(t.order_details.drop("event_id"), "id").withColumn("_face", face)
+
+    def shaped(k: Column) -> Column:
+        k = (k.withField("order_id", F.col("id")).withField("event_id", F.col("event_id"))
+              .withField("name", k["tickettype"]["name"]).withField("ticket_type_name", k["tickettype"]["name"])
+              .withField("order_total_paid", F.col("total_paid")).withField("order_total_face_value", F.col("_face")))
+        for f in FEE_TYPES:
+            k = k.withField(f, k["_fees"].getItem(f))
+        return k.dropFields("line_item_fees", "tickettype", "_fees")
+
+    fees = lambda k: F.transform_keys(F.from_json(k["line_item_fees"], FEE_MAP), lambda n, _v: underscore_slug(n))
+    ticket = F.transform(F.transform("ticket", lambda k: k.withField("_fees", fees(k))), shaped)
+    return j.select("id", "event_id", "total_paid", "first_name", "last_name", "email", "phone", "opted_in", "opted_in_sms", "paid_date_utc",
+                    *normalize_fees(F.col("line_item_fees")), ticket.alias("ticket"))
+
+
+def tickets_unnested(t: Tables) -> DataFrame:
+    """N-4/N-10: the tickets of the nested orders, one row each."""
+    return nested_orders(t).select(F.explode("ticket").alias("k")).select("k.*")
+
+
 def order_face_value(t: Tables) -> DataFrame:
     """N-5: sum of an order's ticket prices as ``%.2f`` text (partial aggregation)."""
     return (t.tickets.groupBy("order_id")
@@ -65,13 +152,16 @@ def order_face_value(t: Tables) -> DataFrame:
 
 def tickets_flat(t: Tables) -> DataFrame:
     """N-4: one row per ticket with its order's total, face value and event, the
-    ticket ``name`` overwritten by the ticket type name, fees normalised."""
-    k = raw.ticket_sales(t).drop("event_id")
+    ticket ``name`` overwritten by the ticket type name, fees normalised.
+
+    One shuffle of the tickets, by order id, serves the face value (a sum over
+    the order's own tickets) and the join with the orders.
+    """
+    order = Window.partitionBy("order_id")
+    k = raw.ticket_sales(t).drop("event_id").withColumn("order_total_face_value", money_text(sum_money(money_or_zero("price"), order)))
     o = t.orders.select(F.col("id").alias("order_id"), F.col("event_id"),
                         F.col("total_paid").alias("order_total_paid"))
-    fv = order_face_value(t)
-    j = k.join(o, "order_id").join(fv, "order_id")
-    return j.select(
+    return k.join(o, "order_id").select(
         "id", "order_id", "event_id", "price",
         F.col("tickettype.name").alias("name"),
         "ticket_type_id",
@@ -149,13 +239,6 @@ def charges_in_range(t: Tables, preset: str | None = "current",
     return t.charges.filter(F.col("created") >= ts_lit(as_of - dt.timedelta(days=days)))
 
 
-def pages_flatten(t: Tables) -> DataFrame:
-    """S-8: concatenate landed order pages; ``no_data`` pages contribute nothing."""
-    p = raw.order_pages(t).filter(F.col("error").isNull())
-    return p.select("page_no", F.explode("orders").alias("o")).select(
-        F.col("o.id").alias("id"), F.col("o.event_id").alias("event_id"), "page_no")
-
-
 def event_partition_columns(events: DataFrame) -> DataFrame:
     """S-2 for events: venue slug, year, English month name, zero-padded day."""
     return events.select(F.lit(EVENTS_TABLE).alias("table_name"), url_slug("id").alias("key"), *event_parts())

@@ -256,6 +256,5 @@ def write_manifest_csv(rows: DataFrame, path: str) -> None:
 
 
 def priced_events(t: Tables, ids: DataFrame) -> DataFrame:
-    """The events of ``ids`` (event_id) that have a manifest line, i.e. a priced ticket."""
-    k = _priced_tickets(t).select("event_id").join(ids, "event_id", "left_semi")
-    return k.distinct()
+    """The events of ``ids`` (event_id) that have a manifest line, i.e. a priced ticket (counted at landing)."""
+    return t.event_sizes.filter(F.col("priced_tickets") > 0).select("event_id").join(ids, "event_id", "left_semi")

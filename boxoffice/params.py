@@ -76,6 +76,9 @@ PRELIM_LEAD_DAYS = 1
 # Preview instant of the daily schedule in Pacific wall-clock time.
 PREVIEW_HOUR, PREVIEW_MINUTE = 22, 31
 
+# Rows of a full page of the order list and of the check-in list.
+ORDERS_PER_PAGE, CHECKINS_PER_PAGE = 100, 5000
+
 # Literal output values of the facts.
 PAYMENT_GATEWAY = "Stripe"
 VOID_TEXT = "false"

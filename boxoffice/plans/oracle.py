@@ -377,6 +377,14 @@ SELECT t.id, t.order_id, o.event_id, t.price, t.ticket_type_name AS name, t.tick
 FROM fx_tickets t JOIN fx_orders o ON t.order_id = o.id
 JOIN ({_FACE_VALUE}) fv ON fv.order_id = t.order_id""")
 
+ORACLE["tickets_unnested"] = ORACLE["tickets_flat"]
+# the order's fees as its raw fee object has them
+ORACLE["bi_ticket_unnested"] = ORACLE["bi_ticket_dataset"].replace("JOIN fx_orders o ON", f"""JOIN (
+  SELECT * EXCLUDE (fee_surcharge, fee_let_tax, fee_sales_tax, fee_venue_fee, ticketing_fee, surcharge, let_tax, sales_tax, venue_fee,
+                    admin_fee_not_a_gratuity_, gratuity, k),
+         surcharge AS fee_surcharge, let_tax AS fee_let_tax, sales_tax AS fee_sales_tax, venue_fee AS fee_venue_fee
+  FROM (SELECT *, {_FEES_SQL} FROM (SELECT *, CAST(id AS BIGINT) AS k FROM fx_orders))) o ON""")
+
 ORACLE["ticket_types_dim"] = with_fx("""
 SELECT ticket_type_id, ticket_type_price_id, event_id,
        arg_min(ticket_type_name, id) AS ticket_type_name, arg_min(price, id) AS ticket_type_price
@@ -405,8 +413,27 @@ def charges_in_range_sql(since: _dt.datetime) -> str:
 
 _SLUG = "lower(regexp_replace({}, '[^0-9A-Za-z]+', '-', 'g'))"
 
-ORACLE["pages_flatten"] = with_fx(
-    "SELECT id, event_id, CAST(CAST(id AS BIGINT) // 100 AS BIGINT) AS page_no FROM fx_orders")
+def numbered_sql(rows: str, order: str, size: int) -> str:
+    """Rows (id, event_id) with the page of ``size`` rows that they are listed on."""
+    return f"SELECT *, (row_number() OVER (PARTITION BY event_id ORDER BY {order}) - 1) // {size} + 1 AS page_no FROM ({rows})"
+
+
+_LISTED_ORDERS = numbered_sql("SELECT id, event_id FROM fx_orders", "CAST(id AS BIGINT)", 100)
+_LISTED_CHECKINS = numbered_sql("SELECT id, order_id, event_id FROM fx_tickets WHERE redeemed", "CAST(order_id AS BIGINT), id", 5000)
+ORACLE["pages_flatten"] = with_fx(f"SELECT id, event_id, page_no FROM ({_LISTED_ORDERS})")
+ORACLE["checkin_pages_flatten"] = with_fx(f"SELECT id AS ticket_id, event_id, page_no FROM ({_LISTED_CHECKINS})")
+
+
+def page_audit_sql(listed: str, size: int) -> str:
+    # a stray page follows the end of the events 3 modulo 17; a list that ends with a full page has an empty one
+    return with_fx(f"""
+SELECT event_id, count(*) // {size} + 1 AS end_page, count(*) AS n_rows, count(*) // {size} + 1 AS n_pages,
+       CAST(0 AS BIGINT) AS missing, CAST(CASE WHEN CAST(event_id AS BIGINT) % 17 = 3 THEN 1 ELSE 0 END AS BIGINT) AS after_end
+FROM ({listed}) GROUP BY event_id""")
+
+
+ORACLE["order_page_audit"] = page_audit_sql(_LISTED_ORDERS, 100)
+ORACLE["checkin_page_audit"] = page_audit_sql(_LISTED_CHECKINS, 5000)
 
 _EVENT_PARTS = f"""
 SELECT 'events' AS table_name, {_SLUG.format('id')} AS key,

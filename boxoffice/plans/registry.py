@@ -68,6 +68,7 @@ REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
     "order_subtotals": fc.order_subtotals,
     "order_fact": fc.order_fact,
     "bi_ticket_dataset": fc.bi_ticket_dataset,
+    "bi_ticket_unnested": fc.bi_ticket_unnested,
     "remit_original": fc.remit_original,
     "remit_new": fc.remit_new,
     "marketing_original": fc.marketing_original,
@@ -83,6 +84,7 @@ REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
     "fees_normalized": ig.fees_normalized,
     "orders_enriched": ig.orders_enriched,
     "tickets_flat": ig.tickets_flat,
+    "tickets_unnested": ig.tickets_unnested,
     "order_face_value": ig.order_face_value,
     "ticket_types_dim": ig.ticket_types_dim,
     "checkins": ig.checkins,
@@ -91,6 +93,9 @@ REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
     "charges_in_range": ig.charges_in_range,
     "events_without_orders": ig.events_without_orders,
     "pages_flatten": ig.pages_flatten,
+    "checkin_pages_flatten": ig.checkin_pages_flatten,
+    "order_page_audit": ig.order_page_audit,
+    "checkin_page_audit": ig.checkin_page_audit,
     "partition_columns": ig.partition_columns,
     "new_partitions": ig.new_partitions,
     # delivery (D-1 .. D-17, J-7 .. J-11, S-13, T-1, T-4)

@@ -38,6 +38,8 @@ CLUSTER_CONF = {
     "spark.sql.files.maxPartitionBytes": "256MB",
     "spark.sql.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    # the state of a stream lies on disk, not in the heap
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

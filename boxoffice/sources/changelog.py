@@ -67,12 +67,18 @@ def latest(log: DataFrame, *key: str) -> DataFrame:
     return log.groupBy(*key).agg(F.max_by(F.struct(*rest), VERSION).alias("s")).select(*key, "s.*")
 
 
-def fold(spark: SparkSession, at: str, schema: T.StructType, state, most: int = MOST_FOLDERS) -> bool:
-    """Fold the log if it has more than ``most`` folders: ``state`` makes the rows to keep of all entries."""
+def fold(spark: SparkSession, at: str, schema: T.StructType, state, upto: int | None = None, most: int | None = None) -> bool:
+    """Fold the versions up to ``upto`` (all) if they have more than ``most`` folders.
+
+    ``state`` makes the rows to keep (with their ``version``) of the entries. A
+    stream folds what lies before its running batch only, so that the batch can
+    be run again from the same state.
+    """
     changes, folds = _folders(spark, at)
-    if len(changes) + len(folds) <= most:
+    upto = max([*changes, *folds, -1]) if upto is None else upto
+    old = [p for v, p in changes.items() if v <= upto] + [p for v, p in folds.items() if v < upto]
+    if len(old) <= (MOST_FOLDERS if most is None else most) or upto in folds:
         return False
-    upto = max([*changes, *folds])
-    state(entries(spark, at, schema)).write.mode("overwrite").parquet(f"{at}/fold-{upto}")
-    remove_all(spark, [*(p for p in changes.values()), *(p for v, p in folds.items() if v < upto)])
+    state(entries(spark, at, schema, upto + 1)).write.mode("overwrite").parquet(f"{at}/fold-{upto}")
+    remove_all(spark, old)
     return True

@@ -2,24 +2,32 @@
 
 * order list rows carry the raw fee object as JSON text with display-name keys
   (including an unknown fee, a pair of keys that collide after slugging, and
-  orders without any fee object);
+  orders without any fee object) and their tickets as an array, each with its
+  own raw fee JSON;
 * order details carry the buyer fields;
-* ticket sales carry their own raw fee JSON;
-* order pages hold at most 100 orders each; an event without orders yields a
-  ``no_data`` page.
-
-All are row-local projections of the fixture tables, except the pages, which
-group at most 100 orders (distinct order keys ``k`` with the same ``k div 100``).
+* order pages and check-in pages are the answers of the paged lists, one JSON
+  line each: full pages, a short (or empty) last one, a ``no_data`` answer for
+  an event without orders, and for some events a stray page after the end.
+
+The pages are built once, when the fixtures are landed (``Tables.derive``);
+queries read the landed page files. Places in an event's list are numbered
+within ranges of order keys, whose counts give the offsets, so no task numbers
+all of an event.
 """
 
 from __future__ import annotations
 
+from typing import TYPE_CHECKING
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from boxoffice.sources.tables import Tables
+from boxoffice.params import CHECKINS_PER_PAGE, ORDERS_PER_PAGE
 
-PAGE_SIZE = 100
+if TYPE_CHECKING:
+    from boxoffice.sources.tables import Tables
 
 
 def _piece(key: str, value: Column, cond: Column | None = None) -> Column:
@@ -80,15 +88,57 @@ def ticket_sales(t: Tables) -> DataFrame:
         F.concat(F.lit("{"), body, F.lit("}")).alias("line_item_fees"))
 
 
+def fields(**kinds: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(n, k) for n, k in kinds.items()])
+
+
+TEXT = T.StringType()
+SALE_TYPE = fields(id=TEXT, price=TEXT, ticket_type_id=TEXT, ticket_type_price_id=TEXT, ticket_type_price=TEXT, tickettype=fields(name=TEXT),
+                   redeemed=T.BooleanType(), promo_code=TEXT, line_item_fees=TEXT)
+ORDER_TYPE = fields(id=TEXT, event_id=TEXT, line_item_fees=TEXT, ticket=T.ArrayType(SALE_TYPE))
+ORDER_PAGE, CHECKIN_PAGE = (fields(event_id=TEXT, page_no=T.LongType(), error=TEXT, rows=T.ArrayType(row)) for row in (ORDER_TYPE, TEXT))
+PAGE_FILES = {"order_pages": ORDER_PAGE, "checkin_pages": CHECKIN_PAGE}
+
+# Order keys numbered in one task; events (id modulo, rest) with a stray page after the end of their list.
+KEY_RANGE = 100_000
+STRAY_EVENT_MOD = (17, 3)
+
+
+def _numbered(rows: DataFrame, key: Column, order: list[str], size: int) -> DataFrame:
+    """``rows`` (event_id, ...) with the page that they are on, in the order of ``order``."""
+    rows = rows.withColumn("_range", F.floor(key / KEY_RANGE))
+    counts = rows.groupBy("event_id", "_range").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy("event_id").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("event_id", "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    place = F.col("_before") + F.row_number().over(Window.partitionBy("event_id", "_range").orderBy(*order)) - 1
+    return rows.join(counts, ["event_id", "_range"]).withColumn("page_no", F.floor(place / size).cast("long") + 1).drop("_range", "_before")
+
+
+def _paged(events: DataFrame, numbered: DataFrame, row: Column, schema: T.StructType, size: int) -> DataFrame:
+    """Page answers of every event; ``numbered`` has event_id, page_no and what ``row`` needs."""
+    rows = schema["rows"].dataType
+    pages = numbered.groupBy("event_id", "page_no").agg(F.collect_list(row).cast(rows).alias("rows"))  # at most ``size``
+    none, no_rows = F.lit(None).cast("string"), F.array().cast(rows)
+    ends = pages.groupBy("event_id").agg(F.max("page_no").alias("last"), F.max_by(F.size("rows"), "page_no").alias("n"))
+    full = ends.filter(F.col("n") == size).select("event_id", (F.col("last") + 1).alias("page_no"), none.alias("error"), no_rows.alias("rows"))
+    empty = events.select(F.col("id").alias("event_id")).join(ends, "event_id", "left_anti").select(
+        "event_id", F.lit(1).cast("long").alias("page_no"), F.lit("no_data").alias("error"), no_rows.alias("rows"))
+    mod, rest = STRAY_EVENT_MOD
+    stray = pages.filter((F.col("page_no") == 1) & (F.col("event_id").cast("long") % mod == rest)).join(ends.select("event_id", "last"), "event_id").select(
+        "event_id", (F.col("last") + 3).alias("page_no"), none.alias("error"), "rows")
+    pages = pages.select("event_id", "page_no", none.alias("error"), "rows")
+    return pages.unionByName(full).unionByName(empty).unionByName(stray)
+
+
 def order_pages(t: Tables) -> DataFrame:
-    """Landed order pages: (event_id, page_no, error, orders array of <= 100)."""
-    o = order_list(t).withColumn("page_no", F.expr(f"cast(id AS BIGINT) div {PAGE_SIZE}"))
-    pages = (o.groupBy("event_id", "page_no")
-              .agg(F.collect_list(F.struct("id", "event_id", "line_item_fees")).alias("orders"))
-              .withColumn("error", F.lit(None).cast("string")))
-    empty = (t.events.select(F.col("id").alias("event_id"))
-             .join(t.orders.select("event_id").distinct(), "event_id", "left_anti")
-             .select("event_id", F.lit(None).cast("bigint").alias("page_no"),
-                     F.array().cast(pages.schema["orders"].dataType).alias("orders"),
-                     F.lit("no_data").alias("error")))
-    return pages.unionByName(empty)
+    """Answers of the order list: pages of 100 orders with their tickets."""
+    sold = ticket_sales(t).groupBy("order_id").agg(F.collect_list(F.struct(*SALE_TYPE.names)).alias("ticket"))  # one order's tickets
+    listed = order_list(t).join(sold, F.col("id") == F.col("order_id"), "left").withColumn("_key", F.col("id").cast("long"))
+    row = F.struct("id", "event_id", "line_item_fees", F.coalesce("ticket", F.array().cast(T.ArrayType(SALE_TYPE))).alias("ticket"))
+    return _paged(t.events, _numbered(listed, F.col("_key"), ["_key"], ORDERS_PER_PAGE), row, ORDER_PAGE, ORDERS_PER_PAGE)
+
+
+def checkin_pages(t: Tables) -> DataFrame:
+    """Answers of the check-in list: pages of 5000 ticket ids."""
+    ids = t.tickets.filter(F.col("redeemed")).select("event_id", "id", F.col("order_id").cast("long").alias("_key"))
+    return _paged(t.events, _numbered(ids, F.col("_key"), ["_key", "id"], CHECKINS_PER_PAGE), F.col("id"), CHECKIN_PAGE, CHECKINS_PER_PAGE)

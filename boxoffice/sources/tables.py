@@ -28,15 +28,19 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from boxoffice.functions.money import money_or_zero
 from boxoffice.operators.joins import hot_keys
 from boxoffice.session import checkpoint_dir
-from boxoffice.sources import fixtures
+from boxoffice.sources import fixtures, raw
 from boxoffice.sources.files import exists, files_below, folders_in, touch
 
 MARKER = "_LANDED"
 # Landed tables and the driver tables that they come from.
 LANDED = {"events": ["customer", "nation"], "orders": ["orders"], "tickets": ["lineitem", "orders"],
-          "raw_charges": ["orders"], "control": ["customer"], "event_sizes": ["lineitem", "orders"]}
+          "raw_charges": ["orders"], "control": ["customer"], "event_sizes": ["lineitem", "orders"],
+          "order_details": ["orders"], "order_pages": ["orders", "lineitem"], "checkin_pages": ["orders", "lineitem"]}
+# Made from what has been landed before; the pages are JSON lines, as the answers of the paged lists are.
+FROM_LANDED = ["event_sizes", "order_details", *raw.PAGE_FILES]
 # What the rows of the large tables are dealt by when landed: the key that joins them.
 DEALT_BY = {"events": "id", "orders": "id", "tickets": "order_id", "raw_charges": "meta_order_id"}
 
@@ -75,12 +79,17 @@ class Tables:
             return fixtures.control(self.raw("customer"))
         if name == "event_sizes":
             return self._sizes()
+        if name == "order_details":
+            return raw.order_details(self)
+        if name in raw.PAGE_FILES:
+            return getattr(raw, name)(self)
         raise KeyError(name)
 
     def _sizes(self) -> DataFrame:
-        """Orders and tickets of each event that has any, and of all; combines map-side."""
-        count = lambda df, n: df.groupBy("event_id").agg(F.count("*").alias(n))
-        sizes = count(self.orders, "orders").join(count(self.tickets, "tickets"), "event_id", "full").fillna(0, ["orders", "tickets"])
+        """Orders, tickets and priced tickets of each event that has any, and of all; combines map-side."""
+        orders = self.orders.groupBy("event_id").agg(F.count("*").alias("orders"))
+        tickets = self.tickets.groupBy("event_id").agg(F.count("*").alias("tickets"), F.count(F.when(money_or_zero("price") > 0, 1)).alias("priced_tickets"))
+        sizes = orders.join(tickets, "event_id", "full").fillna(0, ["orders", "tickets", "priced_tickets"])
         total = sizes.agg(F.sum("orders"), F.sum("tickets")).first()
         return sizes.select("*", F.lit(total[0] or 0).cast("long").alias("all_orders"),
                             F.lit(total[1] or 0).cast("long").alias("all_tickets"))
@@ -91,6 +100,8 @@ class Tables:
         return hot_keys(self.event_sizes, "event_id", table, f"all_{table}", partitions)
 
     def _table(self, name: str) -> DataFrame:
+        if self.landed_at and name in raw.PAGE_FILES:
+            return self.spark.read.schema(raw.PAGE_FILES[name]).json(f"{self.landed_at}/{name}")
         if self.landed_at:
             return self.spark.read.parquet(f"{self.landed_at}/{name}")
         return self.derive(name)
@@ -125,6 +136,21 @@ class Tables:
     def event_sizes(self) -> DataFrame:
         return self._table("event_sizes")
 
+    @cached_property
+    def order_details(self) -> DataFrame:
+        """Answers of the order details, one per order."""
+        return self._table("order_details")
+
+    @cached_property
+    def order_pages(self) -> DataFrame:
+        """Landed page files of the order list."""
+        return self._table("order_pages")
+
+    @cached_property
+    def checkin_pages(self) -> DataFrame:
+        """Landed page files of the check-in list."""
+        return self._table("checkin_pages")
+
     @cached_property
     def attempts(self) -> DataFrame:
         """The mail service's answers (input of the delivery operators)."""
@@ -141,7 +167,7 @@ def landed_root(spark: SparkSession, root: str) -> str:
     place = root if "://" in root or root.startswith("file:") else os.path.abspath(root)
     names = sorted({n for needed in LANDED.values() for n in needed})
     listing = [(n, files_below(spark, f"{root}/{n}.parquet")) for n in names]
-    code = inspect.getsource(fixtures) + inspect.getsource(sys.modules[__name__])
+    code = inspect.getsource(fixtures) + inspect.getsource(raw) + inspect.getsource(sys.modules[__name__])
     key = f"{place}|{listing}|{code}"
     return os.path.join(checkpoint_dir(spark), "landed", hashlib.sha1(key.encode()).hexdigest()[:16])
 
@@ -165,15 +191,17 @@ def land_tables(spark: SparkSession, root: str, refresh: bool = False) -> str:
         return at
     src, folder = Tables(spark, root), uuid.uuid4().hex
     for name in LANDED:
-        # sizes are counted from what has just been landed
-        df = (Tables(spark, root, landed_at=f"{base}/{folder}") if name == "event_sizes" else src).derive(name)
+        df = (Tables(spark, root, landed_at=f"{base}/{folder}") if name in FROM_LANDED else src).derive(name)
         if name in DEALT_BY:
             df = df.repartition(DEALT_BY[name])
         if name in ("events", "orders", "tickets"):
             # row groups narrow in event date, so date-bounded scans skip the rest;
             # a sort inside each task, so a hot date does not gather in one
             df = df.sortWithinPartitions("event_date")
-        df.write.parquet(f"{base}/{folder}/{name}")
+        if name in raw.PAGE_FILES:
+            df.write.option("compression", "gzip").json(f"{base}/{folder}/{name}")
+        else:
+            df.write.parquet(f"{base}/{folder}/{name}")
     touch(spark, f"{base}/{folder}/{MARKER}")
     return f"{base}/{folder}"
 

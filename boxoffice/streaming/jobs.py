@@ -6,13 +6,12 @@ runs the delivery decision every five. Here the same work is a stream:
 * ST-1 ``snapshot_upsert``: new snapshot files in an inbox -> keyed replace
   into the landing table (``foreachBatch``; idempotent, so a retried batch
   gives the same table);
-* ST-2 ``sales_24h``: tickets sold per venue and hour of payment, kept as a
-  running count, from which sliding 24-hour windows (1-hour slide) are read.
-  No watermark: a ticket may arrive at any time after its payment and is never
-  dropped; the state is a row per venue and hour, not per ticket;
+* ST-2 ``sales_24h``: tickets sold per event and hour of payment, from which
+  sliding 24-hour windows (1-hour slide) per venue are read. Tickets, orders and
+  events may come in any order and at any time; none is dropped;
 * ST-3 ``delivery_tick``: a stream of ticks (reference times); each tick runs
-  the delivery categorisation, applies the outcomes and writes the next
-  control version, so the state survives a restart.
+  the delivery categorisation and appends the changes that its outcomes make to
+  the control table, which is kept as a change log.
 
 Every job takes a folder ``at`` for its checkpoint and tables. A job started
 again with the same folder goes on where it stopped. Without one, a new folder
@@ -35,7 +34,7 @@ from boxoffice.operators import ingest as ig
 from boxoffice.params import AS_OF
 from boxoffice.operators.joins import salted_join
 from boxoffice.session import checkpoint_dir
-from boxoffice.sources.files import exists
+from boxoffice.sources import changelog, fixtures
 from boxoffice.sources.changelog import VERSION
 from boxoffice.sources.landing import (EVENT_SCHEMA, LANDED_KEYS, LANDED_SCHEMAS, UNIT, event_parts, land_rows,
                                        land_snapshots, landed_changes, latest_snapshot, read_landed)
@@ -207,33 +206,51 @@ def sliding_from_hours(hours: DataFrame) -> DataFrame:
         "venue_name", "window_start", (F.col("window_start") + F.expr("INTERVAL 24 HOURS")).alias("window_end"), "tickets_sold")
 
 
-def sales_24h_stream(t: Tables, at: str, files_per_trigger: int | None = None):
-    """Start ST-2 over the lineitem files (one file or a folder of part files).
+HOURS_SCHEMA = T.StructType([T.StructField("event_id", T.StringType()), T.StructField("hour", T.TimestampType()),
+                             T.StructField("tickets_sold", T.LongType())])
 
-    Update mode gives each changed hour's running count; every micro-batch has
-    a folder of its own in the sink, overwritten if the batch is run again.
-    """
-    path = f"{t.root}/lineitem.parque[t]"  # as a pattern, a file serves as well as a folder
-    src = t.spark.readStream.schema(t.raw("lineitem").schema)
-    if files_per_trigger:
-        src = src.option("maxFilesPerTrigger", files_per_trigger)
-    hours = _ticket_sales(src.parquet(path), t).groupBy(
-        F.date_trunc("hour", "paid_ts").alias("hour"), "venue_name").agg(F.count("*").alias("tickets_sold"))
 
-    def write_batch(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(os.path.join(at, "hours", f"epoch={epoch}"))
+def sales_24h_stream(t: Tables, at: str, files_per_trigger: int | None = None):
+    """Start ST-2 over the files of tickets (lineitem) and of orders; each is one file or a folder of part files.
 
-    return (hours.writeStream.outputMode("update").foreachBatch(write_batch)
+    A stream-stream join on the order id: a ticket waits in state for its order
+    and an order for its tickets, whichever comes first, without a limit of
+    time. What a micro-batch matches is counted per event and hour and appended
+    to a log; a batch that is run again replaces its version.
+    """
+    def source(name: str) -> DataFrame:
+        src = t.spark.readStream.schema(t.raw(name).schema)
+        if files_per_trigger:
+            src = src.option("maxFilesPerTrigger", files_per_trigger)
+        return src.parquet(f"{t.root}/{name}.parque[t]")  # as a pattern, a file serves as well as a folder
+
+    tickets = source("lineitem").select(F.col("l_orderkey").cast("string").alias("ticket_order"))
+    orders = fixtures.orders(source("orders")).select(
+        F.col("id").alias("order_id"), "event_id", F.date_trunc("hour", ts("paid_date_utc")).alias("hour"))
+    sold = tickets.join(orders, F.col("ticket_order") == F.col("order_id")).select("event_id", "hour")
+    log = os.path.join(at, "hours")
+
+    def add(batch: DataFrame, epoch: int) -> None:
+        changelog.append(batch.groupBy("event_id", "hour").agg(F.count("*").alias("tickets_sold")), log, epoch)
+        changelog.fold(t.spark, log, HOURS_SCHEMA, lambda rows: rows.groupBy("event_id", "hour").agg(
+            F.sum("tickets_sold").alias("tickets_sold"), F.max(VERSION).alias(VERSION)), upto=epoch - 1)
+
+    return (sold.writeStream.outputMode("append").foreachBatch(add)
             .option("checkpointLocation", os.path.join(at, "checkpoint")).trigger(availableNow=True).start())
 
 
 def stream_sales_24h(t: Tables, at: str | None = None, files_per_trigger: int | None = None) -> DataFrame:
-    """ST-2: sliding 24 h counts per venue, after all files that have come so far."""
+    """ST-2: sliding 24 h counts per venue, after all files that have come so far.
+
+    The counts meet the events when they are read, so an event may come after
+    its sales as well.
+    """
     at = at or _run_dir(t.spark, "st2")
     _drain(sales_24h_stream(t, at, files_per_trigger))
-    log = t.spark.read.parquet(os.path.join(at, "hours"))
-    hours = log.groupBy("venue_name", "hour").agg(
-        F.max_by("tickets_sold", F.col("epoch").cast("long")).alias("tickets_sold"))
+    sold = changelog.entries(t.spark, os.path.join(at, "hours"), HOURS_SCHEMA).groupBy("event_id", "hour").agg(
+        F.sum("tickets_sold").alias("tickets_sold"))
+    e = t.events.select(F.col("id").alias("event_id"), F.col("organization_name").alias("venue_name"))
+    hours = sold.join(e, "event_id").groupBy("venue_name", "hour").agg(F.sum("tickets_sold").alias("tickets_sold"))
     return sliding_from_hours(hours)
 
 
@@ -245,39 +262,32 @@ def tick_times(as_of: dt.datetime = AS_OF, n: int = 2) -> list[dt.datetime]:
     return [as_of + dt.timedelta(minutes=TICK_MINUTES * i) for i in range(n)]
 
 
+TICKS_IN_A_BATCH = 1_000_000  # versions that a micro-batch may take
+
+
 def stream_delivery_tick(t: Tables, as_of: dt.datetime = AS_OF, at: str | None = None,
                          ticks: list[dt.datetime] | None = None) -> DataFrame:
-    """ST-3: ticks arrive as files; each tick advances the control table.
+    """ST-3: ticks arrive in files; each tick, in order of time, advances the control table.
 
-    Every batch writes its control version to its own folder and records it in
-    a small version log. A batch starts from the newest version written by an
-    *earlier* batch, so a retried batch recomputes the same version, and a
-    restarted stream resumes from the last recorded state.
+    The table is a log: a tick appends the changes it makes, as a version of its
+    own, and reads the versions before it. A batch that is run again writes the
+    same versions from the same state, and a restarted stream goes on from the
+    last one. Older versions are folded from time to time.
     """
     spark = t.spark
     base = at or _run_dir(spark, "st3")
-    inbox, log, ckpt = (os.path.join(base, x) for x in ("ticks", "versions", "checkpoint"))
-
-    def record(epoch: int, path: str) -> None:
-        spark.range(1).select(F.lit(epoch).cast("long").alias("epoch"), F.lit(path).alias("path")) \
-             .write.mode("append").parquet(log)
-
-    def version_before(epoch: int) -> DataFrame:
-        row = (spark.read.parquet(log).filter(F.col("epoch") < epoch)
-               .orderBy(F.col("epoch").desc()).first())
-        return spark.read.parquet(row["path"])
-
-    if not exists(spark, log):  # else a job that goes on
-        first = os.path.join(base, "control-initial")
-        t.control.write.mode("overwrite").parquet(first)
-        record(-1, first)
+    inbox, log, ckpt = (os.path.join(base, x) for x in ("ticks", "control", "checkpoint"))
+    state = lambda before=None: dv.control_from_log(changelog.entries(spark, log, dv.CONTROL_LOG, before))
+    if changelog.last_version(spark, log) < 0:  # else a job that goes on
+        changelog.append(dv.control_as_log(t.control), log, 0)
 
     def run_ticks(batch: DataFrame, epoch: int) -> None:
-        # the trigger takes one file of one tick (the scheduler's firing), so this is one row
-        (tick,) = batch.select(ts("as_of")).first()
-        out = os.path.join(base, f"control-{epoch}")
-        dv.control_after_batch(t, tick, control=version_before(epoch)).write.mode("overwrite").parquet(out)
-        record(epoch, out)
+        first = epoch * TICKS_IN_A_BATCH + 1
+        changelog.fold(spark, log, dv.CONTROL_LOG, dv.folded_log, upto=first - 1)
+        times = batch.select(ts("as_of").alias("at")).filter(F.col("at").isNotNull()).distinct().orderBy("at")
+        for i, row in enumerate(times.toLocalIterator()):
+            outcomes = dv.delivery_outcomes(t, row["at"], state(first + i))
+            changelog.append(dv.outcome_changes(outcomes, row["at"]), log, first + i)
 
     for x in ticks if ticks is not None else tick_times(as_of):  # one tick file per firing
         spark.range(1).select(F.lit(x.strftime("%Y-%m-%d %H:%M:%S")).alias("as_of")) \
@@ -286,4 +296,4 @@ def stream_delivery_tick(t: Tables, as_of: dt.datetime = AS_OF, at: str | None =
          .writeStream.foreachBatch(run_ticks).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
     _drain(q)
-    return version_before(1 << 62)
+    return state()

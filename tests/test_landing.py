@@ -145,7 +145,6 @@ def test_a_poll_reads_only_the_partitions_of_its_events(spark):
 
 def test_the_index_does_not_grow_with_the_polls(spark, monkeypatch):
     monkeypatch.setattr(changelog, "MOST_FOLDERS", 3)
-    monkeypatch.setattr(changelog.fold, "__defaults__", (3,))
     path = os.path.join(_path(spark, "folded"), "orders")
     for d in range(1, 8):
         land_rows(spark, _orders(spark, "ab", dt.datetime(2024, 1, d), day=f"0{d}"), path, "id", unit="event")
