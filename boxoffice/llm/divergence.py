@@ -106,6 +106,8 @@ def skyband(n: np.ndarray, everywhere: np.ndarray, place: np.ndarray, k: int) ->
     ``n``; only kept rows need to be compared, as a row that k others dominate
     has k dominators in the skyband.
     """
+    if not len(n):
+        return np.empty(0, np.int64)
     order = np.lexsort((place, everywhere, -n))
     x, y = everywhere[order], place[order]
     kept_x, kept_y, kept = np.empty(0, x.dtype), np.empty(0, y.dtype), []
