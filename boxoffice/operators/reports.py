@@ -19,6 +19,7 @@ from boxoffice.functions.time import (from_pacific, iso_millis_z, to_pacific, ts
                                       week_start_sun)
 from boxoffice.params import AS_OF, RECENT_SALES_HOURS, REPORT_HORIZON_DAYS, VENUE_IDS
 from boxoffice.operators.joins import salted_join
+from boxoffice.operators.ordinals import numbered
 from boxoffice.sources.tables import Tables
 
 
@@ -174,3 +175,24 @@ def result_text_rows(t: Tables, as_of: dt.datetime = AS_OF) -> DataFrame:
     return u.select(F.create_map(*[x for c, v in zip(u.columns, texts) for x in (F.lit(c), v)])
                     .alias("row"),
                     F.array(*texts).alias("cells"))
+
+
+def _in_order(t: Tables, as_of: dt.datetime) -> tuple[DataFrame, list[str]]:
+    """The upcoming sales in their result order, numbered from 1; ties by the other columns."""
+    u = upcoming_sales(t, as_of)
+    order = ["event_date", "event_name", "ticket_type_name"]
+    return numbered(u, order + [c for c in u.columns if c not in order]), u.columns
+
+
+def result_rows_in_order(t: Tables, as_of: dt.datetime = AS_OF) -> DataFrame:
+    """S-11, array form with its header: row 0 holds the column names, rows from 1 the text cells in result order."""
+    rows, names = _in_order(t, as_of)
+    header = rows.sparkSession.range(1).select(F.lit(0).cast("long").alias("row_no"), F.array(*[F.lit(c) for c in names]).alias("cells"))
+    return header.unionByName(rows.select("row_no", F.array(*[F.col(c).cast("string") for c in names]).alias("cells")))
+
+
+def result_flat_cells(t: Tables, as_of: dt.datetime = AS_OF) -> DataFrame:
+    """S-11, flat form: every cell of the header and the rows, one after the other."""
+    rows = result_rows_in_order(t, as_of)
+    return rows.select("row_no", F.size("cells").alias("n"), F.posexplode("cells").alias("i", "cell")).select(
+        (F.col("row_no") * F.col("n") + F.col("i")).alias("position"), "cell")

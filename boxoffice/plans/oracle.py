@@ -832,3 +832,31 @@ SELECT o.id, CASE CAST(o.id AS BIGINT) % 7 WHEN 3 THEN 'vanish' WHEN 4 THEN 'upd
        CASE WHEN CAST(o.id AS BIGINT) % 7 <> 3 THEN {AS_OF} END AS ingested_at
 FROM fx_orders o JOIN ({_PLACES}) p ON p.place_id = o.event_id
 WHERE p.ingested_at = {AS_OF} AND CAST(o.id AS BIGINT) % 7 BETWEEN 3 AND 5""")
+
+# --- reads of the landing --------------------------------------------------------
+ORACLE["manifest_over_landing"] = ORACLE["event_manifest"]
+ORACLE["landing_events_in_range"] = ORACLE["events_in_range"]
+
+# the second poll's events: 3 modulo 7 has a start that is no time, 2 modulo 11 is cut off
+_POLLED = f"CAST(CAST(start AS TIMESTAMP) AS DATE) BETWEEN DATE '{_LO}' AND DATE '{_HI}'"
+_NO_TIME, _CUT = "CAST(id AS BIGINT) % 7 = 3", "CAST(id AS BIGINT) % 11 = 2"
+ORACLE["landing_drift"] = with_fx(f"""
+SELECT * EXCLUDE (again), CASE WHEN again THEN CAST(id AS BIGINT) * 10 END AS capacity,
+       CASE WHEN again THEN {AS_OF} ELSE {AS_OF} - INTERVAL 1 HOUR END AS ingested_at,
+       {_SLUG.format('organization_name')} AS venue, strftime(CAST(start AS TIMESTAMP), '%Y') AS year,
+       strftime(CAST(start AS TIMESTAMP), '%B') AS month, strftime(CAST(start AS TIMESTAMP), '%d') AS day
+FROM (SELECT *, {_POLLED} AND NOT ({_NO_TIME}) AND NOT ({_CUT}) AS again FROM fx_events)""")
+ORACLE["landing_quarantine"] = with_fx(f"""
+SELECT id, CASE WHEN {_CUT} THEN 'no object' ELSE 'bad start' END AS reasons, {AS_OF} AS ingested_at
+FROM fx_events WHERE {_POLLED} AND ({_NO_TIME} OR {_CUT})""")
+
+# --- results with their header, in order -------------------------------------------
+_CELLS = "concat_ws('|', " + ", ".join(_V(c) for c in _UP_COLS) + ")"
+_NUMBERED = f"""
+SELECT row_number() OVER (ORDER BY event_date, event_name, ticket_type_name, venue_name, price) AS row_no, * FROM ({_UPCOMING})"""
+ORACLE["result_rows_in_order"] = with_fx(f"""
+SELECT 0::BIGINT AS row_no, '{"|".join(_UP_COLS)}' AS cells
+UNION ALL SELECT row_no, {_CELLS} FROM ({_NUMBERED})""")
+ORACLE["result_flat_cells"] = with_fx("\nUNION ALL\n".join(
+    f"SELECT {i}::BIGINT AS position, '{c}' AS cell\nUNION ALL SELECT row_no * {len(_UP_COLS)} + {i}, {_V(c)} FROM numbered"
+    for i, c in enumerate(_UP_COLS)), {"numbered": _NUMBERED})

@@ -52,6 +52,11 @@ def result_text_rows_text(t: Tables) -> DataFrame:
         F.array_join("cells", "|").alias("cells"))
 
 
+def result_rows_in_order_text(t: Tables) -> DataFrame:
+    """S-11 in result order, cells joined by ``|``."""
+    return rp.result_rows_in_order(t).select("row_no", F.array_join("cells", "|").alias("cells"))
+
+
 REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
     # manifest family (A-11 .. A-19, S-9, S-10, D-13)
     "event_manifest": mf.event_manifest,
@@ -80,6 +85,8 @@ REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
     "sales_rollup_nested": sales_rollup_nested_text,
     "scalar_probe": rp.scalar_probe,
     "result_text_rows": result_text_rows_text,
+    "result_rows_in_order": result_rows_in_order_text,
+    "result_flat_cells": rp.result_flat_cells,
     # ingest (N-1 .. N-10, S-2, S-5, S-7, S-8, P-14 .. P-16)
     "fees_normalized": ig.fees_normalized,
     "orders_enriched": ig.orders_enriched,
@@ -116,6 +123,10 @@ REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
     **{f"landing_{n}": (lambda t, _n=n: st.landing_table(t, _n)) for n in LANDED_KEYS},
     **{f"landing_replaced_{n}": (lambda t, _n=n: st.landing_replaced(t, _n)) for n in st.PER_EVENT},
     "landing_changes": st.landing_changes,
+    "landing_events_in_range": st.landing_events_in_range,
+    "landing_drift": st.landing_drift,
+    "landing_quarantine": st.landing_quarantine,
+    "manifest_over_landing": st.manifest_over_landing,
     # streams (ST-1 .. ST-3)
     "stream_snapshot_upsert": st.stream_snapshot_upsert,
     "stream_sales_24h": st.stream_sales_24h,

@@ -62,3 +62,13 @@ def existing(spark: SparkSession, paths: list[str]) -> list[str]:
     """Those of ``paths`` that are there; several requests at once."""
     with ThreadPoolExecutor(AT_ONCE) as pool:
         return [p for p, there in zip(paths, pool.map(lambda p: exists(spark, p), paths)) if there]
+
+
+def matching(spark: SparkSession, patterns: list[str]) -> list[str]:
+    """The folders that a glob pattern matches; several requests at once."""
+    def one(pattern: str) -> list[str]:
+        p, fs = _fs(spark, pattern)
+        return [f.getPath().toString() for f in fs.globStatus(p) or []]
+
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        return sorted({x for found in pool.map(one, patterns) for x in found})

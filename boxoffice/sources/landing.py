@@ -31,6 +31,7 @@ map-side; no window over a possibly hot key).
 
 from __future__ import annotations
 
+import calendar
 import datetime as dt
 import os
 import uuid
@@ -43,7 +44,8 @@ from boxoffice.functions.text import url_slug
 from boxoffice.functions.time import ts, ts_lit
 from boxoffice.params import UNKNOWN_VENUE
 from boxoffice.sources import changelog
-from boxoffice.sources.files import existing, remove, remove_all
+from boxoffice.sources.files import existing, matching, remove, remove_all
+from boxoffice.sources.schemas import evolve, inferred, merged, not_a_time, table_schema, typed
 
 PARTS = ["venue", "year", "month", "day"]
 
@@ -131,7 +133,7 @@ def affected_folders(path: str, accepted: DataFrame, entries: DataFrame) -> list
 
 
 def land_rows(spark: SparkSession, incoming: DataFrame, path: str, *key: str, unit: str | None = None,
-              polled: DataFrame | None = None, log_changes: bool = False) -> None:
+              polled: DataFrame | None = None, log_changes: bool = False, evolving: bool = False) -> None:
     """Land a poll's rows in the table at ``path`` (S-1, any table).
 
     ``incoming`` has one row per key and snapshot, its partition columns and
@@ -140,11 +142,17 @@ def land_rows(spark: SparkSession, incoming: DataFrame, path: str, *key: str, un
     names events (``_unit``, partition columns, ``ingested_at``) that were asked
     for, so that one without rows is emptied. Without ``unit`` rows are replaced
     by key. A null or empty partition value lies under ``unknown``. Landing the
-    same batch again gives the same table.
+    same batch again gives the same table. An ``evolving`` table keeps a schema
+    of its own, which grows with what polls bring (``sources/schemas.py``).
     """
     fields = [f for f in incoming.schema.fields if f.name not in PARTS and f.name != unit]
     parts = [placed(F.col(p)).alias(p) for p in PARTS]
     own = [F.col(unit).cast("string").alias(UNIT)] if unit else []
+    if evolving:
+        fields = evolve(spark, path, T.StructType(fields)).fields
+        here = {f.name for f in incoming.schema.fields}
+        incoming = incoming.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in fields if f.name not in here])
+        incoming = incoming.withColumns({f.name: F.col(f.name).cast(f.dataType) for f in fields})
     schema = T.StructType([*fields, T.StructField(UNIT, T.StringType())] if unit else fields)
     staging = os.path.join(path, "_staging", uuid.uuid4().hex)
 
@@ -192,6 +200,79 @@ def land_rows(spark: SparkSession, incoming: DataFrame, path: str, *key: str, un
     remove(spark, staging)
 
 
+def land_lines(spark: SparkSession, lines: DataFrame, path: str, quarantine: str, ingested_at: dt.datetime, key: str = "id") -> None:
+    """Land a poll of event snapshots that comes as JSON lines (``value``), whatever columns they have.
+
+    The lines' schema is merged into the table's. Lines that are no object,
+    lack the key, or have a start that is no time go to the ``quarantine`` table.
+    """
+    schema = merged(T.StructType([f for f in EVENT_SCHEMA.fields if f.name != "ingested_at"]), inferred(lines))
+    good, bad = typed(lines, schema, [key], {"bad start": not_a_time("start"), "bad start_utc": not_a_time("start_utc")})
+    bad.select("line", "reasons", ts_lit(ingested_at).alias("ingested_at")).write.mode("append").parquet(quarantine)
+    rows = good.withColumn("ingested_at", ts_lit(ingested_at)).select("*", *event_parts(), F.col(key).alias("_event_id"))
+    land_rows(spark, rows, path, key, unit="_event_id", evolving=True)
+
+
+def read_evolved(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of a table that keeps its own schema."""
+    return read_landed(spark, path, table_schema(spark, path))
+
+
+MONTHS = list(calendar.month_name)[1:]
+
+
+def days_from(day: dt.date) -> Column:
+    """Partitions on or after ``day``: years and days compare as numbers, months by their names' order."""
+    year, month, of = (F.col(c) for c in ("year", "month", "day"))
+    later = (month == MONTHS[day.month - 1]) & (of.try_cast("int") >= day.day)
+    if MONTHS[day.month:]:
+        later = later | month.isin(MONTHS[day.month:])
+    return (year.try_cast("int") > day.year) | ((year == f"{day.year:04d}") & later)
+
+
+def days_to(day: dt.date) -> Column:
+    """Partitions on or before ``day``."""
+    year, month, of = (F.col(c) for c in ("year", "month", "day"))
+    earlier = (month == MONTHS[day.month - 1]) & (of.try_cast("int") <= day.day)
+    if MONTHS[:day.month - 1]:
+        earlier = earlier | month.isin(MONTHS[:day.month - 1])
+    return (year.try_cast("int") < day.year) | ((year == f"{day.year:04d}") & earlier)
+
+
+def day_patterns(path: str, first: dt.date, last: dt.date) -> list[str]:
+    """Glob patterns of the partition folders of a range of days: whole years, whole months, days."""
+    out, at = [], first
+    while at <= last:
+        month = f"{path}/venue=*/year={at.year:04d}/month={MONTHS[at.month - 1]}"
+        ends = dt.date(at.year, at.month, calendar.monthrange(at.year, at.month)[1])
+        if at.timetuple().tm_yday == 1 and dt.date(at.year, 12, 31) <= last:
+            out.append(f"{path}/venue=*/year={at.year:04d}")
+            at = dt.date(at.year, 12, 31)
+        elif at.day == 1 and ends <= last:
+            out.append(month)
+            at = ends
+        else:
+            out += [f"{month}/day={at.day:02d}"] + [f"{month}/day={at.day}"] * (at.day < 10)  # charges' days are not padded
+        if at == dt.date.max:
+            break
+        at += dt.timedelta(days=1)
+    return out
+
+
+def read_days(spark: SparkSession, path: str, schema: T.StructType, first: dt.date | None, last: dt.date | None) -> DataFrame:
+    """P-14: the rows of a range of days (None: open) of a landed table.
+
+    A closed range lists the folders of its own days only; an open one is a
+    filter on the partition columns.
+    """
+    if first and last:
+        return _read_folders(spark, path, matching(spark, day_patterns(path, first, last)), schema)
+    rows = read_landed(spark, path, schema)
+    if first:
+        rows = rows.filter(days_from(first))
+    return rows.filter(days_to(last)) if last else rows
+
+
 def land_snapshots(spark: SparkSession, incoming: DataFrame, path: str,
                    ingested_at: dt.datetime | None = None, key: str = "id", **options) -> None:
     """``land_rows`` for event snapshots; without ``ingested_at`` they carry that column."""

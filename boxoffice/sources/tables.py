@@ -25,7 +25,7 @@ import uuid
 from dataclasses import dataclass, field
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boxoffice.functions.money import money_or_zero
@@ -162,6 +162,49 @@ class Tables:
         return fixtures.commands(self.raw("customer"))
 
 
+class LandedTables(Tables):
+    """The table bundle over a landing zone: typed reads of the landed lines, the latest snapshot of each key.
+
+    ``src`` gives what is not landed (the control table, the mail service's answers).
+    """
+
+    def __init__(self, src: Tables, landing: str):
+        super().__init__(src.spark, src.root, src.landed_at)
+        self.landing = landing
+
+    def _typed(self, name: str) -> DataFrame:
+        from boxoffice.sources.landing import LANDED_KEYS, LANDED_SCHEMAS, latest_snapshot, read_landed
+        return latest_snapshot(read_landed(self.spark, f"{self.landing}/{name}", LANDED_SCHEMAS[name]), *LANDED_KEYS[name])
+
+    @cached_property
+    def events(self) -> DataFrame:
+        return self._typed("events").select(*fixtures.EVENT_COLUMNS, F.to_date(F.col("start").cast("timestamp")).alias("event_date"))
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        o = self._typed("orders")
+        return o.select("id", "event_id", "total_paid", "first_name", "last_name", "email", "phone", "opted_in", "opted_in_sms", "paid_date_utc",
+                        *[F.col(f).alias(f"fee_{f}") for f in ("surcharge", "let_tax", "sales_tax", "venue_fee")], _landed_day())
+
+    @cached_property
+    def tickets(self) -> DataFrame:
+        k = self._typed("tickets")
+        return k.select("id", "order_id", "event_id", "ticket_type_id", "ticket_type_price_id", "ticket_type_name", "price", "surcharge", "let_tax",
+                        "sales_tax", "venue_fee", "redeemed", "promo_code", _landed_day())
+
+    @cached_property
+    def charges(self) -> DataFrame:
+        return self._typed("charges").select("id", "created", "event_date", "payment_intent", "ticketsauce_order_id")
+
+    @cached_property
+    def event_sizes(self) -> DataFrame:
+        return self._sizes()
+
+
+def _landed_day() -> Column:
+    return F.try_to_timestamp(F.concat_ws("-", "year", "month", "day"), F.lit("yyyy-MMMM-dd")).cast("date").alias("event_date")
+
+
 def landed_root(spark: SparkSession, root: str) -> str:
     """Folder of all landings of one version of an input folder."""
     place = root if "://" in root or root.startswith("file:") else os.path.abspath(root)

@@ -31,14 +31,17 @@ from pyspark.sql import types as T
 from boxoffice.functions.time import ts, ts_lit
 from boxoffice.operators import delivery as dv
 from boxoffice.operators import ingest as ig
+from boxoffice.operators import manifest as mf
 from boxoffice.params import AS_OF
 from boxoffice.operators.joins import salted_join
 from boxoffice.session import checkpoint_dir
 from boxoffice.sources import changelog, fixtures
 from boxoffice.sources.changelog import VERSION
-from boxoffice.sources.landing import (EVENT_SCHEMA, LANDED_KEYS, LANDED_SCHEMAS, UNIT, event_parts, land_rows,
-                                       land_snapshots, landed_changes, latest_snapshot, read_landed)
-from boxoffice.sources.tables import Tables
+from boxoffice.sources.landing import (EVENT_SCHEMA, LANDED_KEYS, LANDED_SCHEMAS, UNIT, event_parts, land_lines,
+                                       land_rows, land_snapshots, landed_changes, latest_snapshot, read_days,
+                                       read_evolved, read_landed)
+from boxoffice.sources.schemas import QUARANTINE
+from boxoffice.sources.tables import LandedTables, Tables
 
 RESCHEDULE_DAYS = 1
 TICK_MINUTES = 5
@@ -109,6 +112,62 @@ def landing_table(t: Tables, table: str, as_of: dt.datetime = AS_OF, at: str | N
     return latest_snapshot(read_landed(t.spark, path, LANDED_SCHEMAS[table]), *LANDED_KEYS[table])
 
 
+def landed_tables(t: Tables, names: list[str], as_of: dt.datetime = AS_OF, at: str | None = None) -> LandedTables:
+    """Land the whole tables ``names``; the bundle that reads them back."""
+    root = at or _run_dir(t.spark, "zone")
+    for name in names:
+        rows = ig.landing_rows(t, name).withColumn("ingested_at", ts_lit(as_of))
+        unit = _event_unit(name)
+        land_rows(t.spark, rows if unit else rows.drop("_event_id"), os.path.join(root, name), *LANDED_KEYS[name], unit=unit)
+    return LandedTables(t, root)
+
+
+def manifest_over_landing(t: Tables, as_of: dt.datetime = AS_OF) -> DataFrame:
+    """A-11 over the landed lines: load, land, typed read, report."""
+    return mf.event_manifest(landed_tables(t, ["events", "tickets"], as_of))
+
+
+def landing_events_in_range(t: Tables, preset: str = "current", as_of: dt.datetime = AS_OF) -> DataFrame:
+    """P-14 over the landing: the events of a range of days, from the partitions of those days."""
+    path = os.path.join(_run_dir(t.spark, "days"), "events")
+    land_snapshots(t.spark, t.events, path, as_of)
+    return latest_snapshot(read_days(t.spark, path, EVENT_SCHEMA, *ig.event_range_bounds(preset, as_of))).select(*fixtures.EVENT_COLUMNS)
+
+
+# Of the events that the second poll below brings, by id: a start that is no time, a line cut off.
+BAD_START, CUT_LINE = (7, 3), (11, 2)
+
+
+def drifting_polls(t: Tables, as_of: dt.datetime = AS_OF) -> list[DataFrame]:
+    """Two polls as JSON lines: all events; then those in the ``current`` range with a new column
+    ``capacity``, some of them with a start that is no time, some cut off."""
+    n = F.col("id").cast("long")
+    first = t.events.select(F.to_json(F.struct(*fixtures.EVENT_COLUMNS)).alias("value"))
+    again = ig.events_in_range(t, "current", as_of).withColumn("capacity", n * 10).withColumn(
+        "start", F.when(n % BAD_START[0] == BAD_START[1], F.lit("soon")).otherwise(F.col("start")))
+    line = F.to_json(F.struct(*fixtures.EVENT_COLUMNS, "capacity"))
+    second = again.select(F.when(n % CUT_LINE[0] == CUT_LINE[1], F.substring_index(line, ",", 3)).otherwise(line).alias("value"))
+    return [first, second]
+
+
+def _land_drifting(t: Tables, as_of: dt.datetime) -> str:
+    base = _run_dir(t.spark, "drift")
+    for batch, when in zip(drifting_polls(t, as_of), (as_of - dt.timedelta(hours=1), as_of)):
+        land_lines(t.spark, batch, f"{base}/events", f"{base}/quarantine", when)
+    return base
+
+
+def landing_drift(t: Tables, as_of: dt.datetime = AS_OF) -> DataFrame:
+    """S-3 with a schema that is inferred per poll: the new column is there, rejected lines change nothing."""
+    return read_evolved(t.spark, f"{_land_drifting(t, as_of)}/events")
+
+
+def landing_quarantine(t: Tables, as_of: dt.datetime = AS_OF) -> DataFrame:
+    """The lines that the polls' checks rejected, with their reasons."""
+    bad = t.spark.read.schema(QUARANTINE).parquet(f"{_land_drifting(t, as_of)}/quarantine")
+    return bad.select(F.regexp_extract("line", '"id":"([^"]*)"', 1).alias("id"), F.array_join("reasons", ",").alias("reasons"), "ingested_at")
+
+
 # What tells the rows of a table that change between the polls below: a number in one of its columns.
 _NUMBER_IN = {"orders": "id", "tickets": "order_id", "ticket_types": "ticket_type_price_id", "checkin_ids": "ticket_id"}
 PER_EVENT = list(_NUMBER_IN)
