@@ -17,13 +17,13 @@ FX = {
     "fx_events": """
 SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name,
        'org-' || CAST(c_nationkey AS VARCHAR) AS organization_id,
-       n_name AS organization_name, n_name || ' Hall' AS location,
+       CASE WHEN c_custkey % 41 <> 5 THEN n_name END AS organization_name, n_name || ' Hall' AS location,
        CAST(DATE '2024-01-01' + CAST(c_custkey % 55 AS INT) AS VARCHAR) || ' 22:30:00' AS start,
        CAST(DATE '2024-01-01' + CAST(c_custkey % 55 + 1 AS INT) AS VARCHAR) || ' 06:30:00' AS start_utc
 FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "fx_orders": """
 SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS event_id,
-       CAST(CAST(o_totalprice AS DECIMAL(10,2)) AS VARCHAR) AS total_paid,
+       CASE WHEN o_orderkey % 23 <> 4 THEN CAST(CAST(o_totalprice AS DECIMAL(10,2)) AS VARCHAR) END AS total_paid,
        'First' || CAST(o_custkey % 97 AS VARCHAR) AS first_name,
        'Last' || CAST(o_custkey % 89 AS VARCHAR) AS last_name,
        'c' || CAST(o_custkey AS VARCHAR) || '@example.com' AS email,
@@ -79,7 +79,8 @@ WHERE status = 'succeeded'
 SELECT CAST(c_custkey AS VARCHAR) AS event_key,
        CASE c_custkey % 7 WHEN 1 THEN 'initialized' WHEN 2 THEN 'prelim_sent'
          WHEN 3 THEN 'report_canceled' WHEN 4 THEN 'final_sent' ELSE 'paused' END AS report_status,
-       CAST(NULL AS TIMESTAMP) AS preliminary_sent_at, CAST(NULL AS TIMESTAMP) AS final_sent_at
+       CASE WHEN c_custkey % 7 IN (2, 4) THEN TIMESTAMP '2024-01-09 08:00:00' END AS preliminary_sent_at,
+       CASE WHEN c_custkey % 7 = 4 THEN TIMESTAMP '2024-01-09 08:00:00' END AS final_sent_at
 FROM customer WHERE c_custkey % 7 BETWEEN 1 AND 5""",
 }
 
@@ -435,9 +436,11 @@ FROM ({listed}) GROUP BY event_id""")
 ORACLE["order_page_audit"] = page_audit_sql(_LISTED_ORDERS, 100)
 ORACLE["checkin_page_audit"] = page_audit_sql(_LISTED_CHECKINS, 5000)
 
+_VENUE = f"coalesce({_SLUG.format('organization_name')}, 'unknown')"  # where an event without a name lies
+
 _EVENT_PARTS = f"""
 SELECT 'events' AS table_name, {_SLUG.format('id')} AS key,
-       {_SLUG.format('organization_name')} AS venue,
+       {_VENUE} AS venue,
        strftime(CAST(start AS TIMESTAMP), '%Y') AS year,
        strftime(CAST(start AS TIMESTAMP), '%B') AS month,
        strftime(CAST(start AS TIMESTAMP), '%d') AS day, CAST(start AS TIMESTAMP) AS st
@@ -735,7 +738,7 @@ SELECT id, name, organization_id, organization_name, location,
 FROM (SELECT *, CAST(CAST(start AS TIMESTAMP) AS DATE) BETWEEN DATE '{_LO}' AND DATE '{_HI}' AS m
       FROM fx_events)"""
 ORACLE["landing_read"] = with_fx(f"""
-SELECT *, {_SLUG.format('organization_name')} AS venue,
+SELECT *, {_VENUE} AS venue,
        strftime(CAST(start AS TIMESTAMP), '%Y') AS year,
        strftime(CAST(start AS TIMESTAMP), '%B') AS month,
        strftime(CAST(start AS TIMESTAMP), '%d') AS day
@@ -788,7 +791,7 @@ SELECT concat_ws(';', {", ".join(f"'{c}=' || {_V(c)}" for c in _UP_COLS)}) AS "r
 # --- the six landed tables -----------------------------------------------------
 
 _PLACES = f"""
-SELECT id AS place_id, {_SLUG.format('organization_name')} AS venue,
+SELECT id AS place_id, {_VENUE} AS venue,
        strftime(CAST(start AS TIMESTAMP), '%Y') AS year, strftime(CAST(start AS TIMESTAMP), '%B') AS month,
        strftime(CAST(start AS TIMESTAMP), '%d') AS day,
        CASE WHEN CAST(CAST(start AS TIMESTAMP) AS DATE) BETWEEN DATE '{_LO}' AND DATE '{_HI}'
@@ -843,7 +846,7 @@ _NO_TIME, _CUT = "CAST(id AS BIGINT) % 7 = 3", "CAST(id AS BIGINT) % 11 = 2"
 ORACLE["landing_drift"] = with_fx(f"""
 SELECT * EXCLUDE (again), CASE WHEN again THEN CAST(id AS BIGINT) * 10 END AS capacity,
        CASE WHEN again THEN {AS_OF} ELSE {AS_OF} - INTERVAL 1 HOUR END AS ingested_at,
-       {_SLUG.format('organization_name')} AS venue, strftime(CAST(start AS TIMESTAMP), '%Y') AS year,
+       {_VENUE} AS venue, strftime(CAST(start AS TIMESTAMP), '%Y') AS year,
        strftime(CAST(start AS TIMESTAMP), '%B') AS month, strftime(CAST(start AS TIMESTAMP), '%d') AS day
 FROM (SELECT *, {_POLLED} AND NOT ({_NO_TIME}) AND NOT ({_CUT}) AS again FROM fx_events)""")
 ORACLE["landing_quarantine"] = with_fx(f"""

@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 S = "string"
 BASE_DATE = "2024-01-01"
 EXCLUDED_EVENT_MOD = (50, 7)  # orders of customers with custkey % 50 = 7 do not exist
+UNNAMED_EVENT_MOD = (41, 5)  # events of customers with custkey % 41 = 5 have no organization name
+UNPAID_ORDER_MOD = (23, 4)  # orders with orderkey % 23 = 4 have no total
+CONTROL_SENT_AT = "2024-01-09 08:00:00"  # when the control rows' mails were sent
 
 
 def _day(offset: Column) -> Column:
@@ -39,11 +42,12 @@ EVENT_COLUMNS = ["id", "name", "organization_id", "organization_name", "location
 def events(customer: DataFrame, nation: DataFrame) -> DataFrame:
     c, n = customer.alias("c"), nation.alias("n")
     k = F.col("c.c_custkey")
+    m, r = UNNAMED_EVENT_MOD
     return (c.join(n, F.col("c.c_nationkey") == F.col("n.n_nationkey"))
             .select(k.cast(S).alias("id"),
                     F.col("c.c_name").alias("name"),
                     F.concat(F.lit("org-"), F.col("c.c_nationkey").cast(S)).alias("organization_id"),
-                    F.col("n.n_name").alias("organization_name"),
+                    F.when(k % m != r, F.col("n.n_name")).alias("organization_name"),
                     F.concat(F.col("n.n_name"), F.lit(" Hall")).alias("location"),
                     F.concat(_day(k % 55), F.lit(" 22:30:00")).alias("start"),
                     F.concat(_day(k % 55 + 1), F.lit(" 06:30:00")).alias("start_utc"),
@@ -62,7 +66,7 @@ def orders(orders_raw: DataFrame) -> DataFrame:
     return (orders_raw.filter(ck % m != r)
             .select(k.cast(S).alias("id"),
                     ck.cast(S).alias("event_id"),
-                    _money_text(F.col("o_totalprice")).alias("total_paid"),
+                    F.when(k % UNPAID_ORDER_MOD[0] != UNPAID_ORDER_MOD[1], _money_text(F.col("o_totalprice"))).alias("total_paid"),
                     F.concat(F.lit("First"), (ck % 97).cast(S)).alias("first_name"),
                     F.concat(F.lit("Last"), (ck % 89).cast(S)).alias("last_name"),
                     F.concat(F.lit("c"), ck.cast(S), F.lit("@example.com")).alias("email"),
@@ -161,13 +165,13 @@ CONTROL_STATUS_BY_MOD = {1: "initialized", 2: "prelim_sent", 3: "report_canceled
 
 def control(customer: DataFrame) -> DataFrame:
     ck = F.col("c_custkey")
-    st = F.lit(None).cast(S)
+    st, sent = F.lit(None).cast(S), F.lit(CONTROL_SENT_AT).cast("timestamp")
     for mod in sorted(CONTROL_STATUS_BY_MOD, reverse=True):
         st = F.when(ck % 7 == mod, F.lit(CONTROL_STATUS_BY_MOD[mod])).otherwise(st)
     return (customer.select("c_custkey").filter((ck % 7 >= 1) & (ck % 7 <= 5))
             .select(ck.cast(S).alias("event_key"), st.alias("report_status"),
-                    F.lit(None).cast("timestamp").alias("preliminary_sent_at"),
-                    F.lit(None).cast("timestamp").alias("final_sent_at")))
+                    F.when(st.isin("prelim_sent", "final_sent"), sent).alias("preliminary_sent_at"),
+                    F.when(st == "final_sent", sent).alias("final_sent_at")))
 
 
 def attempts(customer: DataFrame) -> DataFrame:
