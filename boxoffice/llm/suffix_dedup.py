@@ -11,8 +11,9 @@ Each shard builds the suffix array of its different stretches by the refinement
 of Larsson and Sadakane: ranks by a few bytes, then twice as many in each
 round, sorting again only what is still tied. Kasai's walk gives the common
 prefixes of neighbours. An anchor with too many bytes for one shard is split
-over several; each then puts one window of each of its classes into a sorted
-list, and the lists are merged by binary search.
+over several; each then puts the digest of one window of each of its classes
+into a sorted list. The lists are cut into ranges of digests, as many as the
+number of different windows asks for, and merged by binary search.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ SHARD_BYTES = 1_000_000  # of stretches that a shard holds, before equal ones be
 STRETCH = 2_048  # windows in a stretch, at most
 WALK = 64  # places that one step of the common-prefix walk takes in each of many stretches
 BLOCK = 1 << 20  # bytes of a text that are hashed at once
+RANGE_WINDOWS = 1 << 16  # windows of an anchor's lists that are merged at once, about
+DIGEST = "S16"  # of a window, as a numpy type
 
 MIX, STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x9E3779B97F4A7C15)
 
@@ -190,10 +193,10 @@ def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 ANCHORS = "t binary, at int, n int, h long, several boolean"
 STRETCHES = "g long, part int, h long, parts int, t binary, at int, s binary"
-FOUND = "t binary, a int, b int, h long, range int, k1 binary, k2 binary, which binary, place binary, owners array<binary>"
-FOUND_SCHEMA = pa.schema([("t", pa.binary()), ("a", pa.int32()), ("b", pa.int32()), ("h", pa.int64()), ("range", pa.int32()),
-                          ("k1", pa.binary()), ("k2", pa.binary()), ("which", pa.binary()), ("place", pa.binary()),
-                          ("owners", pa.list_(pa.binary()))])
+FOUND = "t binary, a int, b int, h long, n long, keys binary, which binary, place binary, owners array<binary>"
+FOUND_SCHEMA = pa.schema([("t", pa.binary()), ("a", pa.int32()), ("b", pa.int32()), ("h", pa.int64()), ("n", pa.int64()), ("keys", pa.binary()),
+                          ("which", pa.binary()), ("place", pa.binary()), ("owners", pa.list_(pa.binary()))])
+LISTS = "h long, range int, keys binary, which binary, place binary, owners array<binary>"
 
 
 def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,8 +244,13 @@ def _found(rows: list[tuple]) -> pa.Table:
     return pa.table([pa.array(c, f.type) for c, f in zip(columns, FOUND_SCHEMA)], schema=FOUND_SCHEMA)
 
 
+def _places(rows: list[tuple]) -> pa.Table:
+    """Places of repeated windows, as (t, a, b)."""
+    return _found([(*r, None, None, None, None, None, None) for r in rows])
+
+
 def _sharded(shard: pa.Table) -> pa.Table:
-    """A shard's stretches -> places of repeated windows, and for a split anchor sorted lists of its classes."""
+    """A shard's stretches -> places of repeated windows, and for a split anchor a sorted list of its classes."""
     where: dict[bytes, list[tuple[bytes, int]]] = {}
     for t, at, s in zip(*(shard.column(c).to_pylist() for c in ("t", "at", "s"))):
         where.setdefault(s, []).append((t, at))
@@ -250,52 +258,64 @@ def _sharded(shard: pa.Table) -> pa.Table:
     h, parts = shard.column("h")[0].as_py(), shard.column("parts")[0].as_py()
     repeated, leads = repeats(strings)
     rows: list[tuple] = []
-    open_: list[tuple[np.ndarray, np.ndarray, int, np.ndarray]] = []
+    keys, which, place = [], [], []
     for k, s in enumerate(strings):
         flags = repeated[k] if len(where[s]) == 1 else np.ones(len(repeated[k]), bool)
         for a, b in zip(*runs(flags)):
-            rows += [(t, at + int(a), at + int(b), None, None, None, None, None, None, None) for t, at in where[s]]
+            rows += [(t, at + int(a), at + int(b)) for t, at in where[s]]
         if parts > 1:
             lead = np.flatnonzero(leads[k])
-            data = np.frombuffer(s, dtype=np.uint8)
+            keys += [hashlib.blake2b(s[i:i + LENGTH], digest_size=16).digest() for i in lead.tolist()]
             # what is known to be repeated only has to be seen by the others: no owner
-            open_.append((string_hashes(data, LENGTH, 1)[lead], string_hashes(data, LENGTH, 2)[lead], k,
-                          np.where(flags[lead], -1, lead)))
-    if open_:
-        k1, k2 = (np.concatenate([o[i] for o in open_]) for i in (0, 1))
-        which = np.concatenate([np.full(len(o[0]), o[2], np.int32) for o in open_])
-        place = np.concatenate([o[3] for o in open_])
-        for r in range(parts):
-            own = np.flatnonzero((k1 >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32) == r)
-            own = own[np.argsort(k1[own], kind="stable")]
-            if not len(own):
-                continue
-            asks = place[own] >= 0
-            names, number = np.unique(which[own[asks]], return_inverse=True)
-            owner = np.full(len(own), -1, np.int32)
-            owner[asks] = number
-            at = np.array([where[strings[k]][0][1] for k in names.tolist()], np.int64)
-            spot = np.where(asks, place[own], 0)
-            spot[asks] += at[number]
-            rows.append((None, None, None, h, r, k1[own].tobytes(), k2[own].tobytes(), owner.tobytes(),
-                         spot.astype(np.int32).tobytes(), [where[strings[k]][0][0] for k in names.tolist()]))
-    return _found(rows)
+            which.append(np.where(flags[lead], -1, k))
+            place.append(lead + where[s][0][1])
+    out = _places(rows)
+    if keys:
+        keys, which, place = np.array(keys, DIGEST), np.concatenate(which), np.concatenate(place)
+        order = np.argsort(keys, kind="stable")
+        names, number = np.unique(which[order], return_inverse=True)
+        owner = number - int(names[0] < 0)  # -1 stays the first of all
+        owners = [where[strings[k]][0][0] for k in names.tolist() if k >= 0]
+        out = pa.concat_tables([out, _found([(None, None, None, h, len(keys), keys[order].tobytes(), owner.astype(np.int32).tobytes(),
+                                             place[order].astype(np.int32).tobytes(), owners)])])
+    return out
+
+
+def _ranged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted lists (h, ranges, keys, ...) -> their parts by range of keys; empty ones are none."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            keys = np.frombuffer(row["keys"], DIGEST)
+            which, place = (np.frombuffer(row[c], np.int32) for c in ("which", "place"))
+            high = np.frombuffer(row["keys"], ">u4")[::4].astype(np.uint64)  # the first four bytes of each digest
+            ranges = (high * np.uint64(row["ranges"]) >> np.uint64(32)).astype(np.int64)
+            edges = np.flatnonzero(np.append(True, np.diff(ranges) != 0))
+            for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(keys)]):
+                names, number = np.unique(which[a:b], return_inverse=True)
+                owner = (number - int(names[0] < 0)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row["h"]]), pa.array([int(ranges[a])], pa.int32()), pa.array([keys[a:b].tobytes()], pa.binary()),
+                     pa.array([owner.tobytes()], pa.binary()), pa.array([place[a:b].tobytes()], pa.binary()),
+                     pa.array([[row["owners"][k] for k in names.tolist() if k >= 0]], pa.list_(pa.binary()))],
+                    names=["h", "range", "keys", "which", "place", "owners"])
 
 
 def _merged(lists: pa.Table) -> pa.Table:
     """Sorted lists of an anchor's shards in one range of keys -> places of windows that are in several."""
-    k1, k2, which, place = ([np.frombuffer(x, kind) for x in lists.column(c).to_pylist()]
-                            for c, kind in (("k1", np.uint64), ("k2", np.uint64), ("which", np.int32), ("place", np.int32)))
-    owners = lists.column("owners").to_pylist()
-    all1, all2 = np.sort(np.concatenate(k1)), np.sort(np.concatenate(k2))
+    keys, which, place = ([np.frombuffer(x, kind) for x in lists.column(c).to_pylist()]
+                          for c, kind in (("keys", DIGEST), ("which", np.int32), ("place", np.int32)))
+    every = np.sort(np.concatenate(keys), kind="stable")  # merges sorted lists
     rows = []
-    for a, b, w, p, names in zip(k1, k2, which, place, owners):
-        ask = w >= 0
-        several = (np.searchsorted(all1, a, "right") - np.searchsorted(all1, a, "left") > 1) & ask
-        several &= np.searchsorted(all2, b, "right") - np.searchsorted(all2, b, "left") > 1
-        for i in np.flatnonzero(several):
-            rows.append((names[w[i]], int(p[i]), int(p[i]) + 1, None, None, None, None, None, None, None))
-    return _found(rows)
+    for k, w, p, names in zip(keys, which, place, lists.column("owners").to_pylist()):
+        several = np.searchsorted(every, k, "right") - np.searchsorted(every, k, "left") > 1
+        found = np.flatnonzero(several & (w >= 0))
+        found = found[np.lexsort((p[found], w[found]))]
+        # windows in a row of one owner make one run
+        new = np.append(True, (np.diff(w[found]) != 0) | (np.diff(p[found]) != 1)) if len(found) else np.empty(0, bool)
+        first = np.flatnonzero(new)
+        for a, b in zip(first.tolist(), [*first[1:].tolist(), len(found)]):
+            rows.append((names[w[found[a]]], int(p[found[a]]), int(p[found[b - 1]]) + 1))
+    return _places(rows)
 
 
 RESULT = T.StructType([T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()),
@@ -342,18 +362,21 @@ def repeated_windows(texts: DataFrame, packed: DataFrame) -> DataFrame:
     place = F.xxhash64("t", "at")
     size = (F.col("n") + LENGTH - 1).cast("long")
     often = cut(stretches.groupBy("h").agg(F.min(place).alias("p"), F.max(place).alias("q"), F.sum(size).alias("size"),
-                                              F.max("several").alias("several"))
-                .filter("p != q or several").select("h", "size", F.ceil(F.col("size") / SHARD_BYTES).cast("int").alias("parts")))
+                                              F.max("several").alias("several"), F.count("*").alias("n_stretches"))
+                .filter("p != q or several").select("h", "size", "n_stretches", F.ceil(F.col("size") / SHARD_BYTES).cast("int").alias("parts")))
     total, most = often.agg(F.sum("size"), F.max("parts")).first()
     shards = -(-(total or 0) // SHARD_BYTES) or 1
-    suspicious = stretches.join(often.select("h", "parts"), "h").groupBy("t").agg(
+    # an anchor may be in every text: its stretches are spread
+    suspicious = join_classes(stretches, often.select("h", "parts", "n_stretches"), "h", "n_stretches", ["t", "at"]).groupBy("t").agg(
         F.collect_set(F.struct("at", "n", "h", "parts")).alias("found"))
     dealt = packed.join(suspicious, "t").select("t", "z", "found").mapInArrow(_stretches(shards), STRETCHES)
     found = cut(dealt.groupBy("g", "part").applyInArrow(_sharded, FOUND))
     out = found.filter("t is not null").select("t", "a", "b")
     if (most or 1) > 1:
-        lists = found.filter("t is null").groupBy("h", "range").applyInArrow(_merged, FOUND)
-        out = out.union(lists.select("t", "a", "b"))
+        lists = found.filter("t is null")
+        ranges = lists.groupBy("h").agg(F.sum("n").alias("all")).select("h", F.ceil(F.col("all") / RANGE_WINDOWS).cast("long").alias("ranges"))
+        lists = lists.join(ranges, "h").select("h", "ranges", "keys", "which", "place", "owners").mapInArrow(_ranged, LISTS)
+        out = out.union(lists.groupBy("h", "range").applyInArrow(_merged, FOUND).select("t", "a", "b"))
     return out
 
 

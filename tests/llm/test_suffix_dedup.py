@@ -3,6 +3,8 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 
 from boxoffice.llm import suffix_dedup as sd
@@ -87,13 +89,51 @@ def test_planted_repeats(make, clash):
     assert sd.dedup_report(make([(1, None)])).collect()[0][1:4] == (0, 0, 0)
 
 
-def test_anchors_split_over_shards(make, monkeypatch):
-    """Tiny shards: common anchors are split, and the shards' lists are merged."""
+@pytest.mark.parametrize("windows", [1 << 16, 37])
+def test_anchors_split_over_shards(make, monkeypatch, windows):
+    """Tiny shards: common anchors are split, and the shards' lists are merged, in one range or in many."""
     monkeypatch.setattr(sd, "SHARD_BYTES", 1500)
+    monkeypatch.setattr(sd, "RANGE_WINDOWS", windows)
     rows = planted()
     check(make(rows), rows)
 
 
+def test_one_anchor_in_every_document(make, monkeypatch):
+    """A passage in all texts, with and without what follows it, over many shards."""
+    monkeypatch.setattr(sd, "SHARD_BYTES", 4000)
+    rng = random.Random(4)
+    passage = words(rng, 90)
+    rows = [(i, words(rng, rng.randrange(3)) + passage[:rng.choice([380, 420, 500, len(passage)])] + words(rng, 5)) for i in range(90)]
+    check(make(rows), rows)
+
+
+def _list(h, windows, owners):
+    """A shard's sorted list: {window: (owner number or -1, place)}."""
+    keys = np.array([hashlib.blake2b(w, digest_size=16).digest() for w in windows], sd.DIGEST)
+    order = np.argsort(keys)
+    which, place = (np.array(x, np.int32)[order] for x in zip(*windows.values()))
+    return {"h": h, "ranges": 5, "keys": keys[order].tobytes(), "which": which.tobytes(), "place": place.tobytes(), "owners": owners}
+
+
+def test_lists_are_merged_by_whole_digests_into_runs():
+    rng = random.Random(6)
+    all_ = [rng.randbytes(8) for _ in range(300)]
+    one = _list(7, {w: (0 if i % 50 else -1, i) for i, w in enumerate(all_[:200])}, [b"t1"])
+    two = _list(7, {w: (i % 2, 1000 + i) for i, w in enumerate(all_[150:])}, [b"t2", b"t3"])
+    lists = pa.Table.from_batches([pa.RecordBatch.from_pylist([r], schema=pa.schema([
+        ("h", pa.int64()), ("ranges", pa.int64()), ("keys", pa.binary()), ("which", pa.binary()), ("place", pa.binary()), ("owners", pa.list_(pa.binary()))]))
+        for r in (one, two)])
+    ranged = pa.Table.from_batches(list(sd._ranged(iter(lists.to_batches()))))
+    assert len(ranged) == 10 and set(ranged.column("range").to_pylist()) == set(range(5))
+    got = set()
+    for r in range(5):
+        part = sd._merged(ranged.filter(pa.compute.equal(ranged.column("range"), r)))
+        got |= {(t, x) for t, a, b in zip(*(part.column(c).to_pylist() for c in ("t", "a", "b"))) for x in range(a, b)}
+    assert got == {(b"t1", i) for i in range(150, 200) if i % 50} | {((b"t2", b"t3")[i % 2], 1000 + i) for i in range(50)}
+    whole = lists.select(["h", "keys", "which", "place", "owners"])
+    assert sd._merged(whole).num_rows == 1 + 50  # t1's places follow each other, the others' do not
+
+
 def test_query(spark):
     from boxoffice.llm.queries import QUERIES
 
