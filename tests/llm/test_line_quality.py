@@ -88,6 +88,20 @@ def test_query_and_held_out_accuracy(spark):
     assert sum(bad) <= 0.1 * len(bad)
 
 
+def test_texts_of_good_and_bad_lines_get_mixed_labels(spark, make):
+    """Texts joined from a good and a bad document: the share of content lies between, near that of the good lines."""
+    docs = table(spark, SF_MID, "documents").join(table(spark, SF_MID, "labels"), "doc_id").orderBy("doc_id").collect()
+    lines = lambda r: [x for x in (r.text or "").split("\n") if WORDS.search(x)]
+    good, bad = ([r for r in docs if r.quality == q and len(lines(r)) >= 3][:60] for q in (1, 0))
+    mixed = [(10_000 + i, g.text + "\n" + b.text, len(lines(g)) / (len(lines(g)) + len(lines(b)))) for i, (g, b) in enumerate(zip(good, bad))]
+    assert len(mixed) >= 30
+    labels = pick(table(spark, SF_MID, "labels"), "doc_id", "quality")
+    rows = pick(table(spark, SF_MID, "documents"), "doc_id", "text").union(make([m[:2] for m in mixed]).select("doc_id", "text"))
+    share = {r.doc_id: r.content_share for r in lq.quality(rows, labels).filter("doc_id >= 10000").collect()}
+    between = [abs(share[i] - want) for i, _, want in mixed if 0 < share[i] < 1]
+    assert len(between) >= 0.5 * len(mixed) and np.median(between) <= 0.25
+
+
 def test_odd_rows(spark, make, clash):
     rows = list(enumerate(CASES)) + [(None, "some words that are fine " * 2), (3, CASES[3])]
     none = spark.createDataFrame([(1, None), (None, 1)], "doc_id long, quality int")

@@ -54,6 +54,17 @@ def test_odd_rows(spark):
     assert nn.nearest(spark.createDataFrame([], SCHEMA), spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_clashing_extra_columns(spark, clash):
+    from boxoffice.llm.common import pick
+
+    rng = np.random.default_rng(8)
+    rows = [(i, v) for i, v in enumerate(rng.normal(size=(60, 4)).tolist())]
+    df = spark.createDataFrame(rows, SCHEMA)
+    extra = pick(clash(df.withColumnsRenamed({"vec_id": "doc_id", "vector": "text"})), "doc_id", "text").toDF("vec_id", "vector")
+    asked = extra.filter("vec_id % 10 = 0")
+    assert [tuple(r)[:3] for r in sorted(nn.nearest(extra, asked).collect())] == [w[:3] for w in brute(rows, rows[::10])]
+
+
 def test_merging_in_steps(spark, monkeypatch):
     monkeypatch.setattr(nn, "MERGED_LISTS", 4)
     rng = np.random.default_rng(7)

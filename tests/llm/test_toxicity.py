@@ -66,6 +66,26 @@ def test_query_on_held_out_rows(spark):
     assert found >= 0.9 * sum(p for _, p in held)
 
 
+def test_scores_recomputed(spark):
+    """Every score again from the learned weights: words decoded token by token, their beginnings, a logistic sum."""
+    docs = pick(table(spark, SF_MID, "documents"), "doc_id", "text")
+    labels = pick(table(spark, SF_MID, "labels"), "doc_id", "toxic")
+    model = tx.character_model(docs.select(F.coalesce("text", F.lit("")).alias("text")))
+    known, weights, bias = tx.learn(docs, labels, model)
+    restorer, want = tx.Restorer(model), {}
+    for r in docs.collect():
+        lower = (r.text or "").lower()
+        words = {w for token in lower.split() for w in restorer[token].split()}
+        for run in tx.SPACED.finditer(lower):
+            words.update(restorer.decode([(c, 1) for c in run[0][::2]], tx.KEPT).split())
+        features = {f for w in words for f in [w] + [w[:k] + "-" for k in range(4, 9) if len(w) > k]}
+        z = bias + sum(weights[known[f]] for f in features if f in known)
+        want[r.doc_id] = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    got = {r.doc_id: r.score for r in tx.toxicity(docs, labels).collect()}
+    assert got.keys() == want.keys() and len(known) > 0
+    assert [got[i] for i in sorted(got)] == pytest.approx([want[i] for i in sorted(got)], abs=1e-9)
+
+
 def test_held_out_labels_are_never_used(spark):
     docs = pick(table(spark, SF_SMALL, "documents"), "doc_id", "text")
     labels = pick(table(spark, SF_SMALL, "labels"), "doc_id", "toxic")
