@@ -260,18 +260,20 @@ def bi_ticket_dataset(t: Tables) -> DataFrame:
 
 
 def bi_ticket_unnested(t: Tables) -> DataFrame:
-    """N-10: the same from the nested orders, by a true unnest of their ticket arrays; the order's
+    """N-10: the same from the listed orders, by a true unnest of their ticket arrays; the order's
     fees are those of its raw fee object."""
-    from boxoffice.operators.ingest import nested_orders
+    from boxoffice.operators.ingest import listed_orders, normalize_fees
 
-    o = nested_orders(t).select(
-        F.col("id").alias("o_id"), F.col("event_id").alias("o_event_id"), "first_name", "last_name", "paid_date_utc",
-        *[F.col(f).alias(f"fee_{f}") for f in ("surcharge", "let_tax", "sales_tax", "venue_fee")], "ticket")
+    fees = ("surcharge", "let_tax", "sales_tax", "venue_fee")
+    o = listed_orders(t).select("id", "ticket", F.col("event_id").alias("o_event_id"), *normalize_fees(F.col("line_item_fees"))).join(
+        t.order_details.select("id", "first_name", "last_name", "paid_date_utc"), "id").select(
+        F.col("id").alias("o_id"), "o_event_id", "first_name", "last_name", "paid_date_utc", *[F.col(f).alias(f"fee_{f}") for f in fees], "ticket")
     j = salted_join(o, _events(t), "o_event_id", "e_id", ["o_id"], t.hot_events("orders")).join(
         _charges(t), F.col("o_id") == F.col("c_order_id"), "left")
     rest = [c for c in j.columns if c != "ticket"]
     sold = j.select(*rest, F.explode("ticket").alias("k")).select(
-        *rest, F.col("k.id").alias("k_id"), *[f"k.{c}" for c in ("price", "ticket_type_name", "ticket_type_id", "redeemed", "promo_code")])
+        *rest, F.col("k.id").alias("k_id"), F.col("k.tickettype.name").alias("ticket_type_name"),
+        *[f"k.{c}" for c in ("price", "ticket_type_id", "redeemed", "promo_code")])
     return _bi_columns(sold)
 
 

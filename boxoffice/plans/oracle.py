@@ -837,9 +837,11 @@ FROM fx_orders o JOIN ({_PLACES}) p ON p.place_id = o.event_id
 WHERE p.ingested_at = {AS_OF} AND CAST(o.id AS BIGINT) % 7 BETWEEN 3 AND 5""")
 
 # --- reads of the landing --------------------------------------------------------
-ORACLE["manifest_over_landing"] = ORACLE["event_manifest"]
+ORACLE["landing_manifest"] = ORACLE["event_manifest"]
 ORACLE["landing_events_in_range"] = ORACLE["events_in_range"]
 
+ORACLE["landing_new_partitions"] = ORACLE["new_partitions"]
+
 # the second poll's events: 3 modulo 7 has a start that is no time, 2 modulo 11 is cut off
 _POLLED = f"CAST(CAST(start AS TIMESTAMP) AS DATE) BETWEEN DATE '{_LO}' AND DATE '{_HI}'"
 _NO_TIME, _CUT = "CAST(id AS BIGINT) % 7 = 3", "CAST(id AS BIGINT) % 11 = 2"

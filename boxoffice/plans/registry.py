@@ -124,9 +124,10 @@ REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
     **{f"landing_replaced_{n}": (lambda t, _n=n: st.landing_replaced(t, _n)) for n in st.PER_EVENT},
     "landing_changes": st.landing_changes,
     "landing_events_in_range": st.landing_events_in_range,
+    "landing_new_partitions": st.landing_new_partitions,
     "landing_drift": st.landing_drift,
     "landing_quarantine": st.landing_quarantine,
-    "manifest_over_landing": st.manifest_over_landing,
+    "landing_manifest": st.landing_manifest,
     # streams (ST-1 .. ST-3)
     "stream_snapshot_upsert": st.stream_snapshot_upsert,
     "stream_sales_24h": st.stream_sales_24h,

@@ -25,6 +25,9 @@ BASE_CONF = {
     # colliding fee keys after slugging: the later key wins, as in a Ruby hash
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.sql.parquet.filterPushdown": "true",
+    # the state of a stream lies on disk, not in the heap, and a batch checkpoints its changes only
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
@@ -38,8 +41,6 @@ CLUSTER_CONF = {
     "spark.sql.files.maxPartitionBytes": "256MB",
     "spark.sql.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
-    # the state of a stream lies on disk, not in the heap
-    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

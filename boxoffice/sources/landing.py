@@ -123,6 +123,11 @@ def index_entries(spark: SparkSession, path: str) -> DataFrame:
     return changelog.entries(spark, os.path.join(path, "_index"), INDEX_SCHEMA)
 
 
+def landed_partitions(spark: SparkSession, path: str) -> DataFrame:
+    """The partitions that hold events now, from the index: no file of the table is listed or read."""
+    return changelog.latest(index_entries(spark, path), UNIT).select(*PARTS).distinct()
+
+
 def affected_folders(path: str, accepted: DataFrame, entries: DataFrame) -> list[str]:
     """Partition folders of the accepted events' new rows and of every place that the index names for them.
 

@@ -242,7 +242,7 @@ def land_tables(spark: SparkSession, root: str, refresh: bool = False) -> str:
             # a sort inside each task, so a hot date does not gather in one
             df = df.sortWithinPartitions("event_date")
         if name in raw.PAGE_FILES:
-            df.write.option("compression", "gzip").json(f"{base}/{folder}/{name}")
+            df.write.json(f"{base}/{folder}/{name}")  # uncompressed lines can be read in parts
         else:
             df.write.parquet(f"{base}/{folder}/{name}")
     touch(spark, f"{base}/{folder}/{MARKER}")

@@ -38,7 +38,8 @@ from boxoffice.session import checkpoint_dir
 from boxoffice.sources import changelog, fixtures
 from boxoffice.sources.changelog import VERSION
 from boxoffice.sources.landing import (EVENT_SCHEMA, LANDED_KEYS, LANDED_SCHEMAS, UNIT, event_parts, land_lines,
-                                       land_rows, land_snapshots, landed_changes, latest_snapshot, read_days,
+                                       land_rows, land_snapshots, landed_changes, landed_partitions,
+                                       latest_snapshot, read_days,
                                        read_evolved, read_landed)
 from boxoffice.sources.schemas import QUARANTINE
 from boxoffice.sources.tables import LandedTables, Tables
@@ -122,7 +123,7 @@ def landed_tables(t: Tables, names: list[str], as_of: dt.datetime = AS_OF, at: s
     return LandedTables(t, root)
 
 
-def manifest_over_landing(t: Tables, as_of: dt.datetime = AS_OF) -> DataFrame:
+def landing_manifest(t: Tables, as_of: dt.datetime = AS_OF) -> DataFrame:
     """A-11 over the landed lines: load, land, typed read, report."""
     return mf.event_manifest(landed_tables(t, ["events", "tickets"], as_of))
 
@@ -134,6 +135,14 @@ def landing_events_in_range(t: Tables, preset: str = "current", as_of: dt.dateti
     return latest_snapshot(read_days(t.spark, path, EVENT_SCHEMA, *ig.event_range_bounds(preset, as_of))).select(*fixtures.EVENT_COLUMNS)
 
 
+def landing_new_partitions(t: Tables, as_of: dt.datetime = AS_OF) -> DataFrame:
+    """S-5 over the landing: partitions of the events after ``as_of`` that the landed ones (up to then) do not have."""
+    path = os.path.join(_run_dir(t.spark, "parts"), "events")
+    start = ts("start")
+    land_snapshots(t.spark, t.events.filter(start <= ts_lit(as_of)), path, as_of)
+    return ig.missing_partitions(t.events.filter(start > ts_lit(as_of)).select(*event_parts()), landed_partitions(t.spark, path))
+
+
 # Of the events that the second poll below brings, by id: a start that is no time, a line cut off.
 BAD_START, CUT_LINE = (7, 3), (11, 2)
 
