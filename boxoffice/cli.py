@@ -33,7 +33,7 @@ from boxoffice.operators import manifest as mf
 from boxoffice.operators import reports as rp
 from boxoffice.params import AS_OF
 from boxoffice.session import get_spark
-from boxoffice.sources.landing import LANDED_KEYS, drop_tables, land_rows, register_tables
+from boxoffice.sources.landing import LANDED_KEYS, UNIT, drop_tables, event_parts, land_rows, register_tables
 from boxoffice.sources.tables import Tables, load_tables
 
 
@@ -43,13 +43,17 @@ def _parse_time(s: str | None) -> dt.datetime:
 
 def load(t: Tables, landing: str, preset: str, as_of: dt.datetime, organization_id: str | None = None) -> None:
     """Land the six tables' rows of the events (charges: by the time they were made) in range."""
-    ids = ig.events_in_range(t, preset, as_of, organization_id).select(F.col("id").alias("_event_id"))
+    events = ig.events_in_range(t, preset, as_of, organization_id)
+    ids = events.select(F.col("id").alias("_event_id"))
+    # an event without orders brings nothing but its own row; of the others every list counts, an empty one too
+    ordered = events.join(t.orders.select(F.col("event_id").alias("id")).distinct(), "id", "left_semi")
+    polled = ordered.select(F.col("id").alias(UNIT), *event_parts(), ts_lit(as_of).alias("ingested_at"))
     charges = ig.charges_in_range(t, preset, as_of).select("id")
     for name, key in LANDED_KEYS.items():
         rows = ig.landing_rows(t, name)
         rows = rows.drop("_event_id").join(charges, "id", "left_semi") if name == "charges" else rows.join(ids, "_event_id", "left_semi")
         land_rows(t.spark, rows.withColumn("ingested_at", ts_lit(as_of)), os.path.join(landing, name), *key,
-                  unit=None if name == "charges" else "_event_id")
+                  unit=None if name == "charges" else "_event_id", polled=None if name in ("events", "charges") else polled)
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
@@ -91,7 +95,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         hdr = mf.manifest_header(t, lines).filter(F.col("report_variant") == a.report_variant)
         hdr.write.mode("overwrite").parquet(out("header"))
         rows = mf.manifest_csv_final if a.report_variant == "final" else mf.manifest_csv_surcharge
-        mf.write_manifest_csv(rows(t, a.event_id), out("csv"))
+        mf.write_manifest_csv(rows(t, a.event_id), out("csv"), hdr.select("event_id", F.col("filename_csv").alias("file_name")))
     elif a.verb == "send":
         dv.delivery_categories(t, as_of).write.mode("overwrite").parquet(out("categories"))
         dv.delivery_routing(t, as_of).write.mode("overwrite").parquet(out("routing"))

@@ -17,6 +17,7 @@ from boxoffice.functions.text import strip_spaces
 from boxoffice.functions.time import ts
 from boxoffice.params import (BAR_CARD_AMOUNT, BAR_CARD_PATTERN, FINAL_CSV_COLUMNS,
                               REPORT_VARIANTS, SURCHARGE_CSV_COLUMNS)
+from boxoffice.sources.files import name_files
 from boxoffice.sources.tables import Tables
 
 
@@ -242,17 +243,22 @@ def manifest_csv_final(t: Tables, event_id: str | None = None) -> DataFrame:
     return _csv_rows(t, FINAL_CSV_COLUMNS, event_id)
 
 
-def write_manifest_csv(rows: DataFrame, path: str) -> None:
+def write_manifest_csv(rows: DataFrame, path: str, names: DataFrame | None = None) -> None:
     """Sink: one CSV folder per event, header first, totals row last.
 
     Rows of one event go to one task (``repartition`` on the event), sorted
-    inside the partition; no global sort.
+    inside the partition; no global sort. ``names`` (event_id, file_name; A-17)
+    gives the events' files their names; events of one venue and day share
+    theirs, so each keeps its folder. The names go to the driver, which renames
+    several files at once.
     """
     cols = [c for c in rows.columns if c not in ("event_id", "row_kind")]
     (rows.repartition("event_id")
          .sortWithinPartitions("event_id", "row_kind", "ticket", "price", "per_ticket_let")
          .select("event_id", *cols)
          .write.mode("overwrite").partitionBy("event_id").option("header", True).csv(path))
+    if names is not None:
+        name_files(rows.sparkSession, {f"{path}/event_id={r.event_id}": r.file_name for r in names.select("event_id", "file_name").collect()})
 
 
 def priced_events(t: Tables, ids: DataFrame) -> DataFrame:

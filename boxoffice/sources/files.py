@@ -72,3 +72,15 @@ def matching(spark: SparkSession, patterns: list[str]) -> list[str]:
 
     with ThreadPoolExecutor(AT_ONCE) as pool:
         return sorted({x for found in pool.map(one, patterns) for x in found})
+
+
+def name_files(spark: SparkSession, names: dict[str, str]) -> None:
+    """Give the one part file of each folder the name that ``names`` has for it; several at once."""
+    def rename(item: tuple[str, str]) -> None:
+        p, fs = _fs(spark, item[0])
+        for f in fs.listStatus(p) if fs.exists(p) else []:
+            if f.getPath().getName().startswith("part-"):
+                fs.rename(f.getPath(), spark._jvm.org.apache.hadoop.fs.Path(p, item[1]))
+
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        list(pool.map(rename, names.items()))

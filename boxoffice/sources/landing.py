@@ -77,8 +77,13 @@ def event_parts(organization_name: str = "organization_name", start: str = "star
     return [placed(c).alias(n) for c, n in zip(parts, PARTS)]
 
 
+# What Spark writes as %XX in the name of a partition folder, besides control characters.
+ESCAPED = "\"#%'*/:=?\\{[]^\x7f"
+
+
 def _folder(path: str, part) -> str:
-    return os.path.join(path, *[f"{p}={part[p]}" for p in PARTS])
+    name = lambda v: "".join(f"%{ord(c):02X}" if c in ESCAPED or c < " " else c for c in v)
+    return os.path.join(path, *[f"{p}={name(part[p])}" for p in PARTS])
 
 
 def read_landed(spark: SparkSession, path: str, schema: T.StructType = EVENT_SCHEMA) -> DataFrame:
@@ -145,8 +150,8 @@ def land_rows(spark: SparkSession, incoming: DataFrame, path: str, *key: str, un
     ``ingested_at``. With ``unit`` (the column that tells the event; it is not a
     column of the table) the snapshots of whole events are replaced; ``polled``
     names events (``_unit``, partition columns, ``ingested_at``) that were asked
-    for, so that one without rows is emptied. Without ``unit`` rows are replaced
-    by key. A null or empty partition value lies under ``unknown``. Landing the
+    for, so that one without rows is emptied; rows that tell no event are not
+    landed. Without ``unit`` rows are replaced by key. A null or empty partition value lies under ``unknown``. Landing the
     same batch again gives the same table. An ``evolving`` table keeps a schema
     of its own, which grows with what polls bring (``sources/schemas.py``).
     """
@@ -195,7 +200,10 @@ def land_rows(spark: SparkSession, incoming: DataFrame, path: str, *key: str, un
     if unit:
         changelog.append(accepted, os.path.join(path, "_index"))
     rows = kept.unionByName(new) if there and unit else new if unit else kept
-    (rows.hint("rebalance", *PARTS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTS).json(path))
+    # without an affected folder there is nothing to replace (what a lost job left is one when it is run again)
+    writer = rows.hint("rebalance", *PARTS).write.partitionBy(*PARTS)
+    writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic") if there else writer.mode("append")
+    writer.json(path)
     if there:
         filled = {_folder(path, r) for r in rows.select(*PARTS).distinct().collect()}
         remove_all(spark, [p for p in there if p not in filled])

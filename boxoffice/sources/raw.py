@@ -133,9 +133,11 @@ def _paged(events: DataFrame, numbered: DataFrame, row: Column, schema: T.Struct
 def order_pages(t: Tables) -> DataFrame:
     """Answers of the order list: pages of 100 orders with their tickets."""
     sold = ticket_sales(t).groupBy("order_id").agg(F.collect_list(F.struct(*SALE_TYPE.names)).alias("ticket"))  # one order's tickets
-    listed = order_list(t).join(sold, F.col("id") == F.col("order_id"), "left").withColumn("_key", F.col("id").cast("long"))
+    key = t.orders.select("event_id", F.col("id").cast("long").alias("_key"), F.col("id").alias("_id"))
+    pages = _numbered(key, F.col("_key"), ["_key"], ORDERS_PER_PAGE).select("_id", "page_no")  # before the tickets are carried along
+    listed = order_list(t).join(pages, F.col("id") == F.col("_id")).join(sold, F.col("id") == F.col("order_id"), "left")
     row = F.struct("id", "event_id", "line_item_fees", F.coalesce("ticket", F.array().cast(T.ArrayType(SALE_TYPE))).alias("ticket"))
-    return _paged(t.events, _numbered(listed, F.col("_key"), ["_key"], ORDERS_PER_PAGE), row, ORDER_PAGE, ORDERS_PER_PAGE)
+    return _paged(t.events, listed, row, ORDER_PAGE, ORDERS_PER_PAGE)
 
 
 def checkin_pages(t: Tables) -> DataFrame:

@@ -38,6 +38,9 @@ def test_manifest_of_one_event(spark, tables, tmp_path):
     cli.main(["manifest", "--tables", SF_SMALL, "--out", str(tmp_path), "--event-id", event], spark)
     n = spark.read.option("header", True).csv(str(tmp_path / "csv")).count()
     assert n == mf.event_manifest(tables, event).count() + 1
+    # the file has the report's name (A-17)
+    name = spark.read.parquet(str(tmp_path / "header")).first().filename_csv
+    assert name.startswith("PRELIMINARY TICKET SALES MANIFEST_") and os.listdir(tmp_path / "csv" / f"event_id={event}").count(name) == 1
     plan = mf.manifest_csv_final(tables, event)._jdf.queryExecution().executedPlan().toString()
     assert f"EqualTo(event_id,{event})" in plan
 

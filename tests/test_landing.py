@@ -143,6 +143,21 @@ def test_a_poll_reads_only_the_partitions_of_its_events(spark):
     assert len(old.inputFiles()) == 1 and sorted(r.id for r in old.collect()) == ["2a", "2b"]
 
 
+def test_odd_partition_names(spark):
+    """Folder names are escaped as Spark writes them; null and empty ones lie under unknown."""
+    path = os.path.join(_path(spark, "odd"), "orders")
+    venues = ["a b", "x=y:z", "50%", "", None, "[q]#1", "é"]
+    def rows(at):
+        df = spark.createDataFrame([(f"o{i}", f"e{i}", "x", v, "2024", "January", "05") for i, v in enumerate(venues)], ROWS)
+        return df.withColumn("ingested_at", F.lit(at))
+    land_rows(spark, rows(dt.datetime(2024, 1, 1)), path, "id", unit="event")
+    land_rows(spark, rows(dt.datetime(2024, 1, 2)).filter("event != 'e1'"), path, "id", unit="event")
+    schema = T.StructType().add("id", "string").add("ingested_at", "timestamp")
+    got = {r.id: (r.venue, r.ingested_at.day) for r in read_landed(spark, path, schema).collect()}
+    assert got == {f"o{i}": (v or "unknown", 1 if i == 1 else 2) for i, v in enumerate(venues)}
+    assert read_landed(spark, path, schema).count() == len(venues)
+
+
 def test_the_index_does_not_grow_with_the_polls(spark, monkeypatch):
     monkeypatch.setattr(changelog, "MOST_FOLDERS", 3)
     path = os.path.join(_path(spark, "folded"), "orders")
