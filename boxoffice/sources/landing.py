@@ -35,6 +35,7 @@ import calendar
 import datetime as dt
 import os
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,7 +45,7 @@ from boxoffice.functions.text import url_slug
 from boxoffice.functions.time import ts, ts_lit
 from boxoffice.params import UNKNOWN_VENUE
 from boxoffice.sources import changelog
-from boxoffice.sources.files import existing, matching, remove, remove_all
+from boxoffice.sources.files import existing, files_below, matching, remove, remove_all
 from boxoffice.sources.schemas import evolve, inferred, merged, not_a_time, table_schema, typed
 
 PARTS = ["venue", "year", "month", "day"]
@@ -61,6 +62,9 @@ EVENT_SCHEMA = T.StructType([
 ])
 
 
+# Bytes that a writing task gets at least, as staged.
+SMALLEST_SHARE = 16 << 10
+
 UNIT = "_unit"  # the event that a row was landed for
 INDEX_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in [UNIT, *PARTS]] + [T.StructField("ingested_at", T.TimestampType())])
 
@@ -106,6 +110,22 @@ def _read_folders(spark: SparkSession, path: str, folders: list[str], schema: T.
     return spark.read.schema(full).option("basePath", path).json(folders) if folders else spark.createDataFrame([], full)
 
 
+@contextmanager
+def dealt_evenly(spark: SparkSession, size: int):
+    """Within it, rebalanced writes of about ``size`` bytes use all cores: many small files take longer than their bytes."""
+    bytes_of = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    share = max(size // spark.sparkContext.defaultParallelism, SMALLEST_SHARE)
+    names = ["spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize"]
+    old = {n: spark.conf.get(n) for n in names}
+    for n in names:
+        spark.conf.set(n, str(min(share, bytes_of(old[n]))))
+    try:
+        yield
+    finally:
+        for n in names:
+            spark.conf.set(n, old[n])
+
+
 def change_set(old: DataFrame, new: DataFrame, *key: str) -> DataFrame:
     """The rows that differ between two snapshots: key, ``change`` and ``ingested_at`` (null for what vanished).
 
@@ -203,7 +223,8 @@ def land_rows(spark: SparkSession, incoming: DataFrame, path: str, *key: str, un
     # without an affected folder there is nothing to replace (what a lost job left is one when it is run again)
     writer = rows.hint("rebalance", *PARTS).write.partitionBy(*PARTS)
     writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic") if there else writer.mode("append")
-    writer.json(path)
+    with dealt_evenly(spark, sum(size for _, size, _ in files_below(spark, staging))):
+        writer.json(path)
     if there:
         filled = {_folder(path, r) for r in rows.select(*PARTS).distinct().collect()}
         remove_all(spark, [p for p in there if p not in filled])
