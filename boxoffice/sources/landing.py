@@ -240,7 +240,9 @@ def land_lines(spark: SparkSession, lines: DataFrame, path: str, quarantine: str
     The lines' schema is merged into the table's. Lines that are no object,
     lack the key, or have a start that is no time go to the ``quarantine`` table.
     """
-    schema = merged(T.StructType([f for f in EVENT_SCHEMA.fields if f.name != "ingested_at"]), inferred(lines))
+    own = {"ingested_at", UNIT, *PARTS}  # the landing's, whatever a line has under these names
+    fields = lambda schema: T.StructType([f for f in schema.fields if f.name.lower() not in own])
+    schema = fields(evolve(spark, path, merged(fields(EVENT_SCHEMA), fields(inferred(lines)))))
     good, bad = typed(lines, schema, [key], {"bad start": not_a_time("start"), "bad start_utc": not_a_time("start_utc")})
     bad.select("line", "reasons", ts_lit(ingested_at).alias("ingested_at")).write.mode("append").parquet(quarantine)
     rows = good.withColumn("ingested_at", ts_lit(ingested_at)).select("*", *event_parts(), F.col(key).alias("_event_id"))

@@ -2,8 +2,10 @@
 
 A poll is a table of JSON lines. Its schema is inferred over all its lines and
 merged into the table's: a new column appears, a column that is missing stays,
-one whose type changes widens (to text in the end). A table's schemas are a
-change log next to it, the newest counts.
+one whose type changes widens (to text in the end). Names that differ in case
+only are one column, spelled as it came first; JSON values under another
+spelling are not read. A table's schemas are a change log next to it, the newest
+counts.
 
 A line that is no JSON object, lacks its key, or fails a check (such as a start
 that is no time) goes to the quarantine table with its reasons; the others go on.
@@ -43,7 +45,8 @@ def inferred(lines: DataFrame, line: str = "value") -> T.StructType:
 def _plain(kind: T.DataType) -> T.DataType:
     """Kinds that a typed table of text, numbers, booleans, arrays and structs has."""
     if isinstance(kind, T.StructType):
-        return T.StructType([T.StructField(f.name, _plain(f.dataType)) for f in kind.fields])
+        first = {f.name.lower(): f for f in reversed(kind.fields)}  # of names that differ in case only, the first
+        return T.StructType([T.StructField(f.name, _plain(f.dataType)) for f in kind.fields if first[f.name.lower()] is f])
     if isinstance(kind, T.ArrayType):
         return T.ArrayType(_plain(kind.elementType))
     if isinstance(kind, T.DecimalType | T.DoubleType | T.FloatType):
@@ -54,9 +57,9 @@ def _plain(kind: T.DataType) -> T.DataType:
 def merged(old: T.DataType, new: T.DataType) -> T.DataType:
     """The narrowest kind that holds both."""
     if isinstance(old, T.StructType) and isinstance(new, T.StructType):
-        have = {f.name: f.dataType for f in old.fields}
-        fields = [T.StructField(f.name, merged(f.dataType, new[f.name].dataType) if f.name in new.names else f.dataType) for f in old.fields]
-        return T.StructType(fields + [T.StructField(f.name, f.dataType) for f in new.fields if f.name not in have])
+        brought, have = {f.name.lower(): f.dataType for f in new.fields}, {f.name.lower() for f in old.fields}
+        fields = [T.StructField(f.name, merged(f.dataType, brought[f.name.lower()]) if f.name.lower() in brought else f.dataType) for f in old.fields]
+        return T.StructType(fields + [T.StructField(f.name, f.dataType) for f in new.fields if f.name.lower() not in have])
     if isinstance(old, T.ArrayType) and isinstance(new, T.ArrayType):
         return T.ArrayType(merged(old.elementType, new.elementType))
     if old == new:

@@ -35,6 +35,17 @@ def test_inferred_and_merged_schemas(spark):
     assert sc.inferred(_lines(spark, ["x", ""])) == T.StructType() == sc.inferred(_lines(spark, []))
 
 
+def test_odd_names(spark):
+    """Names with spaces and marks; names that differ in case only are one column."""
+    lines = _lines(spark, ['{"a b": 1, "x-y": "z", "Id": 1, "q`r": 2}', '{"id": "k", "a b": 2}'])
+    schema = sc.inferred(lines)
+    assert sorted(n.lower() for n in schema.names) == ["a b", "id", "q`r", "x-y"]
+    both = sc.merged(T.StructType().add("id", "string"), schema)
+    assert both.names[0] == "id" and len(both.names) == 4
+    good, bad = sc.typed(lines, both, ["id"], {})
+    assert [(r.id, r["a b"]) for r in good.collect()] == [("k", 2)] and [r.reasons for r in bad.collect()] == [["no key"]]
+
+
 def _event(i, start="2024-01-05 10:00:00", **more):
     import json
     return json.dumps({"id": i, "name": "E", "organization_name": "V", "start": start, "start_utc": "2024-01-05 18:00:00", **more})
@@ -57,6 +68,15 @@ def test_a_new_column_appears_and_bad_lines_wait(spark):
     assert {r.id: r.seats for r in ld.read_evolved(spark, path).collect()} == {"1": "many", "2": "40", "3": None}
 
 
+def test_structs_grow_and_the_landings_own_names_are_kept(spark):
+    path, bad = os.path.join(_path(spark, "grow"), "events"), _path(spark, "quarantine")
+    ld.land_lines(spark, _lines(spark, [_event("1", place={"x": 1}), _event("2", place={"x": 2})]), path, bad, dt.datetime(2024, 1, 1))
+    ld.land_lines(spark, _lines(spark, [_event("2", place={"y": "b"}, venue="other", ingested_at="now", Name="E2")]), path, bad, dt.datetime(2024, 1, 2))
+    rows = {r.id: r for r in ld.read_evolved(spark, path).collect()}
+    assert tuple(rows["1"].place) == (1, None) and tuple(rows["2"].place) == (None, "b")
+    assert {r.venue for r in rows.values()} == {"v"} and rows["2"].ingested_at == dt.datetime(2024, 1, 2) and rows["2"].name == "E"
+
+
 DAYS = [dt.date(2023, 12, 31) + dt.timedelta(days=9 * i) for i in range(90)]
 
 
