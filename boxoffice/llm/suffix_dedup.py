@@ -58,6 +58,12 @@ def string_hashes(data: np.ndarray, length: int, seed: int = 0) -> np.ndarray:
         size *= 2
 
 
+def window_digests(data: np.ndarray) -> np.ndarray:
+    """128 bits for the window of LENGTH bytes at each place: two hashes side by side, to be compared as one."""
+    pair = np.stack([string_hashes(data, LENGTH, seed) for seed in (1, 2)], axis=1)
+    return np.ascontiguousarray(pair.astype(">u8")).view(DIGEST)[:, 0]
+
+
 def anchors(data: bytes, length: int = LENGTH, anchor: int = ANCHOR) -> tuple[np.ndarray, ...]:
     """Stretches of windows with one anchor: first window, number of windows, anchor, and whether it is there at several places.
 
@@ -265,13 +271,13 @@ def _sharded(shard: pa.Table) -> pa.Table:
             rows += [(t, at + int(a), at + int(b)) for t, at in where[s]]
         if parts > 1:
             lead = np.flatnonzero(leads[k])
-            keys += [hashlib.blake2b(s[i:i + LENGTH], digest_size=16).digest() for i in lead.tolist()]
+            keys.append(window_digests(np.frombuffer(s, dtype=np.uint8))[lead])
             # what is known to be repeated only has to be seen by the others: no owner
             which.append(np.where(flags[lead], -1, k))
             place.append(lead + where[s][0][1])
     out = _places(rows)
     if keys:
-        keys, which, place = np.array(keys, DIGEST), np.concatenate(which), np.concatenate(place)
+        keys, which, place = (np.concatenate(x) for x in (keys, which, place))
         order = np.argsort(keys, kind="stable")
         names, number = np.unique(which[order], return_inverse=True)
         owner = number - int(names[0] < 0)  # -1 stays the first of all

@@ -107,6 +107,14 @@ def test_one_anchor_in_every_document(make, monkeypatch):
     check(make(rows), rows)
 
 
+def test_digests_tell_windows_apart():
+    rng = random.Random(8)
+    data = np.frombuffer((words(rng, 300) + "a" * 900 + words(rng, 50)).encode() * 2, np.uint8)
+    digests = sd.window_digests(data).tolist()
+    windows = [data[i:i + 400].tobytes() for i in range(len(data) - 399)]
+    assert len(set(zip(digests, windows))) == len(set(digests)) == len(set(windows)) < len(windows)
+
+
 def _list(h, windows, owners):
     """A shard's sorted list: {window: (owner number or -1, place)}."""
     keys = np.array([hashlib.blake2b(w, digest_size=16).digest() for w in windows], sd.DIGEST)
