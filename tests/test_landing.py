@@ -242,3 +242,28 @@ def test_manifest_csv_sink(spark, tables):
     # the totals row has six blank leading cells (read back as nulls)
     tot = back.filter(F.col("venue").isNull())
     assert tot.count() == rows.filter(F.col("row_kind") == 1).count()
+
+
+def test_a_query_lands_only_what_it_reads(spark, tmp_path):
+    import pytest
+
+    from boxoffice.operators import ingest as ig
+    from boxoffice.sources.tables import load_tables
+    from tests.conftest import SF_SMALL
+
+    for name in ("orders", "lineitem", "customer", "nation"):
+        spark.read.parquet(f"{SF_SMALL}/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
+    t = load_tables(spark, str(tmp_path))
+    assert ig.charges_in_range(t).count() > 0
+    assert {f.rsplit("-", 1)[0] for f, _ in folders_in(spark, t.landed_at)} == {"raw_charges"}
+    # what a loaded bundle has not landed yet is not taken from other input
+    spark.read.parquet(f"{SF_SMALL}/orders.parquet").write.mode("append").parquet(str(tmp_path / "orders.parquet"))
+    with pytest.raises(RuntimeError):
+        t.orders
+
+
+def test_partitions_follow_the_input(spark):
+    from boxoffice.session import first_partitions
+
+    few = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert first_partitions(spark, 1 << 20) == few and first_partitions(spark, 1 << 30) == 512

@@ -55,3 +55,19 @@ def test_nested_equals_flat(tables):
     assert fc.bi_ticket_unnested(tables).count() == fc.bi_ticket_dataset(tables).count()
     types = {f.name for f in ig.nested_orders(tables).schema["ticket"].dataType.elementType.fields}
     assert types == set(b.columns)
+
+
+def test_pages_carry_the_tickets_once(tables):
+    """Every page is gathered once: the ends of the lists and the stray pages come from the numbers of rows."""
+    from boxoffice.sources import raw
+
+    plan = raw.order_pages(tables)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("collect_list(struct(id") == 2  # an order's tickets, a page's orders
+    stray = tables.order_pages.filter(F.col("event_id").cast("long") % 17 == 3).filter(F.col("error").isNull()).groupBy("event_id").agg(
+        F.max("page_no").alias("last"), F.min(F.struct("page_no", F.size("rows").alias("n"))).alias("first"),
+        F.max(F.struct("page_no", F.size("rows").alias("n"))).alias("stray")).collect()
+    assert stray and all(r.stray.n == r.first.n and r.stray.page_no > 3 for r in stray)
+
+
+def test_page_files_are_small_on_disk(tables):
+    assert all(f.endswith(".json.gz") for f in tables.order_pages.inputFiles())
