@@ -104,6 +104,22 @@ def latest_snapshot(landed: DataFrame, *key: str) -> DataFrame:
     return g.select(*key, *[F.col("s." + c).alias(c) for c in cols])
 
 
+def latest_landed(spark: SparkSession, path: str, schema: T.StructType, *key: str) -> DataFrame:
+    """``latest_snapshot`` of the table at ``path``, which seldom holds a key twice.
+
+    Digests of the keys tell which ones may be there more than once; they are
+    counted first and lie next to the table. Only the rows of those keys are
+    gathered by key; all others are as they are read.
+    """
+    rows = read_landed(spark, path, schema).withColumn("_key", F.xxhash64(*key))
+    at = os.path.join(path, "_again", uuid.uuid4().hex)
+    rows.groupBy("_key").agg(F.count("*").alias("n")).filter("n > 1").select("_key").write.parquet(at)
+    again = spark.read.schema("_key long").parquet(at)
+    once = rows.join(again, "_key", "left_anti").drop("_key")
+    more = latest_snapshot(rows.join(again, "_key", "left_semi").drop("_key"), *key)
+    return more.unionByName(once)
+
+
 def _read_folders(spark: SparkSession, path: str, folders: list[str], schema: T.StructType) -> DataFrame:
     """The rows below some partition folders of the table at ``path``; nothing else is listed."""
     full = T.StructType(schema.fields + [T.StructField(p, T.StringType()) for p in PARTS])
@@ -163,7 +179,7 @@ def affected_folders(path: str, accepted: DataFrame, entries: DataFrame) -> list
 
 
 def land_rows(spark: SparkSession, incoming: DataFrame, path: str, *key: str, unit: str | None = None,
-              polled: DataFrame | None = None, log_changes: bool = False, evolving: bool = False) -> None:
+              polled: DataFrame | None = None, log_changes: bool = False, evolving: bool = False, staged: str | None = None) -> None:
     """Land a poll's rows in the table at ``path`` (S-1, any table).
 
     ``incoming`` has one row per key and snapshot, its partition columns and
@@ -174,6 +190,7 @@ def land_rows(spark: SparkSession, incoming: DataFrame, path: str, *key: str, un
     landed. Without ``unit`` rows are replaced by key. A null or empty partition value lies under ``unknown``. Landing the
     same batch again gives the same table. An ``evolving`` table keeps a schema
     of its own, which grows with what polls bring (``sources/schemas.py``).
+    Rows that are read from files already (of the folder ``staged``) are not staged again.
     """
     fields = [f for f in incoming.schema.fields if f.name not in PARTS and f.name != unit]
     parts = [placed(F.col(p)).alias(p) for p in PARTS]
@@ -188,10 +205,11 @@ def land_rows(spark: SparkSession, incoming: DataFrame, path: str, *key: str, un
 
     def stage(df: DataFrame, name: str) -> DataFrame:
         at = os.path.join(staging, name)
-        df.write.parquet(at)
+        df.write.parquet(at, compression="zstd")
         return spark.read.schema(df.schema).parquet(at)
 
-    new = stage(incoming.select(*[f.name for f in fields], *own, *parts), "incoming")
+    new = incoming.select(*[f.name for f in fields], *own, *parts)
+    new = new if staged else stage(new, "incoming")
     if unit:
         units = new.select(UNIT, *PARTS, "ingested_at")
         if polled is not None:
@@ -202,7 +220,11 @@ def land_rows(spark: SparkSession, incoming: DataFrame, path: str, *key: str, un
         held = entries.groupBy(UNIT).agg(F.max("ingested_at").alias("_held"))
         # a snapshot older than the one that is held changes nothing
         accepted = stage(units.join(held, UNIT, "left").filter(F.col("_held").isNull() | (F.col("ingested_at") >= F.col("_held"))).drop("_held"), "accepted")
-        new = new.join(accepted.select(UNIT, "ingested_at"), [UNIT, "ingested_at"], "left_semi").select(*new.columns)
+        # most polls bring no older snapshot: what is left out is few, what comes in is not shuffled for it
+        snapshots = new.filter(F.col(UNIT).isNotNull() & F.col("ingested_at").isNotNull())
+        pairs = snapshots.select(UNIT, "ingested_at").distinct()
+        older = stage(pairs.join(accepted.select(UNIT, "ingested_at"), [UNIT, "ingested_at"], "left_anti"), "older")
+        new = snapshots.join(older, [UNIT, "ingested_at"], "left_anti").select(*new.columns)
         there = existing(spark, affected_folders(path, accepted, entries))
         old = _read_folders(spark, path, there, schema)
         kept = old.join(accepted.select(UNIT), UNIT, "left_anti").select(*new.columns)
@@ -223,8 +245,8 @@ def land_rows(spark: SparkSession, incoming: DataFrame, path: str, *key: str, un
     # without an affected folder there is nothing to replace (what a lost job left is one when it is run again)
     writer = rows.hint("rebalance", *PARTS).write.partitionBy(*PARTS)
     writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic") if there else writer.mode("append")
-    with dealt_evenly(spark, sum(size for _, size, _ in files_below(spark, staging))):
-        writer.json(path)
+    with dealt_evenly(spark, sum(size for at in [staging, staged] if at for _, size, _ in files_below(spark, at))):
+        writer.json(path, compression="gzip")
     if there:
         filled = {_folder(path, r) for r in rows.select(*PARTS).distinct().collect()}
         remove_all(spark, [p for p in there if p not in filled])

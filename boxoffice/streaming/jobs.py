@@ -39,8 +39,9 @@ from boxoffice.sources import changelog, fixtures
 from boxoffice.sources.changelog import VERSION
 from boxoffice.sources.landing import (EVENT_SCHEMA, LANDED_KEYS, LANDED_SCHEMAS, UNIT, event_parts, land_lines,
                                        land_rows, land_snapshots, landed_changes, landed_partitions,
-                                       latest_snapshot, read_days,
+                                       latest_landed, latest_snapshot, read_days,
                                        read_evolved, read_landed)
+from boxoffice.sources.files import remove
 from boxoffice.sources.schemas import QUARANTINE
 from boxoffice.sources.tables import LandedTables, Tables
 
@@ -96,21 +97,30 @@ def _event_unit(table: str) -> str | None:
     return None if table == "charges" else "_event_id"
 
 
+def _staged(rows: DataFrame, at: str) -> DataFrame:
+    """``rows`` from files below ``at``: computed once, however many polls take them."""
+    rows.write.parquet(at, compression="zstd")
+    return rows.sparkSession.read.schema(rows.schema).parquet(at)
+
+
 def landing_table(t: Tables, table: str, as_of: dt.datetime = AS_OF, at: str | None = None) -> DataFrame:
     """S-1/S-3: land a whole table an hour before ``as_of``; at ``as_of`` land again what belongs
     to the ``current`` range (events by start, charges by the time they were made); read the latest."""
-    path = os.path.join(at or _run_dir(t.spark, "landing"), table)
-    rows, unit = ig.landing_rows(t, table), _event_unit(table)
+    root = at or _run_dir(t.spark, "landing")
+    path, staged, unit = os.path.join(root, table), os.path.join(root, "_polls", table), _event_unit(table)
     if table == "charges":
+        rows = _staged(ig.landing_rows(t, table).drop("_event_id"), staged)
         again = ig.charges_in_range(t, "current", as_of).select("id")
-        rows = rows.drop("_event_id")
         current = rows.join(again, "id", "left_semi")
     else:
-        again = ig.events_in_range(t, "current", as_of).select(F.col("id").alias("_event_id"))
-        current = rows.join(again, "_event_id", "left_semi")
-    for batch, when in ((rows, as_of - dt.timedelta(hours=1)), (current, as_of)):
-        land_rows(t.spark, batch.withColumn("ingested_at", ts_lit(when)), path, *LANDED_KEYS[table], unit=unit)
-    return latest_snapshot(read_landed(t.spark, path, LANDED_SCHEMAS[table]), *LANDED_KEYS[table])
+        again = ig.events_in_range(t, "current", as_of).select(F.col("id").alias("_again")).distinct()
+        rows = _staged(ig.landing_rows(t, table, again), staged)
+        current = rows.filter(F.col("_again").isNotNull()).drop("_again")
+        rows = rows.drop("_again")
+    for batch, when, files in ((rows, as_of - dt.timedelta(hours=1), staged), (current, as_of, None)):
+        land_rows(t.spark, batch.withColumn("ingested_at", ts_lit(when)), path, *LANDED_KEYS[table], unit=unit, staged=files)
+    remove(t.spark, staged)
+    return latest_landed(t.spark, path, LANDED_SCHEMAS[table], *LANDED_KEYS[table])
 
 
 def landed_tables(t: Tables, names: list[str], as_of: dt.datetime = AS_OF, at: str | None = None) -> LandedTables:
@@ -183,14 +193,14 @@ PER_EVENT = list(_NUMBER_IN)
 GONE, CHANGED, LATE, OF = 3, 4, 5, 7
 
 
-def replaced_polls(t: Tables, table: str, as_of: dt.datetime = AS_OF) -> list[DataFrame]:
+def replaced_polls(t: Tables, table: str, as_of: dt.datetime = AS_OF, staged: str | None = None) -> list[DataFrame]:
     """Two polls of a per-event table. Of every seven rows of the events in the ``current`` range, by a
     number in their key, one comes with the second poll only, one is gone in it, and one has changed
-    (orders: the buyer's mail address)."""
-    rows = ig.landing_rows(t, table)
-    number = F.regexp_extract(_NUMBER_IN[table], "([0-9]+)", 1).cast("long") % OF
+    (orders: the buyer's mail address). The rows are written once to the folder ``staged``, if one is given."""
     again = ig.events_in_range(t, "current", as_of).select(F.col("id").alias("_again"))
-    rows = rows.join(again, F.col("_event_id") == F.col("_again"), "left")
+    rows = ig.landing_rows(t, table, again)
+    rows = _staged(rows, staged) if staged else rows
+    number = F.regexp_extract(_NUMBER_IN[table], "([0-9]+)", 1).cast("long") % OF
     polled = F.col("_again").isNotNull()
     first = rows.filter(~polled | (number != LATE)).drop("_again").withColumn("ingested_at", ts_lit(as_of - dt.timedelta(hours=1)))
     second = rows.filter(polled & (number != GONE)).drop("_again").withColumn("ingested_at", ts_lit(as_of))
@@ -201,11 +211,14 @@ def replaced_polls(t: Tables, table: str, as_of: dt.datetime = AS_OF) -> list[Da
 
 def land_replaced(t: Tables, table: str, as_of: dt.datetime = AS_OF, at: str | None = None) -> str:
     """Land both polls of ``replaced_polls``, with their change sets; returns the table's folder."""
-    path = os.path.join(at or _run_dir(t.spark, "replaced"), table)
+    root = at or _run_dir(t.spark, "replaced")
+    path, staged = os.path.join(root, table), os.path.join(root, "_polls", table)
     polled = ig.events_in_range(t, "current", as_of).select(
         F.col("id").alias(UNIT), *event_parts(), ts_lit(as_of).alias("ingested_at"))
-    for n, batch in enumerate(replaced_polls(t, table, as_of)):
-        land_rows(t.spark, batch, path, *LANDED_KEYS[table], unit="_event_id", polled=polled if n else None, log_changes=n > 0)
+    for n, batch in enumerate(replaced_polls(t, table, as_of, staged)):
+        land_rows(t.spark, batch, path, *LANDED_KEYS[table], unit="_event_id", polled=polled if n else None, log_changes=n > 0,
+                  staged=None if n else staged)
+    remove(t.spark, staged)
     return path
 
 
