@@ -267,3 +267,32 @@ def test_partitions_follow_the_input(spark):
 
     few = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert first_partitions(spark, 1 << 20) == few and first_partitions(spark, 1 << 30) == 512
+
+
+def test_reduce_tasks_stay_small(spark):
+    """What a task sorts is bounded, however large the input: many first partitions, joined up to 16 MB."""
+    from boxoffice.session import BASE_CONF
+
+    assert BASE_CONF["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == "16MB"
+
+
+def test_only_repeated_keys_are_gathered(spark):
+    """The read of a landing equals the latest snapshot of each key, null keys and equal rows included."""
+    path = _path(spark, "again")
+    rows = [("a", "e1", "x", 1), ("a", "e2", "y", 2), ("b", "e1", "x", 1), (None, "e1", "n", 1), (None, "e1", "m", 2), ("c", "e1", "z", 1)]
+    df = spark.createDataFrame(rows, "id string, event string, note string, n int").select(
+        "id", "event", "note", F.make_timestamp(F.lit(2024), F.lit(1), "n", F.lit(0), F.lit(0), F.lit(0)).alias("ingested_at"),
+        *[F.lit(v).alias(p) for p, v in zip(landing.PARTS, ("v", "2024", "January", "05"))])
+    df.write.partitionBy(*landing.PARTS).json(path)
+    schema = T.StructType().add("id", "string").add("note", "string").add("ingested_at", "timestamp")
+    got = landing.latest_landed(spark, path, schema, "id")
+    want = latest_snapshot(read_landed(spark, path, schema), "id")
+    assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert sorted((str(r.id), r.note) for r in got.collect()) == [("None", "m"), ("a", "y"), ("b", "x"), ("c", "z")]
+    assert list(landing.LANDED_KEYS) and len([f for f, _ in folders_in(spark, os.path.join(path, "_again"))]) == 1
+
+
+def test_landed_lines_are_compressed(spark):
+    path = os.path.join(_path(spark, "gz"), "orders")
+    land_rows(spark, _orders(spark, "ab", dt.datetime(2024, 1, 1)), path, "id", unit="event")
+    assert all(f.endswith(".json.gz") for f in spark.read.json(path).inputFiles()) and len(_ids(spark, path)) == 2
