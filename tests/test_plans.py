@@ -46,6 +46,22 @@ def test_enriched_orders_join_two_landed_inputs(tables):
     assert _plan(df).count("FileScan json") == 2  # the pages, and the page numbers that end the lists
 
 
+@pytest.mark.parametrize("name", ["orders_enriched", "pages_flatten", "order_page_audit", "checkin_page_audit"])
+def test_pages_are_shuffled_without_what_is_not_needed(spark, tables, name):
+    """The join with the ends of the lists carries no tickets, and for an audit no rows at all."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # the shuffled join of large inputs
+    try:
+        plan = _plan(REGISTRY[name](tables))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    carried = re.findall(r"Exchange hashpartitioning\(event_id#\d+, _big_salt#\d+.*\n\W*Project \[(.*)\]", plan)
+    assert carried
+    made = set(re.findall(r"transform\(rows#.*? AS rows#(\d+)", plan))
+    for columns in carried:
+        rows = set(re.findall(r"\brows#(\d+)", columns))
+        assert not rows if name.endswith("audit") else rows and rows <= made, columns
+
+
 @pytest.mark.parametrize("name", ["delivery_outcomes", "control_after_batch", "empty_manifests"])
 def test_a_tick_reads_no_tickets(tables, name):
     assert "event_sizes" in _reads(REGISTRY[name](tables)) and "tickets" not in _reads(REGISTRY[name](tables))
