@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -69,6 +70,41 @@ def test_forgetting_changes_nothing(monkeypatch):
         assert own.encode(text).tolist() == PEER.encode_ordinary(text or "")
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.none() | st.text(alphabet="aé1. .  \n\u00a0'bt", max_size=30) | st.sampled_from(TEXTS), max_size=8), st.integers(1, 60))
+def test_texts_of_a_batch(texts, size):
+    before, bpe.BATCH_BYTES = bpe.BATCH_BYTES, size
+    ids, n = ENCODER.encode_texts(pa.array(["cut off", *texts], pa.string())[1:])
+    bpe.BATCH_BYTES = before
+    want = [PEER.encode_ordinary(t or "") for t in texts]
+    assert n.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
+def test_words_of_a_batch_are_encoded_once_and_side_by_side(monkeypatch):
+    own, rng = bpe.Encoder(RANKS, public_tokenizers.PATTERN), random.Random(5)
+    words = ["".join(rng.choices("abcdeé", k=rng.randrange(1, 12))) + rng.choice(["", "", ",", ".\nX"]) for _ in range(300)]
+    texts = [" ".join(["start", *rng.choices(words, k=400)]) for _ in range(50)]
+    pieces, steps = [], []
+    monkeypatch.setattr(own, "encode_pieces", lambda x, f=own.encode_pieces: pieces.extend(x) or f(x))
+    monkeypatch.setattr(own.transducer, "follow", lambda at, f=own.transducer.follow: steps.append(len(at)) or f(at))
+    ids, n = own.encode_texts(pa.array(texts))
+    assert ids.tolist() == [i for t in texts for i in PEER.encode_ordinary(t)] and len(n) == 50
+    assert len(pieces) < 1200 < 50 * 400 and len(steps) <= 32  # no more than the longest piece has bytes
+    assert not own.transducer.edges
+
+
+def test_edge_table():
+    rng, table, want = np.random.default_rng(2), bpe.EdgeTable(8), {}
+    for _ in range(30):
+        at = np.unique(rng.integers(0, 1 << 30, 100) << 8 | rng.integers(0, 4, 100))
+        new = at[table.get(at) < 0]
+        assert set(new.tolist()) == set(at.tolist()) - want.keys()
+        table.put(new, new >> 3)
+        want |= {k: k >> 3 for k in new.tolist()}
+    assert table.size == len(want) and table.get(np.array(list(want))).tolist() == list(want.values())
+    assert (table.get(np.array([1 << 45, 7])) < 0).all()
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.binary(max_size=40), st.integers(1, 7))
 def test_stream_decodes_like_one_call(data, step):
@@ -92,6 +128,21 @@ def test_encoding_report(spark, make, clash):
     assert bpe.encode_documents(odd).columns == [*df.columns[:-1], "IDS_in", "ids"]
 
 
+def test_a_batch_is_encoded_once_for_its_ids_and_its_decoding(monkeypatch):
+    own, runs = bpe.Encoder(RANKS, public_tokenizers.PATTERN), []
+    monkeypatch.setattr(own, "encode_batch", lambda x, f=own.encode_batch: runs.append(len(x)) or f(x))
+    for texts in (["a b", None, "c"], ["a b", None, "c"], ["a b", "", "c"], ["a b"], ["a b"], [], []):
+        got = own.encode_array(pa.array(texts, pa.string())).to_pylist()
+        assert got == [PEER.encode_ordinary(t or "") for t in texts]
+    assert runs == [3, 3, 1]
+
+
+def test_decoding_null_and_empty_arrays(spark):
+    df = spark.createDataFrame([(1, None), (2, []), (3, ENCODER.encode("naïve").tolist())], "doc_id long, ids array<int>")
+    got = {r.doc_id: r.text for r in df.select("doc_id", bpe.decoded_text(df.ids).alias("text")).collect()}
+    assert got == {1: "", 2: "", 3: "naïve"}
+
+
 def test_corpus_encodes_like_the_library(spark):
     from boxoffice.llm.queries import QUERIES
     from tests.conftest import SF_SMALL
