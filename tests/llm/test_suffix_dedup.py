@@ -69,6 +69,53 @@ def test_anchors_cover_every_window_once():
     assert several.shape == (0,) and sd.anchors(b"a" * 9000)[3].all()
 
 
+def test_short_texts_are_hashed_side_by_side(monkeypatch):
+    rng = random.Random(5)
+    texts = [words(rng, rng.randrange(0, 200)).encode() for _ in range(120)] + [b"", b"x" * 399, b"x" * 400, b"a" * 70_000, b"ab" * 600] * 2
+    want = [(k, *x) for k, t in enumerate(texts) for x in zip(*(c.tolist() for c in sd.anchors(t)))]
+    sizes, hashes = [], sd.string_hashes
+    monkeypatch.setattr(sd, "string_hashes", lambda data, *a: sizes.append(len(data)) or hashes(data, *a))
+    batch = pa.RecordBatch.from_arrays([pa.array([b"%d" % k for k in range(len(texts))]), pa.array([t.decode() for t in texts])], names=["t", "text"])
+    got = pa.Table.from_batches(list(sd._anchored(iter([batch])))).to_pydict()
+    assert list(zip([int(t) for t in got["t"]], got["at"], got["n"], np.array(got["h"], np.int64).view(np.uint64).tolist(), got["several"])) == want
+    assert len(sizes) < 10  # not one by one
+    monkeypatch.setattr(sd, "BLOCK", 1024)  # within a block, too
+    which, at, n, _, _ = sd.anchors_of(texts)
+    covered = [(k, a + j) for k, a, m in zip(which.tolist(), at.tolist(), n.tolist()) for j in range(m)]
+    assert covered == [(k, j) for k, t in enumerate(texts) for j in range(max(0, len(t) - 399))]
+
+
+def test_common_prefixes_of_long_enough_suffixes():
+    rng = random.Random(7)
+    strings = [bytes(rng.choice(b"ab\xff\x80\0") for _ in range(rng.randrange(0, 90))) for _ in range(9)] + [b"a" * 150, b"\xff" * 200]
+    data = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8)
+    sizes = np.array([len(s) for s in strings])
+    starts = np.cumsum(sizes + 1) - sizes - 1
+    rest = np.repeat(starts + sizes, sizes + 1) - np.arange(len(data))
+    sa, rank = sd.suffix_array(data, rest)
+    every = sd.common_prefixes(data, rest, starts, sa, rank, 70)
+    assert (sd.common_prefixes(data, rest, starts, sa, rank, 70, 40) == np.where(rest >= 40, every, 0)).all()
+
+
+def test_a_shard_sorts_only_what_may_be_repeated(monkeypatch):
+    """Of stretches with a common anchor only the windows with a common hash get a suffix array."""
+    rng = random.Random(11)
+    anchor, passage = words(rng, 12), words(rng, 70)
+    texts = [words(rng, 60) + anchor + words(rng, 60) for _ in range(20)] + [words(rng, 90) + passage + words(rng, 90) for _ in range(2)]
+    texts += [texts[0]]
+    rows = [(0, -1, 5, 1, b"%d" % k, 7 * k, t.encode()) for k, t in enumerate(texts)]
+    shard = pa.table([list(c) for c in zip(*rows)], names=["g", "part", "h", "parts", "t", "at", "s"])
+    sorted_, build = [], sd.suffix_array
+    monkeypatch.setattr(sd, "suffix_array", lambda data, rest: sorted_.append(len(data)) or build(data, rest))
+    found = sd._sharded(shard)
+    got = {(int(t), x - 7 * int(t)) for t, a, b in zip(*(found.column(c).to_pylist() for c in ("t", "a", "b"))) for x in range(a, b)}
+    data = [t.encode() for t in texts]
+    seen = Counter(d[i:i + 400] for d in data for i in range(len(d) - 399))
+    assert got == {(k, i) for k, d in enumerate(data) for i in range(len(d) - 399) if seen[d[i:i + 400]] > 1}
+    assert sum(sorted_) < 2 * len(passage.encode()) + 10
+    assert sd._sharded(shard.slice(1, 19)).num_rows == 0 and len(sorted_) == 1
+
+
 def planted():
     rng = random.Random(9)
     passage, line = words(rng, 150), words(rng, 12)
