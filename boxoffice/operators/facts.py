@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from boxoffice.functions.money import (money, money18, money38, money_or_zero, sum_money,
                                        zero_then_money)
 from boxoffice.functions.time import ts
-from boxoffice.params import PAYMENT_GATEWAY, VOID_TEXT
+from boxoffice.params import FEE_TYPES, PAYMENT_GATEWAY, VOID_TEXT
 from boxoffice.operators.joins import salted_join
+from boxoffice.sources.raw import gathered
 from boxoffice.sources.tables import Tables
 
 W = "decimal(38,2)"
@@ -261,20 +262,29 @@ def bi_ticket_dataset(t: Tables) -> DataFrame:
 
 def bi_ticket_unnested(t: Tables) -> DataFrame:
     """N-10: the same from the listed orders, by a true unnest of their ticket arrays; the order's
-    fees are those of its raw fee object."""
-    from boxoffice.operators.ingest import listed_orders, normalize_fees
+    fees are those of its raw fee object.
 
+    What belongs to an order (its details, event and charges, and that its page is within the
+    list) is joined without the arrays. They are shuffled once, to meet it.
+    """
+    from boxoffice.operators.ingest import answered_orders, listed_orders, normalize_fees
+
+    place = ["id", "event_id", "page_event", "page_no"]
+    o = gathered(listed_orders(t, "id", "event_id").select(*place), "id").distinct().join(
+        t.order_details.select("id", "first_name", "last_name", "paid_date_utc"), "id").join(
+        _charges(t), F.col("id") == F.col("c_order_id"), "left")
+    o = salted_join(o, _events(t), "event_id", "e_id", ["id"], t.hot_events("orders")).select(
+        F.col("id").alias("o_id"), F.col("event_id").alias("o_event_id"), F.col("page_event").alias("o_page_event"),
+        F.col("page_no").alias("o_page_no"), "first_name", "last_name", "paid_date_utc", "payment_intent", "name", "organization_name", "start")
+    sale = lambda k: F.struct(k["id"].alias("k_id"), k["tickettype"]["name"].alias("ticket_type_name"),
+                              *[k[c].alias(c) for c in ("price", "ticket_type_id", "redeemed", "promo_code")])
     fees = ("surcharge", "let_tax", "sales_tax", "venue_fee")
-    o = listed_orders(t).select("id", "ticket", F.col("event_id").alias("o_event_id"), *normalize_fees(F.col("line_item_fees"))).join(
-        t.order_details.select("id", "first_name", "last_name", "paid_date_utc"), "id").select(
-        F.col("id").alias("o_id"), "o_event_id", "first_name", "last_name", "paid_date_utc", *[F.col(f).alias(f"fee_{f}") for f in fees], "ticket")
-    j = salted_join(o, _events(t), "o_event_id", "e_id", ["o_id"], t.hot_events("orders")).join(
-        _charges(t), F.col("o_id") == F.col("c_order_id"), "left")
-    rest = [c for c in j.columns if c != "ticket"]
-    sold = j.select(*rest, F.explode("ticket").alias("k")).select(
-        *rest, F.col("k.id").alias("k_id"), F.col("k.tickettype.name").alias("ticket_type_name"),
-        *[f"k.{c}" for c in ("price", "ticket_type_id", "redeemed", "promo_code")])
-    return _bi_columns(sold)
+    sold = answered_orders(t).filter(F.size("ticket") > 0).select(*place, "line_item_fees", F.transform("ticket", sale).alias("ticket")).select(
+        *place, *[f.alias(f"fee_{n}") for n, f in zip(FEE_TYPES, normalize_fees(F.col("line_item_fees"))) if n in fees], "ticket")
+    j = sold.join(o, (F.col("id") == F.col("o_id")) & (F.col("event_id") == F.col("o_event_id"))
+                  & F.col("page_event").eqNullSafe(F.col("o_page_event")) & F.col("page_no").eqNullSafe(F.col("o_page_no")))
+    rest = [c for c in j.columns if c not in ("ticket", *place)]
+    return _bi_columns(j.select(*rest, F.explode("ticket").alias("k")).select(*rest, "k.*"))
 
 
 def _bi_columns(j: DataFrame) -> DataFrame:

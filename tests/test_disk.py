@@ -4,9 +4,12 @@ import datetime as dt
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
+from boxoffice.operators import facts as fc
+from boxoffice.operators import ingest as ig
 from boxoffice.sources import raw
-from boxoffice.sources.tables import land_table, load_tables
+from boxoffice.sources.tables import Tables, land_table, load_tables
 
 
 @pytest.fixture
@@ -65,3 +68,59 @@ def test_pages_of_own_rows(shop):
     k = min(o.ticket, key=lambda k: k.id)
     assert (k.id, k.price, k.ticket_type_price, k.tickettype.name, k.redeemed, k.promo_code, k.line_item_fees) == (
         "10-1-20-1-2024-01-01", "0.00", "0.00", "PARTY PASS Weekend", True, "PROMO", '{"Sales Tax": "1.10"}')
+
+
+def _nodes(plan):
+    plan = plan.executedPlan() if plan.nodeName() == "AdaptiveSparkPlan" else plan
+    yield plan
+    for i in range(plan.children().length()):
+        yield from _nodes(plan.children().apply(i))
+
+
+def test_ticket_arrays_are_shuffled_once(spark, shop):
+    """Of the joins of bi_ticket_unnested only the last one moves the orders' tickets."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # the shuffled joins of large inputs
+    try:
+        plan = fc.bi_ticket_unnested(shop)._jdf.queryExecution().executedPlan()
+        moved = [n for n in _nodes(plan) if n.nodeName() == "Exchange" and "ticket#" in n.output().mkString(",")]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(moved) == 1
+
+
+def _repeated(spark) -> Tables:
+    """Pages, details, events and charges with repeated and null keys; order 1 is on a page after the end as well."""
+    fees = '{"Surcharge": "4.00", "LET Tax": "1.25", "Gratuity": "5.00"}'
+    sale = lambda i: (i, "20.00", "tt-1", "tp-1", "20.00", ("VIP",), True, None, "{}")
+    o = lambda i, e, n=2: (i, e, fees, [sale(f"{i}-{x}") for x in range(n)])
+    full = [o(f"f{x}", "e") for x in range(100)]
+    pages = [("e", 1, None, full), ("e", 2, None, [o("1", "e"), o("1", "e"), o("2", "other"), o("3", "e", 0), o(None, "e"), o("4", None)]),
+             ("e", 2, None, [o("5", "e"), o("1", "e")]), ("e", 5, None, [o("1", "e"), o("6", "e")]), ("e", None, None, [o("7", "e")]),
+             (None, 1, None, [o("8", "e"), o("1", "other")]), (None, None, None, [o("9", "e")]), ("other", 1, "no_data", [o("10", "e")]),
+             ("unlisted", 1, None, [o("11", "unlisted")])]
+    t = Tables(spark, "nowhere")
+    t.order_pages = spark.createDataFrame(pages, raw.ORDER_PAGE)
+    ids = [str(x) for x in range(1, 12)] + [f"f{x}" for x in range(100)]
+    t.order_details = spark.createDataFrame([(i, f"n{i}", "l", "2024-01-02 03:00:00") for i in [*ids, "1", "5", None]],
+                                            "id string, first_name string, last_name string, paid_date_utc string")
+    t.events = spark.createDataFrame([("e", "E", "V", "2024-01-01 22:30:00"), ("e", "E again", None, None), ("other", "O", "V", None), (None, "N", "V", None)],
+                                     "id string, name string, organization_name string, start string")
+    t.charges = spark.createDataFrame([("1", "pi-1"), ("1", "pi-2"), ("2", "pi-3"), (None, "pi-4")], "ticketsauce_order_id string, payment_intent string")
+    t.event_sizes = spark.createDataFrame([("e", 1000, 1000)], "event_id string, orders long, all_orders long")
+    return t
+
+
+def test_unnested_tickets_of_repeated_keys(spark):
+    """Row for row what joining the listed orders, with their tickets, one table after the other gives."""
+    t = _repeated(spark)
+    j = ig.listed_orders(t).join(t.order_details, "id").join(t.events.withColumnRenamed("id", "event_id"), "event_id").join(
+        t.charges, F.col("id") == F.col("ticketsauce_order_id"), "left")
+    want = j.select("id", "event_id", "name", "organization_name", "first_name", "payment_intent", F.explode("ticket.id").alias("k"))
+    got = fc.bi_ticket_unnested(t)
+    assert set(got.select("shared_surcharge", "shared_let_tax_amount_currency", "sales_tax_currency", "service_charge_currency").distinct().collect()) == {
+        ("4.00", "1.25", None, None)}
+    got = got.select("ticketsauce_order_id", "event_id", "event_title", "venue_title", "order_first_name", "stripe_charge_payment_intent", F.col("id").alias("k"))
+    rows = sorted(map(repr, map(tuple, got.collect())))
+    assert rows == sorted(map(repr, map(tuple, want.collect())))
+    # order 1: three times on the event's list (two details, two charges, two events), once on another's
+    assert sum(r.startswith("('1', 'e'") for r in rows) == 3 * 2 * 2 * 2 * 2 and sum(r.startswith("('1', 'other'") for r in rows) == 2 * 2 * 2
